@@ -24,6 +24,24 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_report
+
+    return language_report(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_report
+
+    return toxicity_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_report
+
+    return quality_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contamination_report
 
