@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lattice import near_duplicate_vectors
+
+    return near_duplicate_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
