@@ -42,6 +42,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sigtree import jaccard_components
+
+    return jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_report
 
