@@ -54,6 +54,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import language_model_scores
+
+    return language_model_scores(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixing_report
+
+    return mixing_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contamination_report
 
@@ -65,4 +77,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import mixing
+
+    return {"op9_source_mixing": mixing.mixing_sql()}
