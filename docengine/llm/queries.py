@@ -30,6 +30,12 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hostpaths import page_report
+
+    return page_report(spark, table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import language_report
 
