@@ -1,15 +1,365 @@
-"""The registered queries over the driver's tables, with their SQL."""
+"""The registered queries over the driver's tables, with the same in SQL.
+
+Each pair shows one operator. Tables are read whole; the lines of a document
+stand for its pages where pages are needed.
+"""
 
 from __future__ import annotations
 
+import io
+import zipfile
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import api
+from ..functions import predicates, ranges, settings, text
+from ..operators import assets, convert, merge, options
+from . import markup
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- conversion of pages -------------------------------------------------------
+
+
+@_query(f"SELECT page_id, {markup.MARKDOWN_SQL} AS markdown FROM pages")
+def html_to_markdown(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", markup.to_markdown(F.col("html")).alias("markdown"))
+
+
+@_query(f"SELECT page_id, {markup.TEXT_SQL} AS text FROM pages")
+def html_to_text(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", markup.to_text(F.col("html")).alias("text"))
+
+
+@_query("SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS heading, len(regexp_extract_all(html, '(?i)<p\\b'))::BIGINT AS n_paragraphs FROM pages")
+def html_headings(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1).alias("heading"), F.regexp_count("html", F.lit(r"(?i)<p\b")).cast("long").alias("n_paragraphs"))
+
+
+@_query("SELECT page_id, unnest(range(len(l))) AS pos, unnest(l) AS href FROM (SELECT page_id, regexp_extract_all(html, '(?i)<a\\b[^>]*href=\"([^\"]*)\"', 1) AS l FROM pages)")
+def html_links(spark, sf):
+    links = F.regexp_extract_all("html", F.lit(r'(?i)<a\b[^>]*href="([^"]*)"'), F.lit(1))
+    return _table(spark, sf, "pages").select("page_id", F.posexplode(links).alias("pos", "href")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@_query("SELECT page_id, regexp_extract(url, '[^/](\\.[^./]+)$', 1) AS suffix FROM pages")
+def url_suffix(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", text.suffix(F.col("url")).alias("suffix"))
+
+
+@_query("SELECT page_id, CASE WHEN regexp_extract(url, '[^/](\\.[^./]+)$', 1) = '' THEN url || '.md' ELSE regexp_replace(url, '\\.[^./]+$', '.md') END AS output FROM pages")
+def output_paths(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", text.output_path(F.col("url")).alias("output"))
+
+
+# --- base64 and batches ---------------------------------------------------------
+
+
+@_query("SELECT page_id, to_base64(encode(html)) AS encoded, decode(from_base64(to_base64(encode(html)))) = html AS same FROM pages")
+def base64_roundtrip(spark, sf):
+    e = text.encode64(F.encode("html", "UTF-8"))
+    return _table(spark, sf, "pages").select("page_id", e.alias("encoded"), (F.decode(text.decode64(e), "UTF-8") == F.col("html")).alias("same"))
+
+
+def _batch(spark, sf):
+    bad = F.when(F.col("page_id") % 7 == 3, F.lit("!!!not-valid-base64!!!")).otherwise(text.encode64(F.encode("html", "UTF-8")))
+    return _table(spark, sf, "pages").select(F.col("page_id").alias("doc_pos"), F.concat(F.lit("page-"), "page_id", F.lit(".html")).alias("filename"), bad.alias("content_base64"))
+
+
+@_query("SELECT page_id AS doc_pos, 'page-' || page_id || '.html' AS filename, page_id % 7 <> 3 AS success FROM pages")
+def batch_results(spark, sf):
+    return convert.convert_batch(_batch(spark, sf))[0].select("doc_pos", "filename", "success")
+
+
+@_query("SELECT count(*) AS total, count_if(page_id % 7 <> 3)::BIGINT AS successful, count_if(page_id % 7 = 3)::BIGINT AS failed FROM pages")
+def batch_summary(spark, sf):
+    return convert.convert_batch(_batch(spark, sf))[1]
+
+
+@_query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'PNG' WHEN 1 THEN 'JPEG' WHEN 2 THEN 'TIFF' WHEN 3 THEN 'WEBP' ELSE 'GIF' END AS format, CASE page_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'image/jpeg' WHEN 2 THEN 'image/tiff' WHEN 3 THEN 'image/webp' ELSE 'image/gif' END AS media_type FROM pages")
+def image_formats(spark, sf):
+    name = F.concat(F.lit("figure"), F.element_at(F.array(*map(F.lit, (".png", ".JPG", ".tif", ".x", ".gif"))), (F.col("page_id") % 5 + 1).cast("int")))
+    own = F.when(F.col("page_id") % 5 == 3, "webp")
+    return _table(spark, sf, "pages").select("page_id", text.image_format(name, own).alias("format"), text.media_type(name, own).alias("media_type"))
+
+
+# --- ranges and chunk plans ------------------------------------------------------
+
+
+@_query("SELECT doc_id, unnest(range((n + 3) // 4))::INT AS chunk_no, unnest(list_transform(range((n + 3) // 4), lambda i: (4 * i) || '-' || least(4 * i + 3, n - 1))) AS page_range FROM (SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n FROM documents)")
+def chunk_plan(spark, sf):
+    n = F.size(F.split("text", "\n"))
+    return _table(spark, sf, "documents").select("doc_id", F.posexplode(ranges.chunk_total(n, F.lit(4))).alias("chunk_no", "page_range"))
+
+
+#: Ranges made from the id: a page, a span and a page, out of order for odd ids.
+_RANGE = "CASE WHEN doc_id % 2 = 0 THEN (doc_id % 5) || ', ' || (doc_id % 5 + 2) || '-' || (doc_id % 5 + 4) || ',,' || (doc_id % 5 + 5) ELSE (doc_id % 4 + 3) || '-' || (doc_id % 4 + 5) || ',' || (doc_id % 3) END"
+_PAGES = "CASE WHEN doc_id % 2 = 0 THEN [doc_id % 5, doc_id % 5 + 2, doc_id % 5 + 3, doc_id % 5 + 4, doc_id % 5 + 5] ELSE [doc_id % 4 + 3, doc_id % 4 + 4, doc_id % 4 + 5, doc_id % 3] END"
+
+
+def _ranged(spark, sf):
+    return _table(spark, sf, "documents").select("*", F.expr(_RANGE).alias("page_range"))
+
+
+@_query(f"""WITH p AS (SELECT doc_id, unnest(l) AS page, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT doc_id, {_PAGES} AS l FROM documents)),
+  b AS (SELECT *, pos // 2 AS chunk_no, CASE WHEN page = lag(page) OVER w + 1 THEN 0 ELSE 1 END AS brk FROM p WINDOW w AS (PARTITION BY doc_id, pos // 2 ORDER BY pos)),
+  s AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS seg FROM b),
+  r AS (SELECT doc_id, chunk_no, seg, min(pos) AS pos, CASE WHEN min(page) = max(page) THEN min(page)::VARCHAR ELSE min(page) || '-' || max(page) END AS t FROM s GROUP BY ALL)
+  SELECT doc_id, chunk_no::INT AS chunk_no, string_agg(t, ',' ORDER BY pos) AS page_range FROM r GROUP BY ALL""")
+def range_rechunk(spark, sf):
+    return _ranged(spark, sf).select("doc_id", F.posexplode(ranges.chunk_requested(F.col("page_range"), F.lit(2))).alias("chunk_no", "page_range"))
+
+
+@_query(f"SELECT doc_id, unnest(l)::INT AS page, (generate_subscripts(l, 1) - 1)::INT AS pos FROM (SELECT doc_id, {_PAGES} AS l FROM documents)")
+def range_parse(spark, sf):
+    return _ranged(spark, sf).select("doc_id", F.posexplode(ranges.parse_pages(F.col("page_range"))).alias("pos", "page"))
+
+
+@_query("""WITH b AS (SELECT user_id, event_id, CASE WHEN event_id = lag(event_id) OVER w + 1 THEN 0 ELSE 1 END AS brk FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+  s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY event_id) AS seg FROM b)
+  SELECT user_id, min(event_id) AS first_page, max(event_id) AS last_page FROM s GROUP BY user_id, seg""")
+def run_compaction(spark, sf):
+    pages = _table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("pages"))
+    spans = pages.select("user_id", F.explode(F.split(ranges.compact_pages(F.col("pages").cast("array<int>")), ",")).alias("span"))
+    ends = F.split("span", "-")
+    return spans.select("user_id", ends[0].cast("long").alias("first_page"), F.element_at(ends, -1).cast("long").alias("last_page"))
+
+
+@_query("SELECT doc_id, unnest(CASE WHEN doc_id % 3 = 0 THEN [NULL] WHEN n <= 6 THEN [NULL] ELSE list_transform(range((n + 5) // 6), lambda i: (6 * i) || '-' || least(6 * i + 5, n - 1)) END) AS page_range FROM (SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n FROM documents)")
+def conversion_plan(spark, sf):
+    n = F.size(F.split("text", "\n"))
+    suffix = F.when(F.col("doc_id") % 3 == 0, ".html").otherwise(".PDF")
+    return _table(spark, sf, "documents").select("doc_id", F.explode(ranges.plan_chunks(F.lit(None).cast("string"), n, F.lit(6), suffix)).alias("page_range"))
+
+
+@_query("SELECT doc_id, array_to_string(list_filter(list_transform([2, 0], lambda i: string_split(text, chr(10))[i + 1]), lambda x: x IS NOT NULL AND x <> ''), chr(10) || chr(10)) AS text FROM documents")
+def page_prune_merge(spark, sf):
+    pages = F.split("text", "\n")
+    wanted = F.transform(ranges.parse_pages(F.lit("2,0")), lambda i: F.get(pages, i))
+    return _table(spark, sf, "documents").select("doc_id", text.join_texts(wanted).alias("text"))
+
+
+@_query("SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: chr(10) || chr(10) || '{' || (i - 1) || '}' || repeat('-', 48) || chr(10) || chr(10) || x), '') AS paginated FROM documents")
+def paginated_output(spark, sf):
+    return _table(spark, sf, "documents").select("doc_id", text.paginate(F.split("text", "\n")).alias("paginated"))
+
+
+# --- merging --------------------------------------------------------------------
+
+
+def _chunks(spark, sf):
+    """Turns of a conversation as chunks of a document."""
+    rows = _table(spark, sf, "conversations")
+    meta = F.create_map("role", F.col("turn").cast("string"), F.lit("last"), F.col("role"))
+    asset = F.struct(F.concat(F.col("role"), F.lit("-"), F.col("turn").cast("string"), F.lit(".png")).alias("filename"), F.lit(None).cast("string").alias("path"), F.lit("AA==").alias("content_base64"), F.lit("image/png").alias("media_type"))
+    return rows.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("chunk_no"), "text", F.when(F.col("turn") % 2 == 0, F.length("text")).cast("long").alias("page_count"), meta.alias("metadata"), F.array(F.concat(F.col("role"), F.lit(":"), F.col("turn").cast("string"))).alias("warnings"), F.create_map(F.lit("images"), F.array(asset)).alias("assets"))
+
+
+@_query("SELECT conv_id AS doc_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text FROM conversations GROUP BY conv_id")
+def chunk_text_merge(spark, sf):
+    return merge.merge_chunks(_chunks(spark, sf)).select("doc_id", "text")
+
+
+@_query("SELECT conv_id AS doc_id, coalesce(string_agg(CASE WHEN turn % 2 = 1 THEN nullif(text, '') END, chr(10) || chr(10) ORDER BY turn), '') AS text FROM conversations GROUP BY conv_id")
+def merge_coalesce(spark, sf):
+    rows = _chunks(spark, sf).withColumn("text", F.when(F.col("chunk_no") % 2 == 1, F.col("text")))
+    return merge.merge_chunks(rows).select("doc_id", "text")
+
+
+@_query("SELECT conv_id AS doc_id, role AS key, max(turn)::VARCHAR AS value FROM conversations GROUP BY ALL UNION ALL SELECT conv_id, 'last', arg_max(role, turn) FROM conversations GROUP BY conv_id")
+def metadata_last_wins(spark, sf):
+    return merge.merge_chunks(_chunks(spark, sf)).select("doc_id", F.explode("metadata").alias("key", "value"))
+
+
+@_query("SELECT conv_id AS doc_id, sum(CASE WHEN turn % 2 = 0 THEN length(text) END)::BIGINT AS page_count FROM conversations GROUP BY conv_id")
+def page_count_sum(spark, sf):
+    return merge.merge_chunks(_chunks(spark, sf)).select("doc_id", "page_count")
+
+
+@_query("SELECT user_id, sum((props::JSON->>'k')::BIGINT)::BIGINT AS k FROM events GROUP BY user_id")
+def metadata_sum(spark, sf):
+    return _table(spark, sf, "events").groupBy("user_id").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
+
+
+@_query("SELECT conv_id AS doc_id, string_agg(role || ':' || turn, '|' ORDER BY turn) AS warnings FROM conversations GROUP BY conv_id")
+def warnings_concat(spark, sf):
+    return merge.merge_chunks(_chunks(spark, sf)).select("doc_id", F.array_join("warnings", "|").alias("warnings"))
+
+
+@_query("SELECT conv_id AS doc_id, 'images' AS asset_group, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS pos, role || '-' || turn || '.png' AS filename, 'AA==' AS content_base64, 'image/png' AS media_type FROM conversations")
+def asset_extend(spark, sf):
+    return assets.asset_rows(merge.merge_chunks(_chunks(spark, sf)))
+
+
+# --- predicates and options ---------------------------------------------------------
+
+
+@_query("""SELECT event_id, event_id % 3 = 0 AS out_of_memory, event_id % 4 = 1 OR (event_id % 3 <> 0 AND event_id % 4 = 2) AS llm FROM events""")
+def error_classification(spark, sf):
+    e = F.col("event_id")
+    message = F.concat(F.when(e % 3 == 0, "HIP out of Memory. ").otherwise("failed "), F.when(e % 4 == 1, "Gemini call").when((e % 4 == 2) & (e % 3 != 0), "at googleapis").otherwise("for page"))
+    return _table(spark, sf, "events").select("event_id", predicates.is_out_of_memory(message, F.lit("RuntimeError")).alias("out_of_memory"), predicates.is_llm_failure(message).alias("llm"))
+
+
+@_query("SELECT event_id, event_id % 4 IN (0, 1) AS is_assets, CASE event_id % 4 WHEN 0 THEN 'assets' WHEN 1 THEN 'assets' ELSE 'metadata' END AS goes_to FROM events")
+def asset_classification(spark, sf):
+    e = F.col("event_id") % 4
+    payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.lit('{"x": "a path"}')).otherwise(F.col("props"))
+    return _table(spark, sf, "events").select("event_id", predicates.looks_like_assets(payload).alias("is_assets"), assets.route_extra(payload).alias("goes_to"))
+
+
+@_query("SELECT doc_id, 'markdown' AS output_format, CASE WHEN doc_id % 2 = 0 THEN '0-3' END AS page_range, CASE WHEN doc_id % 3 = 0 THEN '0' END AS max_pages_per_chunk, CASE WHEN doc_id % 5 = 0 THEN true END AS force_ocr, NULL::BOOLEAN AS paginate_output, CASE WHEN doc_id % 7 = 0 THEN true END AS use_llm, CASE WHEN doc_id % 7 = 0 THEN 'ollama' END AS llm_service FROM documents")
+def option_build(spark, sf):
+    d = F.col("doc_id")
+    llm = F.create_map(F.lit("llm_service"), F.lit("ollama"), F.lit("ollama_model"), F.lit("m"))
+    made = options.build_options("markdown", F.when(d % 2 == 0, "0-3").otherwise(""), d % 5 == 0, False, d % 7 == 0, F.when(d % 3 == 0, 0), llm)
+    return _table(spark, sf, "documents").select("doc_id", made.alias("o")).select("doc_id", "o.*").drop("extra").withColumn("max_pages_per_chunk", F.col("max_pages_per_chunk").cast("string"))
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'kept' END AS other FROM documents")
+def option_strip(spark, sf):
+    d = F.col("doc_id")
+    llm = F.create_map(F.lit("llm_service"), F.lit("openai"), F.lit("openai_model"), F.lit("m"), F.lit("other"), F.lit("kept"))
+    made = options.without_llm(options.without_chunking(options.build_options(use_llm=d % 7 == 0, llm=llm, max_pages_per_chunk=3)))
+    rows = _table(spark, sf, "documents").select("doc_id", made.alias("o"))
+    clean = F.col("o.use_llm").isNull() & F.col("o.llm_service").isNull() & F.col("o.max_pages_per_chunk").isNull() & (F.coalesce(F.size(F.map_filter("o.extra", lambda k, v: k != "other")), F.lit(0)) <= 0)
+    return rows.select("doc_id", F.when(clean, F.try_element_at("o.extra", F.lit("other"))).otherwise(F.lit("not clean")).alias("other"))
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'own.Service' WHEN event_id % 3 = 0 THEN 'ollama' WHEN event_id % 5 = 0 THEN 'openai' WHEN event_id % 7 = 0 THEN 'claude' END AS service, CASE WHEN event_id % 7 = 0 THEN 'key' END AS claude_key FROM events")
+def llm_priority(spark, sf):
+    e = F.col("event_id")
+    on = lambda n, v: F.when(e % n == 0, v).otherwise("")
+    env = F.create_map(F.lit(settings.SERVICE_KEY), on(2, "own.Service"), F.lit("OLLAMA_MODEL"), on(3, "m"), F.lit("OPENAI_API_KEY"), on(5, "key"), F.lit("OPENAI_MODEL"), F.lit("m"), F.lit("CLAUDE_API_KEY"), on(7, "key"))
+    made = settings.llm_options(env)
+    return _table(spark, sf, "events").select("event_id", F.try_element_at(made, F.lit("llm_service")).alias("service"), F.try_element_at(made, F.lit("claude_api_key")).alias("claude_key"))
+
+
+@_query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'cpu' WHEN 1 THEN 'cuda' WHEN 2 THEN 'cuda' WHEN 3 THEN '__auto__' END AS device, CASE doc_id % 2 WHEN 0 THEN 'float16' END AS dtype FROM documents")
+def device_alias(spark, sf):
+    pick = lambda *v: F.element_at(F.array(*map(F.lit, v)), (F.col("doc_id") % len(v) + 1).cast("int"))
+    return _table(spark, sf, "documents").select("doc_id", settings.device(pick(" CPU", "amd", "Nvidia", "auto ", " ")).alias("device"), settings.precision(pick("Float16", "")).alias("dtype"))
+
+
+@_query("SELECT page_id, page_id % 4 IN (0, 1) AS safe FROM pages")
+def safe_asset_names(spark, sf):
+    names = F.array(*map(F.lit, ("a/b.png", "a/../b.png", "../b.png", "/etc/b")))
+    return _table(spark, sf, "pages").select("page_id", assets.is_safe_name(F.element_at(names, (F.col("page_id") % 4 + 1).cast("int"))).alias("safe"))
+
+
+@_query("SELECT true AS initialized, 'ready' AS status, 'The converter is ready.' AS message")
+def converter_status(spark, sf):
+    return api.status(spark)
+
+
+# --- conversions that SQL cannot express ------------------------------------------------
+
+
+@_query()
+def convert_json_blocks(spark, sf):
+    docs = _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
+    return convert.convert_documents(docs, options.build_options("json"), merged=False).select("doc_id", "text", "page_count", "error")
+
+
+@_query("SELECT page_id AS doc_id, 1::BIGINT AS page_count, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' AS has_title, NULL::VARCHAR AS error FROM pages")
+def convert_markdown_result(spark, sf):
+    docs = _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
+    got = convert.convert_documents(docs, options.build_options(max_pages_per_chunk=2))
+    return got.select("doc_id", "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
+
+
+def pdf_of(pages: list[str], packed: bool = False) -> bytes:
+    """A small PDF with one line of text a page."""
+    kids = " ".join(f"{3 + 2 * i} 0 R" for i in range(len(pages)))
+    out = [b"%PDF-1.4\n1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n", f"2 0 obj\n<< /Type /Pages /Count {len(pages)} /Kids [{kids}] >>\nendobj\n".encode()]
+    for i, t in enumerate(pages):
+        t = t.replace("\\", r"\\").replace("(", r"\(").replace(")", r"\)")
+        data = b"BT /F1 12 Tf 72 700 Td (" + t.encode("latin-1", "replace") + b") Tj ET"
+        more = b" /Filter /FlateDecode" if packed else b""
+        data = zlib.compress(data) if packed else data
+        out.append(f"{3 + 2 * i} 0 obj\n<< /Type /Page /Parent 2 0 R /Contents {4 + 2 * i} 0 R >>\nendobj\n{4 + 2 * i} 0 obj\n<< /Length {len(data)}".encode() + more + b" >>\nstream\n" + data + b"\nendstream\nendobj\n")
+    return b"".join(out) + b"trailer << /Root 1 0 R >>\n%%EOF\n"
+
+
+def docx_of(paragraphs: list[str]) -> bytes:
+    import html
+
+    body = "".join(f"<w:p><w:r><w:t>{html.escape(p)}</w:t></w:r></w:p>" for p in paragraphs)
+    box = io.BytesIO()
+    with zipfile.ZipFile(box, "w") as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="urn:w"><w:body>{body}</w:body></w:document>')
+    return box.getvalue()
+
+
+def _made(spark, sf, kind: str) -> DataFrame:
+    """The lines of every document as pages of a PDF or paragraphs of a DOCX."""
+    import pyarrow as pa
+
+    def make(texts: pa.Array) -> pa.Array:
+        lines = [(t or "").encode("ascii", "ignore").decode().split("\n") for t in texts.to_pylist()]
+        return pa.array([pdf_of(x, len(x) % 2 == 0) if kind == "pdf" else docx_of(x) for x in lines], pa.binary())
+
+    make.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return _table(spark, sf, "documents").select("doc_id", F.lit(f"d.{kind}").alias("filename"), F.arrow_udf(make, "binary")("text").alias("content"))
+
+
+@_query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS page_count, NULL::VARCHAR AS error FROM documents")
+def pdf_convert(spark, sf):
+    got = convert.convert_documents(_made(spark, sf, "pdf"), options.build_options(max_pages_per_chunk=16))
+    return got.select("doc_id", "page_count", "error")
+
+
+@_query()
+def ooxml_convert(spark, sf):
+    return convert.convert_documents(_made(spark, sf, "docx"), options.build_options(), merged=False).select("doc_id", "text", "page_count", "error")
+
+
+class Flaky:
+    """A backend that runs out of memory off the CPU and cannot reach its model, for the ladder."""
+
+    def convert(self, content, suffix, given, device):
+        n = len(content)
+        if n % 2 == 0 and device != "cpu":
+            raise RuntimeError("CUDA out of memory. Tried to allocate")
+        if n % 3 == 0 and given.get("use_llm"):
+            raise ConnectionError("LLM service unavailable")
+        if n % 5 == 0:
+            raise ValueError("broken document")
+        return {"text": str(n), "page_count": 1}
+
+
+@_query(f"""SELECT page_id AS doc_id, CASE WHEN n % 5 <> 0 THEN n::VARCHAR END AS text,
+  CASE WHEN n % 5 = 0 THEN 'ValueError: broken document' END AS error,
+  array_to_string(list_filter([CASE WHEN n % 2 = 0 THEN '{convert.MEMORY_WARNING}' END, CASE WHEN n % 3 = 0 THEN '{convert.LLM_WARNING}' END], lambda x: x IS NOT NULL), '|') AS warnings
+  FROM (SELECT page_id, strlen(html)::BIGINT AS n FROM pages)""")
+def fallback_ladder(spark, sf):
+    docs = _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
+    got = convert.convert_documents(docs, options.build_options(use_llm=True), backend=Flaky(), merged=False)
+    return got.select("doc_id", "text", "error", F.array_join("warnings", "|").alias("warnings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

@@ -1,0 +1,53 @@
+"""HTML pages to Markdown or plain text as one chain of expressions (no Python workers)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: (pattern, replacement), in order; patterns mean the same to Java and to RE2.
+DROP = [(r"(?is)<head\b.*?</head>", ""), (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""), (r"(?is)<nav\b.*?</nav>", ""), (r"(?is)<footer\b.*?</footer>", ""), (r"(?s)<!--.*?-->", "")]
+HEADINGS = [(rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n") for n in range(1, 7)]
+MARKS = [(r"(?i)<br\s*/?>", "  \n"), (r"(?i)</?(?:b|strong)>", "**"), (r"(?i)<li\b[^>]*>", "\n- "), (r"(?i)</?p\b[^>]*>", "\n\n"), (r"(?s)<[^>]*>", "")]
+ENTITIES = [("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+TIDY = [(r"\n{3,}", "\n\n"), (r"^\s+|\s+$", "")]
+MARKDOWN = DROP + HEADINGS + MARKS
+TEXT = [*DROP, (r"(?s)<[^>]*>", " ")]
+
+
+def _chain(html: Column, rules, tidy) -> Column:
+    for pattern, to in rules:
+        html = F.regexp_replace(html, pattern, to)
+    for name, sign in ENTITIES:
+        html = F.replace(html, F.lit(name), F.lit(sign))
+    for pattern, to in tidy:
+        html = F.regexp_replace(html, pattern, to)
+    return html
+
+
+def to_markdown(html: Column) -> Column:
+    return _chain(html, MARKDOWN, TIDY)
+
+
+def to_text(html: Column) -> Column:
+    return _chain(html, TEXT, [(r"\s+", " "), (r"^\s+|\s+$", "")])
+
+
+def _literal(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def chain_sql(column: str, rules, tidy) -> str:
+    """The same chain in DuckDB's SQL."""
+    expr = column
+    for pattern, to in rules:
+        expr = f"regexp_replace({expr}, {_literal(pattern)}, {_literal(to.replace('$1', chr(92) + '1'))}, 'g')"
+    for name, sign in ENTITIES:
+        expr = f"replace({expr}, {_literal(name)}, {_literal(sign)})"
+    for pattern, to in tidy:
+        expr = f"regexp_replace({expr}, {_literal(pattern)}, {_literal(to)}, 'g')"
+    return expr
+
+
+MARKDOWN_SQL = chain_sql("html", MARKDOWN, TIDY)
+TEXT_SQL = chain_sql("html", TEXT, [(r"\s+", " "), (r"^\s+|\s+$", "")])
