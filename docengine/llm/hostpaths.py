@@ -47,6 +47,7 @@ _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+TITLE_WEIGHT = {"h1": 8, "h2": 3}
 MAX_DEPTH = 400  # deeper elements count as part of their ancestor
 
 
@@ -186,18 +187,27 @@ def parse(text: str):
 
 
 def _score(elements, blocks) -> int:
-    """Good and other letters of every element's subtree; the page's good letters."""
+    """Good and other letters of every element's subtree; the page's good letters.
+
+    Letters of titles count several times: an article without its title is not whole.
+    """
     for e, t, linked in blocks:
         good = not e.dropped and 2 * linked < len(t)
+        size = len(t) * TITLE_WEIGHT.get(e.tag, 1)
         while e is not None:
             if good:
-                e.good += len(t)
+                e.good += size
             else:
-                e.other += len(t)
+                e.other += size
             e = e.parent
     return elements[0].good
 
 
+def _worth(e: Element, total: int) -> int:
+    """Thousandths for holding good text (nine tenths are enough) and little else; deeper is better."""
+    return min(1000, 1000 * e.good * 10 // (9 * total)) * e.good // (e.good + e.other) + 50 * min(e.depth, 20)
+
+
 def votes(text: str | None) -> dict[str, int]:
     """Thousandths of a vote for the path of each container that holds half of the good text or more."""
     if not text or not text.strip():
@@ -207,9 +217,8 @@ def votes(text: str | None) -> dict[str, int]:
     best: dict[str, int] = {}
     for e in elements:
         if e.step and not e.dropped and total and 2 * e.good >= total:
-            worth = int(1000 * e.good / total * e.good / (e.good + e.other)) + min(e.depth, 20)
             p = e.path()
-            best[p] = max(best.get(p, 0), worth)
+            best[p] = max(best.get(p, 0), _worth(e, total))
     return best
 
 
@@ -225,8 +234,8 @@ def extract(text: str | None, path: str | None) -> tuple[str, str]:
         same = [e for e in elements if e.step == last and not e.dropped and 2 * e.good >= total and e.path() == path]
         chosen = max(same, key=lambda e: (e.good, -e.order), default=None)
     if chosen is None:
-        held = [e for e in elements if e.step and not e.dropped and 2 * e.good >= total]
-        chosen = max(held, key=lambda e: (1000 * e.good * e.good // max(1, total * (e.good + e.other)) + min(e.depth, 20), -e.order), default=elements[0])
+        held = [e for e in elements if e.step and not e.dropped and total and 2 * e.good >= total]
+        chosen = max(held, key=lambda e: (_worth(e, total), -e.order), default=elements[0])
     out = []
     for e, t, _ in blocks:
         if e.dropped:

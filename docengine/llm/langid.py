@@ -35,7 +35,7 @@ DOCS_PER_LANG, SEQUENCE = 160, 40
 BUCKETS = 1 << 16
 LEXICON = 400
 STEPS = 40
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
 
 _NOT_LETTER = np.ones(256, bool)
@@ -254,7 +254,8 @@ def predict(model: CrfModel, texts: pa.Array) -> tuple[list[str], np.ndarray]:
             weight = (en - st).astype(np.float64)
             share = np.stack([np.bincount(docs, weight * marg[:, c], j - i) for c in range(len(model.langs))], 1)
             total = np.bincount(docs, weight, j - i)
-            ascii_letters = np.bincount(docs, np.add.reduceat(as_bytes(part) < 128, st) > 0, j - i) if len(st) else np.zeros(j - i)
+            plain = np.concatenate([[0], np.cumsum(as_bytes(part) < 128)])
+            ascii_letters = np.bincount(docs, plain[en] > plain[st], j - i)
             for d in np.flatnonzero(total):
                 # words of other signs than ASCII letters may hold none at all
                 if ascii_letters[d] or any(c.isalpha() for c in low[i + int(d)].as_py()):

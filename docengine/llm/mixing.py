@@ -71,7 +71,7 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
         found = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t")).join(target, dim, "left").crossJoin(F.broadcast(total))
         wished = found.select(dim, F.when(F.col("t") > 0, F.coalesce("share", F.col("t") / F.col("total"))).otherwise(0.0).alias("share"), "total")
         one = F.broadcast(wished.agg(F.sum("share").alias("all")))
-        goals[dim] = materialize(spark, wished.crossJoin(one).select(dim, (F.col("share") / F.col("all") * F.col("total")).alias("goal")), f"goal-{dim}")
+        goals[dim] = materialize(spark, wished.crossJoin(one).select(dim, F.when(F.col("all") > 0, F.col("share") / F.col("all") * F.col("total")).otherwise(0.0).alias("goal")), f"goal-{dim}")
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for dim, goal in goals.items():
