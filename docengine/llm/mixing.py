@@ -66,12 +66,12 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
     and a join back; a round is written to the shared folder, so plans stay short.
     """
     goals = {}
-    total = cells.agg(F.sum("tokens").cast("double").alias("total"))
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # sums over a whole table are single numbers
     for dim, target in targets.items():
-        found = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t")).join(target, dim, "left").crossJoin(F.broadcast(total))
-        wished = found.select(dim, F.when(F.col("t") > 0, F.coalesce("share", F.col("t") / F.col("total"))).otherwise(0.0).alias("share"), "total")
-        one = F.broadcast(wished.agg(F.sum("share").alias("all")))
-        goals[dim] = materialize(spark, wished.crossJoin(one).select(dim, F.when(F.col("all") > 0, F.col("share") / F.col("all") * F.col("total")).otherwise(0.0).alias("goal")), f"goal-{dim}")
+        found = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t")).join(target, dim, "left")
+        wished = materialize(spark, found.select(dim, F.when(F.col("t") > 0, F.coalesce("share", F.col("t") / total)).otherwise(0.0).alias("share")), f"wish-{dim}")
+        whole = float(wished.agg(F.sum("share")).first()[0] or 0)
+        goals[dim] = wished.select(dim, (F.col("share") / whole * total if whole else F.lit(0.0)).alias("goal"))
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for dim, goal in goals.items():
@@ -131,9 +131,9 @@ def _probabilities_of_counts(spark: SparkSession, small: DataFrame) -> DataFrame
 
 def _with_probability(spark: SparkSession, raked: DataFrame) -> DataFrame:
     factor = raked.withColumn("factor", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0))
-    most = F.broadcast(factor.agg(F.max("factor").alias("most")))
-    p = F.when(F.col("most") > 0, F.col("factor") / F.col("most")).otherwise(1.0)
-    return materialize(spark, factor.crossJoin(most).select("source", "lang", "topic", "factor", p.alias("probability")), "mix")
+    most = float(factor.agg(F.max("factor")).first()[0] or 0)
+    p = F.col("factor") / most if most else F.lit(1.0)
+    return materialize(spark, factor.select("source", "lang", "topic", "factor", p.alias("probability")), "mix")
 
 
 def mixing_sql(table: str = "documents", rounds: int = ROUNDS, result: str | None = None) -> str:
