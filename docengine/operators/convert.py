@@ -8,9 +8,7 @@ put together by ``merge_chunks``.
 
 from __future__ import annotations
 
-import io
 import json
-import re
 from typing import Protocol
 
 import pyarrow as pa
@@ -167,19 +165,3 @@ def convert_batch(files: DataFrame, *, backend: Backend | None = None, options:
     error = F.when(F.col("bad"), F.lit("Error: Incorrect padding or alphabet in base64 content")).otherwise(F.col("r.error"))
     results = rows.select("doc_pos", "filename", error.isNull().alias("success"), F.when(error.isNull(), F.col("r.text")).alias("content"), error.alias("error"))
     return results, batch_summary(results)
-
-
-def magic_suffix(content: bytes) -> str:
-    """A suffix for bytes without a name, by their first signs."""
-    if content[:5] == b"%PDF-":
-        return ".pdf"
-    if content[:2] == b"PK":
-        names = zipfile_names(content)
-        return next((s for k, s in (("word/", ".docx"), ("ppt/", ".pptx"), ("xl/", ".xlsx")) if any(n.startswith(k) for n in names)), ".epub")
-    return ".html" if re.match(rb"\s*<", content) else ".txt"
-
-
-def zipfile_names(content: bytes) -> list[str]:
-    import zipfile
-
-    return zipfile.ZipFile(io.BytesIO(content)).namelist()
