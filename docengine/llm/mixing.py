@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .shared import materialize
 
 ROUNDS = 8
+#: Share of all tokens that the sample is expected to hold, and steps to meet it.
+KEEP, SCALE_ROUNDS = 0.5, 12
 #: Exponents of the found shares that make the default targets.
 TEMPER = {"source": 0.7, "lang": 0.5, "topic": 0.5}
 SEED = "mix"
@@ -84,9 +86,8 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
 def cell_probabilities(spark: SparkSession, docs: DataFrame, *, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, source_col: str = "source", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(source, lang, topic, factor, probability) of every cell.
 
-    Probabilities are factors over the largest factor: the most tokens that
-    still keep every probability at or below one, so that expected shares are
-    those of the raked weights.
+    Probabilities are in proportion to factors, so that expected shares are those
+    of the raked weights; a cell that has too few tokens for its share is kept whole.
     """
     cols = cell_columns(docs, source_col, lang_col, text_col)
     n = token_count(docs[text_col].cast("string"))
@@ -129,11 +130,20 @@ def _probabilities_of_counts(spark: SparkSession, small: DataFrame) -> DataFrame
     return _with_probability(spark, raked)
 
 
-def _with_probability(spark: SparkSession, raked: DataFrame) -> DataFrame:
-    factor = raked.withColumn("factor", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0))
-    most = float(factor.agg(F.max("factor")).first()[0] or 0)
-    p = F.col("factor") / most if most else F.lit(1.0)
-    return materialize(spark, factor.select("source", "lang", "topic", "factor", p.alias("probability")), "mix")
+def _with_probability(spark: SparkSession, raked: DataFrame, keep: float = KEEP) -> DataFrame:
+    """Probabilities min(1, s * factor), with s such that ``keep`` of all tokens are expected to stay.
+
+    s is found by repeated proportional correction; each step is one sum over the cells.
+    """
+    factor = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0)
+    cells = materialize(spark, raked.withColumn("factor", factor), "factors")
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    scale = keep
+    for _ in range(SCALE_ROUNDS if total else 0):
+        got = float(cells.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), scale * F.col("factor")))).first()[0] or 0)
+        scale = scale * (keep * total / got) if got else scale
+    p = F.least(F.lit(1.0), scale * F.col("factor")) if total else F.lit(1.0)
+    return materialize(spark, cells.select("source", "lang", "topic", "factor", p.alias("probability")), "mix")
 
 
 def mixing_sql(table: str = "documents", rounds: int = ROUNDS, result: str | None = None) -> str:
@@ -146,11 +156,14 @@ def mixing_sql(table: str = "documents", rounds: int = ROUNDS, result: str | Non
             steps.append(f"{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * f AS w FROM {last} JOIN (SELECT {d} AS k, CASE WHEN sum(w) > 0 THEN any_value(goal) / sum(w) ELSE 0 END AS f FROM {last} JOIN goal_{d} USING ({d}) GROUP BY {d}) m ON m.k = {last}.{d})")
             last = name
     goals = ", ".join(f"goal_{d} AS MATERIALIZED (SELECT {d}, share / sum(share) OVER () * (SELECT sum(tokens)::DOUBLE FROM c0) AS goal FROM (SELECT {d}, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {p}) ELSE 0 END AS share FROM c0 GROUP BY {d}))" for d, p in TEMPER.items())
+    scales, total = [f"s0 AS (SELECT {KEEP}::DOUBLE AS s)"], "(SELECT sum(tokens)::DOUBLE FROM c0)"
+    for k in range(SCALE_ROUNDS):
+        got = f"(SELECT sum(tokens * least(1.0::DOUBLE, s * factor)) FROM f, s{k})"
+        scales.append(f"s{k + 1} AS MATERIALIZED (SELECT CASE WHEN {got} > 0 THEN s * ({KEEP} * {total} / {got}) ELSE s END AS s FROM s{k})")
     done = f"""SELECT n.*, factor, probability, ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 AS u
-      FROM n JOIN (SELECT source, lang, topic, factor, CASE WHEN max(factor) OVER () > 0 THEN factor / max(factor) OVER () ELSE 1.0 END AS probability
-        FROM (SELECT *, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS factor FROM {last})) p USING (source, lang, topic)"""
+      FROM n JOIN (SELECT source, lang, topic, factor, CASE WHEN {total} > 0 THEN least(1.0::DOUBLE, s * factor) ELSE 1.0 END AS probability FROM f, s{SCALE_ROUNDS}) p USING (source, lang, topic)"""
     return f"""WITH n AS MATERIALIZED (SELECT doc_id, coalesce(source, chr(1) || '0') AS source, coalesce(lang, chr(1) || '0') AS lang, len(regexp_extract_all(t, '[^ \\t\\n\\v\\f\\r]+'))::BIGINT AS n_tokens,
         CASE {rules} WHEN length(t) < {SHORT_CHARS} THEN '{SHORT}' ELSE '{PROSE}' END AS topic FROM (SELECT *, coalesce(text, '') AS t FROM {table})),
       c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens, sum(n_tokens)::DOUBLE AS w FROM n GROUP BY ALL),
-      {goals}, {", ".join(steps)}, mixed AS ({done})
+      {goals}, {", ".join(steps)}, f AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS factor FROM {last}), {", ".join(scales)}, mixed AS ({done})
       {result or "SELECT doc_id, n_tokens, topic, round(factor, 6) AS factor, round(probability, 6) AS probability, u < probability AS sampled FROM mixed"}"""
