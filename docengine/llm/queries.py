@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text rows in one Arrow batch, and its bytes: very long documents must not add up.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def bound_batches(spark: SparkSession) -> None:
     for key, value in ARROW_CONF.items():
         spark.conf.set(key, value)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -83,6 +87,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import mixing
+    from . import mixing, oracles
 
-    return {"op9_source_mixing": mixing.mixing_sql()}
+    return {"op1_lattice_neardup": oracles.NEAR_VECTORS, "op6_jaccard_join": oracles.JACCARD, "op9_source_mixing": mixing.mixing_sql(), "op10_decontamination": oracles.DECONTAMINATION}

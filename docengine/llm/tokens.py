@@ -1,8 +1,8 @@
 """Token-ID output: one zstandard frame per document under a shared dictionary.
 
 File format: a Parquet table of shards. A shard covers a range of doc_id and is
-one row per block of documents: ``shard, block, dict_hash, doc_ids, n_tokens,
-crc32, offsets, payload``. ``payload`` is the frames back to back, ``offsets`` has one more
+one row per block of documents: ``shard, block, first_token, dict_hash, doc_ids,
+n_tokens, crc32, offsets, payload``; ``first_token`` counts ids before the block in its shard. ``payload`` is the frames back to back, ``offsets`` has one more
 entry than the block has documents, so a single short document is read by one
 slice and one decompression. The dictionary is a table of its own beside it.
 Ids are stored as little-endian unsigned 32-bit integers inside the frames.
@@ -21,17 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import shared_dir, string_buffers, tasks_for
-from .textkit import _STEP, U64, mix, span_hashes
+from .textkit import U64, mix, span_hashes
 
 END_ID = 0
 #: Documents whose id arrays train the dictionary, and its size.
 DICT_SAMPLE, DICT_BYTES = 2000, 64 << 10
-BLOCK_BYTES = 4 << 20
-SLICE_BYTES = 6 << 20
+BLOCK_BYTES = 192 << 10
+SLICE_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers.
-MEMO_PIECES = 3_000_000
+MEMO_PIECES = 500_000
 
 _classes: list[np.ndarray] = []
 _coders: dict[str, _Coder] = {}
@@ -155,7 +156,17 @@ def coder(path: str) -> _Coder:
     return _coders[path]
 
 
-def encode_documents(column: pa.Array, path: str, end_id: int = END_ID):
+def _forget() -> None:
+    """Give the encoder's memory back: this worker now does other work."""
+    if _coders:
+        import ctypes
+
+        _coders.clear()
+        _classes.clear()
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def encode_documents(column: pa.Array | pa.ChunkedArray, path: str, end_id: int = END_ID):
     """The id array of each text, with the end id."""
     raw, off = string_buffers(column)
     end = np.array([end_id], "<u4")
@@ -169,15 +180,16 @@ def encode_documents(column: pa.Array, path: str, end_id: int = END_ID):
 
 
 def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", sample: int = DICT_SAMPLE, size: int = DICT_BYTES) -> bytes:
-    """A zstandard dictionary from the id arrays of ``sample`` documents at most.
+    """A zstandard dictionary from the id arrays of about ``sample`` documents.
 
-    Which documents: those of the smallest hashes of their ids. With too little
+    Which documents: those of the smallest hashes of their ids, by a threshold. With too little
     text to train on, the dictionary is empty.
     """
     import zstandard
 
-    picked = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).orderBy("h").limit(sample).toArrow()
-    arrays = [x.tobytes() for x in encode_documents(picked.column("t").combine_chunks(), path)]
+    u = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
+    picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).limit(2 * sample).toArrow().sort_by("t")
+    arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(picked.column("t").chunks, picked.column("t").type), path)]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -225,10 +237,12 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
 
         def flush():
             s = keep[0][0]
-            k = block[s] = block.get(s, -1) + 1
+            k, first = block.get(s, (0, 0))
+            block[s] = k + 1, first + sum(r[2] for r in keep)
             size = [len(r[4]) for r in keep]
-            return pa.RecordBatch.from_pylist([{"shard": s, "block": k, "dict_hash": dict_hash, "doc_ids": [r[1] for r in keep], "n_tokens": [r[2] for r in keep], "crc32": [r[3] for r in keep], "offsets": [0, *np.cumsum(size).tolist()], "payload": b"".join(r[4] for r in keep)}], schema=arrow)
+            return pa.RecordBatch.from_pylist([{"shard": s, "block": k, "first_token": first, "dict_hash": dict_hash, "doc_ids": [r[1] for r in keep], "n_tokens": [r[2] for r in keep], "crc32": [r[3] for r in keep], "offsets": [0, *np.cumsum(size).tolist()], "payload": b"".join(r[4] for r in keep)}], schema=arrow)
 
+        _forget()
         held = 0
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -241,13 +255,13 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
         if keep:
             yield flush()
 
-    arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("crc32", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())])
+    arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_token", pa.int64()), ("dict_hash", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("crc32", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())])
     (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         .mapInArrow(encode, "shard int, doc_id long, n long, crc long, frame binary")
         .repartition(many, "shard")
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "crc", "n")
-        .mapInArrow(blocks, "shard int, block int, dict_hash long, doc_ids array<long>, n_tokens array<long>, crc32 array<long>, offsets array<long>, payload binary")
+        .mapInArrow(blocks, "shard int, block int, first_token long, dict_hash long, doc_ids array<long>, n_tokens array<long>, crc32 array<long>, offsets array<long>, payload binary")
         .write.parquet(f"{target}/shards")
     )
 
@@ -260,20 +274,18 @@ def read_token_files(spark: SparkSession, source: str, *, with_ids: bool = False
     """
     dictionary = {r[0]: bytes(r[1]) for r in spark.read.parquet(f"{source}/dictionary").collect()}
     shards = spark.read.parquet(f"{source}/shards")
-    sums = shards.select("shard", "block", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    # one row per block of megabytes: running totals within shards, then over shards
-    base = {}
-    total = 0
-    for s, k, n in sums.orderBy("shard", "block").toLocalIterator():
-        base[s, k] = total
-        total += n
-    base_of = spark.sparkContext.broadcast(base)
+    size = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)
+    sums = shards.groupBy("shard").agg(F.sum(size).alias("n"))
+    # one row per shard of thousands of documents; a running total over these few
+    before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    shards = shards.join(sums.select("shard", F.coalesce(before, F.lit(0)).alias("base")), "shard")
 
     def read(batches):
+        _forget()
         for batch in batches:
             for row in batch.to_pylist():
                 press = _frames(dictionary[row["dict_hash"]])[1]
-                at = base_of.value[row["shard"], row["block"]]
+                at = row["base"] + row["first_token"]
                 out = [[], [], [], [], []]
                 for k, doc in enumerate(row["doc_ids"]):
                     b = press.decompress(row["payload"][row["offsets"][k] : row["offsets"][k + 1]])
