@@ -59,3 +59,27 @@ def string_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[bytes, list[int]
     off = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
     raw = b"" if data is None else memoryview(data)[off[0] : off[-1]]
     return raw, off - off[0]
+
+
+SLOT_BITS = 20
+
+
+def in_slots(spark: SparkSession, ids: DataFrame, column: Column) -> Column:
+    """Whether ``column`` may be among ``ids`` (one column of longs): never false for one that is.
+
+    A table of 2**SLOT_BITS bits by the id's hash, whatever the number of ids:
+    a reducer to put before an exact join, which then moves few other rows.
+    """
+    import numpy as np
+
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SLOT_BITS)).cast("int")
+    used = ids.select(slot(F.col(ids.columns[0])).alias("s")).distinct().toArrow().column(0).to_numpy()
+    table = np.zeros(1 << SLOT_BITS, bool)
+    table[used] = True
+    held = spark.sparkContext.broadcast(table)
+
+    def hit(slots: pa.Array) -> pa.Array:
+        return pa.array(held.value[slots.to_numpy(zero_copy_only=False)])
+
+    hit.__annotations__ = {"slots": pa.Array, "return": pa.Array}
+    return F.arrow_udf(hit, "boolean")(slot(column))

@@ -31,14 +31,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import Forest, connected_components, group_runs, grouped, tiled
-from .shared import materialize, string_buffers, tasks_for
+from .shared import in_slots, materialize, string_buffers, tasks_for
 from .textkit import U64, mix, shingles, span_hashes, words
 
 #: Similarity as a fraction of whole numbers, and words of a shingle.
 PART, WHOLE, SHINGLE = 80, 100, 5
-SIGNATURE_WORDS = 4  # of 64 bits
+SIGNATURE_WORDS = 8  # of 64 bits
+#: Sets up to this size have a signature of all their shingles; larger ones of the listed and shared ones.
+WHOLE_MOST = 600
 LEAF, FAN = 16, 4
 TILE_ROWS, TILE_TEXTS = 2000, 512
 #: A shingle is frequent if so many documents, or this share of them, hold it; bound of their number.
@@ -58,6 +61,11 @@ def listed(n, part: int = PART, whole: int = WHOLE):
     return np.where(n > 0, n - -(-(part * n) // whole) + 1, 0)
 
 
+def inner(n):
+    """How many of the listed shingles of a set the one called ``near`` closes: three quarters of them."""
+    return (3 * listed(n)) // 4
+
+
 def text_sets(column, frequent: np.ndarray, k: int = SHINGLE):
     """(values, offsets): the ascending distinct shingle codes of each text.
 
@@ -96,7 +104,12 @@ def _bits(n: int, owner: np.ndarray, bit: np.ndarray, width: int) -> np.ndarray:
     """(n, width) words of 64 bits with the given bits set."""
     out = np.zeros(n * width * 64, np.uint8)
     out[owner * (width * 64) + bit] = 1
-    return np.packbits(out.reshape(n, -1), axis=1, bitorder="little").view(U64)
+    return np.packbits(out.reshape(n, width * 64), axis=1, bitorder="little").view(U64)
+
+
+def _signatures(n: int, owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Signatures of n sets, given by the codes of each; the mark of frequent codes does not count."""
+    return _bits(n, owner, (mix((codes & ~_TOP) + U64(99)) % U64(64 * SIGNATURE_WORDS)).astype(np.int64), SIGNATURE_WORDS)
 
 
 class Tree:
@@ -104,31 +117,45 @@ class Tree:
 
     Of each node: OR bitmap, least and largest set size, most listed shingles
     beyond distinct bits (``excess``), most shingles that are not in the bitmap
-    (``rest``). Levels are arrays; node i of a level has children FAN*i ... of
+    (``rest``), first and last of the last listed shingles (``last``), the latest of those that
+    close three quarters of a list (``near``) and most shingles past it, most shingles
+    that are listed by others too (``shared``), and whether bitmaps are of whole sets. Of two sets,
+    the one whose list ends first can have no more in common with the other than
+    what both list and its own rest: all that it does not list comes after its list. Levels are arrays; node i of a level has children FAN*i ... of
     the one below, and leaf i holds rows LEAF*i ...
     """
 
-    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, rest: np.ndarray):
-        at = np.arange(0, len(size), LEAF)
-        level = (np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(size, at), np.maximum.reduceat(size, at), np.maximum.reduceat(excess, at), np.maximum.reduceat(rest, at))
-        self.levels = [level]
-        while len(level[0]) > 1:
-            at = np.arange(0, len(level[0]), FAN)
-            level = tuple(f.reduceat(x, at) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.maximum, np.maximum), level, strict=True))
+    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, rest: np.ndarray, last: np.ndarray, near: np.ndarray, shared: np.ndarray, whole: np.ndarray):
+        outer = size - np.where(inner(size) > 0, inner(size), 0)
+        level, width = (bits, size, size, excess, rest, last, last, near, outer, shared, whole, whole), LEAF
+        self.rows, self.size, self.bits = level, size, bits
+        folds = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.maximum, np.minimum, np.maximum, np.maximum, np.maximum, np.maximum, np.minimum, np.maximum)
+        self.levels = []
+        while not self.levels or len(level[0]) > 1:
+            at = np.arange(0, len(level[0]), width)
+            level = tuple(f.reduceat(x, at) for f, x in zip(folds, level, strict=True))
             self.levels.append(level)
-        self.bits, self.size, self.excess, self.rest = bits, size, excess, rest
+            width = FAN
+
+    @staticmethod
+    def _may_link(nodes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        bits, low, high, excess, rest, early, late, near, outer, shared, all_whole, some_whole = nodes
+        common = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64) + np.minimum(excess[a], excess[b])
+        # what can be common past the list that ends first: its own rest, and of the other what lies past its near code
+        if_a = np.minimum(rest[a], np.where(early[a] > near[b], outer[b], high[b]))
+        if_b = np.minimum(rest[b], np.where(early[b] > near[a], outer[a], high[a]))
+        beyond = np.where(late[a] < early[b], if_a, np.where(late[b] < early[a], if_b, np.maximum(if_a, if_b)))
+        most = np.minimum(shared[a], shared[b]) + beyond
+        most = np.where(all_whole[a] & all_whole[b], np.minimum(most, common), most)
+        most = np.where(some_whole[a] | some_whole[b], most, np.minimum(most, common + beyond))
+        return np.minimum(most, np.minimum(high[a], high[b])) >= least_overlap(low[a], low[b])
 
     def may_link(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which node pairs can hold a link: the maximum possible overlap against the least one asked for."""
-        bits, low, high, excess, rest = self.levels[level]
-        shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
-        most = np.minimum(shared + np.minimum(excess[a], excess[b]) + np.maximum(rest[a], rest[b]), np.minimum(high[a], high[b]))
-        return most >= least_overlap(low[a], low[b])
+        return self._may_link(self.levels[level], a, b)
 
     def rows_may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        shared = np.bitwise_count(self.bits[a] & self.bits[b]).sum(1, dtype=np.int64)
-        most = np.minimum(shared + np.minimum(self.excess[a], self.excess[b]) + np.maximum(self.rest[a], self.rest[b]), np.minimum(self.size[a], self.size[b]))
-        return most >= least_overlap(self.size[a], self.size[b])
+        return self._may_link(self.rows, a, b)
 
     def leaf_pairs(self, forest: Forest):
         """Pairs of leaves that may link, by dual traversal from the root, level by level.
@@ -181,16 +208,27 @@ def _frequent(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v[many].view(np.int64)), pa.array(n[many])], ["code", "n"])
 
 
+def _sizes(batches):
+    for batch in batches:
+        values, off = text_sets(batch.column(1), np.zeros(0, U64))
+        n = np.diff(off)
+        small = (n > 0) & (n <= WHOLE_MOST)
+        row = np.cumsum(small) - 1
+        owner = np.repeat(np.arange(len(n)), n)
+        keep = small[owner]
+        bits = _signatures(int(small.sum()), row[owner[keep]], values[keep])
+        signature = pa.array([bits[row[i]].tobytes() if small[i] else None for i in range(len(n))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(_sums(values, off)), signature], ["doc_id", "n", "vertex", "whole"])
+
+
 def _lister(frequent_of, buckets: int):
     def make(batches):
         frequent = frequent_of.value
         for batch in batches:
-            ids = batch.column(0)
             values, off = text_sets(batch.column(1), frequent)
             n, key = np.diff(off), _sums(values, off)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int32()), ids, pa.array(n), pa.array(key), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.binary())], ["bucket", "doc_id", "n", "vertex", "codes", "vertices", "sizes"])
             _, first = np.unique(key, return_index=True)  # copies within the batch are listed once
-            first = first[(n[first] > 0) & ids.is_valid().to_numpy(zero_copy_only=False)[first]]
+            first = first[n[first] > 0]
             count = listed(n[first])
             at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(off[:-1][first], count)
             code, who = values[at], np.repeat(first, count)
@@ -199,40 +237,41 @@ def _lister(frequent_of, buckets: int):
             edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(edge))
             blob = lambda x: pa.array([x[order[edge[b] : edge[b + 1]]].tobytes() for b in full], pa.binary())
-            none = pa.nulls(len(full), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), none, none, none, blob(code), blob(key[who]), blob(n[who].astype(np.int32))], ["bucket", "doc_id", "n", "vertex", "codes", "vertices", "sizes"])
+            ends = np.zeros((2, len(n)), np.uint32)  # high halves of the last listed code, and of the one at three quarters
+            ends[0, first] = values[off[:-1][first] + count - 1] >> U64(32)
+            ends[1, first] = values[off[:-1][first] + np.maximum(inner(n[first]), 1) - 1] >> U64(32)
+            last = ends[0].astype(U64) << U64(32) | ends[1]
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), blob(code), blob(key[who]), blob(n[who].astype(np.int32)), blob(last[who])], ["bucket", "codes", "vertices", "sizes", "lasts"])
 
     return make
 
 
 def _shared_codes(batches):
     """Of a bucket: the codes that two vertices or more are listed under, by vertex."""
-    codes, vertices, sizes = [], [], []
+    parts = [[], [], [], []]
     for batch in batches:
-        for c, v, n in zip(*(batch.column(x).to_pylist() for x in ("codes", "vertices", "sizes")), strict=True):
-            codes.append(np.frombuffer(c, U64))
-            vertices.append(np.frombuffer(v, np.int64))
-            sizes.append(np.frombuffer(n, np.int32))
-    if not codes:
+        for part, name, kind in zip(parts, ("codes", "vertices", "sizes", "lasts"), (U64, np.int64, np.int32, U64), strict=True):
+            part += [np.frombuffer(x, kind) for x in batch.column(name).to_pylist()]
+    if not parts[0]:
         return
-    c, v, n = map(np.concatenate, (codes, vertices, sizes))
+    c, v, n, last = map(np.concatenate, parts)
     order = np.lexsort((v, c))
-    c, v, n = c[order], v[order], n[order]
+    c, v, n, last = c[order], v[order], n[order], last[order]
     new = np.ones(len(c), bool)
     new[1:] = (c[1:] != c[:-1]) | (v[1:] != v[:-1])
-    c, v, n = c[new], v[new], n[new]
+    c, v, n, last = c[new], v[new], n[new], last[new]
     same = np.zeros(len(c), bool)
     same[1:] = c[1:] == c[:-1]
     shared = same.copy()
     shared[:-1] |= same[1:]
-    c, v, n = c[shared], v[shared], n[shared]
+    c, v, n, last = c[shared], v[shared], n[shared], last[shared]
     order = np.argsort(v, kind="stable")
-    c, v, n = c[order], v[order], n[order]
+    c, v, n, last = c[order], v[order], n[order], last[order]
     edge = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
     ends = np.append(edge[1:], len(v))
     for k in range(0, len(edge), 20_000):
         a, b = edge[k : k + 20_000], ends[k : k + 20_000]
-        yield pa.RecordBatch.from_arrays([pa.array(v[a]), pa.array(n[a].astype(np.int64)), pa.array([c[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary())], ["vertex", "n", "codes"])
+        yield pa.RecordBatch.from_arrays([pa.array(v[a]), pa.array(n[a].astype(np.int64)), pa.array(last[a].view(np.int64)), pa.array([c[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary())], ["vertex", "n", "last", "codes"])
 
 
 # --- 2: possible links under each shingle ---------------------------------------
@@ -241,17 +280,17 @@ def _shared_codes(batches):
 def _sign(batches):
     """One row for each shared code of a vertex, with the signature of all of them."""
     for batch in batches:
-        n = batch.column("n").to_numpy()
+        n, last = batch.column("n").to_numpy(), batch.column("last").to_numpy()
         v = batch.column("vertex").to_numpy()
         lists = [np.frombuffer(b"".join(x), U64) for x in batch.column("codes").to_pylist()]
         count = np.array([len(x) for x in lists])
         flat = np.concatenate(lists) if lists else np.zeros(0, U64)
         owner = np.repeat(np.arange(len(lists)), count)
-        bits = _bits(len(lists), owner, (mix(flat + U64(99)) % U64(64 * SIGNATURE_WORDS)).astype(np.int64), SIGNATURE_WORDS)
-        rows = [r.tobytes() for r in bits]
+        whole = batch.column("whole").to_pylist()
+        rows = [w or r.tobytes() for w, r in zip(whole, _signatures(len(lists), owner, flat), strict=True)]
         for k in range(0, len(flat), 50_000):
             o = owner[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000].view(np.int64)), pa.array(v[o]), pa.array(n[o]), pa.array(count[o]), pa.array([rows[i] for i in o], pa.binary())], ["code", "vertex", "n", "shared", "signature"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000].view(np.int64)), pa.array(v[o]), pa.array(n[o]), pa.array(last[o]), pa.array(count[o]), pa.array([rows[i] for i in o], pa.binary())], ["code", "vertex", "n", "last", "shared", "signature"])
 
 
 def _possible(batches):
@@ -262,18 +301,20 @@ def _possible(batches):
     """
     for table in _whole_groups(batches):
         v = table.column("vertex").to_numpy()
-        n, shared = table.column("n").to_numpy(), table.column("shared").to_numpy()
+        n, last, shared = (table.column(x).to_numpy() for x in ("n", "last", "shared"))
         bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), U64).reshape(len(v), -1)
         key = [table.column(k).to_numpy() for k in ("g_key", "g_i", "g_j")]
         edge = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in key], axis=0)))
         size = np.diff(np.append(edge, len(v)))
-        excess = shared - np.bitwise_count(bits).sum(1, dtype=np.int64)
+        last, near = (last.view(U64) >> U64(32)).astype(np.int64), last & 0xFFFFFFFF
+        whole = n <= WHOLE_MOST
+        excess = np.where(whole, n, shared) - np.bitwise_count(bits).sum(1, dtype=np.int64)
         rest = n - listed(n)
         distinct, place = np.unique(v, return_inverse=True)
         forest = Forest(len(distinct))
         group = np.repeat(np.arange(len(edge)), size)
         small = size[group] <= LEAF
-        flat = Tree(bits, n, excess, rest) if small.any() else None
+        flat = Tree(bits, n, excess, rest, last, near, shared, whole) if small.any() else None
         for d in range(1, LEAF):
             a = np.flatnonzero(small[:-d] & (group[d:] == group[:-d])) if d < len(v) else np.zeros(0, np.int64)
             if not len(a):
@@ -289,7 +330,7 @@ def _possible(batches):
             own = Forest(len(rows))
             _, first, inverse = np.unique(known, return_index=True, return_inverse=True)
             own.union_pairs(np.arange(len(rows)), first[inverse])
-            tree = Tree(bits[rows], n[rows], excess[rows], rest[rows])
+            tree = Tree(bits[rows], n[rows], excess[rows], rest[rows], last[rows], near[rows], shared[rows], whole[rows])
             tree.join(own, tree.rows_may_link)
             forest.union_pairs(place[rows], place[rows[own.roots()]])
         root = forest.roots()
@@ -344,7 +385,7 @@ def exact_links(values: list[np.ndarray], side: np.ndarray | None = None) -> np.
     rows = max(1, (1 << 25) // width)  # bound the unpacked bytes
     bits = np.concatenate([_bits(min(rows, len(n) - k), owner[m] - k, bit[m], width) for k in range(0, len(n), rows) for m in [keep & (owner >= k) & (owner < k + rows)]])
     zero = np.zeros(len(n), np.int64)
-    tree = Tree(bits, n, zero, zero)
+    tree = Tree(bits, n, zero, zero, zero, zero, n, zero == 0)
     tree.join(forest, tree.rows_may_link)  # bits are exact: the bound is the overlap
     root = np.empty(len(values), np.int64)
     root[order] = order[forest.roots()]
@@ -370,23 +411,42 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     often = often.where(F.col("n") >= max(FREQUENT, n // FREQUENT_SHARE)).orderBy(F.desc("n"), "code").limit(FREQUENT_MOST).select("code").toArrow()
     frequent = spark.sparkContext.broadcast(np.sort(often.column(0).to_numpy().view(U64)))
     buckets = tasks_for(spark, n, 2500)
-    made = materialize(spark, rows.mapInArrow(_lister(frequent, buckets), "bucket int, doc_id long, n long, vertex long, codes binary, vertices binary, sizes binary"), "sets")
-    members = made.where("bucket IS NULL").select("doc_id", "n", "vertex")
-    bucketed = made.where("bucket IS NOT NULL").select("bucket", "codes", "vertices", "sizes").repartition(buckets, "bucket")
-    shared = bucketed.mapInArrow(_shared_codes, "vertex long, n long, codes binary").groupBy("vertex").agg(F.first("n").alias("n"), F.collect_list("codes").alias("codes"))
-    signed = shared.mapInArrow(_sign, "code long, vertex long, n long, shared long, signature binary")
+    members = materialize(spark, rows.mapInArrow(_sizes, "doc_id long, n long, vertex long, whole binary"), "sizes")
+    # texts are read again here: that costs less than to write all lists and read them back
+    bucketed = rows.where("doc_id IS NOT NULL").mapInArrow(_lister(frequent, buckets), "bucket int, codes binary, vertices binary, sizes binary, lasts binary").repartition(buckets, "bucket")
+    one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.first("whole").alias("whole"))
+    one = materialize(spark, one, "vertices")
+    shared = bucketed.mapInArrow(_shared_codes, "vertex long, n long, last long, codes binary").groupBy("vertex").agg(F.first("n").alias("n"), F.first("last").alias("last"), F.collect_list("codes").alias("codes"))
+    signed = shared.join(one.select("vertex", "whole"), "vertex").mapInArrow(_sign, "code long, vertex long, n long, last long, shared long, signature binary")
     listing = grouped(tiled(signed, F.col("code"), F.col("vertex"), TILE_ROWS), buckets, "n", "vertex")
-    possible = listing.select("g_key", "g_i", "g_j", "vertex", "n", "shared", "signature").mapInArrow(_possible, "u long, v long")
+    possible = listing.select("g_key", "g_i", "g_j", "vertex", "n", "last", "shared", "signature").mapInArrow(_possible, "u long, v long")
     groups = connected_components(spark, possible)
-    one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"))
-    one = materialize(spark, one, "vertices")
-    wanted = one.join(groups.withColumnRenamed("id", "vertex"), "vertex")
-    texts = rows.join(wanted, "doc_id").select("vertex", "component", "text")
+    wanted = materialize(spark, one.select("vertex", "doc_id").join(groups.withColumnRenamed("id", "vertex"), "vertex"), "wanted")
+    texts = rows.where(in_slots(spark, wanted.select("doc_id"), F.col("doc_id"))).join(wanted, "doc_id").select("vertex", "component", "text")
     real = grouped(tiled(texts, F.col("component"), F.col("vertex"), TILE_TEXTS), buckets).select("g_key", "g_i", "g_j", "vertex", "text").mapInArrow(_real, "u long, v long")
     classes = connected_components(spark, real)
-    labelled = one.join(classes.withColumnRenamed("id", "vertex"), "vertex", "left").select("vertex", "doc_id", F.coalesce("component", "vertex").alias("component"))
+    labelled = one.select("vertex", "doc_id").join(classes.withColumnRenamed("id", "vertex"), "vertex", "left").select("vertex", "doc_id", F.coalesce("component", "vertex").alias("component"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_vertex = labelled.join(least, "component").select("vertex", "component_id")
-    out = members.join(of_vertex, "vertex", "left")
+    out = members.drop("whole").join(of_vertex, "vertex", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the least id, once.
+
+    Rows of a null id belong to no group and stay. Only rows that may have to go
+    (by a table of hash slots) are joined with the ids that stay; all others
+    pass where they are.
+    """
+    found = materialize(spark, jaccard_components(spark, docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL"), "groups")
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("component_id"))
+    doubtful = again.where("n > 1 OR doc_id <> component_id")
+    own = F.col(id_col).cast("long")
+    may_go = F.coalesce(in_slots(spark, doubtful.select("doc_id"), own), F.lit(False))
+    rows = docs.withColumn("_may_go", may_go & own.isNotNull()).withColumn("_own", own)
+    stays = again.where("doc_id = component_id").select(F.col("doc_id").alias("_own"))
+    one = rows.where("_may_go").join(stays, "_own", "left_semi")
+    one = one.withColumn("_n", F.row_number().over(Window.partitionBy("_own").orderBy("_own"))).where("_n = 1")
+    return rows.where("NOT _may_go").select(*docs.columns).unionByName(one.select(*docs.columns))
