@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docengine.llm import decontam, langid, mixing, sigtree, tokens
-from docengine.llm.queries import table
+from docengine.llm.queries import bound_batches, table
 from docengine.llm.shared import materialize
 
 #: Share of letters that a document's language must have; less is no language.
@@ -20,22 +19,16 @@ LEAST_LANGUAGE_SHARE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is told; texts without letters, or of no main language, go."""
+    bound_batches(spark)
     model = langid.train_language_model(docs)
     told = langid.identify(spark, docs, model, out="_told")
     return told.where((F.col("_told.lang_pred") != langid.UNKNOWN) & (F.col("_told.score") >= LEAST_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of every group of near-duplicates the document of the least id, once.
-
-    Rows of a null id belong to no group and stay.
-    """
-    found = sigtree.jaccard_components(spark, docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    one = rows.withColumn("_again", again).where("_again = 1").select(*docs.columns)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    """Keep of every group of near-duplicates the document of the least id, once."""
+    bound_batches(spark)
+    return sigtree.keep_one(spark, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +46,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Write token files and return their digest by document."""
     import public_tokenizers
 
+    bound_batches(spark)
     return tokens.token_output(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
