@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import shared_dir, string_buffers, tasks_for
+from .shared import materialize, shared_dir, string_buffers, tasks_for
 from .textkit import U64, mix, span_hashes
 
 END_ID = 0
@@ -278,7 +278,9 @@ def read_token_files(spark: SparkSession, source: str, *, with_ids: bool = False
     sums = shards.groupBy("shard").agg(F.sum(size).alias("n"))
     # one row per shard of thousands of documents; a running total over these few
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    shards = shards.join(sums.select("shard", F.coalesce(before, F.lit(0)).alias("base")), "shard")
+    # written, so that its size is known and Spark can tell whether to broadcast it
+    bases = materialize(spark, sums.select("shard", F.coalesce(before, F.lit(0)).alias("base")), "bases")
+    shards = shards.join(bases, "shard")
 
     def read(batches):
         _forget()
