@@ -67,3 +67,15 @@ def test_weights_find_a_mixture():
 
 def test_empty(spark):
     assert lm.language_model_scores(spark, spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+def test_words_beyond_the_table_have_counts_of_their_own(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the rare{i % 5} tail{i % 5} end word{i % 7} of it") for i in range(120)], "doc_id long, text string").repartition(3)
+    whole = {r.doc_id: r for r in lm.language_model_scores(spark, docs).collect()}
+    monkeypatch.setattr(lm, "VOCABULARY", 4)
+    monkeypatch.setattr(lm, "FREQUENT_BIGRAMS", 2)
+    monkeypatch.setattr(lm, "PER_BUCKET", 100)
+    few = {r.doc_id: r for r in lm.language_model_scores(spark, docs).collect()}
+    assert len(few) == len(whole) == 120
+    for i, r in whole.items():
+        assert few[i].score == pytest.approx(r.score, abs=1e-6) and few[i].base_score == pytest.approx(r.base_score, abs=1e-6)
+        assert few[i].n_known == r.n_known
