@@ -1,13 +1,16 @@
 """HTML main text by consensus paths of hosts.
 
-Each page's containers are scored by how much of the page's good text (text
-outside menus, adverts, forms and the like, not mainly links) they hold and how
-little else. The scores are votes for the container's path of tags and classes,
-with digits generalised; Spark sums them by host. The path with most votes is
-then looked up on every page of the host, and the text of that container is
-taken, again without the parts that are not text of the article. A page on
-which the path is missing, or holds less than half of the good text, falls back
-to its own best container.
+Good text is text outside menus, adverts, forms and the like, not mainly links.
+First Spark counts, by host, the own texts of each container path (of tags and
+classes, with digits generalised): a path whose text is the same on most of the
+pages that have it is the host's, not the article's, unless it is on the way to
+the path with most letters or inside the same article. Then each page votes for
+the path of its smallest container that holds all good text that is left, and
+the path with most votes is looked up on every page of the host. Where good text
+lies outside it, the ancestor that holds all is taken; a page without the path
+takes its own smallest container. No part of the good text that is not the
+host's is given up. The text of the container is then taken, again without the
+parts that are not text of the article.
 
 Defined cases: null, empty or blank html gives the empty text; a page without
 markup is one block; unclosed and misnested tags are closed where HTML closes
@@ -18,6 +21,7 @@ and columns of the outputs' names are replaced. Whole pages are read.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 from collections import defaultdict
@@ -47,17 +51,18 @@ _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-TITLE_WEIGHT = {"h1": 8, "h2": 3}
+#: Pages with one text at a path, at least, for it to be the host's.
+LEAST_PAGES = 3
 MAX_DEPTH = 400  # deeper elements count as part of their ancestor
 
 
 class Element:
-    __slots__ = ("parent", "tag", "step", "dropped", "depth", "good", "other", "order")
+    __slots__ = ("parent", "tag", "step", "dropped", "depth", "good", "order")
 
     def __init__(self, parent, tag, step, dropped, order):
         self.parent, self.tag, self.step, self.dropped, self.order = parent, tag, step, dropped, order
         self.depth = 0 if parent is None else parent.depth + 1
-        self.good = self.other = 0
+        self.good = 0
 
     def path(self) -> str:
         steps, e = [], self
@@ -186,56 +191,68 @@ def parse(text: str):
     return elements, blocks
 
 
-def _score(elements, blocks) -> int:
-    """Good and other letters of every element's subtree; the page's good letters.
+def _container(e: Element) -> Element:
+    while not e.step and e.parent is not None:
+        e = e.parent
+    return e
 
-    Letters of titles count several times: an article without its title is not whole.
-    """
-    for e, t, linked in blocks:
-        good = not e.dropped and 2 * linked < len(t)
-        size = len(t) * TITLE_WEIGHT.get(e.tag, 1)
-        while e is not None:
-            if good:
-                e.good += size
-            else:
-                e.other += size
-            e = e.parent
+
+def _good(block) -> bool:
+    e, t, linked = block
+    return not e.dropped and 2 * linked < len(t)
+
+
+def _score(elements, blocks, common) -> int:
+    """Good letters of every element's subtree, without those of ``common`` paths; the page's good letters."""
+    for block in blocks:
+        e = block[0]
+        if _good(block) and not (common and _container(e).path() in common):
+            while e is not None:
+                e.good += len(block[1])
+                e = e.parent
     return elements[0].good
 
 
-def _worth(e: Element, total: int) -> int:
-    """Thousandths for holding good text (nine tenths are enough) and little else; deeper is better."""
-    return min(1000, 1000 * e.good * 10 // (9 * total)) * e.good // (e.good + e.other) + 50 * min(e.depth, 20)
+def _smallest(elements, total: int) -> Element:
+    """The deepest container that holds all good text, or the whole page."""
+    return max((e for e in elements if e.step and not e.dropped and total and e.good == total), key=lambda e: e.depth, default=elements[0])
 
 
-def votes(text: str | None) -> dict[str, int]:
-    """Thousandths of a vote for the path of each container that holds half of the good text or more."""
+def own_texts(text: str | None) -> dict[str, str]:
+    """The good text that is directly in the containers of each path."""
+    if not text or not text.strip():
+        return {}
+    got: dict[str, list[str]] = defaultdict(list)
+    for block in parse(text)[1]:
+        if _good(block):
+            got[_container(block[0]).path()].append(block[1])
+    return {p: "\n".join(t) for p, t in got.items() if p}
+
+
+def votes(text: str | None, common=()) -> dict[str, int]:
+    """A vote for the path of the smallest container that holds all good text."""
     if not text or not text.strip():
         return {}
     elements, blocks = parse(text)
-    total = _score(elements, blocks)
-    best: dict[str, int] = {}
-    for e in elements:
-        if e.step and not e.dropped and total and 2 * e.good >= total:
-            p = e.path()
-            best[p] = max(best.get(p, 0), _worth(e, total))
-    return best
+    path = _smallest(elements, _score(elements, blocks, common)).path()
+    return {path: 1} if path else {}
 
 
-def extract(text: str | None, path: str | None) -> tuple[str, str]:
+def extract(text: str | None, path: str | None, common=()) -> tuple[str, str]:
     """(text of the article, path it was taken from)."""
     if not text or not text.strip():
         return "", ""
     elements, blocks = parse(text)
-    total = _score(elements, blocks)
+    total = _score(elements, blocks, common)
     chosen = None
     if path:
         last = path.rsplit(">", 1)[-1]
-        same = [e for e in elements if e.step == last and not e.dropped and 2 * e.good >= total and e.path() == path]
+        same = [e for e in elements if e.step == last and not e.dropped and e.good and e.path() == path]
         chosen = max(same, key=lambda e: (e.good, -e.order), default=None)
+        while chosen is not None and chosen.parent is not None and (chosen.good < total or not chosen.step):
+            chosen = chosen.parent
     if chosen is None:
-        held = [e for e in elements if e.step and not e.dropped and total and 2 * e.good >= total]
-        chosen = max(held, key=lambda e: (_worth(e, total), -e.order), default=elements[0])
+        chosen = _smallest(elements, total)
     out = []
     for e, t, _ in blocks:
         if e.dropped:
@@ -251,29 +268,58 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+_TEXTS = "host string, path string, text long, pages long, letters long, least long, most long"
+
+
+def _text_rows(batches):
+    for batch in batches:
+        total: dict[tuple[str, str, int], list[int]] = {}
+        for host, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p, t in own_texts(page).items():
+                key = host, p, int.from_bytes(hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+                r = total.setdefault(key, [0, 0, url, url])
+                r[:] = r[0] + 1, r[1] + len(t), min(r[2], url), max(r[3], url)
+        columns = list(zip(*((*k, *r) for k, r in total.items()), strict=True)) or [()] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), *[pa.int64()] * 5), strict=True)], ["host", "path", "text", "pages", "letters", "least", "most"])
+
+
+def common_paths(spark: SparkSession, pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, common): paths whose own text is the same on most pages that have them, under two addresses or more."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(F.col(url_col).cast("string")).alias("url"), F.col(html_col).cast("string").alias("html")).mapInArrow(_text_rows, _TEXTS)
+    texts = rows.groupBy("host", "path", "text").agg(F.sum("pages").alias("pages"), F.sum("letters").alias("letters"), F.min("least").alias("least"), F.max("most").alias("most"))
+    paths = texts.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("letters").alias("letters"), F.max(F.when(F.col("least") != F.col("most"), F.col("pages"))).alias("same"))
+    paths = materialize(spark, paths, "host-texts")
+    most = paths.groupBy("host").agg(F.max(F.struct("letters", "path")).alias("m")).select("host", F.col("m.path").alias("main"))
+    article = F.regexp_extract("main", r"^(?:.*?>)?(?:article|main)(?:\.[^>]*)?(?=>|$)", 0)
+    own = F.startswith(F.concat("main", F.lit(">")), F.concat("path", F.lit(">"))) | ((article != "") & F.startswith(F.col("path"), F.concat(article, F.lit(">"))))
+    repeated = paths.where((F.col("same") >= LEAST_PAGES) & (2 * F.col("same") > F.col("pages"))).join(most, "host").where(~own)
+    return materialize(spark, repeated.groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("common")), "host-common")
+
+
 def _vote_rows(batches):
     for batch in batches:
         total: dict[tuple[str, str], int] = defaultdict(int)
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for p, v in votes(page).items():
+        for host, page, common in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for p, v in votes(page, common or ()).items():
                 total[host, p] += v
         yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in total], pa.string()), pa.array([p for _, p in total], pa.string()), pa.array(list(total.values()), pa.int64())], ["host", "path", "votes"])
 
 
 def host_paths(spark: SparkSession, pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, votes): the winning path of every host. Ties go to the longer, then later path."""
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")).mapInArrow(_vote_rows, "host string, path string, votes long")
+    """(host, path, votes, common): the winning path of every host, and its common paths. Ties go to the longer, then later path."""
+    common = common_paths(spark, pages, url_col=url_col, html_col=html_col)
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")).join(common, "host", "left").mapInArrow(_vote_rows, "host string, path string, votes long")
     counted = rows.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     won = counted.groupBy("host").agg(F.max(F.struct("votes", F.length("path").alias("n"), "path")).alias("w"))
-    return materialize(spark, won.select("host", "w.path", "w.votes"), "host-paths")
+    return materialize(spark, won.select("host", "w.path", "w.votes").join(common, "host", "left"), "host-paths")
 
 
 def _extract_udf():
-    def run(pages: pa.Array, paths: pa.Array) -> pa.Array:
-        got = [extract(h, p) for h, p in zip(pages.to_pylist(), paths.to_pylist(), strict=True)]
+    def run(pages: pa.Array, paths: pa.Array, common: pa.Array) -> pa.Array:
+        got = [extract(h, p, c or ()) for h, p, c in zip(pages.to_pylist(), paths.to_pylist(), common.to_pylist(), strict=True)]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in got], pa.string()), pa.array([p for _, p in got], pa.string())], ["text", "path"])
 
-    run.__annotations__ = {"pages": pa.Array, "paths": pa.Array, "return": pa.Array}
+    run.__annotations__ = {"pages": pa.Array, "paths": pa.Array, "common": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "struct<text:string,path:string>")
 
 
@@ -283,9 +329,9 @@ def extract_pages(spark: SparkSession, pages: DataFrame, *, url_col: str = "url"
     The winners have one row per host; Spark broadcasts them where their size
     is small and joins by host, splitting large hosts, where it is not.
     """
-    won = host_paths(spark, pages, url_col=url_col, html_col=html_col).select(F.col("host").alias("_host"), F.col("path").alias("_path"))
+    won = host_paths(spark, pages, url_col=url_col, html_col=html_col).select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("common").alias("_common"))
     joined = pages.withColumn("_host", host_of(F.col(url_col))).join(won, "_host", "left")
-    return joined.withColumn(out, _extract_udf()(F.col(html_col).cast("string"), F.col("_path"))).drop("_host", "_path")
+    return joined.withColumn(out, _extract_udf()(F.col(html_col).cast("string"), F.col("_path"), F.col("_common"))).drop("_host", "_path", "_common")
 
 
 def page_report(spark: SparkSession, pages: DataFrame) -> DataFrame:

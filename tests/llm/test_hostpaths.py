@@ -51,3 +51,14 @@ def test_consensus_overrules_a_page(spark):
 def test_hosts(spark):
     rows = [("http://User@H.org:80/x",), ("https://a.b?x",), ("nothing",), (None,)]
     assert [r[0] for r in spark.createDataFrame(rows, "u string").select(H.host_of(__import__("pyspark").sql.functions.col("u"))).collect()] == ["h.org", "a.b", "", ""]
+
+
+def test_titles_and_leads_outside_the_body_stay(spark):
+    page = "<body><article><h1>{0}</h1><p>{1}</p><div class=body><p>{2}</p></div></article></body>"
+    rows = [(i, f"http://n.org/{i}", page.format("T" * 60, "lead " * 60, "word " * 1600)) for i in range(6)]
+    rows += [(9, "http://n.org/9", page.format("T" * 60, "lead " * 60, "word " * 30)), (10, "http://n.org/10", "<div><p>one</p></div>")]
+    got = {r.page_id: r.text for r in H.page_report(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in (*range(6), 9):
+        assert got[i].startswith("T" * 60 + "\n\nlead") and got[i].endswith("word"), i
+    inner = "body>article>div.body"
+    assert H.extract(rows[0][2], inner)[0] == got[0] and H.extract(rows[0][2], inner)[1] == "body>article"
