@@ -102,3 +102,16 @@ def test_reports_over_odd_tables(spark):
         assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
         assert report(none, nothing).collect() == []
     assert {r.predicted for r in toxicity.toxicity_report(spark, docs, nothing).collect()} == {1}
+
+
+def test_long_tokens_and_runs_are_restored(docs, labelled):
+    own, _ = split(labelled)
+    m = toxicity.fit(pa.array([docs[i][0] for i in own]), [labelled[i][1] for i in own])
+    clean = "the of and in the on"
+    base = toxicity.predict(m, pa.array([clean]))[0]
+    spelled = " ".join("theoftheofandintheonthe" + "idiot" + "andtheoftheinandtheofonthe")
+    assert len(spelled.split()) > 48
+    for w in ("i" + "d" * 60 + "iot", "i-" + "-" * 50 + "d-i-o-t", "1" + "d" * 5000 + "10t", spelled):
+        assert toxicity.predict(m, pa.array([f"{clean} {w} {clean}"]))[0] > 3 * base, w[:60]
+    assert toxicity.restored_text(m, "The i" + "d" * 60 + "iot!") == "the idiot!"
+    assert toxicity.restored_text(m, " ".join("idiot" * 12)) == "idiot" * 12
