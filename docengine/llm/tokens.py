@@ -9,7 +9,10 @@ Ids are stored as little-endian unsigned 32-bit integers inside the frames.
 
 Defined cases: a null text is the empty text and has the end id only; rows that
 repeat are all written; documents are in ascending doc_id order, null ids
-first; an empty input gives files without blocks. Other columns are ignored.
+first; an empty input gives files without blocks. Other columns are ignored. The
+literal of a token that the tokenizer's file adds (such as an end-of-text sign) is
+that token's id in ``token_output``, as in the library by default; the functions
+below spell it out as text unless ``added`` is set.
 """
 
 from __future__ import annotations
@@ -102,6 +105,7 @@ class _Coder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
@@ -110,6 +114,23 @@ class _Coder:
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint16)
 
+    def with_added(self, raw, offsets: np.ndarray) -> dict[int, np.ndarray]:
+        """Ids of the documents that hold an added token, which pieces cannot see: whole texts by the library."""
+        data, got = bytes(raw), {}
+        for content in self.added:
+            at = data.find(content)
+            while at >= 0:
+                k = int(np.searchsorted(offsets, at, side="right")) - 1
+                text = data[offsets[k] : offsets[k + 1]]
+                if content in text:  # else it is put together by two documents
+                    self.tok.encode_special_tokens = False  # one tokenizer for both: a second one takes memory
+                    got[k] = np.array(self.tok.encode(text.decode("utf-8"), add_special_tokens=False).ids, "<u4")
+                    self.tok.encode_special_tokens = True
+                    at = data.find(content, int(offsets[k + 1]))
+                else:
+                    at = data.find(content, at + 1)
+        return got
+
     def encode(self, raw, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents back to back, without end ids, and offsets."""
         data = bytes(raw)
@@ -166,20 +187,21 @@ def _forget() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def encode_documents(column: pa.Array | pa.ChunkedArray, path: str, end_id: int = END_ID):
-    """The id array of each text, with the end id."""
+def encode_documents(column: pa.Array | pa.ChunkedArray, path: str, end_id: int = END_ID, added: bool = False):
+    """The id array of each text, with the end id; ``added``: literals of added tokens are their ids."""
     raw, off = string_buffers(column)
     end = np.array([end_id], "<u4")
     i = 0
     while i < len(off) - 1:
         j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE_BYTES, side="right")) - 1)
         ids, at = coder(path).encode(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+        whole = coder(path).with_added(raw[off[i] : off[j]], off[i : j + 1] - off[i]) if added else {}
         for k in range(j - i):
-            yield np.concatenate([ids[at[k] : at[k + 1]], end])
+            yield np.concatenate([whole[k] if k in whole else ids[at[k] : at[k + 1]], end])
         i = j
 
 
-def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", sample: int = DICT_SAMPLE, size: int = DICT_BYTES) -> bytes:
+def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", sample: int = DICT_SAMPLE, size: int = DICT_BYTES, added: bool = False) -> bytes:
     """A zstandard dictionary from the id arrays of about ``sample`` documents.
 
     Which documents: those of the smallest hashes of their ids, by a threshold. With too little
@@ -189,7 +211,7 @@ def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text
 
     u = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
     picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).limit(2 * sample).toArrow().sort_by("t")
-    arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(picked.column("t").chunks, picked.column("t").type), path)]
+    arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(picked.column("t").chunks, picked.column("t").type), path, added=added)]
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -203,13 +225,13 @@ def _frames(dictionary: bytes):
     return zstandard.ZstdCompressor(level=3, dict_data=d), zstandard.ZstdDecompressor(dict_data=d)
 
 
-def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_rows: int = 20_000) -> None:
+def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_rows: int = 20_000, added: bool = False) -> None:
     """Write the files of ``docs`` under ``target``: ``target/dictionary`` and ``target/shards``.
 
     Texts are encoded and compressed where they lie; only frames are shuffled,
     to shards cut at quantiles of the id, and sorted within them.
     """
-    dictionary = train_dictionary(docs, path, id_col=id_col, text_col=text_col)
+    dictionary = train_dictionary(docs, path, id_col=id_col, text_col=text_col, added=added)
     dict_hash = zlib.crc32(dictionary)
     spark.createDataFrame([(dict_hash, dictionary)], "dict_hash long, dictionary binary").coalesce(1).write.parquet(f"{target}/dictionary")
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
@@ -222,7 +244,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
         for batch in batches:
             press = _frames(dictionary)[0]
             rows = [[], [], []]
-            for x in encode_documents(batch.column(1), path, end_id):
+            for x in encode_documents(batch.column(1), path, end_id, added):
                 b = x.tobytes()
                 rows[0].append(len(x))
                 rows[1].append(zlib.crc32(b))
@@ -312,5 +334,5 @@ def read_document(row: dict, k: int, dictionary: bytes) -> np.ndarray:
 def token_output(spark: SparkSession, docs: DataFrame, path: str, target: str | None = None) -> DataFrame:
     """Write the files, read them back, and return the digest of each document."""
     target = target or f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
-    write_token_files(spark, docs, target, path)
+    write_token_files(spark, docs, target, path, added=True)
     return read_token_files(spark, target)

@@ -62,3 +62,15 @@ def test_files_round_trip_with_ties_nulls_and_extra_columns(spark):
 
 def test_empty_table(spark):
     assert T.token_output(spark, spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_added_tokens_have_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATH)
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "x<|endof", "text|> y", "<|endoftext|><|endoftext|> é", "plain"]
+    want = [[*x.ids, 0] for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in T.encode_documents(pa.array(texts), PATH, added=True)] == want
+    got = T.token_output(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), PATH).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(want)}
+    assert [64, 220, 50256, 275, 0] in want
