@@ -396,8 +396,8 @@ def _real(batches):
     for table in group_runs(batches):
         values, off = text_sets(table.column("text"), np.zeros(0, U64))
         vertex = table.column("vertex").to_numpy()
-        _, first = np.unique(vertex, return_index=True)
-        first = first[_sums(values, off)[first] == vertex[first]] if len(first) else first
+        own = np.flatnonzero(_sums(values, off) == vertex) if len(vertex) else np.zeros(0, np.int64)  # a doc_id may have rows of other texts
+        first = own[np.unique(vertex[own], return_index=True)[1]]
         root = exact_links([values[off[i] : off[i + 1]] for i in first])
         own = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(vertex[first][own]), pa.array(vertex[first][root[own]])], ["u", "v"])

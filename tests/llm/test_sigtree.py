@@ -78,3 +78,17 @@ def test_keep_one_with_repeats_and_null_ids(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert S.jaccard_components(spark, none).collect() == [] and S.keep_one(spark, none).collect() == []
+
+
+def test_exact_phase_takes_the_vertex_text_of_repeated_ids():
+    import numpy as np
+    import pyarrow as pa
+
+    from docengine.llm import sigtree as S
+
+    a, b, other = (" ".join(f"{p}{i}" for i in range(40)) for p in ("w", "w", "z"))
+    b += " more"
+    v = S._sums(*S.text_sets(pa.array([a, b]), np.zeros(0, S.U64))).view(np.int64).tolist()
+    columns = {"g_key": [1] * 4, "g_i": [0] * 4, "g_j": [0] * 4, "vertex": [v[0], v[0], v[1], v[1]], "text": [other, a, other, b]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    assert sum(x.num_rows for x in S._real(iter([batch]))) == 1
