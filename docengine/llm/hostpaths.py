@@ -111,7 +111,7 @@ def parse(text: str):
     """(elements, blocks) of a page; a block is (element, text, letters inside links)."""
     root = Element(None, "", "", False, 0)
     elements, blocks = [root], []
-    stack = [root]
+    stack, tags = [root], [""]  # beyond MAX_DEPTH an entry repeats its ancestor, or is a dropped part
     parts: list[str] = []
     linked = links = 0
 
@@ -124,6 +124,11 @@ def parse(text: str):
             parts.clear()
         linked = 0
 
+    def close(k):
+        nonlocal links
+        links -= tags[k:].count("a")
+        del stack[k:], tags[k:]
+
     at, n = 0, len(text)
     while at < n:
         m = _TAG.search(text, at)
@@ -155,25 +160,28 @@ def parse(text: str):
                 if tag in _BLOCK:
                     flush()
                     for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
-                        if stack[k].tag == "p":
-                            del stack[k:]
-                            links = sum(e.tag == "a" for e in stack)
+                        if tags[k] == "p":
+                            close(k)
                             break
-                        if stack[k].tag in _BLOCK or stack[k].tag in _CELL:
+                        if tags[k] in _BLOCK or tags[k] in _CELL:
                             break
                 if tag in CLOSES:
                     edge = LIST_EDGE[tag]
                     for k in range(len(stack) - 1, 0, -1):
-                        if stack[k].tag in edge:
+                        if tags[k] in edge:
                             break
-                        if stack[k].tag in CLOSES[tag]:
-                            del stack[k:]
+                        if tags[k] in CLOSES[tag]:
+                            close(k)
             if tag == "a":
                 links += 1
-            if len(stack) < MAX_DEPTH:
-                e = _element(stack[-1], tag, m[3], len(elements))
-                elements.append(e)
-                stack.append(e)
+            e = stack[-1]
+            if len(stack) < MAX_DEPTH or not e.dropped:
+                inner = _element(e, tag, m[3], len(elements))
+                if len(stack) < MAX_DEPTH or inner.dropped:
+                    elements.append(inner)
+                    e = inner
+            stack.append(e)
+            tags.append(tag)
         else:
             if tag in _BLOCK:
                 flush()
@@ -181,12 +189,11 @@ def parse(text: str):
                 parts.append(" ")
             block = tag in _BLOCK or tag in _CELL
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
+                if tags[k] == tag:
+                    close(k)
                     break
-                if not block and (stack[k].tag in _BLOCK or stack[k].tag in _CELL):
+                if not block and (tags[k] in _BLOCK or tags[k] in _CELL):
                     break
-            links = sum(e.tag == "a" for e in stack)
     flush()
     return elements, blocks
 

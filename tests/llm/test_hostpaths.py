@@ -62,3 +62,9 @@ def test_titles_and_leads_outside_the_body_stay(spark):
         assert got[i].startswith("T" * 60 + "\n\nlead") and got[i].endswith("word"), i
     inner = "body>article>div.body"
     assert H.extract(rows[0][2], inner)[0] == got[0] and H.extract(rows[0][2], inner)[1] == "body>article"
+
+
+def test_text_after_and_adverts_in_deep_nests():
+    nest = "<div>" * 600 + "deep<form>mail</form><div class=ad>buy</div>" + "</div>" * 600
+    page = f"<body><article><p>one</p>{nest}<p>two</p></article></body>"
+    assert H.extract(page, None) == ("one\n\ndeep\n\ntwo", "body>article")
