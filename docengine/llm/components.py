@@ -60,6 +60,66 @@ def tiled(rows: DataFrame, key: Column, member: Column, size: int) -> DataFrame:
     return rows.select("*", F.least("g_own", "g_other").alias("g_i"), F.greatest("g_own", "g_other").alias("g_j"), (F.col("g_own") > F.col("g_other")).cast("int").alias("g_side")).drop("g_n", "g_t", "g_own", "g_other")
 
 
+def meet(spark: SparkSession, rows: DataFrame, large: DataFrame | None, link, partitions: int, *order: str) -> DataFrame:
+    """(id, component): the classes that ``link`` finds among rows of equal g_key.
+
+    ``rows`` has g_key, g_tiles (parts to which the rows of the key are cut), g_id
+    and what ``link`` needs; ``large`` is the rows of g_tiles > 1, or None if there
+    are none. ``link`` is a function for mapInArrow: it gets whole groups (g_key,
+    g_i, g_j) and gives (u, v) pairs of members that belong to one class; members of
+    equal g_class are of one already.
+
+    First the rows of a tile meet, and with them one member of the whole key: a
+    large group of copies is one class after that, at a cost in proportion to its
+    rows. Only in keys that still hold several classes do tiles meet each other:
+    the rows of the largest class meet all others, but not each other again.
+    """
+    names = [c for c in rows.columns if c not in ("g_key", "g_tiles", "g_id")]
+    h = F.xxhash64("g_id", F.lit(7))
+    alone = F.lit(None).cast("long").alias("g_class")
+
+    def met(df: DataFrame) -> DataFrame:
+        df = df.select("g_key", "g_i", "g_j", "g_id", "g_class", *names)
+        return grouped(df, partitions, *order).mapInArrow(link, "u long, v long")
+
+    def own(df: DataFrame) -> DataFrame:
+        i = F.pmod(h, "g_tiles").cast("int")
+        return df.select("g_key", i.alias("g_i"), i.alias("g_j"), "g_id", alone, *names)
+
+    first = own(rows)
+    if large is not None:
+        one = large.groupBy("g_key").agg(F.min_by(F.struct("g_tiles", "g_id", *names), h).alias("p")).select("g_key", "p.*")
+        i = F.explode(F.sequence(F.lit(0), F.col("g_tiles") - 1))
+        one = one.select("*", i.alias("g_i")).select("g_key", "g_i", F.col("g_i").alias("g_j"), "g_id", alone, *names)
+        first = first.unionByName(one)
+    classes = connected_components(spark, met(first))
+    if large is None:
+        return classes
+    told = large.join(classes.withColumnRenamed("id", "g_id"), "g_id", "left").withColumn("g_class", F.coalesce("component", "g_id")).drop("component")
+    size = told.groupBy("g_key", "g_class").agg(F.count(F.lit(1)).alias("n"), F.max("g_tiles").alias("t"))
+    keys = size.groupBy("g_key").agg(F.max_by("g_class", "n").alias("g_most"), F.max("n").alias("g_n"), F.sum("n").alias("g_all"), F.max("t").alias("t")).where("g_n < g_all")
+    part = lambda n: F.greatest(F.lit(1), F.ceil(n * F.col("t") / F.col("g_all")).cast("int"))
+    keys = materialize(spark, keys.select("g_key", "g_most", part(F.col("g_n")).alias("g_big"), part(F.col("g_all") - F.col("g_n")).alias("g_rest")), "keys")
+    if keys.isEmpty():
+        return classes
+    most = F.col("g_class") == F.col("g_most")
+    rest = F.sequence(F.lit(0), F.col("g_rest") - 1)
+    mine = F.when(most, -1 - F.pmod(h, "g_big")).otherwise(F.pmod(h, "g_rest")).cast("int")
+    other = F.when(most, rest).otherwise(F.concat(F.sequence(-F.col("g_big"), F.lit(-1)), rest))
+    again = told.join(keys, "g_key").withColumn("g_own", mine).withColumn("g_other", F.explode(other))
+    again = again.withColumn("g_i", F.least("g_own", "g_other")).withColumn("g_j", F.greatest("g_own", "g_other"))
+    known = classes.select(F.col("id").alias("u"), F.col("component").alias("v"))
+    return connected_components(spark, met(again).unionByName(known))
+
+
+def known_classes(place: np.ndarray, classes: np.ndarray, mask: np.ndarray, forest: Forest) -> None:
+    """Unite in ``forest`` the places of rows of one class; ``mask`` tells which rows have one."""
+    rows = np.flatnonzero(mask)
+    if len(rows):
+        _, first, inverse = np.unique(classes[rows], return_index=True, return_inverse=True)
+        forest.union_pairs(place[rows], place[rows[first[inverse]]])
+
+
 def grouped(rows: DataFrame, partitions: int, *order: str) -> DataFrame:
     """Rows of a group beside each other, groups spread over ``partitions`` tasks."""
     return rows.repartition(partitions, "g_key", "g_i", "g_j").sortWithinPartitions("g_key", "g_i", "g_j", *order)

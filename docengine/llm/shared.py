@@ -61,25 +61,42 @@ def string_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[bytes, list[int]
     return raw, off - off[0]
 
 
-SLOT_BITS = 20
+#: Least and most bits of a slot table; between them it has SLOTS_EACH slots an id.
+SLOT_BITS, SLOTS_EACH = (20, 27), 16
 
 
 def in_slots(spark: SparkSession, ids: DataFrame, column: Column) -> Column:
     """Whether ``column`` may be among ``ids`` (one column of longs): never false for one that is.
 
-    A table of 2**SLOT_BITS bits by the id's hash, whatever the number of ids:
-    a reducer to put before an exact join, which then moves few other rows.
+    A table of bits by the id's hash, which grows with the number of ids to
+    2**27 bits (16 MB): a reducer to put before an exact join, which then moves
+    few other rows. The slots come to the driver as packed bits of whole ranges.
     """
     import numpy as np
 
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SLOT_BITS)).cast("int")
-    used = ids.select(slot(F.col(ids.columns[0])).alias("s")).distinct().toArrow().column(0).to_numpy()
-    table = np.zeros(1 << SLOT_BITS, bool)
-    table[used] = True
-    held = spark.sparkContext.broadcast(table)
+    bits = min(max((SLOTS_EACH * ids.count()).bit_length(), SLOT_BITS[0]), SLOT_BITS[1])
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)).cast("int")
+    part = 1 << 16
+
+    def pack(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            s = np.unique(batch.column(0).to_numpy())
+            for r in np.unique(s // part).tolist():
+                held.setdefault(r, np.zeros(part, bool))[s[s // part == r] % part] = True
+        for r, b in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([np.packbits(b).tobytes()])], ["range", "bits"])
+
+    used = ids.select(slot(F.col(ids.columns[0])).alias("s")).distinct()
+    used = used.repartition(max(1, (1 << bits) // part // 64), F.shiftright("s", 16)).mapInArrow(pack, "range int, bits binary")
+    table = np.zeros((1 << bits) // part * (part // 8), np.uint8).reshape(-1, part // 8)
+    for r, b in zip(*used.toArrow().to_pydict().values(), strict=True):
+        table[r] |= np.frombuffer(b, np.uint8)
+    held = spark.sparkContext.broadcast(table.ravel())
 
     def hit(slots: pa.Array) -> pa.Array:
-        return pa.array(held.value[slots.to_numpy(zero_copy_only=False)])
+        s = slots.to_numpy(zero_copy_only=False)
+        return pa.array(held.value[s >> 3] >> (7 - (s & 7)) & 1 == 1)
 
     hit.__annotations__ = {"slots": pa.Array, "return": pa.Array}
     return F.arrow_udf(hit, "boolean")(slot(column))

@@ -14,10 +14,12 @@ its sizes ask for. What remains is a graph of possible links, of which only a
 spanning forest leaves a task. Its components are compared again by trees over
 exact bitmaps of whole sets; links found there are real.
 
-A class that links already join is not compared further inside, and large
-groups are cut to tiles whose pairs are separate tasks. No step is approximate:
-sets are compared by 63-bit hashes of shingles, and equal texts by a 64-bit sum
-of those.
+A class that links already join is not compared further inside. Large groups
+are cut to tiles by their shingles: first the members of each tile meet, and one
+member of the group; only tiles of groups that still hold several classes meet
+each other. Shingles that very many documents share are dealt over several tasks.
+No step is approximate: sets are compared by 63-bit hashes of shingles, and equal
+texts by a 64-bit sum of those.
 
 Defined cases: null and empty texts have size 0 and link with nothing; a text of
 fewer words than a shingle is one shingle; rows of a null id keep their size,
@@ -31,9 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .components import Forest, connected_components, group_runs, grouped, tiled
+from .components import Forest, group_runs, known_classes, meet
 from .shared import in_slots, materialize, string_buffers, tasks_for
 from .textkit import U64, mix, shingles, span_hashes, words
 
@@ -43,7 +44,12 @@ SIGNATURE_WORDS = 8  # of 64 bits
 #: Sets up to this size have a signature of all their shingles; larger ones of the listed and shared ones.
 WHOLE_MOST = 600
 LEAF, FAN = 16, 4
-TILE_ROWS, TILE_TEXTS = 2000, 512
+#: Most rows under one shingle, and texts and shingles of one group, that meet in a task at once.
+TILE_ROWS, TILE_TEXTS, TILE_SHINGLES = 2000, 4096, 1 << 20
+#: Bytes of the signatures of one group of texts.
+SIGNATURE_BYTES = 8 << 20
+#: Listed shingles that a task gathers before it sends them, and of one bucket.
+HELD, SPREAD = 2_000_000, 50_000
 #: A shingle is frequent if so many documents, or this share of them, hold it; bound of their number.
 FREQUENT, FREQUENT_SHARE, FREQUENT_MOST = 64, 1000, 1 << 18
 SLICE_BYTES = 4 << 20
@@ -107,9 +113,9 @@ def _bits(n: int, owner: np.ndarray, bit: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(out.reshape(n, width * 64), axis=1, bitorder="little").view(U64)
 
 
-def _signatures(n: int, owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
+def _signatures(n: int, owner: np.ndarray, codes: np.ndarray, width: int = SIGNATURE_WORDS) -> np.ndarray:
     """Signatures of n sets, given by the codes of each; the mark of frequent codes does not count."""
-    return _bits(n, owner, (mix((codes & ~_TOP) + U64(99)) % U64(64 * SIGNATURE_WORDS)).astype(np.int64), SIGNATURE_WORDS)
+    return _bits(n, owner, (mix((codes & ~_TOP) + U64(99)) % U64(64 * width)).astype(np.int64), width)
 
 
 class Tree:
@@ -152,10 +158,14 @@ class Tree:
 
     def may_link(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which node pairs can hold a link: the maximum possible overlap against the least one asked for."""
-        return self._may_link(self.levels[level], a, b)
+        return self._by_parts(self.levels[level], a, b)
 
     def rows_may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self._may_link(self.rows, a, b)
+        return self._by_parts(self.rows, a, b)
+
+    def _by_parts(self, nodes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        step = max(1, (1 << 21) // self.bits.shape[1])
+        return np.concatenate([np.zeros(0, bool), *(self._may_link(nodes, a[k : k + step], b[k : k + step]) for k in range(0, len(a), step))])
 
     def leaf_pairs(self, forest: Forest):
         """Pairs of leaves that may link, by dual traversal from the root, level by level.
@@ -189,11 +199,8 @@ class Tree:
             root = forest.roots()
             ok = root[x] != root[y]
             x, y = x[ok], y[ok]
-            step = max(1, (1 << 22) // self.bits.shape[1])
-            for k in range(0, len(x), step):
-                p, q = x[k : k + step], y[k : k + step]
-                hit = linked(p, q)
-                forest.union_pairs(p[hit], q[hit])
+            hit = linked(x, y)
+            forest.union_pairs(x[hit], y[hit])
 
 
 # --- 1: sets of the texts, listed under their first shingles -------------------
@@ -208,70 +215,108 @@ def _frequent(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v[many].view(np.int64)), pa.array(n[many])], ["code", "n"])
 
 
-def _sizes(batches):
-    for batch in batches:
-        values, off = text_sets(batch.column(1), np.zeros(0, U64))
-        n = np.diff(off)
-        small = (n > 0) & (n <= WHOLE_MOST)
-        row = np.cumsum(small) - 1
-        owner = np.repeat(np.arange(len(n)), n)
-        keep = small[owner]
-        bits = _signatures(int(small.sum()), row[owner[keep]], values[keep])
-        signature = pa.array([bits[row[i]].tobytes() if small[i] else None for i in range(len(n))], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(_sums(values, off)), signature], ["doc_id", "n", "vertex", "whole"])
+def _sizes(frequent_of):
+    """Of each document: size, vertex, whole signature, and high halves of the last listed code and of that at three quarters."""
+
+    def run(batches):
+        frequent = frequent_of.value[0]
+        for batch in batches:
+            yield _size_batch(batch, *text_sets(batch.column(1), frequent))
+
+    return run
+
+
+def _size_batch(batch, values, off):
+    n = np.diff(off)
+    small = (n > 0) & (n <= WHOLE_MOST)
+    row = np.cumsum(small) - 1
+    owner = np.repeat(np.arange(len(n)), n)
+    keep = small[owner]
+    bits = _signatures(int(small.sum()), row[owner[keep]], values[keep])
+    signature = pa.array([bits[row[i]].tobytes() if small[i] else None for i in range(len(n))], pa.binary())
+    full = np.flatnonzero(n)
+    ends = np.zeros((2, len(n)), U64)
+    ends[0, full] = values[off[:-1][full] + listed(n[full]) - 1] >> U64(32)
+    ends[1, full] = values[off[:-1][full] + np.maximum(inner(n[full]), 1) - 1] >> U64(32)
+    last = (ends[0] << U64(32) | ends[1]).view(np.int64)
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(_sums(values, off)), pa.array(last), signature], ["doc_id", "n", "vertex", "last", "whole"])
 
 
 def _lister(frequent_of, buckets: int):
+    """Listed codes by bucket. A frequent one is dealt over several buckets by its vertices."""
+
+    def blobs(held):
+        code, vertex = (np.concatenate(x) for x in zip(*held, strict=True))
+        frequent, count = frequent_of.value
+        spread = np.zeros(len(code), U64)
+        often = np.flatnonzero(code >= _TOP)
+        if len(often):
+            parts = -(-count[np.searchsorted(frequent, code[often] & ~_TOP)] // SPREAD)
+            spread[often] = mix(vertex[often].view(U64)) % parts.astype(U64)
+        bucket = (mix(code + spread * U64(0x9E3779B97F4A7C15)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(edge))
+        for k in range(0, len(full), 256):
+            some = full[k : k + 256]
+            blob = lambda x: pa.array([x[order[edge[b] : edge[b + 1]]].tobytes() for b in some], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), blob(code), blob(vertex)], ["bucket", "codes", "vertices"])
+
     def make(batches):
-        frequent = frequent_of.value
+        frequent = frequent_of.value[0]
+        held, many = [], 0
         for batch in batches:
-            values, off = text_sets(batch.column(1), frequent)
+            values, off = text_sets(batch.column(0), frequent)
             n, key = np.diff(off), _sums(values, off)
             _, first = np.unique(key, return_index=True)  # copies within the batch are listed once
             first = first[n[first] > 0]
             count = listed(n[first])
             at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(off[:-1][first], count)
-            code, who = values[at], np.repeat(first, count)
-            bucket = (mix(code) % U64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(edge))
-            blob = lambda x: pa.array([x[order[edge[b] : edge[b + 1]]].tobytes() for b in full], pa.binary())
-            ends = np.zeros((2, len(n)), np.uint32)  # high halves of the last listed code, and of the one at three quarters
-            ends[0, first] = values[off[:-1][first] + count - 1] >> U64(32)
-            ends[1, first] = values[off[:-1][first] + np.maximum(inner(n[first]), 1) - 1] >> U64(32)
-            last = ends[0].astype(U64) << U64(32) | ends[1]
-            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), blob(code), blob(key[who]), blob(n[who].astype(np.int32)), blob(last[who])], ["bucket", "codes", "vertices", "sizes", "lasts"])
+            held.append((values[at], key[np.repeat(first, count)]))
+            many += len(at)
+            if many >= HELD:
+                yield from blobs(held)
+                held, many = [], 0
+        if held:
+            yield from blobs(held)
 
     return make
 
 
-def _shared_codes(batches):
-    """Of a bucket: the codes that two vertices or more are listed under, by vertex."""
-    parts = [[], [], [], []]
-    for batch in batches:
-        for part, name, kind in zip(parts, ("codes", "vertices", "sizes", "lasts"), (U64, np.int64, np.int32, U64), strict=True):
-            part += [np.frombuffer(x, kind) for x in batch.column(name).to_pylist()]
-    if not parts[0]:
-        return
-    c, v, n, last = map(np.concatenate, parts)
-    order = np.lexsort((v, c))
-    c, v, n, last = c[order], v[order], n[order], last[order]
-    new = np.ones(len(c), bool)
-    new[1:] = (c[1:] != c[:-1]) | (v[1:] != v[:-1])
-    c, v, n, last = c[new], v[new], n[new], last[new]
-    same = np.zeros(len(c), bool)
-    same[1:] = c[1:] == c[:-1]
-    shared = same.copy()
-    shared[:-1] |= same[1:]
-    c, v, n, last = c[shared], v[shared], n[shared], last[shared]
-    order = np.argsort(v, kind="stable")
-    c, v, n, last = c[order], v[order], n[order], last[order]
-    edge = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
-    ends = np.append(edge[1:], len(v))
-    for k in range(0, len(edge), 20_000):
-        a, b = edge[k : k + 20_000], ends[k : k + 20_000]
-        yield pa.RecordBatch.from_arrays([pa.array(v[a]), pa.array(n[a].astype(np.int64)), pa.array(last[a].view(np.int64)), pa.array([c[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary())], ["vertex", "n", "last", "codes"])
+def _shared_codes(frequent_of):
+    """Of a bucket: the codes that two vertices or more are listed under, by vertex, each with the tiles its rows are cut to."""
+
+    def run(batches):
+        frequent, count = frequent_of.value
+        parts = [(np.frombuffer(x, U64), np.frombuffer(y, np.int64)) for batch in batches for x, y in zip(batch.column("codes").to_pylist(), batch.column("vertices").to_pylist(), strict=True)]
+        if not parts:
+            return
+        c, v = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((v, c))
+        c, v = c[order], v[order]
+        new = np.ones(len(c), bool)
+        new[1:] = (c[1:] != c[:-1]) | (v[1:] != v[:-1])
+        c, v = c[new], v[new]
+        group = np.cumsum(np.append(True, c[1:] != c[:-1])) - 1 if len(c) else np.zeros(0, np.int64)
+        rows = np.bincount(group)[group]
+        often = np.flatnonzero(c >= _TOP)
+        if len(often):  # what is dealt out has more rows in other buckets
+            of = count[np.searchsorted(frequent, c[often] & ~_TOP)]
+            rows[often] = np.where(of > SPREAD, np.maximum(rows[often], of), rows[often])
+        shared = rows > 1
+        c, v, tiles = c[shared], v[shared], (-(-rows[shared] // TILE_ROWS)).astype(np.int32)
+        order = np.argsort(v, kind="stable")
+        c, v, tiles = c[order], v[order], tiles[order]
+        edge = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
+        ends = np.append(edge[1:], len(v))
+        for k in range(0, len(edge), 20_000):
+            a, b = edge[k : k + 20_000], ends[k : k + 20_000]
+            blob = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary())  # noqa: B023, E731
+            large = np.maximum.reduceat(tiles, a) > 1 if len(a) == len(edge) else np.array([(tiles[i:j] > 1).any() for i, j in zip(a, b, strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array(v[a]), blob(c), blob(tiles), pa.array(large)], ["vertex", "codes", "tiles", "large"])
+
+    return run
 
 
 # --- 2: possible links under each shingle ---------------------------------------
@@ -283,14 +328,16 @@ def _sign(batches):
         n, last = batch.column("n").to_numpy(), batch.column("last").to_numpy()
         v = batch.column("vertex").to_numpy()
         lists = [np.frombuffer(b"".join(x), U64) for x in batch.column("codes").to_pylist()]
+        tiles = [np.frombuffer(b"".join(x), np.int32) for x in batch.column("tiles").to_pylist()]
         count = np.array([len(x) for x in lists])
         flat = np.concatenate(lists) if lists else np.zeros(0, U64)
+        cut = np.concatenate(tiles) if tiles else np.zeros(0, np.int32)
         owner = np.repeat(np.arange(len(lists)), count)
         whole = batch.column("whole").to_pylist()
         rows = [w or r.tobytes() for w, r in zip(whole, _signatures(len(lists), owner, flat), strict=True)]
         for k in range(0, len(flat), 50_000):
             o = owner[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000].view(np.int64)), pa.array(v[o]), pa.array(n[o]), pa.array(last[o]), pa.array(count[o]), pa.array([rows[i] for i in o], pa.binary())], ["code", "vertex", "n", "last", "shared", "signature"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000].view(np.int64)), pa.array(cut[k : k + 50_000]), pa.array(v[o]), pa.array(n[o].astype(np.int32)), pa.array(last[o]), pa.array(count[o].astype(np.int32)), pa.array([rows[i] for i in o], pa.binary())], ["g_key", "g_tiles", "g_id", "n", "last", "shared", "signature"])
 
 
 def _possible(batches):
@@ -300,8 +347,8 @@ def _possible(batches):
     2, ...; larger ones by their trees.
     """
     for table in _whole_groups(batches):
-        v = table.column("vertex").to_numpy()
-        n, last, shared = (table.column(x).to_numpy() for x in ("n", "last", "shared"))
+        v = table.column("g_id").to_numpy()
+        n, last, shared = (table.column(x).to_numpy().astype(np.int64) for x in ("n", "last", "shared"))
         bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), U64).reshape(len(v), -1)
         key = [table.column(k).to_numpy() for k in ("g_key", "g_i", "g_j")]
         edge = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in key], axis=0)))
@@ -312,6 +359,8 @@ def _possible(batches):
         rest = n - listed(n)
         distinct, place = np.unique(v, return_inverse=True)
         forest = Forest(len(distinct))
+        told = table.column("g_class").combine_chunks()
+        known_classes(place, told.fill_null(0).to_numpy(zero_copy_only=False), told.is_valid().to_numpy(zero_copy_only=False), forest)
         group = np.repeat(np.arange(len(edge)), size)
         small = size[group] <= LEAF
         flat = Tree(bits, n, excess, rest, last, near, shared, whole) if small.any() else None
@@ -327,9 +376,10 @@ def _possible(batches):
             rows = np.arange(edge[g], edge[g] + size[g])
             rows = rows[np.lexsort((v[rows], n[rows]))]
             known = forest.roots()[place[rows]]
+            if (known == known[0]).all():
+                continue
             own = Forest(len(rows))
-            _, first, inverse = np.unique(known, return_index=True, return_inverse=True)
-            own.union_pairs(np.arange(len(rows)), first[inverse])
+            known_classes(np.arange(len(rows)), known, np.ones(len(rows), bool), own)
             tree = Tree(bits[rows], n[rows], excess[rows], rest[rows], last[rows], near[rows], shared[rows], whole[rows])
             tree.join(own, tree.rows_may_link)
             forest.union_pairs(place[rows], place[rows[own.roots()]])
@@ -363,42 +413,67 @@ def _whole_groups(batches, rows: int = 100_000):
 # --- 3: real links within groups of possible ones ---------------------------------
 
 
-def exact_links(values: list[np.ndarray], side: np.ndarray | None = None) -> np.ndarray:
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two ascending arrays have in common."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def exact_links(values: list[np.ndarray], forest: Forest | None = None) -> np.ndarray:
     """For sets given as ascending arrays: the root of each one's class under real links.
 
-    ``side`` marks tiles of a larger group: pairs within one side are compared
-    too, which repeats work of other tasks but changes no result.
+    ``forest`` has the classes known before. A signature tree of bounded size leaves
+    the pairs that may link; those of different classes are compared exactly, one by
+    one, and what links at once takes all other pairs of its two classes away.
     """
+    forest = forest or Forest(len(values))
     size = np.array([len(x) for x in values])
-    order = np.argsort(size, kind="stable")
-    forest = Forest(len(values))
-    if len(values) < 2:
+    if len(values) < 2 or (forest.roots() == forest.roots()[0]).all():
         return forest.roots()
-    flat = np.concatenate([values[i] for i in order])
-    owner = np.repeat(np.arange(len(order)), size[order])
-    _, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    more = count > 1  # a shingle of one set is in no overlap
-    bit = (np.cumsum(more) - 1)[inverse]
-    keep = more[inverse]
-    width = max(1, -(-int(more.sum()) // 64))
+    order = np.argsort(size, kind="stable")
     n = size[order]
-    rows = max(1, (1 << 25) // width)  # bound the unpacked bytes
-    bits = np.concatenate([_bits(min(rows, len(n) - k), owner[m] - k, bit[m], width) for k in range(0, len(n), rows) for m in [keep & (owner >= k) & (owner < k + rows)]])
+    most = max(1, SIGNATURE_BYTES // (8 * len(values)))
+    width = int(np.clip(1 << int(n[-1] // 16).bit_length(), SIGNATURE_WORDS, max(SIGNATURE_WORDS, 1 << (most.bit_length() - 1))))
+    rows = max(1, (1 << 25) // (64 * width))  # bounds the unpacked bits
+    bits = np.concatenate([_signatures(len(some), np.repeat(np.arange(len(some)), size[some]), np.concatenate([values[i] for i in some]), width) for k in range(0, len(order), rows) for some in [order[k : k + rows]]])
     zero = np.zeros(len(n), np.int64)
-    tree = Tree(bits, n, zero, zero, zero, zero, n, zero == 0)
-    tree.join(forest, tree.rows_may_link)  # bits are exact: the bound is the overlap
-    root = np.empty(len(values), np.int64)
-    root[order] = order[forest.roots()]
-    return root
+    tree = Tree(bits, n, n - np.bitwise_count(bits).sum(1, dtype=np.int64), zero, zero, zero, n, zero == 0)
+    own = Forest(len(n))
+    known_classes(np.arange(len(n)), forest.roots()[order], np.ones(len(n), bool), own)
+    up = own.roots().tolist()
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        hit = np.zeros(len(a), bool)
+        for k in np.flatnonzero(tree.rows_may_link(a, b)).tolist():
+            i, j = int(a[k]), int(b[k])
+            x, y = root(i), root(j)
+            if x != y and _overlap(values[order[i]], values[order[j]]) >= least_overlap(int(n[i]), int(n[j])):
+                up[max(x, y)] = min(x, y)
+                hit[k] = True
+        return hit
+
+    tree.join(own, linked)
+    out = np.empty(len(values), np.int64)
+    out[order] = order[own.roots()]
+    return out
 
 
 def _real(batches):
     for table in group_runs(batches):
         values, off = text_sets(table.column("text"), np.zeros(0, U64))
-        vertex = table.column("vertex").to_numpy()
+        vertex = table.column("g_id").to_numpy()
         own = np.flatnonzero(_sums(values, off) == vertex) if len(vertex) else np.zeros(0, np.int64)  # a doc_id may have rows of other texts
         first = own[np.unique(vertex[own], return_index=True)[1]]
-        root = exact_links([values[off[i] : off[i + 1]] for i in first])
+        told = table.column("g_class").combine_chunks().take(pa.array(first))
+        forest = Forest(len(first))
+        known_classes(np.arange(len(first)), told.fill_null(0).to_numpy(zero_copy_only=False), told.is_valid().to_numpy(zero_copy_only=False), forest)
+        root = exact_links([values[off[i] : off[i + 1]] for i in first], forest)
         own = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(vertex[first][own]), pa.array(vertex[first][root[own]])], ["u", "v"])
 
@@ -408,27 +483,37 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = rows.select("doc_id").count()
     often = rows.select("text").mapInArrow(_frequent, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    often = often.where(F.col("n") >= max(FREQUENT, n // FREQUENT_SHARE)).orderBy(F.desc("n"), "code").limit(FREQUENT_MOST).select("code").toArrow()
-    frequent = spark.sparkContext.broadcast(np.sort(often.column(0).to_numpy().view(U64)))
-    buckets = tasks_for(spark, n, 2500)
-    members = materialize(spark, rows.mapInArrow(_sizes, "doc_id long, n long, vertex long, whole binary"), "sizes")
+    often = often.where(F.col("n") >= max(FREQUENT, n // FREQUENT_SHARE)).orderBy(F.desc("n"), "code").limit(FREQUENT_MOST).toArrow()
+    code, many = often.column("code").to_numpy().view(U64), often.column("n").to_numpy()
+    frequent = spark.sparkContext.broadcast((np.sort(code), many[np.argsort(code)]))
+    buckets = tasks_for(spark, n, 10_000)
+    members = materialize(spark, rows.mapInArrow(_sizes(frequent), "doc_id long, n long, vertex long, last long, whole binary"), "sizes")
     # texts are read again here: that costs less than to write all lists and read them back
-    bucketed = rows.where("doc_id IS NOT NULL").mapInArrow(_lister(frequent, buckets), "bucket int, codes binary, vertices binary, sizes binary, lasts binary").repartition(buckets, "bucket")
-    one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.first("whole").alias("whole"))
+    lists = rows.where("doc_id IS NOT NULL").select("text").mapInArrow(_lister(frequent, buckets), "bucket int, codes binary, vertices binary")
+    lists = lists.repartitionById(buckets, "bucket").mapInArrow(_shared_codes(frequent), "vertex long, codes binary, tiles binary, large boolean")
+    shared = lists.groupBy("vertex").agg(F.collect_list("codes").alias("codes"), F.collect_list("tiles").alias("tiles"), F.max("large").alias("large"))
+    one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "last", "whole")))
     one = materialize(spark, one, "vertices")
-    shared = bucketed.mapInArrow(_shared_codes, "vertex long, n long, last long, codes binary").groupBy("vertex").agg(F.first("n").alias("n"), F.first("last").alias("last"), F.collect_list("codes").alias("codes"))
-    signed = shared.join(one.select("vertex", "whole"), "vertex").mapInArrow(_sign, "code long, vertex long, n long, last long, shared long, signature binary")
-    listing = grouped(tiled(signed, F.col("code"), F.col("vertex"), TILE_ROWS), buckets, "n", "vertex")
-    possible = listing.select("g_key", "g_i", "g_j", "vertex", "n", "last", "shared", "signature").mapInArrow(_possible, "u long, v long")
-    groups = connected_components(spark, possible)
-    wanted = materialize(spark, one.select("vertex", "doc_id").join(groups.withColumnRenamed("id", "vertex"), "vertex"), "wanted")
-    texts = rows.where(in_slots(spark, wanted.select("doc_id"), F.col("doc_id"))).join(wanted, "doc_id").select("vertex", "component", "text")
-    real = grouped(tiled(texts, F.col("component"), F.col("vertex"), TILE_TEXTS), buckets).select("g_key", "g_i", "g_j", "vertex", "text").mapInArrow(_real, "u long, v long")
-    classes = connected_components(spark, real)
+    shared = materialize(spark, shared.join(one.select("vertex", "n", "last", "whole"), "vertex"), "shared")
+    signed = lambda df: df.select("vertex", "n", "last", "whole", "codes", "tiles").mapInArrow(_sign, "g_key long, g_tiles int, g_id long, n int, last long, shared int, signature binary")
+    large = shared.where("large")
+    large = None if large.isEmpty() else signed(large).where("g_tiles > 1")
+    groups = meet(spark, signed(shared), large, _possible, tasks_for(spark, n, 2500), "n", "g_id")
+    # candidates are cut to tiles by their shingles, so that texts of any length fit
+    wanted = one.select("vertex", "doc_id", "n").join(groups.withColumnRenamed("id", "vertex"), "vertex")
+    size = F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count(F.lit(1)) / TILE_TEXTS)).cast("int")
+    wanted = materialize(spark, wanted, "wanted")
+    tiles = materialize(spark, wanted.groupBy("component").agg(size.alias("g_tiles")), "tiles")
+    wanted = materialize(spark, wanted.join(tiles, "component").select(F.col("component").alias("g_key"), "g_tiles", F.col("vertex").alias("g_id"), "doc_id"), "tiled")
+    may = in_slots(spark, wanted.select("doc_id"), F.col("doc_id"))
+    texts = lambda df: rows.where(may).join(df, "doc_id").drop("doc_id")
+    large = wanted.where("g_tiles > 1")
+    large = None if large.isEmpty() else texts(large)
+    classes = meet(spark, texts(wanted), large, _real, tasks_for(spark, n, 2500))
     labelled = one.select("vertex", "doc_id").join(classes.withColumnRenamed("id", "vertex"), "vertex", "left").select("vertex", "doc_id", F.coalesce("component", "vertex").alias("component"))
     least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_vertex = labelled.join(least, "component").select("vertex", "component_id")
-    out = members.drop("whole").join(of_vertex, "vertex", "left")
+    out = members.select("doc_id", "n", "vertex").join(of_vertex, "vertex", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
@@ -436,17 +521,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
 def keep_one(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that of the least id, once.
 
-    Rows of a null id belong to no group and stay. Only rows that may have to go
+    Rows of a null id belong to no group and stay. Where one id has rows of
+    different texts, it stays if any of them is first of its group, with the row of
+    the greatest hash of all its columns. Only rows that may have to go
     (by a table of hash slots) are joined with the ids that stay; all others
     pass where they are.
     """
     found = materialize(spark, jaccard_components(spark, docs, id_col=id_col, text_col=text_col).where("doc_id IS NOT NULL"), "groups")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("component_id"))
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
     doubtful = again.where("n > 1 OR doc_id <> component_id")
-    own = F.col(id_col).cast("long")
-    may_go = F.coalesce(in_slots(spark, doubtful.select("doc_id"), own), F.lit(False))
-    rows = docs.withColumn("_may_go", may_go & own.isNotNull()).withColumn("_own", own)
-    stays = again.where("doc_id = component_id").select(F.col("doc_id").alias("_own"))
-    one = rows.where("_may_go").join(stays, "_own", "left_semi")
-    one = one.withColumn("_n", F.row_number().over(Window.partitionBy("_own").orderBy("_own"))).where("_n = 1")
-    return rows.where("NOT _may_go").select(*docs.columns).unionByName(one.select(*docs.columns))
+    row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].cast("long").alias("id"))
+    row = row.withColumn("may_go", F.coalesce(in_slots(spark, doubtful.select("doc_id"), F.col("id")), F.lit(False)) & F.col("id").isNotNull())
+    stays = again.where("doc_id = component_id").select(F.col("doc_id").alias("id"))
+    one = row.where("may_go").join(stays, "id", "left_semi").groupBy("id").agg(F.max_by("row", F.xxhash64("row")).alias("row"))
+    return row.where("NOT may_go").select("row").unionByName(one.select("row")).select("row.*")

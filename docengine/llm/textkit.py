@@ -10,15 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-#: An odd multiplier and its inverse modulo 2**64 for positional hashes.
 _STEP = 0x9E3779B97F4A7C15
-_BACK = pow(_STEP, -1, 1 << 64)
-_BLOCK = 1 << 20
-
-
-def _byte_table() -> np.ndarray:
-    x = np.arange(256, dtype=U64) * U64(0xD1342543DE82EF95) + U64(0x2545F4914F6CDD1D)
-    return mix(mix(x))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,18 +20,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, U64)
-    k = 1
-    while k < n:  # doubling: out[k:2k] = out[:k] * base**k
-        out[k : 2 * k] = out[: min(k, n - k)] * U64(pow(base, k, 1 << 64))
-        k *= 2
-    return out
-
-
-BYTE_HASH = _byte_table()
-_UP, _DOWN = _powers(_STEP, _BLOCK), _powers(_BACK, _BLOCK)
-
+#: Chunks of a slice that are mixed side by side with those of all others; masks of a chunk's bytes.
+_SHORT = 16
+_PLACE = mix(np.arange(_SHORT).astype(U64) * U64(_STEP))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: ASCII white space of the word rule [^\x20\x09-\x0D]+.
@@ -70,37 +54,40 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, docs
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = BYTE_HASH) -> np.ndarray:
-    """A 64-bit hash of each slice of ``values`` (bytes, or 64-bit items with ``table=None``).
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice of ``values`` (bytes, or 64-bit items).
 
-    Positional sums modulo 2**64: every item's random value times a power of an
-    odd number, summed by differences of a running total and shifted back to
-    the slice's start, so that equal slices have equal hashes wherever they are.
-    Work goes block by block, so that the power tables stay small; a slice that
-    crosses blocks is added up from its parts.
+    A slice is read in chunks of eight bytes (or one item), counted from its own
+    start. Every chunk is mixed with its number in the slice, and the mixed
+    chunks are added up: unlike a polynomial in the items this has no structure
+    that repeating texts could meet, and equal slices have equal hashes wherever they are.
     """
     out = np.zeros(len(starts), U64)
     if not len(starts):
         return out
-    low = np.searchsorted(ends, np.arange(0, len(values), _BLOCK), side="right")
-    for k, base in enumerate(range(0, len(values), _BLOCK)):
-        part = values[base : base + _BLOCK]
-        high = np.searchsorted(starts, base + len(part))
-        if low[k] >= high:
-            continue
-        v = part.astype(U64) if table is None else table[part]
-        run = np.zeros(len(part) + 1, U64)
-        np.cumsum(v * _UP[: len(part)], out=run[1:])
-        a = starts[low[k] : high] - base
-        b = np.minimum(ends[low[k] : high] - base, len(part))
-        ahead = np.maximum(-a, 0)  # items of the slice in earlier blocks
-        a = np.maximum(a, 0)
-        h = (run[b] - run[a]) * _DOWN[np.minimum(a, _BLOCK - 1)]
-        if ahead.any():
-            far = ahead > 0
-            h[far] *= np.array([pow(_STEP, int(x), 1 << 64) for x in ahead[far]], U64)
-        out[low[k] : high] += h
-    return mix(out ^ ((ends - starts).astype(U64) * U64(0xA24BAED4963EE407)))
+    size = ends - starts
+    step = 8 if values.dtype == np.uint8 else 1
+    many = -(-size // step)
+    if step == 8:
+        room = np.zeros(len(values) + 8, np.uint8)
+        room[: len(values)] = values
+        heads = np.ndarray(len(values) + 1, U64, room, 0, (1,))  # the eight bytes from each place on
+    else:
+        heads = values
+    for k in range(int(min(many.max(), _SHORT))):
+        long = np.flatnonzero(many > k) if k else slice(None)
+        at = starts[long] + step * k
+        v = heads[at]
+        if step == 8:
+            v = v & _KEEP[np.minimum(ends[long] - at, 8)]
+        out[long] += mix(v ^ _PLACE[k])
+    for i in np.flatnonzero(many > _SHORT):
+        at = np.arange(starts[i] + step * _SHORT, ends[i], step)
+        v = heads[at]
+        if step == 8:
+            v = v & _KEEP[np.minimum(ends[i] - at, 8)]
+        out[i : i + 1] += mix(v ^ mix(np.arange(_SHORT, many[i]).astype(U64) * U64(_STEP))).sum(dtype=U64)
+    return mix(out ^ (size.astype(U64) * U64(0xA24BAED4963EE407)))
 
 
 def words(raw, offsets: np.ndarray, space: np.ndarray = SPACE, lower: bool = True):

@@ -140,7 +140,7 @@ class _Coder:
         np.cumsum((b & 0xC0) != 0x80, out=heads[1:])
         off = heads[offsets]
         starts, ends = pieces(points, off)
-        h = span_hashes(mix(points.astype(U64) + U64(1)), starts, ends, None)
+        h = span_hashes(points.astype(U64), starts, ends)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         if len(self.begin) > MEMO_PIECES:
             self.clear()

@@ -50,6 +50,7 @@ def test_equals_brute_force(spark, monkeypatch, tiles):
     monkeypatch.setattr(S, "TILE_TEXTS", tiles[1])
     if tiles[0] == 5:
         monkeypatch.setattr(S, "FREQUENT", 8)
+        monkeypatch.setattr(S, "SPREAD", 6)
     rows = corpus()
     rng = random.Random(1)
     shuffled = rng.sample(rows, len(rows))
@@ -89,6 +90,37 @@ def test_exact_phase_takes_the_vertex_text_of_repeated_ids():
     a, b, other = (" ".join(f"{p}{i}" for i in range(40)) for p in ("w", "w", "z"))
     b += " more"
     v = S._sums(*S.text_sets(pa.array([a, b]), np.zeros(0, S.U64))).view(np.int64).tolist()
-    columns = {"g_key": [1] * 4, "g_i": [0] * 4, "g_j": [0] * 4, "vertex": [v[0], v[0], v[1], v[1]], "text": [other, a, other, b]}
+    columns = {"g_key": [1] * 4, "g_i": [0] * 4, "g_j": [0] * 4, "g_id": [v[0], v[0], v[1], v[1]], "g_class": pa.nulls(4, pa.int64()), "text": [other, a, other, b]}
     batch = pa.RecordBatch.from_pydict(columns)
     assert sum(x.num_rows for x in S._real(iter([batch]))) == 1
+
+
+def test_large_sets_need_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, (4, 26_000)).astype(np.uint64)
+    sets, family = [], []
+    for k in range(60):
+        own = rng.integers(0, 1 << 62, 3000 if k % 2 else 20_000).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([base[k % 4][: 17_000], own])))
+        family.append(k % 4 if k % 2 else 10 + k)
+    brute = [[100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for b in sets] for a in sets[:12]]
+    tracemalloc.start()
+    root = S.exact_links(sets)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    for i, row in enumerate(brute):
+        assert [bool(root[i] == root[j]) for j in range(60)] == row
+
+
+def test_two_texts_of_one_old_hash(spark):
+    """Words that are each other's complement in two letters had one hash in a polynomial modulo a power of two."""
+    t = "a"
+    for _ in range(10):
+        t += t.translate(str.maketrans("ab", "ba"))
+    u = t.translate(str.maketrans("ab", "ba"))
+    got = S.jaccard_components(spark, spark.createDataFrame([(1, t), (2, u), (3, t)], "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
