@@ -283,8 +283,13 @@ def _lister(frequent_of, buckets: int):
     return make
 
 
-def _shared_codes(frequent_of):
-    """Of a bucket: the codes that two vertices or more are listed under, by vertex, each with the tiles its rows are cut to."""
+def _shared_codes(frequent_of, buckets: int):
+    """Of a bucket: the codes that two vertices or more are listed under, in parts by vertex.
+
+    Codes of the same holders get the same key, so that the holders need to meet
+    only once; of a code that is dealt over several buckets the key is the code.
+    Each entry has the number of tiles that the rows of its key are cut to.
+    """
 
     def run(batches):
         frequent, count = frequent_of.value
@@ -298,46 +303,76 @@ def _shared_codes(frequent_of):
         new = np.ones(len(c), bool)
         new[1:] = (c[1:] != c[:-1]) | (v[1:] != v[:-1])
         c, v = c[new], v[new]
-        group = np.cumsum(np.append(True, c[1:] != c[:-1])) - 1 if len(c) else np.zeros(0, np.int64)
+        edge = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+        group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(c))))
         rows = np.bincount(group)[group]
+        key = mix(np.add.reduceat(mix(v.view(U64)), edge))[group]
         often = np.flatnonzero(c >= _TOP)
         if len(often):  # what is dealt out has more rows in other buckets
             of = count[np.searchsorted(frequent, c[often] & ~_TOP)]
-            rows[often] = np.where(of > SPREAD, np.maximum(rows[often], of), rows[often])
+            dealt, of = often[of > SPREAD], of[of > SPREAD]
+            rows[dealt] = np.maximum(rows[dealt], of)
+            key[dealt] = c[dealt]
         shared = rows > 1
-        c, v, tiles = c[shared], v[shared], (-(-rows[shared] // TILE_ROWS)).astype(np.int32)
-        order = np.argsort(v, kind="stable")
-        c, v, tiles = c[order], v[order], tiles[order]
-        edge = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64)
-        ends = np.append(edge[1:], len(v))
-        for k in range(0, len(edge), 20_000):
-            a, b = edge[k : k + 20_000], ends[k : k + 20_000]
-            blob = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary())  # noqa: B023, E731
-            large = np.maximum.reduceat(tiles, a) > 1 if len(a) == len(edge) else np.array([(tiles[i:j] > 1).any() for i, j in zip(a, b, strict=True)])
-            yield pa.RecordBatch.from_arrays([pa.array(v[a]), blob(c), blob(tiles), pa.array(large)], ["vertex", "codes", "tiles", "large"])
+        c, v, key, tiles = c[shared], v[shared], key[shared], (-(-rows[shared] // TILE_ROWS)).astype(np.int32)
+        to = (mix(v.view(U64) ^ U64(0x7E57)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        edge = np.searchsorted(to[order], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(edge))
+        for k in range(0, len(full), 256):
+            some = full[k : k + 256]
+            blob = lambda x: pa.array([x[order[edge[b] : edge[b + 1]]].tobytes() for b in some], pa.binary())  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), blob(v), blob(c), blob(key), blob(tiles)], ["bucket", "vertices", "codes", "keys", "tiles"])
 
     return run
 
 
+def _by_vertex(batches):
+    """Rows of vertices: shared codes, distinct keys with their tiles, and whether any key has several tiles."""
+    kinds = (("vertices", np.int64), ("codes", U64), ("keys", U64), ("tiles", np.int32))
+    parts: list = []
+    for batch in batches:
+        parts += [[np.frombuffer(x, t) for x, (_, t) in zip(row, kinds, strict=True)] for row in zip(*(batch.column(c).to_pylist() for c, _ in kinds), strict=True)]
+    if not parts:
+        return
+    v, c, key, tiles = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    order = np.lexsort((key, v))
+    v, c, key, tiles = v[order], c[order], key[order], tiles[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (key[1:] != key[:-1])
+    edge = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+    ends = np.append(edge[1:], len(v))
+    large = np.maximum.reduceat(tiles, edge) > 1
+    k1 = np.concatenate([[0], np.cumsum(new)])
+    key, tiles = key[new], tiles[new]
+    for k in range(0, len(edge), 20_000):
+        a, b = edge[k : k + 20_000], ends[k : k + 20_000]
+        blob = lambda x, i, j: pa.array([x[p:q].tobytes() for p, q in zip(i, j, strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(v[a]), blob(c, a, b), blob(key, k1[a], k1[b]), blob(tiles, k1[a], k1[b]), pa.array(large[k : k + 20_000])], ["vertex", "codes", "keys", "tiles", "large"])
+
+
 # --- 2: possible links under each shingle ---------------------------------------
 
 
 def _sign(batches):
-    """One row for each shared code of a vertex, with the signature of all of them."""
+    """One row for each key of a vertex, with the signature of its set, or of all its shared codes if it is large."""
     for batch in batches:
         n, last = batch.column("n").to_numpy(), batch.column("last").to_numpy()
         v = batch.column("vertex").to_numpy()
-        lists = [np.frombuffer(b"".join(x), U64) for x in batch.column("codes").to_pylist()]
-        tiles = [np.frombuffer(b"".join(x), np.int32) for x in batch.column("tiles").to_pylist()]
-        count = np.array([len(x) for x in lists])
-        flat = np.concatenate(lists) if lists else np.zeros(0, U64)
-        cut = np.concatenate(tiles) if tiles else np.zeros(0, np.int32)
-        owner = np.repeat(np.arange(len(lists)), count)
+        read = lambda name, t: [np.frombuffer(x, t) for x in batch.column(name).to_pylist()]  # noqa: B023, E731
+        codes, keys, tiles = read("codes", U64), read("keys", np.int64), read("tiles", np.int32)
+        if not codes:
+            continue
+        count = np.array([len(x) for x in codes])
+        owner = np.repeat(np.arange(len(codes)), count)
         whole = batch.column("whole").to_pylist()
-        rows = [w or r.tobytes() for w, r in zip(whole, _signatures(len(lists), owner, flat), strict=True)]
+        rows = [w or r.tobytes() for w, r in zip(whole, _signatures(len(codes), owner, np.concatenate(codes)), strict=True)]
+        flat, cut = np.concatenate(keys), np.concatenate(tiles)
+        owner = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
         for k in range(0, len(flat), 50_000):
             o = owner[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000].view(np.int64)), pa.array(cut[k : k + 50_000]), pa.array(v[o]), pa.array(n[o].astype(np.int32)), pa.array(last[o]), pa.array(count[o].astype(np.int32)), pa.array([rows[i] for i in o], pa.binary())], ["g_key", "g_tiles", "g_id", "n", "last", "shared", "signature"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + 50_000]), pa.array(cut[k : k + 50_000]), pa.array(v[o]), pa.array(n[o].astype(np.int32)), pa.array(last[o]), pa.array(count[o].astype(np.int32)), pa.array([rows[i] for i in o], pa.binary())], ["g_key", "g_tiles", "g_id", "n", "last", "shared", "signature"])
 
 
 def _possible(batches):
@@ -490,12 +525,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     members = materialize(spark, rows.mapInArrow(_sizes(frequent), "doc_id long, n long, vertex long, last long, whole binary"), "sizes")
     # texts are read again here: that costs less than to write all lists and read them back
     lists = rows.where("doc_id IS NOT NULL").select("text").mapInArrow(_lister(frequent, buckets), "bucket int, codes binary, vertices binary")
-    lists = lists.repartitionById(buckets, "bucket").mapInArrow(_shared_codes(frequent), "vertex long, codes binary, tiles binary, large boolean")
-    shared = lists.groupBy("vertex").agg(F.collect_list("codes").alias("codes"), F.collect_list("tiles").alias("tiles"), F.max("large").alias("large"))
+    lists = lists.repartitionById(buckets, "bucket").mapInArrow(_shared_codes(frequent, buckets), "bucket int, vertices binary, codes binary, keys binary, tiles binary")
+    shared = lists.repartitionById(buckets, "bucket").mapInArrow(_by_vertex, "vertex long, codes binary, keys binary, tiles binary, large boolean")
     one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "last", "whole")))
     one = materialize(spark, one, "vertices")
     shared = materialize(spark, shared.join(one.select("vertex", "n", "last", "whole"), "vertex"), "shared")
-    signed = lambda df: df.select("vertex", "n", "last", "whole", "codes", "tiles").mapInArrow(_sign, "g_key long, g_tiles int, g_id long, n int, last long, shared int, signature binary")
+    signed = lambda df: df.select("vertex", "n", "last", "whole", "codes", "keys", "tiles").mapInArrow(_sign, "g_key long, g_tiles int, g_id long, n int, last long, shared int, signature binary")
     large = shared.where("large")
     large = None if large.isEmpty() else signed(large).where("g_tiles > 1")
     groups = meet(spark, signed(shared), large, _possible, tasks_for(spark, n, 2500), "n", "g_id")
@@ -505,8 +540,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     wanted = materialize(spark, wanted, "wanted")
     tiles = materialize(spark, wanted.groupBy("component").agg(size.alias("g_tiles")), "tiles")
     wanted = materialize(spark, wanted.join(tiles, "component").select(F.col("component").alias("g_key"), "g_tiles", F.col("vertex").alias("g_id"), "doc_id"), "tiled")
-    may = in_slots(spark, wanted.select("doc_id"), F.col("doc_id"))
-    texts = lambda df: rows.where(may).join(df, "doc_id").drop("doc_id")
+    texts = lambda df: rows.where(in_slots(spark, df.select("doc_id"), F.col("doc_id"))).join(df, "doc_id").drop("doc_id")
     large = wanted.where("g_tiles > 1")
     large = None if large.isEmpty() else texts(large)
     classes = meet(spark, texts(wanted), large, _real, tasks_for(spark, n, 2500))
