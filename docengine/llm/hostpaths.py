@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import html as _html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .shared import materialize
 
 # Element names of the language, and words that name parts of a page.
-RAW = ["script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "canvas", "audio", "video"]
+RAW = ["script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "select", "canvas", "audio", "video"]
 VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
 BLOCK = ["address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul"]
 CELL = ["td", "th"]
@@ -41,14 +41,18 @@ CONTAINER = ["article", "body", "div", "main", "section", "td"]
 DROPPED = ["aside", "button", "dialog", "footer", "form", "head", "header", "label", "menu", "nav"]
 ROLES = ["alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"]
 PARTS = ["ad", "ads", "adbox", "advert", "advertisement", "adverts", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "dialog", "discussion", "disqus", "footer", "form", "gdpr", "header", "legal", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "overlay", "pagination", "pager", "popup", "privacy", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget"]
+GENERIC = ["area", "articles", "bar", "block", "body", "bottom", "box", "button", "center", "column", "container", "content", "field", "fixed", "footer", "form", "global", "group", "holder", "home", "inner", "input", "item", "items", "layout", "leaderboard", "left", "link", "links", "list", "listing", "main", "middle", "module", "outer", "page", "panel", "posts", "primary", "rail", "rectangle", "right", "row", "secondary", "section", "site", "slot", "small", "sticky", "stories", "tertiary", "top", "unit", "wrap", "wrapper"]
 CLOSES = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["tr", "td", "th"], "td": ["td", "th"], "th": ["td", "th"], "option": ["option"], "tbody": ["tr", "td", "th", "thead", "tbody"], "tfoot": ["tr", "td", "th", "thead", "tbody"]}
 LIST_EDGE = {"li": ["ul", "ol", "menu"], "dt": ["dl"], "dd": ["dl"], "tr": ["table"], "td": ["table"], "th": ["table"], "tbody": ["table"], "tfoot": ["table"]}
 
-_RAW, _VOID, _BLOCK, _CELL, _CONTAINER, _DROPPED, _ROLES, _PARTS = map(frozenset, (RAW, VOID, BLOCK, CELL, CONTAINER, DROPPED, ROLES, PARTS))
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_RAW, _VOID, _BLOCK, _CELL, _CONTAINER, _DROPPED, _ROLES, _PARTS, _GENERIC = map(frozenset, (RAW, VOID, BLOCK, CELL, CONTAINER, DROPPED, ROLES, PARTS, GENERIC))
+#: Elements that a class or id may make a part of the page: not the article, its title or its paragraphs.
+_NAMED = (_BLOCK | _CELL | {"span"}) - {"article", "main", "body", "html", "p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"}
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_MARK = re.compile("[\"'>]")
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]{2,}")
 _DIGITS = re.compile(r"\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Pages with one text at a path, at least, for it to be the host's.
@@ -74,8 +78,62 @@ class Element:
 
 
 def _names_part(value: str) -> bool:
-    """Whether a class or id names a part of the page that is not the article."""
-    return any(w in _PARTS for w in _WORD.findall(_CAMEL.sub(" ", value).lower()))
+    """Whether a class or id names a part of the page that is not the article.
+
+    A name must consist of words for parts, and of words for places and boxes beside
+    them: ``site-header`` is one, ``no-sidebar``, ``social-history`` and ``has-comments`` are none.
+    """
+    for name in value.split():
+        words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+        if any(w in _PARTS for w in words) and all(w in _PARTS or w in _GENERIC for w in words):
+            return True
+    return False
+
+
+def _tags(text: str):
+    """(text before, whether it is an end tag, name, attributes) of the marks of a page, in one pass.
+
+    The name is None for comments and at the end, and empty for an element whose content is no text.
+    A tag ends at the first > outside quotes. Once a tag has none, quotes count
+    no more on this page, so that broken markup costs no second search.
+    """
+    at, search, n = 0, 0, len(text)
+    last, quotes = text.rfind(">"), True
+    while True:
+        k = text.find("<", search)
+        if k < 0 or (k > last and not text.startswith("<!--", k)):
+            yield text[at:], False, None, ""
+            return
+        if text.startswith("<!--", k):
+            end = text.find("-->", k + 4)
+            end = n if end < 0 else end + 3
+            yield text[at:k], False, None, ""
+        elif text.startswith(("<!", "<?"), k):
+            end = text.find(">", k) + 1
+            yield text[at:k], False, None, ""
+        elif not (m := _NAME.match(text, k)):
+            search = k + 1
+            continue
+        else:
+            end = m.end()
+            while quotes:
+                mark = _MARK.search(text, end)
+                if mark is None:
+                    quotes = False
+                elif mark[0] == ">":
+                    end = mark.end()
+                    break
+                else:
+                    end = text.find(mark[0], mark.end()) + 1
+                    quotes = end > 0
+            if not quotes:
+                end = text.find(">", m.end()) + 1
+            ends, tag, attributes = text[k + 1] == "/", m[1].lower(), text[m.end() : end - 1]
+            if tag in _RAW and not ends and not attributes.endswith("/"):
+                close = _CLOSE[tag].search(text, end)
+                end, tag = close.end() if close else n, ""
+            yield text[at:k], ends, tag, attributes
+        at = search = end
 
 
 def _element(parent: Element, tag: str, attributes: str, order: int) -> Element:
@@ -92,14 +150,14 @@ def _element(parent: Element, tag: str, attributes: str, order: int) -> Element:
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "class":
                 classes = value
-            if name in ("class", "id") and tag in _BLOCK | _CELL | {"span"} and not (kept_header and name == "class"):
+            if name == "hidden":
+                dropped = True
+            elif name in ("class", "id") and tag in _NAMED and not kept_header:
                 dropped = dropped or _names_part(value)
             elif name == "role":
                 dropped = dropped or value.strip().lower() in _ROLES
             elif name in ("aria-hidden",) and value.strip().lower() == "true" and tag in _BLOCK:
                 dropped = True
-        if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) and "hidden" in attributes:
-            dropped = True
     step = ""
     if tag in _CONTAINER:
         words = sorted({_DIGITS.sub("#", w.lower()) for w in classes.split()})
@@ -112,6 +170,7 @@ def parse(text: str):
     root = Element(None, "", "", False, 0)
     elements, blocks = [root], []
     stack, tags = [root], [""]  # beyond MAX_DEPTH an entry repeats its ancestor, or is a dropped part
+    open_: Counter[str] = Counter()
     parts: list[str] = []
     linked = links = 0
 
@@ -127,29 +186,19 @@ def parse(text: str):
     def close(k):
         nonlocal links
         links -= tags[k:].count("a")
+        open_.subtract(tags[k:])
         del stack[k:], tags[k:]
 
-    at, n = 0, len(text)
-    while at < n:
-        m = _TAG.search(text, at)
-        stop = m.start() if m else n
-        if stop > at:
-            piece = _html.unescape(text[at:stop]) if "&" in text[at:stop] else text[at:stop]
+    for before, ends, tag, attributes in _tags(text):
+        if before:
+            piece = _html.unescape(before) if "&" in before else before
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if not m[1]:
-            if tag in _RAW and not m[3].endswith("/"):
-                end = _CLOSE[tag].search(text, at)
-                at = end.end() if end else n
+        if not tag:
+            if tag == "":
                 parts.append(" ")
-                continue
+        elif not ends:
             if tag == "br" or tag in _CELL:
                 parts.append(" ")
             if tag in _VOID:
@@ -159,7 +208,7 @@ def parse(text: str):
             if tag in _BLOCK or tag in _CELL:
                 if tag in _BLOCK:
                     flush()
-                    for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
+                    for k in range(len(stack) - 1, 0, -1) if open_["p"] > 0 else ():  # a paragraph ends where a block begins
                         if tags[k] == "p":
                             close(k)
                             break
@@ -176,19 +225,20 @@ def parse(text: str):
                 links += 1
             e = stack[-1]
             if len(stack) < MAX_DEPTH or not e.dropped:
-                inner = _element(e, tag, m[3], len(elements))
+                inner = _element(e, tag, attributes, len(elements))
                 if len(stack) < MAX_DEPTH or inner.dropped:
                     elements.append(inner)
                     e = inner
             stack.append(e)
             tags.append(tag)
+            open_[tag] += 1
         else:
             if tag in _BLOCK:
                 flush()
             elif tag in _CELL:
                 parts.append(" ")
             block = tag in _BLOCK or tag in _CELL
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_[tag] > 0 else ():
                 if tags[k] == tag:
                     close(k)
                     break
@@ -336,9 +386,10 @@ def extract_pages(spark: SparkSession, pages: DataFrame, *, url_col: str = "url"
     The winners have one row per host; Spark broadcasts them where their size
     is small and joins by host, splitting large hosts, where it is not.
     """
-    won = host_paths(spark, pages, url_col=url_col, html_col=html_col).select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("common").alias("_common"))
-    joined = pages.withColumn("_host", host_of(F.col(url_col))).join(won, "_host", "left")
-    return joined.withColumn(out, _extract_udf()(F.col(html_col).cast("string"), F.col("_path"), F.col("_common"))).drop("_host", "_path", "_common")
+    won = host_paths(spark, pages, url_col=url_col, html_col=html_col).select("host", "path", "common")
+    row = pages.select(F.struct(*(pages[c] for c in pages.columns if c.lower() != out.lower())).alias("row"), host_of(pages[url_col]).alias("host"), pages[html_col].cast("string").alias("html"))
+    joined = row.join(won, "host", "left")
+    return joined.select("row", _extract_udf()("html", "path", "common").alias(out)).select("row.*", out)
 
 
 def page_report(spark: SparkSession, pages: DataFrame) -> DataFrame:

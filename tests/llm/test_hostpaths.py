@@ -68,3 +68,51 @@ def test_text_after_and_adverts_in_deep_nests():
     nest = "<div>" * 600 + "deep<form>mail</form><div class=ad>buy</div>" + "</div>" * 600
     page = f"<body><article><p>one</p>{nest}<p>two</p></article></body>"
     assert H.extract(page, None) == ("one\n\ndeep\n\ntwo", "body>article")
+
+
+def test_names_that_are_no_parts_keep_their_text():
+    from docengine.llm.hostpaths import extract
+
+    keep = lambda html: extract(html, None)[0]
+    assert keep('<main class="content no-sidebar"><p>One</p></main>') == "One"
+    assert keep('<article class="post has-comments"><p>One</p></article>') == "One"
+    assert keep('<div id="content" class="entry share-enabled"><p>One</p></div>') == "One"
+    assert keep('<article><h2 id="search-algorithms">A</h2><p>One</p><h2 id="privacy">B</h2><section id="social-history"><p>Two</p></section></article>') == "A\n\nOne\n\nB\n\nTwo"
+    assert keep('<article><p title="the hidden gem of it">Found</p><p hidden>lost</p><p>x <math>y</math> z</p></article>') == "Found\n\nx y z"
+    assert keep('<article><p>One</p></article><div class="comment-list"><p>Reader</p></div><div id="site-footer">F</div><div class="ad-300x250">Buy</div>') == "One"
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    from docengine.llm.hostpaths import extract
+
+    for broken in ("<a ", '<a "> ', "<b>", "</i>", "<!", "<!--", '<a href="'):
+        took = []
+        for n in (20_000, 80_000):
+            began = time.perf_counter()
+            extract("<p>text " + broken * n, None)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 10 * took[0] + 0.5, broken
+    assert extract('<p>one</p><a "> two <p>three</p>', None)[0] == "one\n\ntwo\n\nthree"
+
+
+def test_plain_extractor_on_generated_pages(spark):
+    """Pages made from known blocks: the article's blocks come back, whatever parts stand around them."""
+    import random
+
+    from docengine.llm.hostpaths import page_report
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    around = ['<nav><a href="/">{}</a></nav>', '<div class="sidebar">{}</div>', '<div class="cookie-banner">{}</div>', "<aside>{}</aside>", "<footer>{}</footer>", '<form><input>{}</form>', '<div id="comments"><p>{}</p></div>', "<script>{}</script>"]
+    rows, want = [], {}
+    for i in range(60):
+        blocks = [text(rng.randrange(8, 40)) for _ in range(rng.randrange(2, 7))]
+        body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" if rng.random() < 0.7 else f"<div class=x{i}><p>{b}</p></div>" for b in blocks[1:])
+        outside = [a.format(text(6)) for a in rng.sample(around, 4)]
+        rows.append((i, f"http://h{i % 5}.example/{i}", f"<html><body>{outside[0]}{outside[1]}<article>{body}</article>{outside[2]}{outside[3]}</body></html>", "c"))
+        want[i] = "\n\n".join(blocks)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, _path string")
+    assert {r.page_id: r.text for r in page_report(spark, df).collect()} == want
