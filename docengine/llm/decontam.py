@@ -1,20 +1,24 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Benchmark questions and answers are cut into windows of consecutive words; all
-windows become one automaton, and each text is scanned once. Matches are kept
-as word positions and mapped back to character offsets of the original text.
+Benchmark questions and answers are cut into windows of consecutive words. Every
+benchmark word is one sign of an alphabet of its own, so a window is a string of
+thirteen signs; the automaton holds the beginnings of all windows, and each text,
+written in the same signs, is scanned once. Where a beginning is found, the
+window there is looked up among all windows and compared sign by sign. Matches
+are kept as word positions and mapped back to character offsets of the original text.
 
 Defined cases: a null or empty text has no words and is clean; an item without
 words matches nothing; an item with a null id marks words but is not listed;
 repeated items and repeated documents give the same answer for each row; an
-empty benchmark leaves every document clean. Other columns pass through; if
+empty benchmark or document table is no error, and the first leaves every document clean;
+texts and items of any length are scanned whole. Other columns pass through; if
 the input has a column of the output's name, it is replaced.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -23,60 +27,110 @@ from pyspark.sql import functions as F
 
 WINDOW = 13
 SHARE = 20  # contaminated: SHARE * hit words >= words
-#: Text of items that one automaton may hold; a larger benchmark is scanned in parts.
-PART_BYTES = 32 << 20
+#: Text of items that one automaton may hold (some 30 bytes of memory for each); a larger benchmark is scanned in parts.
+PART_BYTES = 24 << 20
+#: Words of a window that the automaton knows; automata and found windows that a worker keeps.
+BEGINNING, KEPT, MEMO = 3, 2, 100_000
+_NO_WORD = "\0"
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", _SPANS)])
 _TYPE = "struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<start:bigint,end:bigint>>>"
-_built: dict[bytes, object] = {}
+_built: dict[str, Windows] = {}
 
 
 def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_NORMAL).split()
 
 
-def _automaton(items: list[tuple[str | None, str]], window: int):
-    """The automaton of all windows; its values are (words, items). Kept per worker."""
-    import ahocorasick
-
-    key = hashlib.sha256(repr((items, window)).encode("utf-8", "replace")).digest()
-    if key not in _built:
-        found: dict[tuple[bytes, ...], set[str]] = {}
-        for item, text in items:
-            w = normal_words(text)
-            size = min(window, len(w))
-            for i in range(len(w) - size + 1 if w else 0):
-                found.setdefault(tuple(w[i : i + size]), set()).update(() if item is None else (item,))
-        a = ahocorasick.Automaton()
-        for w, who in found.items():
-            a.add_word(f" {b' '.join(w).decode()} ", (len(w), tuple(who)))
-        a.make_automaton()
-        _built.clear()
-        _built[key] = a
-    return _built[key]
-
-
-def scan_text(text: str | None, automaton) -> tuple[int, np.ndarray | None, set[str]]:
-    """(words, mask of hit words or None, items) of one text."""
-    w = normal_words(text)
-    if not w or not len(automaton):
-        return len(w), None, set()
-    line = f" {b' '.join(w).decode('utf-8', 'replace')} "
-    matches = list(automaton.iter(line))
-    if not matches:
-        return len(w), None, set()
-    blanks = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
-    edge = np.zeros(len(w) + 1, np.int64)
-    items: set[str] = set()
-    for at, (size, who) in matches:
-        end = int(np.searchsorted(blanks, at))
-        edge[end - size] += 1
-        edge[end] -= 1
-        items.update(who)
-    return len(w), np.cumsum(edge)[:-1] > 0, items
+class Windows:
+    """All windows of the items, as strings of one sign a word.
+
+    ``text`` has the items' words; windows are places in it, sorted by the hash of
+    their signs, so that a window costs some bytes and no object.
+    """
+
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
+        import ahocorasick
+
+        self.signs: dict[bytes, str] = {}
+        self.names = [item for item, _ in items]
+        parts, at, size, who, total = [], [], [], [], 0
+        for k, (_, text) in enumerate(items):
+            line = "".join([self.signs.get(w) or self._sign(w) for w in normal_words(text)])
+            n = min(window, len(line))
+            if n:
+                here = len(line) - n + 1
+                at.append(np.arange(total, total + here))
+                size.append(np.full(here, n))
+                who.append(np.full(here, k))
+                parts.append(line)
+                total += len(line)
+        self.text = "".join(parts)
+        at, size, who = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (at, size, who))
+        key = np.fromiter((hash(self.text[a : a + n]) for a, n in zip(at.tolist(), size.tolist(), strict=True)), np.int64, len(at))
+        order = np.argsort(key, kind="stable")
+        self.key, self.at, self.size, self.who = key[order], at[order], size[order].astype(np.int16 if window < 1 << 15 else np.int64), who[order].astype(np.int32)
+        begins: dict[str, set[int]] = {}
+        for a, n in zip(at.tolist(), size.tolist(), strict=True):
+            begins.setdefault(self.text[a : a + min(n, BEGINNING)], set()).add(n)
+        self.automaton = ahocorasick.Automaton()
+        shared: dict[tuple, tuple] = {}
+        for b, sizes in begins.items():
+            value = (len(b), tuple(sorted(sizes)))
+            self.automaton.add_word(b, shared.setdefault(value, value))
+        self.automaton.make_automaton()
+        self.memo: dict[str, tuple[str, ...] | None] = {}
+
+    def _sign(self, word: bytes) -> str:
+        k = len(self.signs) + 1
+        self.signs[word] = sign = chr(k if k < 0xD800 else k + 0x800)  # code points without surrogates
+        return sign
+
+    def items(self, window: str) -> tuple[str, ...] | None:
+        """The items that hold a window, or None if none does."""
+        if window not in self.memo:
+            if len(self.memo) > MEMO:
+                self.memo.clear()
+            h = hash(window)
+            found = range(int(np.searchsorted(self.key, h)), int(np.searchsorted(self.key, h, side="right")))
+            same = [int(self.who[k]) for k in found if self.size[k] == len(window) and self.text.startswith(window, int(self.at[k]))]
+            self.memo[window] = tuple({self.names[k] for k in same if self.names[k] is not None}) if same else None
+        return self.memo[window]
+
+    def scan(self, text: str | None) -> tuple[int, np.ndarray | None, set[str]]:
+        """(words, mask of hit words or None, items) of one text."""
+        w = normal_words(text)
+        if not w or not len(self.automaton):
+            return len(w), None, set()
+        sign = self.signs.get
+        line = "".join([sign(x, _NO_WORD) for x in w])
+        edge, items = None, set()
+        for end, (n, sizes) in self.automaton.iter(line):
+            start = end - n + 1
+            for size in sizes:
+                window = line[start : start + size]
+                if len(window) < size or _NO_WORD in window:
+                    continue
+                who = self.items(window)
+                if who is not None:
+                    if edge is None:
+                        edge = np.zeros(len(w) + 1, np.int64)
+                    edge[start] += 1
+                    edge[start + size] -= 1
+                    items.update(who)
+        return len(w), None if edge is None else np.cumsum(edge)[:-1] > 0, items
+
+
+def _windows(name: str, items, window: int) -> Windows:
+    """The windows of a part of the benchmark, built once in a worker."""
+    if name not in _built:
+        while len(_built) >= KEPT:
+            del _built[next(iter(_built))]
+        _built[name] = Windows(items, window)
+    return _built[name]
 
 
 def _original_spans(text: str, hit: np.ndarray) -> list[dict]:
@@ -92,12 +146,14 @@ def _original_spans(text: str, hit: np.ndarray) -> list[dict]:
     return out
 
 
-def _scanner(items, window):
+def _scanner(spark, items, window):
+    held, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+
     def scan(texts: pa.Array) -> pa.Array:
-        a, rows = _automaton(items, window), []
+        a, rows = _windows(name, held.value, window), []
         for x in texts:
             t = x.as_py() or ""
-            n, hit, who = scan_text(t, a)
+            n, hit, who = a.scan(t)
             rows.append({"n_words": n, "n_hit": 0 if hit is None else int(hit.sum()), "items": sorted(who), "spans": [] if hit is None else _original_spans(t, hit)})
         return pa.array(rows, _ARROW)
 
@@ -124,13 +180,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
 
     Fields: n_words, n_hit, items (ids as sorted strings), spans (merged
     character ranges in the original text), contaminated. Rows stay where they
-    are: there is no shuffle. The automaton is built in the workers from the
-    items' text, which is sent in parts of bounded size; with several parts,
-    each scans the text and the spans are merged.
+    are: there is no shuffle. The automaton is built once in a worker from the
+    items' text, which is broadcast in parts of at most ``part_bytes``; with several
+    parts, each scans the text and the spans are merged.
     """
     docs = docs.drop(out)
     for k, items in enumerate(_parts(benchmark, item_col, item_text_col, part_bytes)):
-        found = _scanner(items, window)(F.col(text_col).cast("string"))
+        found = _scanner(docs.sparkSession, items, window)(F.col(text_col).cast("string"))
         if k == 0:
             docs = docs.withColumn(out, found)
             continue
