@@ -2,16 +2,22 @@
 
 Each stage function takes (spark, docs, sf_dir); all but the last return the
 columns of ``docs``. Rows that a stage drops are gone for the later ones.
+
+Defined cases: an empty table passes through all stages; null and empty texts are
+of no language and go first; a null lang is never learned from; a row of a null id
+belongs to no group of near-duplicates, and all such rows are drawn alike when
+sources are mixed; repeated rows of one id are one document after the join; texts
+of any length are read whole; further columns pass through up to the last stage,
+whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docengine.llm import decontam, langid, mixing, sigtree, tokens
 from docengine.llm.queries import bound_batches, table
-from docengine.llm.shared import materialize
+from docengine.llm.shared import fresh, materialize
 
 #: Share of letters that a document's language must have; less is no language.
 LEAST_LANGUAGE_SHARE = 0.3
@@ -21,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is told; texts without letters, or of no main language, go."""
     bound_batches(spark)
     model = langid.train_language_model(docs)
-    told = langid.identify(spark, docs, model, out="_told")
-    return told.where((F.col("_told.lang_pred") != langid.UNKNOWN) & (F.col("_told.score") >= LEAST_LANGUAGE_SHARE)).select(*docs.columns)
+    out = fresh(docs, "told")
+    told = langid.identify(spark, docs, model, out=out)
+    return told.where((told[out]["lang_pred"] != langid.UNKNOWN) & (told[out]["score"] >= LEAST_LANGUAGE_SHARE)).select(*docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +40,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth or more is benchmark text."""
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_found")
-    return found.where(~F.col("_found.contaminated")).select(*docs.columns)
+    out = fresh(docs, "found")
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out=out)
+    return found.where(~found[out]["contaminated"]).select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

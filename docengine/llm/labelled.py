@@ -10,22 +10,29 @@ from pyspark.sql import functions as F
 from .shared import crc_mod
 
 
-def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str, limit: int, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[pa.Array, list[int]]:
-    """Whole texts and labels of at most ``limit`` rows outside the held-out fold.
+#: Longest text, in characters, that a sample takes: others are chosen instead, none is cut.
+LONGEST_SAMPLED = 50_000
 
-    The rows of the smallest hashes of (id, label) are taken. Of a document
-    with several labels each counts. The ids, at most ``limit`` of them, are
-    sent to the scan, so texts of other rows are never moved.
+
+def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str, limit: int, *, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST_SAMPLED) -> tuple[pa.Array, list[int]]:
+    """Whole texts and labels (0 or 1) of at most ``limit`` documents outside the held-out fold.
+
+    Taken are the least hashes of (id, label) among documents that the table has,
+    of at most ``longest`` characters; a null text counts as empty. Of a document with both labels each counts;
+    of one with rows of several texts, the least text. The chosen ids are sent to
+    the scan, so texts of other rows are never moved.
     """
+    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")).where(F.char_length("_t") <= longest)
     picked = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (crc_mod(id_col, 5) != 0))
+        labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc_mod(id_col, 5) != 0))
         .select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y"))
         .distinct()
+        .join(own.select("_id"), "_id", "left_semi")
         .orderBy(F.xxhash64("_id", "_y"), "_id", "_y")
         .limit(limit)
         .collect()
     )
     few = F.broadcast(spark.createDataFrame([tuple(r) for r in picked], "_id long, _y int"))
-    got = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")).join(few, "_id").limit(2 * limit).toArrow()
-    got = got.take(pc.sort_indices(got, [("_id", "ascending"), ("_y", "ascending"), ("_t", "ascending")]))
+    got = own.join(few, "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t")).toArrow()
+    got = got.take(pc.sort_indices(got, [("_id", "ascending"), ("_y", "ascending")]))
     return got.column("_t").combine_chunks(), got.column("_y").to_pylist()

@@ -27,13 +27,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import crc_mod, string_buffers
+from .shared import crc_mod, give_back, string_buffers
 from .textkit import LOWER, U64, as_bytes, mix, span_hashes, spans
 
 #: Bounds of the training sample: documents of each language, words of a sequence.
 DOCS_PER_LANG, SEQUENCE = 160, 40
 BUCKETS = 1 << 16
-LEXICON = 400
+#: Words of a lexicon: at least so large a share of their language's words, and so many.
+LEXICON_SHARE, LEXICON_LEAST = 2e-4, 3
+#: Longest text, in characters, that the sample takes where a language has shorter ones; documents of all languages.
+LONGEST_SAMPLED, SAMPLE = 20_000, 20_000
 STEPS = 40
 SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
@@ -126,8 +129,7 @@ def fit(texts: pa.Array, labels: list[str], langs: list[str], seed: int = 17) ->
     lexicon = []
     for lang in range(k):
         count = np.bincount(inverse[of_doc[docs] == lang], minlength=len(distinct))
-        best = np.argsort(-count, kind="stable")[:LEXICON]
-        lexicon.append(np.sort(distinct[best[count[best] >= 3]]))
+        lexicon.append(np.sort(distinct[count >= max(LEXICON_LEAST, LEXICON_SHARE * count.sum())]))
     rng = np.random.default_rng(seed)
     runs, i = [], 0
     edges = np.searchsorted(docs, np.arange(len(off)))
@@ -269,19 +271,28 @@ def train_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """A field fitted on about ``docs_per_lang`` whole documents of each language.
 
     Only documents outside the held-out fold are used. Which ones: those with
-    the smallest hashes, by a threshold from the language's count.
+    the smallest hashes, by a threshold from the language's count, of at most
+    LONGEST_SAMPLED characters (a language of longer texts alone gives two of them).
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_mod(id_col, 5) != 0))
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col)).count().collect()}
+    short = F.char_length(text_col) <= LONGEST_SAMPLED
+    found = rows.groupBy(F.col(lang_col)).agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short")).collect()
+    counts = {r[0]: r["short"] or r["n"] * docs_per_lang / 2 for r in found}
+    longer = [r[0] for r in found if not r["short"]]
+    docs_per_lang = min(docs_per_lang, max(1, SAMPLE // max(1, len(counts))))
+    rows = rows.where(short | F.col(lang_col).isin(longer)) if longer else rows.where(short)
     if not counts:
         return CrfModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col(lang_col) == lang, min(1.0, docs_per_lang / n)).otherwise(share)
     u = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    got = rows.where(u < share).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).limit(2 * docs_per_lang * len(counts)).toArrow()
+    got = rows.where(u < share).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).orderBy(F.xxhash64(F.col("i")), "t").limit(2 * docs_per_lang * len(counts)).toArrow()
     got = got.take(pc.sort_indices(got, [("i", "ascending"), ("t", "ascending")]))
-    return fit(got.column("t").combine_chunks(), got.column("l").to_pylist(), sorted(counts))
+    model = fit(got.column("t").combine_chunks(), got.column("l").to_pylist(), sorted(counts))
+    del got
+    give_back()
+    return model
 
 
 def _udf(spark: SparkSession, model: CrfModel):
@@ -301,7 +312,8 @@ def identify(spark: SparkSession, docs: DataFrame, model: CrfModel, *, text_col:
 
 
 def held_out(id_col: str, modulus: int) -> Column:
-    return (crc_mod(id_col, modulus) == 0).alias("held_out")
+    """Whether the id's remainder is 0; a null id has none and is false."""
+    return F.coalesce(crc_mod(id_col, modulus) == 0, F.lit(False)).alias("held_out")
 
 
 def language_report(spark: SparkSession, docs: DataFrame) -> DataFrame:

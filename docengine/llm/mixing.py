@@ -105,11 +105,11 @@ def draw(doc_id: Column, seed: str = SEED) -> Column:
 
 def sample_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The documents that the calibrated probabilities keep, with their columns as they are."""
-    p = cell_probabilities(spark, docs, **options).select(F.struct("source", "lang", "topic").alias("_cell"), F.col("probability").alias("_p"))
-    cols = cell_columns(docs)
-    cell = F.struct(*(c.alias(k) for k, c in cols.items()))
-    joined = docs.withColumn("_cell", cell).join(p, "_cell")
-    return joined.where(draw(F.col("doc_id")) < F.col("_p")).select(*docs.columns)
+    p = cell_probabilities(spark, docs, **options).select("source", "lang", "topic", "probability")
+    named = {k: v for k, v in options.items() if k.endswith("_col")}
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), *(c.alias(k) for k, c in cell_columns(docs, **named).items()))
+    joined = rows.join(p, ["source", "lang", "topic"])
+    return joined.where(draw(F.col("row")["doc_id"]) < F.col("probability")).select("row.*")
 
 
 def mixing_report(spark: SparkSession, documents: DataFrame) -> DataFrame:

@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .langid import held_out
-from .shared import string_buffers
+from .shared import give_back, string_buffers
 from .textkit import U64, mix, span_hashes, words
 
-#: Bounds: labelled rows to learn from, words with a learned vector.
-SAMPLE, VOCABULARY = 6000, 30_000
+#: Bound: labelled rows to learn from. Words seen so often in them have a learned vector.
+SAMPLE, OFTEN = 6000, 3
 DIM, SIGNS, HIDDEN = 32, 4, 32
 THRESHOLD = 0.3
 SLICE_BYTES = 2 << 20
@@ -121,12 +121,11 @@ def _slices(raw, off):
         i = j
 
 
-def learn_vectors(raw, offsets, vocabulary: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and vectors of the most frequent words (3 times at least) of the texts."""
+def learn_vectors(raw, offsets) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and vectors of all words that the texts have OFTEN times at least."""
     h, _, docs = _tokens(raw, offsets)
     distinct, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
-    best = np.argsort(-count, kind="stable")[:vocabulary]
-    best = np.sort(best[count[best] >= 3])
+    best = np.flatnonzero(count >= OFTEN)
     base = index_vectors(distinct[best])
     place = np.full(len(distinct), -1)
     place[best] = np.arange(len(best))
@@ -205,5 +204,6 @@ def score_quality(spark: SparkSession, docs: DataFrame, model: QualityModel, *,
 
 def quality_report(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     model = fit(*labelled_sample(spark, docs, labels, "quality", sample))
+    give_back()
     got = score_quality(spark, docs.select("doc_id", "text"), model, out="score")
     return got.select("doc_id", held_out("doc_id", 5), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

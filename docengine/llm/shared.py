@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    A folder of our own is set only where the session names none, which is
-    the case in local tests.
+    A folder of our own is set only in a local session that names none, as in
+    tests; on a cluster executors would not see it, so a missing name is an error there.
     """
     place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="docengine-shared-")
         spark.conf.set("spark.checkpoint.dir", place)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -35,6 +37,23 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def give_back() -> None:
+    """Return the driver's free memory to the system after a model was fitted there."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(trim := ctypes.CDLL(None), "malloc_trim"):
+        trim.malloc_trim(0)
+
+
 def crc_mod(col: str, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % modulus
