@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import materialize, shared_dir, string_buffers, tasks_for
-from .textkit import U64, mix, span_hashes
+from .textkit import U64, span_hashes
 
 END_ID = 0
 #: Documents whose id arrays train the dictionary, and its size.
-DICT_SAMPLE, DICT_BYTES = 2000, 64 << 10
+DICT_SAMPLE, DICT_BYTES, DICT_LONGEST = 2000, 64 << 10, 20_000
 BLOCK_BYTES = 192 << 10
 SLICE_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers.
@@ -97,6 +97,12 @@ def pieces(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, np.append(starts[1:], n)
 
 
+def _flat(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of slices, back to back."""
+    stop = np.cumsum(size)
+    return np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(start - (stop - size), size)
+
+
 class _Coder:
     """Encodes texts with the tokenizers library, piece by distinct piece."""
 
@@ -113,6 +119,8 @@ class _Coder:
         self.row = np.zeros(0, np.int64)  # of each, its place in begin
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint16)
+        self.edge = np.zeros(1, np.int64)  # code points of each row, to tell pieces of one hash apart
+        self.points = np.zeros(0, np.uint32)
 
     def with_added(self, raw, offsets: np.ndarray) -> dict[int, np.ndarray]:
         """Ids of the documents that hold an added token, which pieces cannot see: whole texts by the library."""
@@ -156,16 +164,29 @@ class _Coder:
             rows = len(self.begin) - 1 + np.arange(len(new))
             self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(size)])
             self.ids = np.concatenate([self.ids.astype(wide), flat.astype(wide)])
+            length = (ends - starts)[first[new]]
+            self.points = np.concatenate([self.points, points[_flat(starts[first[new]], length)]])
+            self.edge = np.concatenate([self.edge, self.edge[-1] + np.cumsum(length)])
             order = np.argsort(np.concatenate([self.known, distinct[new]]), kind="stable")
             self.known = np.concatenate([self.known, distinct[new]])[order]
             self.row = np.concatenate([self.row, rows])[order]
             at = np.searchsorted(self.known, distinct)
         row = self.row[at][inverse]
         size = self.begin[row + 1] - self.begin[row]
-        stop = np.cumsum(size)
-        take = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.begin[row] - (stop - size), size)
-        total = np.concatenate([[0], stop])
-        return self.ids[take].astype("<u4"), total[np.searchsorted(starts, off)]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids, edges = self.ids[_flat(self.begin[row], size)].astype("<u4"), total[np.searchsorted(starts, off)]
+        # every piece is compared with the one that its hash stands for
+        length = ends - starts
+        same = self.edge[row + 1] - self.edge[row] == length
+        fit = np.flatnonzero(same)
+        if len(fit):
+            equal = points[_flat(starts[fit], length[fit])] == self.points[_flat(self.edge[row[fit]], length[fit])]
+            same[fit] = np.logical_and.reduceat(equal, np.cumsum(length[fit]) - length[fit])
+        if same.all():
+            return ids, edges
+        wrong = set((np.searchsorted(off, starts[~same], side="right") - 1).tolist())
+        texts = [np.array(self.tok.encode(points[a:b].tobytes().decode("utf-32-le"), add_special_tokens=False).ids, "<u4") if k in wrong else ids[edges[k] : edges[k + 1]] for k, (a, b) in enumerate(zip(off[:-1], off[1:], strict=True))]
+        return np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
 
 
 def coder(path: str) -> _Coder:
@@ -205,17 +226,22 @@ def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text
     """A zstandard dictionary from the id arrays of about ``sample`` documents.
 
     Which documents: those of the smallest hashes of their ids, by a threshold. With too little
-    text to train on, the dictionary is empty.
+    text to train on, the dictionary is empty. Texts of more than ``DICT_LONGEST``
+    characters are left to others, and the arrays' order does not depend on the rows'.
     """
     import zstandard
 
     u = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).limit(2 * sample).toArrow().sort_by("t")
+    picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.xxhash64(F.col(id_col)).alias("h")).where(F.char_length("t") <= DICT_LONGEST).orderBy("h", "t").limit(2 * sample).select("t").toArrow().sort_by("t")
     arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(picked.column("t").chunks, picked.column("t").type), path, added=added)]
+    del picked
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:
         return b""
+    finally:
+        del arrays
+        _forget()
 
 
 def _frames(dictionary: bytes):
@@ -237,9 +263,14 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     n = ids.count()
     shards = tasks_for(spark, n, shard_rows)
-    cuts = np.array(sorted(set(ids.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 10 * shards + 1000)).first()[0] or [])) if n and shards > 1 else [], np.int64)
+    cuts = np.array(sorted(ids.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(-(1 << 63))), [k / shards for k in range(1, shards)], 10 * shards + 1000)).first()[0] or []) if n and shards > 1 else [], np.int64)
     many = int(len(cuts) + 1)
 
+    def shard_of(doc_ids, crc):
+        """An id between two cuts is in one shard; one that is several cuts itself is dealt over their shards by checksum."""
+        a, b = np.searchsorted(cuts, doc_ids, side="left"), np.searchsorted(cuts, doc_ids, side="right")
+        return a + np.where(b > a + 1, ((b - a) * crc) >> 32, 0)
+
     def encode(batches):
         for batch in batches:
             press = _frames(dictionary)[0]
@@ -249,7 +280,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
                 rows[0].append(len(x))
                 rows[1].append(zlib.crc32(b))
                 rows[2].append(press.compress(b))
-            at = np.searchsorted(cuts, batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left")
+            at = shard_of(batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), np.array(rows[1], np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], ["shard", "doc_id", "n", "crc", "frame"])
 
     def blocks(batches):
@@ -281,7 +312,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, target: str, path: s
     (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         .mapInArrow(encode, "shard int, doc_id long, n long, crc long, frame binary")
-        .repartition(many, "shard")
+        .repartitionById(many, "shard")
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "crc", "n")
         .mapInArrow(blocks, "shard int, block int, first_token long, dict_hash long, doc_ids array<long>, n_tokens array<long>, crc32 array<long>, offsets array<long>, payload binary")
         .write.parquet(f"{target}/shards")

@@ -74,3 +74,25 @@ def test_added_tokens_have_their_ids(spark):
     got = T.token_output(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), PATH).collect()
     assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(want)}
     assert [64, 220, 50256, 275, 0] in want
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(T, "span_hashes", lambda values, starts, ends: (values[starts] % np.uint64(7)).astype(np.uint64))
+    T._coders.clear()
+    assert [x.tolist() for x in T.encode_documents(pa.array(TEXTS), PATH)] == [x.tolist() for x in direct(TEXTS)]
+    T._coders.clear()
+
+
+def test_words_of_equal_letters_and_a_heavy_id(spark):
+    t = "a"
+    for _ in range(10):
+        t += t.translate(str.maketrans("ab", "ba"))
+    u = t.translate(str.maketrans("ab", "ba"))
+    texts = [t, u, t + " " + u]
+    assert [x.tolist() for x in T.encode_documents(pa.array(texts), PATH)] == [x.tolist() for x in direct(texts)]
+    rows = [(7, f"text {i} of one id") for i in range(60)] + [(i, "other") for i in range(20)]
+    target = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    T.write_token_files(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), target, PATH, shard_rows=10)
+    got = sorted(T.read_token_files(spark, target).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted(i for i, _ in rows)
+    assert spark.read.parquet(f"{target}/shards").where("array_contains(doc_ids, 7)").select("shard").distinct().count() > 2
