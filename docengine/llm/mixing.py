@@ -65,7 +65,7 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
     """``cells`` with a column w: tokens raked to the targets of each dimension, ``rounds`` times.
 
     Every step is an aggregate to the dimension's values (with map-side sums)
-    and a join back; a round is written to the shared folder, so plans stay short.
+    and a join back, written to the shared folder: the next step's plan starts there.
     """
     goals = {}
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # sums over a whole table are single numbers
@@ -78,8 +78,8 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, DataFrame], r
     for _ in range(rounds):
         for dim, goal in goals.items():
             margin = cells.groupBy(dim).agg(F.sum("w").alias("s")).join(goal, dim).select(dim, F.when(F.col("s") > 0, F.col("goal") / F.col("s")).otherwise(0.0).alias("f"))
-            cells = cells.join(margin, dim).withColumn("w", F.col("w") * F.col("f")).drop("f")
-        cells = materialize(spark, cells.select("source", "lang", "topic", "tokens", "w"), "cells")
+            cells = cells.join(margin, dim).withColumn("w", F.col("w") * F.col("f"))
+            cells = materialize(spark, cells.select("source", "lang", "topic", "tokens", "w"), "cells")
     return cells
 
 

@@ -10,6 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _steady_memory() -> None:
+    """Let arrays over 4 MB go back to the system as soon as they are freed, in the driver and in workers."""
+    import ctypes
+
+    if hasattr(c := ctypes.CDLL(None), "mallopt"):
+        c.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD; left to itself it grows with what is freed
+        c.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+
+
+_steady_memory()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
