@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.settings import llm_options
-from .operators.convert import Backend, convert_batch, convert_documents, converter
+from .operators.convert import Backend, convert_batch, convert_documents, converter, result_json
 from .operators.options import build_options
 from .sources.documents import from_base64, read_files, write_texts
 
@@ -20,9 +20,14 @@ def convert(docs: DataFrame, *, backend: Backend | None = None, **options) -> Da
     return convert_result(docs, backend=backend, **options).select("doc_id", "filename", "text", "error")
 
 
-def convert_result(docs: DataFrame, *, backend: Backend | None = None, **options) -> DataFrame:
+def convert_result(docs: DataFrame, *, backend: Backend | None = None, again: bool = False, **options) -> DataFrame:
     """Text, page_count, metadata, warnings and assets of ``docs``, or an error."""
-    return convert_documents(docs, build_options(**options), backend=backend)
+    return convert_documents(docs, build_options(**options), backend=backend, again=again)
+
+
+def convert_json(docs: DataFrame, *, backend: Backend | None = None, **options) -> DataFrame:
+    """doc_id, filename and the whole result as one JSON text."""
+    return result_json(convert_result(docs, backend=backend, **options)).select("doc_id", "filename", "result")
 
 
 def convert_path(spark: SparkSession, path: str, pattern: str | None = None, *, backend: Backend | None = None, **options) -> DataFrame:
@@ -31,7 +36,7 @@ def convert_path(spark: SparkSession, path: str, pattern: str | None = None, *,
 
 def convert_content(docs: DataFrame, *, backend: Backend | None = None, **options) -> DataFrame:
     """Like ``convert`` for a column content_base64. A memory failure gets one more try by the ladder."""
-    return convert(from_base64(docs), backend=backend, **options)
+    return convert_result(from_base64(docs), backend=backend, again=True, **options).select("doc_id", "filename", "text", "error")
 
 
 def batch(files: DataFrame, *, backend: Backend | None = None) -> tuple[DataFrame, DataFrame]:

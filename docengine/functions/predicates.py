@@ -26,7 +26,7 @@ def looks_like_assets(payload: Column) -> Column:
     """Whether a JSON object is a set of assets, by a key or by a container that mentions a path."""
     entries = F.from_json(payload, "map<string,string>")
     by_key = F.arrays_overlap(F.map_keys(entries), F.array(*map(F.lit, ASSET_KEYS)))
-    holds = F.exists(F.map_values(entries), lambda v: v.rlike(r"^\s*[\[{]") & F.contains(v, F.lit("path")))
+    holds = F.exists(F.map_values(entries), lambda v: v.rlike(r"^\s*[\[{]") & F.contains(F.lower(v), F.lit("path")))
     return F.coalesce(by_key | holds, F.lit(False))
 
 

@@ -6,14 +6,39 @@ the order asked for, duplicates kept. Everything here stays inside Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 NON_NEGATIVE = "page_range values must be non-negative."
 DESCENDING = "page_range end must be greater than or equal to start."
 BAD_CHUNK = "max_pages_per_chunk must be greater than zero."
 
 
+INVALID = "page_range must hold page numbers and spans of them."
+
+
+def range_error(page_range: Column) -> Column:
+    """What is wrong with a range, or null: for plans in which a bad range is a row and no failure."""
+    parts = F.filter(F.transform(F.split(page_range, ","), lambda x: F.trim(x)), lambda x: x != "")
+    number = r"\d{1,9}"
+    end = lambda x: F.regexp_extract(x, rf"-\s*({number})$", 1).try_cast("int")
+    start = lambda x: F.regexp_extract(x, rf"^({number})", 1).try_cast("int")
+    return (
+        F.when(F.exists(parts, lambda x: x.rlike(rf"^{number}\s*-\s*-\s*{number}$")), NON_NEGATIVE)
+        .when(F.exists(parts, lambda x: ~x.rlike(rf"^{number}(\s*-\s*{number})?$")), INVALID)
+        .when(F.exists(parts, lambda x: F.coalesce(end(x) < start(x), F.lit(False))), DESCENDING)
+    )
+
+
+def runs(rows: DataFrame, key: str, page: str) -> DataFrame:
+    """(key, first, last) of the runs of consecutive values of a key, whatever their number: gaps by lag, runs by a running count."""
+    w = Window.partitionBy(key).orderBy(page)
+    gap = F.when(F.col(page) == F.lag(page).over(w) + 1, 0).otherwise(1)
+    marked = rows.select(key, page, gap.alias("gap")).select(key, page, F.sum("gap").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    return marked.groupBy(key, "run").agg(F.min(page).alias("first"), F.max(page).alias("last")).drop("run")
+
+
 def parse_pages(page_range: Column) -> Column:
     """Page numbers of a range as array<int>; malformed ranges raise."""
     parts = F.filter(F.transform(F.split(page_range, ","), lambda x: F.trim(x)), lambda x: x != "")

@@ -1,22 +1,26 @@
 """Conversion of documents in columns, with a retry ladder inside the row.
 
-The plan of page ranges is exploded before the conversion, so chunks of a large
-document run in parallel; conversion is an Arrow UDF that returns a struct with
-an error field, so one bad document is a row and not a failed job. Chunks are
-put together by ``merge_chunks``.
+Conversion is an Arrow UDF that returns a struct with an error field, so one bad
+document, range or chunk size is a row and not a failed job. The chunks of a
+document follow each other in one task, which parses it once; documents are
+spread. One aggregate puts the chunks together (``merge_chunks``).
 """
 
 from __future__ import annotations
 
+import base64
 import json
+import re
+import uuid
+from pathlib import PurePath
 from typing import Protocol
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import LLM_WORDS, MEMORY_MESSAGES, MEMORY_NAME
-from ..functions.ranges import plan_chunks
+from ..functions.predicates import ASSET_KEYS, LLM_WORDS, MEMORY_MESSAGES, MEMORY_NAME
+from ..functions.ranges import BAD_CHUNK, plan_chunks, range_error
 from ..functions.settings import OPTION_PREFIXES
 from ..functions.text import decode64, suffix_or_default
 from ..sources import formats
@@ -29,6 +33,10 @@ NO_LLM = "use_llm was asked for, but no language-model backend is configured; it
 RESULT = f"struct<text:string,page_count:bigint,metadata:map<string,string>,warnings:array<string>,assets:map<string,array<{ASSET}>>,error:string>"
 
 
+IMAGE = re.compile(rb"\x89PNG|\xff\xd8\xff|GIF8|BM|II\*\x00|MM\x00\*|RIFF....WEBP", re.S)
+ASSET_KEY_SET = frozenset(ASSET_KEYS)
+
+
 class Backend(Protocol):
     """What converts one document. ``options`` hold the given options only."""
 
@@ -36,10 +44,18 @@ class Backend(Protocol):
 
 
 class TextBackend:
-    """The parsers of this engine; no optics and no language model."""
+    """The parsers of this engine; no optics and no language model. The last document stays parsed for its next chunk."""
+
+    def __init__(self):
+        self.last: tuple | None = None
+
+    def __getstate__(self):
+        return {"last": None}
 
     def convert(self, content: bytes, suffix: str, options: dict, device: str | None) -> dict:
-        pages, metadata = formats.parse(content, suffix)
+        if self.last is None or self.last[0] != (suffix, content):
+            self.last = (suffix, content), formats.parse(content, suffix)
+        pages, metadata = self.last[1]
         wanted = page_numbers(options["page_range"]) if options.get("page_range") else range(len(pages))
         shown = [(n, pages[n]) for n in wanted if n < len(pages)]
         warnings = [w for k, w in (("force_ocr", NO_OCR), ("use_llm", NO_LLM)) if options.get(k)]
@@ -47,6 +63,57 @@ class TextBackend:
         return {"text": formats.render(shown, options.get("output_format") or "markdown", bool(options.get("paginate_output"))), "page_count": len(shown), "metadata": metadata, "warnings": warnings, "assets": {"images": images} if images else {}}
 
 
+_made: dict[tuple, Backend] = {}
+
+
+class PerWorker:
+    """A backend that each worker builds at its first use, by ``make(device, precision)``.
+
+    Only ``make`` travels to the workers, never a model. Where the ladder asks
+    for another device, a backend for that device is built and kept beside the first.
+    """
+
+    def __init__(self, make, device: str | None = None, precision: str | None = None):
+        self.make, self.device, self.precision, self.key = make, device, precision, uuid.uuid4().hex
+
+    def convert(self, content: bytes, suffix: str, options: dict, device: str | None) -> dict:
+        key = self.key, device or self.device
+        if key not in _made:
+            _made[key] = self.make(device or self.device, self.precision)
+        return _made[key].convert(content, suffix, options, device)
+
+
+def json_safe(value):
+    """Paths as text, tuples as lists, keys as text, all the way down."""
+    if isinstance(value, PurePath):
+        return str(value)
+    if isinstance(value, dict):
+        return {str(k): json_safe(v) for k, v in value.items()}
+    return [json_safe(v) for v in value] if isinstance(value, list | tuple) else value
+
+
+def coerce_result(got: dict) -> dict:
+    """A backend's result with its ``extras`` (any payloads beside the text) told apart.
+
+    Images by name become assets; what looks like assets joins the assets, other objects the metadata; all else is dropped.
+    """
+    metadata, assets = dict(got.get("metadata") or {}), {k: list(v) for k, v in (got.get("assets") or {}).items()}
+    for extra in got.get("extras") or ():
+        if not extra or not isinstance(extra, dict):
+            continue
+        images = {k: v for k, v in extra.items() if isinstance(v, bytes) and IMAGE.match(v)}
+        for k, v in images.items():
+            kind = formats.image_type(v)
+            assets.setdefault("images", []).append({"filename": str(k), "content_base64": base64.b64encode(v).decode(), "media_type": kind})
+        rest = {k: v for k, v in extra.items() if k not in images}
+        if rest and (ASSET_KEY_SET & set(rest) or any(isinstance(v, dict | list | tuple) and "path" in str(v).lower() for v in rest.values())):
+            for k, v in rest.items():
+                assets[k] = [a if isinstance(a, dict) else {"path": str(a)} for a in (v if isinstance(v, list | tuple) else [v])]
+        else:
+            metadata |= json_safe(rest)
+    return got | {"metadata": metadata, "assets": assets}
+
+
 def page_numbers(text: str) -> list[int]:
     """Pages of a range inside a worker; the rules are those of ``parse_pages``."""
     spans = [p.strip() for p in text.split(",") if p.strip()]
@@ -60,9 +127,11 @@ def page_numbers(text: str) -> list[int]:
     return out
 
 
-def climb(backend: Backend, content: bytes, suffix: str, options: dict) -> dict:
+def climb(backend: Backend, content: bytes, suffix: str, options: dict, again: bool = False) -> dict:
     """Try a conversion; on memory failure once on the CPU, on model failure once without the model.
 
+    ``again``: a memory failure after all that gets one more climb, as for contents given as bytes.
+
     The ladder's own warnings come before those of the result. Nothing outside
     of the call changes: the device is an argument, not a setting of the process.
     """
@@ -71,7 +140,7 @@ def climb(backend: Backend, content: bytes, suffix: str, options: dict) -> dict:
     opts = {k: v for k, v in options.items() if v not in (None, False)}
     while True:
         try:
-            got = backend.convert(content, suffix, opts, device)
+            got = coerce_result(backend.convert(content, suffix, opts, device))
             return got | {"warnings": warned + list(got.get("warnings") or [])}
         except Exception as e:
             said = str(e).lower()
@@ -82,11 +151,13 @@ def climb(backend: Backend, content: bytes, suffix: str, options: dict) -> dict:
             elif opts.get("use_llm") and any(w in said for w in LLM_WORDS) and LLM_WARNING not in warned:
                 warned.append(LLM_WARNING)
                 opts = {k: v for k, v in opts.items() if k not in ("use_llm", "llm_service") and not k.startswith(OPTION_PREFIXES)}
+            elif again and memory:
+                return climb(backend, content, suffix, options)
             else:
                 return {"error": f"{type(e).__name__}: {e}", "warnings": warned}
 
 
-def converter(backend: Backend | None = None):
+def converter(backend: Backend | None = None, again: bool = False):
     """An Arrow UDF (content, suffix, options) -> RESULT."""
     kind = pa.struct([("text", pa.string()), ("page_count", pa.int64()), ("metadata", pa.map_(pa.string(), pa.string())), ("warnings", pa.list_(pa.string())), ("assets", pa.map_(pa.string(), pa.list_(pa.struct([(x, pa.string()) for x in ("filename", "path", "content_base64", "media_type")])))), ("error", pa.string())])
     backend = backend or TextBackend()
@@ -96,7 +167,7 @@ def converter(backend: Backend | None = None):
         for c, s, o in zip(contents.to_pylist(), suffixes.to_pylist(), options.to_pylist(), strict=True):
             o = dict(o or {})
             o |= dict(o.pop("extra", None) or {})
-            r = climb(backend, c, s, o) if c is not None else {"error": "ValueError: no content", "warnings": []}
+            r = climb(backend, c, s, o, again) if c is not None else {"error": "ValueError: no content", "warnings": []}
             assets = {k: [{f: str(a[f]) if a.get(f) is not None else None for f in ("filename", "path", "content_base64", "media_type")} for a in v] for k, v in (r.get("assets") or {}).items()}
             rows.append({"text": None if r.get("error") else str(r.get("text", "")), "page_count": r.get("page_count"), "metadata": [(str(k), v if isinstance(v, str) else json.dumps(v)) for k, v in (r.get("metadata") or {}).items()], "warnings": r["warnings"], "assets": list(assets.items()), "error": r.get("error")})
         return pa.array(rows, kind)
@@ -121,32 +192,47 @@ def pdf_pages(content: Column) -> Column:
     return F.arrow_udf(count, "int")(content)
 
 
-def convert_documents(docs: DataFrame, options: Column, *, content: str = "content", filename: str = "filename", backend: Backend | None = None, merged: bool = True) -> DataFrame:
+def convert_documents(docs: DataFrame, options: Column, *, content: str = "content", filename: str = "filename", backend: Backend | None = None, merged: bool = True, again: bool = False) -> DataFrame:
     """``docs`` (doc_id, filename, content) converted: text, page_count, metadata, warnings, assets, error.
 
-    A document fails as a whole with the error of its first failing chunk.
+    A document fails as a whole with the error of its first failing chunk; a bad
+    range or chunk size is its error too. Rows of equal doc_id are documents of their own.
     ``merged=False`` converts each document in one piece without a shuffle.
     """
-    convert = converter(backend)
+    convert = converter(backend, again)
     sfx = suffix_or_default(F.col(filename))
     rows = docs.withColumn("options", options).withColumn("suffix", sfx)
     if not merged:
         rows = rows.withColumn("result", convert(F.col(content), F.col("suffix"), F.col("options").withField("max_pages_per_chunk", F.lit(None).cast("int"))))
         return rows.drop("suffix", "options", content).select("*", "result.*").drop("result")
-    size = F.col("options.max_pages_per_chunk")
+    # chunks of a document are made in one task, so the number of its row is one for all of them
+    rows = rows.withColumn("row_no", F.monotonically_increasing_id())
+    size, asked = F.col("options.max_pages_per_chunk"), F.col("options.page_range")
     chunked = size.isNotNull() & (F.lower("suffix") == ".pdf")
-    total = F.when(chunked & F.col("options.page_range").isNull(), pdf_pages(F.when(chunked, F.col(content))))
+    total = F.when(chunked & asked.isNull(), pdf_pages(F.when(chunked, F.col(content))))
     rows = rows.withColumn("total", F.coalesce(total, F.lit(0)))
-    plan = plan_chunks(F.col("options.page_range"), F.col("total"), size, F.col("suffix"))
+    paged = (asked.isNotNull() & (asked != "")) | (F.col("total") > 0)
+    bad = F.coalesce(F.when(chunked & (size <= 0) & paged, BAD_CHUNK), range_error(asked))
+    rows = rows.withColumn("bad", bad)
+    ok = lambda c: F.when(F.col("bad").isNull(), c)
+    plan = plan_chunks(ok(asked), F.when(F.col("bad").isNull(), F.col("total")).otherwise(0), ok(size), F.col("suffix"))
     rows = rows.select("*", F.posexplode_outer(plan).alias("chunk_no", "chunk_range"))
     rows = rows.withColumn("chunk_no", F.coalesce("chunk_no", F.lit(0)))
     chosen = F.col("options").withField("page_range", F.col("chunk_range")).withField("max_pages_per_chunk", F.lit(None).cast("int"))
-    rows = rows.withColumn("result", convert(F.col(content), F.col("suffix"), chosen)).select("doc_id", filename, "chunk_no", "result.*")
-    failed = rows.where("error IS NOT NULL").groupBy("doc_id").agg(F.min_by("error", "chunk_no").alias("error"))
-    names = rows.groupBy("doc_id").agg(F.first(filename).alias(filename))
-    out = merge_chunks(rows).join(failed, "doc_id", "left").join(names, "doc_id")
-    ok = F.col("error").isNull()
-    return out.select("doc_id", filename, F.when(ok, F.col("text")).alias("text"), *(F.when(ok, F.col(c)).alias(c) for c in ("page_count", "metadata", "warnings", "assets")), "error")
+    rows = rows.withColumn("result", convert(ok(F.col(content)), F.col("suffix"), chosen)).select("row_no", "doc_id", filename, "bad", "chunk_no", "result.*")
+    rows = rows.withColumn("error", F.coalesce(F.concat(F.lit("ValueError: "), "bad"), "error"))
+    failed = F.min_by("error", F.when(F.col("error").isNotNull(), F.col("chunk_no")))
+    out = merge_chunks(rows, "row_no", more={"doc_id": F.first("doc_id"), filename: F.first(filename), "error": failed})
+    of_ladder = lambda w: w.isin(MEMORY_WARNING, LLM_WARNING)
+    out = out.withColumn("warnings", F.concat(F.filter("warnings", of_ladder), F.filter("warnings", lambda w: ~of_ladder(w))))
+    done = F.col("error").isNull()
+    return out.select("doc_id", filename, F.when(done, F.col("text")).alias("text"), *(F.when(done, F.col(c)).alias(c) for c in ("page_count", "metadata", "warnings", "assets")), "error")
+
+
+def result_json(results: DataFrame, out: str = "result") -> DataFrame:
+    """``results`` with a text column ``out``: text, page count, metadata, warnings and assets, or the error, as one JSON object."""
+    fields = [c for c in ("text", "page_count", "metadata", "warnings", "assets", "error") if c in results.columns]
+    return results.withColumn(out, F.to_json(F.struct(*fields)))
 
 
 def convert_batch(files: DataFrame, *, backend: Backend | None = None, options: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import join_texts
 
 ASSET = "struct<filename:string,path:string,content_base64:string,media_type:string>"
+#: Schema of chunk rows.
 CHUNK = f"doc_id long, chunk_no int, text string, page_count long, metadata map<string,string>, warnings array<string>, assets map<string,array<{ASSET}>>"
 
 
@@ -22,18 +23,46 @@ def extend_all(maps: Column) -> Column:
     return F.aggregate(maps, F.create_map().cast(f"map<string,array<{ASSET}>>"), lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.concat(F.coalesce(x, none), F.coalesce(y, none))))
 
 
-def merge_chunks(chunks: DataFrame, key: str = "doc_id", order: str = "chunk_no") -> DataFrame:
+def extend_json(payloads: Column) -> Column:
+    """One JSON object of an array of JSON objects of assets, in order.
+
+    Of a key, lists are put end to end, objects are updated, and a value of another kind replaces what was there.
+    """
+    import json
+
+    import pyarrow as pa
+
+    def fold(rows: pa.Array) -> pa.Array:
+        out = []
+        for row in rows.to_pylist():
+            got: dict = {}
+            for text in row or ():
+                for k, v in (json.loads(text) if text else {}).items():
+                    if isinstance(got.get(k), list) and isinstance(v, list):
+                        got[k] = got[k] + v
+                    elif isinstance(got.get(k), dict) and isinstance(v, dict):
+                        got[k] = got[k] | v
+                    else:
+                        got[k] = v
+            out.append(json.dumps(got))
+        return pa.array(out, pa.string())
+
+    fold.__annotations__ = {"rows": pa.Array, "return": pa.Array}
+    return F.arrow_udf(fold, "string")(payloads)
+
+
+def merge_chunks(chunks: DataFrame, key: str = "doc_id", order: str = "chunk_no", more: dict[str, Column] | None = None) -> DataFrame:
     """One row per document: text, page_count, metadata, warnings and assets of its chunks in order.
 
-    Page counts add up and are null if no chunk has one. Chunks of a document
+    ``more`` are further aggregates by name, made in the same pass. Page counts add up and are null if no chunk has one. Chunks of a document
     are few; documents are spread by key, and one document's rows meet once.
     """
     row = F.struct(F.col(order), *(F.coalesce(F.col(c), d).alias(c) for c, d in (("text", F.lit("")), ("metadata", F.create_map().cast("map<string,string>")), ("warnings", F.array().cast("array<string>")), ("assets", F.create_map().cast(f"map<string,array<{ASSET}>>")))))
     # maps have no order: the sort looks at the chunk number alone
     rows = F.array_sort(F.collect_list(row), lambda a, b: a[order] - b[order])
-    got = chunks.groupBy(key).agg(rows.alias("rows"), F.sum("page_count").alias("page_count"))
+    got = chunks.groupBy(key).agg(rows.alias("rows"), F.sum("page_count").alias("page_count"), *(c.alias(k) for k, c in (more or {}).items()))
     each = lambda c: F.transform("rows", lambda r: r[c])
-    return got.select(key, join_texts(each("text")).alias("text"), "page_count", last_wins(each("metadata")).alias("metadata"), F.flatten(each("warnings")).alias("warnings"), extend_all(each("assets")).alias("assets"))
+    return got.select(key, join_texts(each("text")).alias("text"), "page_count", last_wins(each("metadata")).alias("metadata"), F.flatten(each("warnings")).alias("warnings"), extend_all(each("assets")).alias("assets"), *(more or {}))
 
 
 def batch_summary(results: DataFrame) -> DataFrame:

@@ -138,10 +138,7 @@ def range_parse(spark, sf):
   s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY event_id) AS seg FROM b)
   SELECT user_id, min(event_id) AS first_page, max(event_id) AS last_page FROM s GROUP BY user_id, seg""")
 def run_compaction(spark, sf):
-    pages = _table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("pages"))
-    spans = pages.select("user_id", F.explode(F.split(ranges.compact_pages(F.col("pages").cast("array<int>")), ",")).alias("span"))
-    ends = F.split("span", "-")
-    return spans.select("user_id", ends[0].cast("long").alias("first_page"), F.element_at(ends, -1).cast("long").alias("last_page"))
+    return ranges.runs(_table(spark, sf, "events"), "user_id", "event_id").withColumnsRenamed({"first": "first_page", "last": "last_page"})
 
 
 @_query("SELECT doc_id, unnest(CASE WHEN doc_id % 3 = 0 THEN [NULL] WHEN n <= 6 THEN [NULL] ELSE list_transform(range((n + 5) // 6), lambda i: (6 * i) || '-' || least(6 * i + 5, n - 1)) END) AS page_range FROM (SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n FROM documents)")
@@ -210,6 +207,20 @@ def asset_extend(spark, sf):
     return assets.asset_rows(merge.merge_chunks(_chunks(spark, sf)))
 
 
+@_query("SELECT conv_id AS doc_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text, sum(CASE WHEN turn % 2 = 0 THEN length(text) END)::BIGINT AS page_count FROM conversations GROUP BY conv_id")
+def result_json(spark, sf):
+    made = convert.result_json(merge.merge_chunks(_chunks(spark, sf)))
+    got = F.from_json("result", "text string, page_count long")
+    return made.select("doc_id", got.alias("r")).select("doc_id", "r.text", "r.page_count")
+
+
+@_query("SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'ValueError: page_range end must be greater than or equal to start.' WHEN 2 THEN 'ValueError: page_range must hold page numbers and spans of them.' END AS error FROM documents")
+def range_errors(spark, sf):
+    d = F.col("doc_id") % 4
+    docs = _table(spark, sf, "documents").select("doc_id", F.lit("d.txt.html").alias("filename"), F.encode(F.lit("<p>x"), "UTF-8").alias("content"), F.when(d == 0, "0").when(d == 1, "5-3").when(d == 2, "1-x").alias("asked"))
+    return convert.convert_documents(docs, options.build_options(page_range=F.col("asked"))).select("doc_id", "error")
+
+
 # --- predicates and options ---------------------------------------------------------
 
 
@@ -223,7 +234,7 @@ def error_classification(spark, sf):
 @_query("SELECT event_id, event_id % 4 IN (0, 1) AS is_assets, CASE event_id % 4 WHEN 0 THEN 'assets' WHEN 1 THEN 'assets' ELSE 'metadata' END AS goes_to FROM events")
 def asset_classification(spark, sf):
     e = F.col("event_id") % 4
-    payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.lit('{"x": "a path"}')).otherwise(F.col("props"))
+    payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"Path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.lit('{"x": "a path"}')).otherwise(F.col("props"))
     return _table(spark, sf, "events").select("event_id", predicates.looks_like_assets(payload).alias("is_assets"), assets.route_extra(payload).alias("goes_to"))
 
 

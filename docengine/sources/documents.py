@@ -14,10 +14,16 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 
 
 def read_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """(doc_id, path, filename, suffix, content) of the files of a folder; file filters reach the listing."""
+    """(doc_id, path, filename, suffix, content) of the files of a folder; file filters reach the listing.
+
+    A file's name is its path below the folder.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     rows = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
-    name = F.element_at(F.split("path", "/"), -1)
+    base = F.element_at(F.split("path", "/"), -1)
+    folder = F.lit("/" + path.split("://", 1)[-1].split(":/", 1)[-1].strip("/") + "/")
+    at = F.instr(F.col("path"), folder)
+    name = F.when(at > 0, F.substr(F.col("path"), at + F.length(folder))).otherwise(base)
     return rows.select(F.xxhash64("path").alias("doc_id"), "path", name.alias("filename"), suffix_or_default(name).alias("suffix"), "length", "content")
 
 
@@ -38,16 +44,23 @@ def read_settings(spark: SparkSession, path: str) -> DataFrame:
 def write_texts(results: DataFrame, folder: str, *, name: str = "filename", text: str = "text", assets: bool = True) -> int:
     """One file per document, and its assets, under a folder that all executors share.
 
-    Names that are empty or lead out of the folder are refused before anything
-    is written. Returns the number of files.
+    A text keeps its document's path with the suffix of its format; assets lie in a
+    folder of the document's own. Names that are empty, lead out of the folder or
+    are those of two files are refused before anything is written. Returns the number of files.
     """
-    rows = results.select(F.regexp_replace(F.col(name), r"\.[^./]+$", "").alias("n"), F.col(text).alias("t"), *(["assets"] if assets else []), F.monotonically_increasing_id().alias("doc_id"))
+    stem = F.regexp_replace(F.col(name), r"\.[^./]+$", "")
+    rows = results.select(stem.alias("n"), F.col(text).alias("t"), *(["assets"] if assets else []))
     files = rows.select(F.concat("n", F.lit(".md")).alias("name"), F.encode("t", "UTF-8").alias("content"))
     if assets:
-        files = files.unionByName(asset_rows(rows).select(F.col("filename").alias("name"), F.unbase64("content_base64").alias("content")))
+        # the asset's own name must be safe, not only the path that it is part of
+        made = asset_rows(rows, "n").select(F.when(is_safe_name(F.col("filename")), F.concat("n", F.lit("/"), "filename")).otherwise(F.col("filename")).alias("name"), F.unbase64("content_base64").alias("content"))
+        files = files.unionByName(made)
     bad = files.where(~is_safe_name(F.col("name"))).select("name").head(1)
     if bad:
         raise ValueError(f"asset filename leads out of the output folder or is empty: {bad[0][0]!r}")
+    twice = files.groupBy("name").count().where("count > 1").head(1)
+    if twice:
+        raise ValueError(f"two files would have one name: {twice[0][0]!r}")
 
     def write(batches):
         import pyarrow as pa

@@ -337,3 +337,11 @@ def render(pages: list[tuple[int, list[Block]]], output_format: str, paginate: b
         return "\n\n".join(t for t in (one(b) for _, b in pages) if t)
     rule = "\n\n{%d}" + "-" * 48 + "\n\n" if output_format == "markdown" else '<hr data-page="%d">\n'
     return "".join(rule % n + one(b) for n, b in pages)
+
+
+def image_type(content: bytes) -> str:
+    """The media type of an image by its first bytes."""
+    for head, kind in ((b"\x89PNG", "png"), (b"\xff\xd8\xff", "jpeg"), (b"GIF8", "gif"), (b"BM", "bmp"), (b"RIFF", "webp")):
+        if content.startswith(head):
+            return f"image/{kind}"
+    return "image/tiff"

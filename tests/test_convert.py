@@ -117,11 +117,11 @@ def test_files_in_and_out(spark, tmp_path):
     (tmp_path / "in/b.bin").write_bytes(b"x")
     got = api.convert_path(spark, str(tmp_path / "in"), "*.html")
     assert documents.write_texts(got, str(tmp_path / "out")) == 1
-    assert (tmp_path / "out/a.md").read_text() == "hello"
+    assert (tmp_path / "out/sub/a.md").read_text() == "hello"
     asset = f"map('images', array(named_struct('filename', '{{}}', 'path', null, 'content_base64', 'QUI=', 'media_type', 'image/png')))"
     one = lambda name: spark.sql(f"select 'c.pdf' as filename, 't' as text, {asset.format(name)} as assets")
     assert documents.write_texts(one("img/x.png"), str(tmp_path / "out")) == 2
-    assert (tmp_path / "out/img/x.png").read_bytes() == b"AB"
+    assert (tmp_path / "out/c/img/x.png").read_bytes() == b"AB"
     with pytest.raises(ValueError, match="leads out"):
         documents.write_texts(one("../x.png"), str(tmp_path / "out"))
     (tmp_path / "env").write_text("# no\n\nA = 'b=c'\nnothing\nX=\"y\"\n")
@@ -151,3 +151,54 @@ def test_status_and_sql(spark):
     o.createOrReplaceTempView("one_doc")
     assert spark.sql("select convert_document(c, '.html', o).text from one_doc").first()[0] == "q"
     assert api.parser().parse_args(["a", "b"]).max_pages_per_chunk == 4
+
+
+def test_bad_ranges_and_equal_ids_are_rows(spark):
+    pdf = pdf_of(["a", "b", "c"])
+    rows = [(1, "x.pdf", pdf, "5-3"), (1, "y.pdf", pdf, "1"), (2, "z.pdf", pdf, None), (3, "w.pdf", pdf, "3--1"), (4, "v.pdf", pdf, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, filename string, content binary, asked string")
+    got = {r.filename: r for r in C.convert_documents(docs, build_options(page_range=F.col("asked"), max_pages_per_chunk=2)).collect()}
+    assert got["y.pdf"].text == "b" and got["z.pdf"].text == "a\n\nb\n\nc" and got["y.pdf"].doc_id == got["x.pdf"].doc_id == 1
+    assert "greater than or equal" in got["x.pdf"].error and "non-negative" in got["w.pdf"].error and got["v.pdf"].error
+    none = C.convert_documents(docs.where("doc_id < 3"), build_options(max_pages_per_chunk=0)).collect()
+    assert all("greater than zero" in r.error for r in none) and len(none) == 3
+
+
+def test_texts_are_never_lost(spark, tmp_path):
+    for n in ("a/r.html", "b/r.html"):
+        (tmp_path / "in" / n).parent.mkdir(parents=True)
+        (tmp_path / "in" / n).write_text(f"<p>{n}")
+    got = api.convert_path(spark, str(tmp_path / "in"))
+    assert documents.write_texts(got, str(tmp_path / "out")) == 2
+    assert [(tmp_path / "out" / n / "r.md").read_text() for n in "ab"] == ["a/r.html", "b/r.html"]
+    (tmp_path / "in/b/r.txt").write_text("other")
+    with pytest.raises(ValueError, match="two files"):
+        documents.write_texts(api.convert_path(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+
+
+def test_results_of_any_kind(spark):
+    png = b"\x89PNG\r\n"
+    got = C.coerce_result({"text": "t", "extras": [{"fig.png": png, "pages": (1, 2)}, {"images": [{"filename": "b.png"}]}, None, "text"]})
+    assert got["metadata"] == {"pages": [1, 2]} and got["assets"]["images"] == [{"filename": "b.png"}]
+    assert C.coerce_result({"extras": [{"fig.png": png}]})["assets"]["images"][0]["media_type"] == "image/png"
+    assert C.coerce_result({"extras": [{"x": [{"Path": "a"}]}]})["assets"] == {"x": [{"Path": "a"}]}
+    folded = spark.sql("""select array('{"a": [1], "b": {"x": 1}, "c": [1]}', '{"a": [2], "b": {"y": 2}, "c": {"z": 1}}', null) as p""").select(merge.extend_json(F.col("p"))).first()[0]
+    assert json.loads(folded) == {"a": [1, 2], "b": {"x": 1, "y": 2}, "c": {"z": 1}}
+    docs = spark.createDataFrame([(1, "a.html", b"<title>T</title><p>x")], "doc_id long, filename string, content binary")
+    assert json.loads(api.convert_json(docs).first()["result"])["metadata"] == {"title": "T"}
+
+
+def test_one_backend_a_worker_and_a_last_try(spark):
+    made = []
+
+    class Own:
+        def __init__(self, device, precision):
+            made.append((device, precision))
+
+        def convert(self, content, suffix, options, device):
+            return {"text": f"{len(made)}"}
+
+    b = C.PerWorker(Own, "cuda", "float16")
+    assert [C.climb(b, b"", ".pdf", {})["text"] for _ in range(3)] == ["1"] * 3 and made == [("cuda", "float16")]
+    oom = [RuntimeError("cuda out of memory")] * 2
+    assert "error" in C.climb(Counting(*oom), b"", ".pdf", {}) and C.climb(Counting(*oom), b"", ".pdf", {}, again=True)["text"] == "ok"
