@@ -17,6 +17,7 @@ def _steady_memory() -> None:
     if hasattr(c := ctypes.CDLL(None), "mallopt"):
         c.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD; left to itself it grows with what is freed
         c.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+        pa.set_memory_pool(pa.system_memory_pool())  # Arrow's own pool keeps what it has had
 
 
 _steady_memory()
