@@ -71,6 +71,21 @@ def output_paths(spark, sf):
     return _table(spark, sf, "pages").select("page_id", text.output_path(F.col("url")).alias("output"))
 
 
+def _shown_sql() -> str:
+    """Letters and digits of a page's shown text in page order: parts that are not shown go, then tags and character references."""
+    text = "html"
+    for part in ("<!--.*?-->", *(f"<{t}\\b.*?</{t}\\s*>" for t in ("title", "script", "style", "nav", "footer")), "<[a-z/!][^>]*>", "&[a-z]+;"):
+        text = f"regexp_replace({text}, '(?is){part}', '', 'g')"
+    return f"regexp_replace({text}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+
+
+_SHOWN = _shown_sql()
+
+
+def _letters(shown):
+    return F.regexp_replace(shown, r"[^\p{L}\p{N}]+", "")
+
+
 # --- base64 and batches ---------------------------------------------------------
 
 
@@ -85,9 +100,9 @@ def _batch(spark, sf):
     return _table(spark, sf, "pages").select(F.col("page_id").alias("doc_pos"), F.concat(F.lit("page-"), "page_id", F.lit(".html")).alias("filename"), bad.alias("content_base64"))
 
 
-@_query("SELECT page_id AS doc_pos, 'page-' || page_id || '.html' AS filename, page_id % 7 <> 3 AS success FROM pages")
+@_query(f"SELECT page_id AS doc_pos, 'page-' || page_id || '.html' AS filename, page_id % 7 <> 3 AS success, CASE WHEN page_id % 7 <> 3 THEN {_SHOWN} END AS letters FROM pages")
 def batch_results(spark, sf):
-    return convert.convert_batch(_batch(spark, sf))[0].select("doc_pos", "filename", "success")
+    return convert.convert_batch(_batch(spark, sf))[0].select("doc_pos", "filename", "success", _letters("content").alias("letters"))
 
 
 @_query("SELECT count(*) AS total, count_if(page_id % 7 <> 3)::BIGINT AS successful, count_if(page_id % 7 = 3)::BIGINT AS failed FROM pages")
@@ -282,20 +297,25 @@ def converter_status(spark, sf):
     return api.status(spark)
 
 
-# --- conversions that SQL cannot express ------------------------------------------------
+# --- whole conversions, by their text -------------------------------------------------------
 
 
-@_query()
+def _html_docs(spark, sf):
+    return _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
+
+
+@_query(f"SELECT page_id AS doc_id, {_SHOWN} AS letters, regexp_matches(html, '(?i)<h1\\b') AS has_heading, 1::BIGINT AS page_count, NULL::VARCHAR AS error FROM pages")
 def convert_json_blocks(spark, sf):
-    docs = _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
-    return convert.convert_documents(docs, options.build_options("json"), merged=False).select("doc_id", "text", "page_count", "error")
+    got = convert.convert_documents(_html_docs(spark, sf), options.build_options("json"), merged=False)
+    blocks = F.flatten(F.transform(F.from_json("text", "children array<struct<children array<struct<block_type string, text string>>>>")["children"], lambda p: p["children"]))
+    shown = F.array_join(F.transform(F.filter(blocks, lambda b: b["block_type"] != "image"), lambda b: b["text"]), "")
+    return got.select("doc_id", _letters(shown).alias("letters"), F.exists(blocks, lambda b: b["block_type"] == "heading").alias("has_heading"), "page_count", "error")
 
 
-@_query("SELECT page_id AS doc_id, 1::BIGINT AS page_count, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' AS has_title, NULL::VARCHAR AS error FROM pages")
+@_query(f"SELECT page_id AS doc_id, {_SHOWN} AS letters, 1::BIGINT AS page_count, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' AS has_title, NULL::VARCHAR AS error FROM pages")
 def convert_markdown_result(spark, sf):
-    docs = _table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.lit("p.html").alias("filename"), F.encode("html", "UTF-8").alias("content"))
-    got = convert.convert_documents(docs, options.build_options(max_pages_per_chunk=2))
-    return got.select("doc_id", "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
+    got = convert.convert_documents(_html_docs(spark, sf), options.build_options(max_pages_per_chunk=2))
+    return got.select("doc_id", _letters("text").alias("letters"), "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
 
 
 def pdf_of(pages: list[str], packed: bool = False) -> bytes:
@@ -326,20 +346,24 @@ def _made(spark, sf, kind: str) -> DataFrame:
     import pyarrow as pa
 
     def make(texts: pa.Array) -> pa.Array:
-        lines = [(t or "").encode("ascii", "ignore").decode().split("\n") for t in texts.to_pylist()]
+        lines = [(t or "").split("\n") for t in texts.to_pylist()]
         return pa.array([pdf_of(x, len(x) % 2 == 0) if kind == "pdf" else docx_of(x) for x in lines], pa.binary())
 
     make.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return _table(spark, sf, "documents").select("doc_id", F.lit(f"d.{kind}").alias("filename"), F.arrow_udf(make, "binary")("text").alias("content"))
 
 
-@_query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS page_count, NULL::VARCHAR AS error FROM documents")
+#: Trimmed lines that are not empty, a blank line between them.
+_LINES = r"array_to_string(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10))"
+
+
+@_query(f"SELECT doc_id, {_LINES} AS text, len(string_split(coalesce(text, ''), chr(10)))::BIGINT AS page_count, NULL::VARCHAR AS error FROM documents")
 def pdf_convert(spark, sf):
     got = convert.convert_documents(_made(spark, sf, "pdf"), options.build_options(max_pages_per_chunk=16))
-    return got.select("doc_id", "page_count", "error")
+    return got.select("doc_id", "text", "page_count", "error")
 
 
-@_query()
+@_query(f"SELECT doc_id, {_LINES} AS text, 1::BIGINT AS page_count, NULL::VARCHAR AS error FROM documents")
 def ooxml_convert(spark, sf):
     return convert.convert_documents(_made(spark, sf, "docx"), options.build_options(), merged=False).select("doc_id", "text", "page_count", "error")
 
