@@ -9,7 +9,9 @@ cosine; only a spanning forest of them leaves the task. The groups this gives
 are then compared exactly in double precision, whole groups at a time, which
 yields every link inside them without writing the links out.
 
-Large cells and groups are cut to tiles whose pairs are separate tasks.
+The cells of a batch are compared at once, in the task that they were dealt to.
+Only rows of large cells go on, cut to tiles whose pairs are separate tasks, as
+are large groups.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; vectors of different lengths never link; equal
@@ -36,6 +38,8 @@ TABLES, PROBES, SCALE, BLOCKS = 8, 16, 0.5, 2
 #: How far below the wanted cosine the integer copies may be.
 MARGIN = 0.02
 TILE = 1500
+#: Products of vector components that are held at once where many small cells are compared.
+HELD = 4 << 20
 
 
 def nearest_d8(y: np.ndarray) -> np.ndarray:
@@ -141,6 +145,112 @@ def _hash_rows(batches):
                     yield pa.RecordBatch.from_arrays([pa.array(h[:, p]), pa.array(ids[rows]), pa.array(np.full(len(rows), p == 0)), packed], ["cell", "id", "home", "small"])
 
 
+def _edges(ids: np.ndarray, forest: Forest) -> list[pa.Array]:
+    """u and v of a forest over ``ids``."""
+    root = forest.roots()
+    own = np.flatnonzero(root != np.arange(len(root)))
+    return [pa.array(ids[own]), pa.array(ids[root[own]])]
+
+
+def _matrices(small: pa.Array):
+    """(row numbers, unit matrix) for each length of packed copies."""
+    off = np.frombuffer(small.buffers()[1], np.int32)[small.offset : small.offset + len(small) + 1]
+    data = np.frombuffer(small.buffers()[2], np.int8)
+    size = np.diff(off)
+    for n in np.unique(size):
+        rows = np.flatnonzero(size == n)
+        x = data[off[:-1][rows][:, None] + np.arange(n)[None, :]].astype(np.float32)
+        yield rows, x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _near_in_cells(start: np.ndarray, size: np.ndarray, home: np.ndarray, small: pa.Array, least: float):
+    """Rows (a, b) of one cell, a stored in it, whose copies have a cosine of ``least`` or more, in parts."""
+    group = np.repeat(np.arange(len(size)), size)
+    stored = np.flatnonzero(home & (size[group] > 1))
+    kept = np.flatnonzero(np.isin(group, group[stored]))  # the others' copies are not unpacked
+    if not len(kept):
+        return
+    place = np.full(len(home), -1)
+    for rows, x in _matrices(small.take(pa.array(kept))):
+        place[:] = -1
+        place[kept[rows]] = np.arange(len(rows))
+        own = stored[place[stored] >= 0]
+        many = size[group[own]]
+        stop = np.cumsum(many)
+        i = 0
+        while i < len(own):
+            j = max(i + 1, int(np.searchsorted(stop, (stop[i - 1] if i else 0) + HELD // x.shape[1], side="right")))
+            n = many[i:j]
+            a = np.repeat(own[i:j], n)
+            b = np.arange(len(a)) + np.repeat(start[group[own[i:j]]] - (np.cumsum(n) - n), n)
+            some = (place[b] >= 0) & (~home[b] | (b > a))  # two stored rows meet once
+            a, b = a[some], b[some]
+            near = np.einsum("ij,ij->i", x[place[a]], x[place[b]]) >= least
+            yield a[near], b[near]
+            i = j
+
+
+_ROW = ("cell", "id", "home", "small")
+_LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("cell", pa.int64()), ("id", pa.int64()), ("home", pa.bool_()), ("small", pa.binary())])
+
+
+def _link_small_cells(least: float, most: int):
+    """Sorted rows of cells to edges (u, v); rows of cells of more than ``most`` rows pass through.
+
+    All cells that end in a batch are compared together. Of a cell that goes on
+    into the next batch at most ``most`` rows and a batch are held.
+    """
+
+    def passed(rows: pa.RecordBatch) -> pa.RecordBatch:
+        blank = pa.nulls(rows.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([blank, blank, *(rows.column(k) for k in _ROW)], schema=_LINKED)
+
+    def compared(held: list):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        if not rows.num_rows:
+            return
+        rows = rows.to_batches()[0]
+        cell = rows.column("cell").to_numpy()
+        start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        size = np.diff(np.append(start, len(cell)))
+        if (size > most).any():
+            large = np.repeat(size > most, size)
+            yield passed(rows.filter(pa.array(large)))
+            rows, size = rows.filter(pa.array(~large)), size[size <= most]
+            start = np.cumsum(size) - size
+        distinct, place = np.unique(rows.column("id").to_numpy(), return_inverse=True)
+        forest = Forest(len(distinct))
+        for a, b in _near_in_cells(start, size, rows.column("home").to_numpy(zero_copy_only=False), rows.column("small"), least):
+            forest.union_pairs(place[a], place[b])
+        u, v = _edges(distinct, forest)
+        if len(u):
+            yield pa.RecordBatch.from_arrays([u, v, *(pa.nulls(len(u), f.type) for f in list(_LINKED)[2:])], schema=_LINKED)
+
+    def link(batches):
+        held: list = []  # rows of the last cell, unless it is known to be large
+        last, over = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell = batch.column("cell").to_numpy()
+            more = int(np.searchsorted(cell, last, side="right")) if last is not None and cell[0] == last else 0
+            if more and over:
+                yield passed(batch.slice(0, more))
+            elif more:
+                held.append(batch.slice(0, more))
+            if more < len(cell):
+                cut = int(np.searchsorted(cell, cell[-1], side="left"))
+                yield from compared([*held, batch.slice(more, cut - more)])
+                held, last, over = [batch.slice(cut)], cell[-1], False
+            if sum(h.num_rows for h in held) > most:
+                yield from (passed(h) for h in held)
+                held, over = [], True
+        if held:
+            yield from compared(held)
+
+    return link
+
+
 def _link_cells(least: float):
     def link(batches):
         for group in group_runs(batches):
@@ -156,10 +266,9 @@ def _link_cells(least: float):
             for k in range(0, len(ids), 1024):
                 a, b = np.nonzero(x[k : k + 1024] @ x[stored].T >= least)
                 forest.union_pairs(place[a + k], place[stored[b]])
-            root = forest.roots()
-            own = np.flatnonzero(root != np.arange(len(root)))
-            if len(own):
-                yield pa.RecordBatch.from_arrays([pa.array(distinct[own]), pa.array(distinct[root[own]])], ["u", "v"])
+            u, v = _edges(distinct, forest)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
 
     return link
 
@@ -200,8 +309,13 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, *, id_col: s
     n = one.count()
     hashed = one.select("id", "vector").repartition(tasks_for(spark, n, 4000)).mapInArrow(_hash_rows, "cell long, id long, home boolean, small binary")
     parts = tasks_for(spark, n * TABLES * (PROBES + 1), 400_000)
-    found = grouped(tiled(hashed, F.col("cell"), F.col("id"), TILE), parts).select("g_key", "g_i", "g_j", "id", "home", "small")
-    edges = found.mapInArrow(_link_cells(cosine - MARGIN), "u long, v long")
+    dealt = hashed.repartition(parts, "cell").sortWithinPartitions("cell")
+    found = materialize(spark, dealt.mapInArrow(_link_small_cells(cosine - MARGIN, TILE), "u long, v long, cell long, id long, home boolean, small binary"), "cells")
+    large = found.where("cell IS NOT NULL").select(*_ROW)
+    edges = found.where("cell IS NULL").select("u", "v")
+    if not large.isEmpty():
+        meeting = grouped(tiled(large, F.col("cell"), F.col("id"), TILE), tasks_for(spark, 4 * large.count(), 400_000)).select("g_key", "g_i", "g_j", "id", "home", "small")
+        edges = edges.unionByName(meeting.mapInArrow(_link_cells(cosine - MARGIN), "u long, v long"))
     groups = connected_components(spark, edges)
     members = one.join(groups, "id")
     parts = tasks_for(spark, n, 3000)
