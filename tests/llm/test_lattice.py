@@ -65,3 +65,44 @@ def test_equals_brute_force(spark, monkeypatch, tile):
 
 def test_empty(spark):
     assert L.near_duplicate_vectors(spark, spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+@pytest.mark.parametrize("cut", [1, 3, 10, 1000])
+def test_small_cells_equal_brute_force_however_batches_are_cut(cut):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(cut)
+    rows = []
+    for cell, n in enumerate(rng.integers(1, 12, 60)):
+        base = rng.normal(size=8)
+        rows += [(cell, int(rng.integers(0, 10**6)), bool(rng.random() < 0.5), np.rint(100 * (x := base + rng.normal(size=8) * 0.2) / np.abs(x).max()).astype(np.int8)) for _ in range(n)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), pa.array([r[2] for r in part]), pa.array([r[3].tobytes() for r in part], pa.binary())], ["cell", "id", "home", "small"]) for part in (rows[i : i + cut] for i in range(0, len(rows), cut))]
+    most = 8
+    got = [r for b in L._link_small_cells(0.9, most)(iter(batches)) for r in b.to_pylist()]
+    size = np.bincount([r[0] for r in rows])
+    assert [(r["cell"], r["id"], r["home"], r["small"]) for r in got if r["cell"] is not None] == [(*r[:3], r[3].tobytes()) for r in rows if size[r[0]] > most]
+
+    def classes(edges):
+        up = {}
+        find = lambda x: x if up.setdefault(x, x) == x else find(up[x])
+        for u, v in edges:
+            up[find(u)] = find(v)
+        return {frozenset(y for y in up if find(y) == find(x)) for x in up}
+
+    unit = [r[3] / np.linalg.norm(r[3].astype(float)) for r in rows]
+    want = [(a[1], b[1]) for i, a in enumerate(rows) for j, b in enumerate(rows) if i != j and a[0] == b[0] and size[a[0]] <= most and a[2] and unit[i] @ unit[j] >= 0.9]
+    assert classes((r["u"], r["v"]) for r in got if r["cell"] is None) == classes(want) and want
+
+
+@pytest.mark.parametrize("dim", [16, 128, 384])
+def test_recall_at_other_lengths(dim):
+    rng = np.random.default_rng(dim)
+    x, z = rng.normal(size=(2, 600, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    found = np.zeros(600, bool)
+    for t in range(L.TABLES):
+        a, b = L.cells(x, t), L.cells(y, t)
+        found |= (a == b[:, :1]).any(1) | (b == a[:, :1]).any(1)
+    assert found.mean() >= 0.98

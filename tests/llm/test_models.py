@@ -115,3 +115,113 @@ def test_long_tokens_and_runs_are_restored(docs, labelled):
         assert toxicity.predict(m, pa.array([f"{clean} {w} {clean}"]))[0] > 3 * base, w[:60]
     assert toxicity.restored_text(m, "The i" + "d" * 60 + "iot!") == "the idiot!"
     assert toxicity.restored_text(m, " ".join("idiot" * 12)) == "idiot" * 12
+
+
+def test_word_marginals_agree_with_enumeration(field):
+    """What predicts, over a batch of texts of several lengths, against all paths of each text alone."""
+    import itertools
+
+    import numpy as np
+
+    from docengine.llm.shared import string_buffers
+    from docengine.llm.textkit import span_hashes
+
+    texts = ["der the und", "", "le", "the house und das haus", "xyzzy la la", "123 a"]
+    k = len(field.langs)
+    _, _, docs, got = langid.word_marginals(field, *string_buffers(pa.array(texts)))
+    for d, text in enumerate(texts):
+        st, en, _, data = langid._words(*string_buffers(pa.array([text])))
+        if not len(st):
+            assert not (docs == d).any()
+            continue
+        e = langid._emissions(field.weights, *langid._features(data, st, en), langid._lexicon_hits(field.lexicon, span_hashes(data, st, en))).astype(float)
+        want = np.zeros((len(st), k))
+        for p in itertools.product(range(k), repeat=len(st)):
+            w = np.exp(field.start[p[0]] + sum(e[t, s] for t, s in enumerate(p)) + sum(field.moves[a, b] for a, b in zip(p, p[1:])))
+            for t, s in enumerate(p):
+                want[t, s] += w
+        assert np.allclose(got[docs == d], want / want.sum(1, keepdims=True), atol=1e-5), text
+
+
+def _exhaustive(model, token):
+    """The best plain form over all paths of a token's lattice, none left out."""
+    paths = [(0.0, "^^", "")]
+    for i, c in enumerate(token):
+        nxt = []
+        for p, state, w in paths:
+            moves = [(state[1] + x, (0.0 if c.isalpha() else -0.7) + model.chars.get(state + x, model.floor), x) for x in toxicity.STANDS_FOR.get(c) or (c if c.isalpha() else "")]
+            if c in toxicity.BETWEEN or not c.isalnum():
+                moves.append((state, -0.5, ""))
+            elif c.isalpha() and state[1] == c and i and token[i - 1] == c:
+                moves.append((state, -1.0, ""))
+            nxt += [(p + cost, to, w + x) for to, cost, x in moves or [(state, -3.0, "")]]
+        paths = nxt
+    ends = [(p + model.chars.get(s + "^", model.floor), w) for p, s, w in paths]
+    return max(((max(p, model.known.get(w, -1e9)) + (8.0 if w in model.known else 0.0), w) for p, w in ends), default=(0.0, ""))
+
+
+def test_search_is_exact_at_full_width(monkeypatch):
+    """Nothing is cut: the recursion over states equals the search over all paths, under any model."""
+    import random
+
+    monkeypatch.setattr(toxicity, "BEST", 10**6)
+    rng = random.Random(3)
+    letters = "^ideotasl"
+    model = toxicity.ToxicModel(chars={a + b + c: -rng.random() * 5 for a in letters for b in letters for c in letters})
+    model.known = {"idiot": -3.0, "toad": -4.0, "is": -2.0, "so": -2.5}
+    tokens = ["1d10t", "i-d-i-o-t", "t0@d", "50", "1$", "!d!0t", "idiooot"] + ["".join(rng.choice("id0o1ts@-a!") for _ in range(rng.randrange(1, 8))) for _ in range(300)]
+    for t in tokens:
+        assert toxicity.restore(model, t) == _exhaustive(model, t)[1], t
+    assert toxicity.restore(model, "1d10t") == "idiot"
+
+
+def test_beam_loses_little_under_a_learned_model(docs, labelled):
+    import random
+
+    own, _ = split(labelled)
+    m = toxicity.fit(pa.array([docs[i][0] for i in own]), [labelled[i][1] for i in own])
+    rng = random.Random(4)
+    signs = {"o": "0", "i": "1!|", "l": "1|", "e": "3", "a": "4@", "s": "5$", "t": "7+", "g": "69", "b": "8"}
+    words = rng.sample(sorted(w for w in m.known if 4 <= len(w) <= 8 and w.isascii()), 300)
+    tokens = ["".join(rng.choice(signs[c]) if c in signs and rng.random() < 0.7 else c + rng.choice(["", "", "", "-", c]) for c in w) for w in words]
+    same = sum(toxicity.restore(m, t) == _exhaustive(m, t)[1] for t in tokens)
+    assert same >= 0.99 * len(tokens), same
+
+
+def test_quality_equals_plain_pooling_and_forward_pass(docs, labelled):
+    """Every input and the network once more, a word at a time."""
+    import math
+    import re
+
+    import numpy as np
+
+    from docengine.llm.textkit import span_hashes
+
+    own, held = split(labelled)
+    m = quality.fit(pa.array([docs[i][0] for i in own[:200]]), [labelled[i][0] for i in own[:200]])
+    texts = ["", " ", "one", "The THE the cat, 12 cats!", "a a a a b", *(docs[i][0][:3000] for i in held[:20])]
+    one = lambda b: span_hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))
+    want = []
+    for text in texts:
+        tokens = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda c: c[0].lower(), text.encode()))
+        x = np.zeros(3 * quality.DIM + 4)
+        x[-4] = math.log1p(len(tokens))
+        v, s, known, equal = [], [], 0, 0
+        for i, t in enumerate(tokens):
+            shape = re.sub(rb"(?s)(.)\1+", rb"\1", re.sub(rb"[0-9]", b"0", re.sub(rb"[A-Za-z\x80-\xff]", b"a", t)))
+            s.append(quality.index_vectors(one(shape))[0])
+            at = np.flatnonzero(m.hashes == one(t))
+            v.append(m.vectors[at[0]] if len(at) else s[-1])
+            known += len(at)
+            equal += i > 0 and t == tokens[i - 1]
+        if tokens:
+            n = len(tokens)
+            x[: quality.DIM] = sum(v) / n
+            x[quality.DIM : 2 * quality.DIM] = sum(s) / n
+            x[2 * quality.DIM : 3 * quality.DIM] = sum((a * b for a, b in zip(v, v[1:])), np.zeros(quality.DIM)) / n
+            x[-3:] = equal / n, known / n, len(text.encode()) / n / 10
+        x = (x - m.mean) / m.spread
+        w, b, w2, b2 = m.layers
+        hidden = [max(0.0, float(sum(x * w[:, j]) + b[j])) for j in range(w.shape[1])]
+        want.append(1 / (1 + math.exp(-(sum(h * q for h, q in zip(hidden, w2)) + float(b2)) / m.temperature)))
+    assert np.allclose(quality.predict(m, pa.array(texts)), want, atol=1e-4)
