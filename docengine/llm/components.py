@@ -42,17 +42,35 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return label if label is not None else ids.select("id", F.col("id").alias("component"))
 
 
-def tiled(rows: DataFrame, key: Column, member: Column, size: int) -> DataFrame:
+#: Keys that may be broadcast (with one number each, some MB), and the parts a key's rows are dealt to beyond that.
+FEW_KEYS, SALTS = 100_000, 64
+
+
+def beside(rows: DataFrame, keys: DataFrame, key: str, member: Column) -> DataFrame:
+    """``rows`` left-joined with ``keys`` (one row a key) so that no key's rows are dealt to one task.
+
+    ``keys`` must be cheap to count. Up to FEW_KEYS of them are broadcast; more are
+    repeated for each of SALTS parts, by which the rows of a key are spread.
+    """
+    if keys.count() <= FEW_KEYS:
+        return rows.join(F.broadcast(keys), key, "left")
+    salted = keys.withColumn("g_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("g_salt", F.pmod(F.xxhash64(member, F.lit(3)), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, [key, "g_salt"], "left").drop("g_salt")
+
+
+def tiled(spark: SparkSession, rows: DataFrame, key: Column, member: Column, size: int) -> DataFrame:
     """``rows`` with columns g_key, g_i, g_j and g_side, so that groups of a key fit a task.
 
     Rows of a key with at most ``size`` rows form one group (0, 0). A larger
     key is cut to tiles by the hash of ``member`` and its rows are repeated for
     each pair of tiles, so every two rows of a key meet in some group of about
     twice ``size`` rows. g_side is 0 for rows of tile g_i, 1 for those of tile g_j.
+    Sizes come from a map-side aggregate; only the groups are dealt to tasks, never whole keys.
     """
     rows = rows.withColumn("g_key", key)
     large = rows.groupBy("g_key").agg(F.count(F.lit(1)).alias("g_n")).where(F.col("g_n") > size)
-    rows = rows.join(large, "g_key", "left")
+    rows = beside(rows, materialize(spark, large, "large"), "g_key", member)
     tiles = F.coalesce(F.ceil(F.col("g_n") / size), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(member, F.lit(7)), F.col("g_t")).cast("int")
     rows = rows.withColumn("g_t", tiles).withColumn("g_own", own)

@@ -9,9 +9,10 @@ cosine; only a spanning forest of them leaves the task. The groups this gives
 are then compared exactly in double precision, whole groups at a time, which
 yields every link inside them without writing the links out.
 
-The cells of a batch are compared at once, in the task that they were dealt to.
-Only rows of large cells go on, cut to tiles whose pairs are separate tasks, as
-are large groups.
+Cells are first dealt without copies: a row of (cell, id) for each probe. Only rows
+of cells where somebody meets a stored vector get a copy and are dealt again. Small
+cells of a batch are compared at once; large cells are cut to tiles whose pairs are
+separate tasks, as are large groups.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; vectors of different lengths never link; equal
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import Forest, connected_components, group_runs, grouped, tiled
+from .components import Forest, beside, connected_components, group_runs, grouped, tiled
 from .shared import materialize, tasks_for
 from .textkit import U64, mix
 
@@ -137,12 +138,52 @@ def _hash_rows(batches):
         ids = batch.column(0).to_numpy()
         for rows, x in _matrix(batch.column(1)):
             u = _unit(x)
-            small = np.rint(u * 127 / np.abs(u).max(1, keepdims=True)).astype(np.int8)
-            packed = pa.array([r.tobytes() for r in small], pa.binary())
             for t in range(TABLES):
                 h = cells(u, t).view(np.int64)
-                for p in range(h.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(h[:, p]), pa.array(ids[rows]), pa.array(np.full(len(rows), p == 0)), packed], ["cell", "id", "home", "small"])
+                home = np.zeros(h.shape, bool)
+                home[:, 0] = True
+                yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(np.repeat(ids[rows], h.shape[1])), pa.array(home.ravel())], ["cell", "id", "home"])
+
+
+def _copies(batches):
+    """(id, small): vectors as bytes, by which candidates are selected."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        for rows, x in _matrix(batch.column(1)):
+            small = np.rint(x / np.abs(x).max(1, keepdims=True) * 127).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array([r.tobytes() for r in small], pa.binary())], ["id", "small"])
+
+
+def _meeting(most: int):
+    """Rows (cell, id, home), sorted by cell with stored rows first, to those of cells that hold a stored row and another.
+
+    Column over tells the rows of a cell after its first ``most``. One row is held at most.
+    """
+
+    def meet(batches):
+        held: pa.RecordBatch | None = None  # a stored row that is alone in its cell so far
+        last, seen = None, 0  # the last cell and its rows given so far, 0 if none go on
+        for batch in batches:
+            if held is not None:
+                batch, held, last = pa.concat_batches([held, batch]), None, None
+            if not batch.num_rows:
+                continue
+            cell = batch.column("cell").to_numpy()
+            start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            size = np.diff(np.append(start, len(cell)))
+            before = np.zeros(len(start), np.int64)
+            good = batch.column("home").to_numpy(zero_copy_only=False)[start]
+            if last is not None and cell[0] == last:
+                before[0], good[0] = seen, seen > 0
+            if good[-1] and before[-1] + size[-1] == 1:
+                held = batch.slice(len(cell) - 1)
+            good &= before + size > 1
+            last, seen = cell[-1], int(before[-1] + size[-1]) if good[-1] else 0
+            rank = np.arange(len(cell)) - np.repeat(start - before, size)
+            rows = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank >= most)], ["cell", "id", "home", "over"])
+            yield rows.filter(pa.array(np.repeat(good, size)))
+
+    return meet
 
 
 def _edges(ids: np.ndarray, forest: Forest) -> list[pa.Array]:
@@ -190,21 +231,12 @@ def _near_in_cells(start: np.ndarray, size: np.ndarray, home: np.ndarray, small:
             i = j
 
 
-_ROW = ("cell", "id", "home", "small")
-_LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("cell", pa.int64()), ("id", pa.int64()), ("home", pa.bool_()), ("small", pa.binary())])
-
+def _link_small_cells(least: float):
+    """Sorted rows of cells to edges (u, v).
 
-def _link_small_cells(least: float, most: int):
-    """Sorted rows of cells to edges (u, v); rows of cells of more than ``most`` rows pass through.
-
-    All cells that end in a batch are compared together. Of a cell that goes on
-    into the next batch at most ``most`` rows and a batch are held.
+    All cells that end in a batch are compared together; the last one is held until it ends.
     """
 
-    def passed(rows: pa.RecordBatch) -> pa.RecordBatch:
-        blank = pa.nulls(rows.num_rows, pa.int64())
-        return pa.RecordBatch.from_arrays([blank, blank, *(rows.column(k) for k in _ROW)], schema=_LINKED)
-
     def compared(held: list):
         rows = pa.Table.from_batches(held).combine_chunks()
         if not rows.num_rows:
@@ -213,38 +245,25 @@ def _link_small_cells(least: float, most: int):
         cell = rows.column("cell").to_numpy()
         start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
         size = np.diff(np.append(start, len(cell)))
-        if (size > most).any():
-            large = np.repeat(size > most, size)
-            yield passed(rows.filter(pa.array(large)))
-            rows, size = rows.filter(pa.array(~large)), size[size <= most]
-            start = np.cumsum(size) - size
         distinct, place = np.unique(rows.column("id").to_numpy(), return_inverse=True)
         forest = Forest(len(distinct))
         for a, b in _near_in_cells(start, size, rows.column("home").to_numpy(zero_copy_only=False), rows.column("small"), least):
             forest.union_pairs(place[a], place[b])
         u, v = _edges(distinct, forest)
         if len(u):
-            yield pa.RecordBatch.from_arrays([u, v, *(pa.nulls(len(u), f.type) for f in list(_LINKED)[2:])], schema=_LINKED)
+            yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
 
     def link(batches):
-        held: list = []  # rows of the last cell, unless it is known to be large
-        last, over = None, False
+        held: list = []  # rows of the last cell
         for batch in batches:
             if not batch.num_rows:
                 continue
             cell = batch.column("cell").to_numpy()
-            more = int(np.searchsorted(cell, last, side="right")) if last is not None and cell[0] == last else 0
-            if more and over:
-                yield passed(batch.slice(0, more))
-            elif more:
-                held.append(batch.slice(0, more))
-            if more < len(cell):
-                cut = int(np.searchsorted(cell, cell[-1], side="left"))
-                yield from compared([*held, batch.slice(more, cut - more)])
-                held, last, over = [batch.slice(cut)], cell[-1], False
-            if sum(h.num_rows for h in held) > most:
-                yield from (passed(h) for h in held)
-                held, over = [], True
+            cut = int(np.searchsorted(cell, cell[-1], side="left"))
+            if cut or (held and held[-1].column("cell")[0].as_py() != cell[0]):
+                yield from compared([*held, batch.slice(0, cut)])
+                held = []
+            held.append(batch.slice(cut))
         if held:
             yield from compared(held)
 
@@ -307,19 +326,23 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, *, id_col: s
     one = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.count("vec_id").alias("named"))
     one = materialize(spark, one.withColumn("id", F.coalesce("least", F.xxhash64("vector"))), "vectors")
     n = one.count()
-    hashed = one.select("id", "vector").repartition(tasks_for(spark, n, 4000)).mapInArrow(_hash_rows, "cell long, id long, home boolean, small binary")
-    parts = tasks_for(spark, n * TABLES * (PROBES + 1), 400_000)
-    dealt = hashed.repartition(parts, "cell").sortWithinPartitions("cell")
-    found = materialize(spark, dealt.mapInArrow(_link_small_cells(cosine - MARGIN, TILE), "u long, v long, cell long, id long, home boolean, small binary"), "cells")
-    large = found.where("cell IS NOT NULL").select(*_ROW)
-    edges = found.where("cell IS NULL").select("u", "v")
+    spread = one.select("id", "vector").repartition(tasks_for(spark, n, 4000))
+    dealt = spread.mapInArrow(_hash_rows, "cell long, id long, home boolean").repartition(tasks_for(spark, n * TABLES * (PROBES + 1), 1_000_000), "cell")
+    rows_met = dealt.sortWithinPartitions("cell", F.desc("home")).mapInArrow(_meeting(TILE), "cell long, id long, home boolean, over boolean")
+    rows_met = materialize(spark, rows_met, "met")
+    large = materialize(spark, rows_met.where("over").select("cell", F.lit(True).alias("large")).distinct(), "large")
+    met = beside(rows_met, large, "cell", F.col("id")).join(one.select("id", "vector").mapInArrow(_copies, "id long, small binary"), "id")
+    parts = tasks_for(spark, rows_met.count(), 400_000)
+    small_cells = met.where("large IS NULL").select("cell", "id", "home", "small").repartition(parts, "cell").sortWithinPartitions("cell")
+    edges = materialize(spark, small_cells.mapInArrow(_link_small_cells(cosine - MARGIN), "u long, v long"), "pairs")
     if not large.isEmpty():
-        meeting = grouped(tiled(large, F.col("cell"), F.col("id"), TILE), tasks_for(spark, 4 * large.count(), 400_000)).select("g_key", "g_i", "g_j", "id", "home", "small")
+        wide = materialize(spark, met.where("large").select("cell", "id", "home", "small"), "wide")
+        meeting = grouped(tiled(spark, wide, F.col("cell"), F.col("id"), TILE), tasks_for(spark, 4 * wide.count(), 400_000)).select("g_key", "g_i", "g_j", "id", "home", "small")
         edges = edges.unionByName(meeting.mapInArrow(_link_cells(cosine - MARGIN), "u long, v long"))
     groups = connected_components(spark, edges)
     members = one.join(groups, "id")
     parts = tasks_for(spark, n, 3000)
-    exact = grouped(tiled(members.select("id", "vector", "copies", "component"), F.col("component"), F.col("id"), TILE), parts).select("g_key", "g_i", "g_j", "g_side", "id", "copies", "vector")
+    exact = grouped(tiled(spark, members.select("id", "vector", "copies", "component"), F.col("component"), F.col("id"), TILE), parts).select("g_key", "g_i", "g_j", "g_side", "id", "copies", "vector")
     exact = materialize(spark, exact.mapInArrow(_count_links(cosine), "id long, links long, root long"), "links")
     part = connected_components(spark, exact.select(F.col("id").alias("u"), F.col("root").alias("v")))
     links = exact.groupBy("id").agg(F.sum("links").alias("links"))

@@ -77,10 +77,7 @@ def test_small_cells_equal_brute_force_however_batches_are_cut(cut):
         base = rng.normal(size=8)
         rows += [(cell, int(rng.integers(0, 10**6)), bool(rng.random() < 0.5), np.rint(100 * (x := base + rng.normal(size=8) * 0.2) / np.abs(x).max()).astype(np.int8)) for _ in range(n)]
     batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), pa.array([r[2] for r in part]), pa.array([r[3].tobytes() for r in part], pa.binary())], ["cell", "id", "home", "small"]) for part in (rows[i : i + cut] for i in range(0, len(rows), cut))]
-    most = 8
-    got = [r for b in L._link_small_cells(0.9, most)(iter(batches)) for r in b.to_pylist()]
-    size = np.bincount([r[0] for r in rows])
-    assert [(r["cell"], r["id"], r["home"], r["small"]) for r in got if r["cell"] is not None] == [(*r[:3], r[3].tobytes()) for r in rows if size[r[0]] > most]
+    got = [r for b in L._link_small_cells(0.9)(iter(batches)) for r in b.to_pylist()]
 
     def classes(edges):
         up = {}
@@ -90,8 +87,8 @@ def test_small_cells_equal_brute_force_however_batches_are_cut(cut):
         return {frozenset(y for y in up if find(y) == find(x)) for x in up}
 
     unit = [r[3] / np.linalg.norm(r[3].astype(float)) for r in rows]
-    want = [(a[1], b[1]) for i, a in enumerate(rows) for j, b in enumerate(rows) if i != j and a[0] == b[0] and size[a[0]] <= most and a[2] and unit[i] @ unit[j] >= 0.9]
-    assert classes((r["u"], r["v"]) for r in got if r["cell"] is None) == classes(want) and want
+    want = [(a[1], b[1]) for i, a in enumerate(rows) for j, b in enumerate(rows) if i != j and a[0] == b[0] and a[2] and unit[i] @ unit[j] >= 0.9]
+    assert classes((r["u"], r["v"]) for r in got) == classes(want) and want
 
 
 @pytest.mark.parametrize("dim", [16, 128, 384])
@@ -106,3 +103,37 @@ def test_recall_at_other_lengths(dim):
         a, b = L.cells(x, t), L.cells(y, t)
         found |= (a == b[:, :1]).any(1) | (b == a[:, :1]).any(1)
     assert found.mean() >= 0.98
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5, 1000])
+def test_rows_that_meet_equal_brute_force_however_batches_are_cut(cut):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(cut)
+    rows = []
+    for cell, n in enumerate(rng.integers(1, 9, 80)):
+        home = sorted((rng.random(n) < 0.2).tolist(), reverse=True)
+        rows += [(cell, len(rows) + k, home[k]) for k in range(n)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows[i : i + cut], strict=True)], ["cell", "id", "home"]) for i in range(0, len(rows), cut)]
+    batches.insert(1, batches[0].slice(0, 0))
+    most = 4
+    got = [(r["cell"], r["id"], r["home"], r["over"]) for b in L._meeting(most)(iter(batches)) for r in b.to_pylist()]
+    size = np.bincount([r[0] for r in rows])
+    homes = np.bincount([r[0] for r in rows], [r[2] for r in rows])
+    first = {c: i for c, i, _ in reversed(rows)}
+    assert got == [(*r, r[1] - first[r[0]] >= most) for r in rows if size[r[0]] > 1 and homes[r[0]]] and any(r[3] for r in got)
+
+
+def test_keys_beyond_the_broadcast_bound_are_joined_by_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from docengine.llm import components as C
+
+    rows = spark.createDataFrame([(k, i) for k in range(6) for i in range(10 * k)], "key long, id long")
+
+    def groups():
+        return sorted(tuple(r) for r in C.tiled(spark, rows, F.col("key"), F.col("id"), 15).select("g_key", "id", "g_i", "g_j", "g_side").collect())
+
+    want = groups()
+    monkeypatch.setattr(C, "FEW_KEYS", 0)
+    assert groups() == want and len(want) > rows.count()
