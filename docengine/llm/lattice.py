@@ -134,15 +134,15 @@ def _usable(embedding: str):
 
 
 def _hash_rows(batches):
+    """(place, id) of every probe; place is the cell, with its last bit 0 for the vector stored there."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         for rows, x in _matrix(batch.column(1)):
             u = _unit(x)
             for t in range(TABLES):
-                h = cells(u, t).view(np.int64)
-                home = np.zeros(h.shape, bool)
-                home[:, 0] = True
-                yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(np.repeat(ids[rows], h.shape[1])), pa.array(home.ravel())], ["cell", "id", "home"])
+                h = cells(u, t).view(np.int64) | 1
+                h[:, 0] -= 1
+                yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(np.repeat(ids[rows], h.shape[1]))], ["place", "id"])
 
 
 def _copies(batches):
@@ -155,9 +155,9 @@ def _copies(batches):
 
 
 def _meeting(most: int):
-    """Rows (cell, id, home), sorted by cell with stored rows first, to those of cells that hold a stored row and another.
+    """Rows (place, id), sorted by place, to (cell, id, home, over) of cells that hold a stored row and another.
 
-    Column over tells the rows of a cell after its first ``most``. One row is held at most.
+    Stored rows come first in a cell. Column over tells the rows after its first ``most``. One row is held at most.
     """
 
     def meet(batches):
@@ -168,11 +168,12 @@ def _meeting(most: int):
                 batch, held, last = pa.concat_batches([held, batch]), None, None
             if not batch.num_rows:
                 continue
-            cell = batch.column("cell").to_numpy()
+            place = batch.column("place").to_numpy()
+            cell, home = place >> 1, place & 1 == 0
             start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             size = np.diff(np.append(start, len(cell)))
             before = np.zeros(len(start), np.int64)
-            good = batch.column("home").to_numpy(zero_copy_only=False)[start]
+            good = home[start]
             if last is not None and cell[0] == last:
                 before[0], good[0] = seen, seen > 0
             if good[-1] and before[-1] + size[-1] == 1:
@@ -180,7 +181,7 @@ def _meeting(most: int):
             good &= before + size > 1
             last, seen = cell[-1], int(before[-1] + size[-1]) if good[-1] else 0
             rank = np.arange(len(cell)) - np.repeat(start - before, size)
-            rows = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank >= most)], ["cell", "id", "home", "over"])
+            rows = pa.RecordBatch.from_arrays([pa.array(cell), batch.column("id"), pa.array(home), pa.array(rank >= most)], ["cell", "id", "home", "over"])
             yield rows.filter(pa.array(np.repeat(good, size)))
 
     return meet
@@ -327,8 +328,8 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, *, id_col: s
     one = materialize(spark, one.withColumn("id", F.coalesce("least", F.xxhash64("vector"))), "vectors")
     n = one.count()
     spread = one.select("id", "vector").repartition(tasks_for(spark, n, 4000))
-    dealt = spread.mapInArrow(_hash_rows, "cell long, id long, home boolean").repartition(tasks_for(spark, n * TABLES * (PROBES + 1), 1_000_000), "cell")
-    rows_met = dealt.sortWithinPartitions("cell", F.desc("home")).mapInArrow(_meeting(TILE), "cell long, id long, home boolean, over boolean")
+    dealt = spread.mapInArrow(_hash_rows, "place long, id long").repartition(tasks_for(spark, n * TABLES * (PROBES + 1), 1_000_000), F.shiftright("place", 1))
+    rows_met = dealt.sortWithinPartitions("place").mapInArrow(_meeting(TILE), "cell long, id long, home boolean, over boolean")
     rows_met = materialize(spark, rows_met, "met")
     large = materialize(spark, rows_met.where("over").select("cell", F.lit(True).alias("large")).distinct(), "large")
     met = beside(rows_met, large, "cell", F.col("id")).join(one.select("id", "vector").mapInArrow(_copies, "id long, small binary"), "id")

@@ -114,7 +114,7 @@ def test_rows_that_meet_equal_brute_force_however_batches_are_cut(cut):
     for cell, n in enumerate(rng.integers(1, 9, 80)):
         home = sorted((rng.random(n) < 0.2).tolist(), reverse=True)
         rows += [(cell, len(rows) + k, home[k]) for k in range(n)]
-    batches = [pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows[i : i + cut], strict=True)], ["cell", "id", "home"]) for i in range(0, len(rows), cut)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([2 * c + (not h) for c, _, h in rows[i : i + cut]]), pa.array([r[1] for r in rows[i : i + cut]])], ["place", "id"]) for i in range(0, len(rows), cut)]
     batches.insert(1, batches[0].slice(0, 0))
     most = 4
     got = [(r["cell"], r["id"], r["home"], r["over"]) for b in L._meeting(most)(iter(batches)) for r in b.to_pylist()]
