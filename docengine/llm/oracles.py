@@ -40,3 +40,14 @@ DECONTAMINATION = rf"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all
   SELECT doc_id, len(l)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(l) AS contaminated
   FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+NEGATIVES = """WITH v AS MATERIALIZED (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  n AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM v),
+  s AS MATERIALIZED (SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, coalesce(list_inner_product(a.e, b.e), 0)::BIGINT AS score
+    FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+  p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS k FROM s WHERE same QUALIFY k <= 5),
+  c AS (SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.other_id) AS rank
+    FROM p JOIN s ON s.r = p.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+  SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM c WHERE rank <= 3"""

@@ -82,6 +82,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpetree import token_digests
+
+    return token_digests(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .negatives import negatives_report
+
+    return negatives_report(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
@@ -89,4 +103,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from . import mixing, oracles
 
-    return {"op1_lattice_neardup": oracles.NEAR_VECTORS, "op6_jaccard_join": oracles.JACCARD, "op9_source_mixing": mixing.mixing_sql(), "op10_decontamination": oracles.DECONTAMINATION}
+    return {"op1_lattice_neardup": oracles.NEAR_VECTORS, "op6_jaccard_join": oracles.JACCARD, "op9_source_mixing": mixing.mixing_sql(), "op10_decontamination": oracles.DECONTAMINATION, "op12_hard_negatives": oracles.NEGATIVES}
