@@ -122,8 +122,10 @@ class _Tops:
 
     def take(self, which: np.ndarray, scores, ids: np.ndarray) -> None:
         """Entries by window, in any order."""
+        if not len(which):
+            return
         order = np.lexsort((ids, [-int(s) for s in scores] if scores.dtype == object else -scores, which))
-        cuts = np.flatnonzero(np.append(True, np.diff(which[order]) != 0)) if len(order) else []
+        cuts = np.flatnonzero(np.append(True, np.diff(which[order]) != 0))
         for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
             w, head = int(which[order[a]]), order[a : min(b, a + self.k)]
             merged = sorted([*self.best[w], *((-int(scores[i]), int(ids[i])) for i in head)])[: self.k]
