@@ -51,3 +51,16 @@ NEGATIVES = """WITH v AS MATERIALIZED (SELECT DISTINCT vec_id, CASE WHEN vec_id
       row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.other_id) AS rank
     FROM p JOIN s ON s.r = p.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
   SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM c WHERE rank <= 3"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS l FROM documents),
+  a AS MATERIALIZED (SELECT count(*)::BIGINT AS n, sum(len(l))::BIGINT AS total FROM d WHERE len(l) > 0),
+  t AS MATERIALIZED (SELECT r, g, count(*)::BIGINT AS tf FROM (SELECT r, unnest(l) AS g FROM d) GROUP BY ALL),
+  w AS MATERIALIZED (SELECT g, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, a GROUP BY g, n),
+  i AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS l FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+  q AS MATERIALIZED (SELECT i, g, count(*)::BIGINT AS times FROM (SELECT i, unnest(l) AS g FROM i) GROUP BY ALL),
+  m AS MATERIALIZED (SELECT r, 100 - 75 + (75 * len(l) * n) // total AS m FROM d, a),
+  s AS MATERIALIZED (SELECT i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN t USING (g) JOIN w USING (g) JOIN m USING (r) GROUP BY ALL),
+  k AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 10)
+  SELECT item_id, rank::INT AS rank, doc_id, score FROM k JOIN i USING (i)"""

@@ -96,6 +96,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives_report(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import ranked_documents
+
+    return ranked_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
@@ -103,4 +109,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from . import mixing, oracles
 
-    return {"op1_lattice_neardup": oracles.NEAR_VECTORS, "op6_jaccard_join": oracles.JACCARD, "op9_source_mixing": mixing.mixing_sql(), "op10_decontamination": oracles.DECONTAMINATION, "op12_hard_negatives": oracles.NEGATIVES}
+    return {"op1_lattice_neardup": oracles.NEAR_VECTORS, "op6_jaccard_join": oracles.JACCARD, "op9_source_mixing": mixing.mixing_sql(), "op10_decontamination": oracles.DECONTAMINATION, "op12_hard_negatives": oracles.NEGATIVES, "op13_lexical_search": oracles.LEXICAL}
