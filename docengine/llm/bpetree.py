@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from .shared import fresh
 LEAF = 32
 #: Characters of a segment; longer texts are dealt to several tasks.
 SEGMENT = 1 << 16
-#: Distinct pieces that a worker remembers, and the bytes of the longest of them.
-MEMO, MEMO_BYTES = 400_000, 64
+#: Distinct pieces and seams that a worker remembers, and the characters of the longest of these pieces.
+MEMO, MEMO_BYTES = 1_000_000, 64
 #: Ids up to which a plain search for the least rank is faster than a heap.
 PLAIN = 512
 _NONE = 1 << 62
@@ -47,6 +48,27 @@ _SAFE = r"(?<=[^\s\x1c-\x1f])[ \n]"
 _coders: dict[tuple, Coder] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Memo(dict):
+    """Pieces that a coder has encoded; a new one is encoded when it is first asked for."""
+
+    def __init__(self, coder: Coder):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.coder.piece(piece)
+        if len(piece) <= MEMO_BYTES:
+            if len(self) >= MEMO:
+                self.clear()
+            self[piece] = got
+        return got
+
+
 class Coder:
     """Encoder and decoder of a file of ranks (base64 of a token's bytes, and its rank, a line)."""
 
@@ -64,16 +86,18 @@ class Coder:
         self.single = [ranks.get(bytes([k])) for k in range(256)]
         #: the rank of two tokens' bytes put together, by both ids
         self.pairs = {ranks[t[:i]] * self.width + ranks[t[i:]]: k for t, k in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
-        self.memo: dict[str, bytes] = {}
-        self.fit: dict[int, bool] = {}
+        self.two = [self.ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)]
+        self.memo = _Memo(self)
+        self.seams: dict[int, list[int]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Merges of lowest rank, leftmost first, until there are none."""
-        ids = [self.single[b] for b in data]
-        if len(ids) > PLAIN:
-            return self._merge_long(ids)
-        get, width = self.pairs.get, self.width
-        rank = [get(a * width + b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        single = self.single
+        if len(data) > PLAIN:
+            return self._merge_long([single[b] for b in data])
+        get, width, two = self.pairs.get, self.width, self.two
+        ids = [single[b] for b in data]
+        rank = [two[a << 8 | b] for a, b in zip(data, data[1:], strict=False)]
         while rank:
             best = min(rank)
             if best == _NONE:
@@ -106,55 +130,53 @@ class Coder:
                 heapq.heappush(heap, (s, before[i]))
         return [k for k in ids if k >= 0]
 
+    def seam(self, a: int, b: int) -> list[int]:
+        """The encoding of two tokens' bytes."""
+        key = a * self.width + b
+        got = self.seams.get(key)
+        if got is None:
+            if len(self.seams) >= MEMO:
+                self.seams.clear()
+            got = self.seams[key] = self.merge(self.tokens[a] + self.tokens[b])
+        return got
+
     def fits(self, a: int, b: int) -> bool:
         """Whether two tokens are the encoding of their bytes."""
-        key = a * self.width + b
-        if key not in self.fit:
-            if len(self.fit) > MEMO:
-                self.fit.clear()
-            self.fit[key] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
-        return self.fit[key]
+        got = self.seam(a, b)
+        return len(got) == 2 and got[0] == a
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two encoded neighbours; the window doubles on each side that has not settled."""
-        if not left or not right or self.fits(left[-1], right[0]):
+        if not left or not right:
             return left + right
+        middle = self.seam(left[-1], right[0])
         i = j = 1
         while True:
-            middle = self.merge(b"".join([self.tokens[t] for t in left[-i:] + right[:j]]))
             settled = i >= len(left) or self.fits(left[-i - 1], middle[0]), j >= len(right) or self.fits(middle[-1], right[j])
-            if all(settled):
+            if settled[0] and settled[1]:
                 return left[: len(left) - i] + middle + right[j:]
             i = i if settled[0] else min(2 * i, len(left))
             j = j if settled[1] else min(2 * j, len(right))
+            middle = self.merge(b"".join([self.tokens[t] for t in left[-i:] + right[:j]]))
 
     def tree(self, data: bytes) -> list[int]:
         """Ids of some bytes by halves; halves end at multiples of the leaf's size, so that long repeats fit."""
-        if len(data) <= self.leaf:
+        n, leaf = len(data), self.leaf
+        if n <= leaf:
             return self.merge(data)
-        half = -(-(len(data) // self.leaf + 1) // 2) * self.leaf
-        half = half if half < len(data) else len(data) // 2
+        half = -(-(n // leaf + 1) // 2) * leaf
+        half = half if half < n else leaf
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
     def piece(self, piece: str) -> bytes:
         """Ids of one match of the pattern as little-endian 32-bit integers; a piece that is a token is that token."""
         data = piece.encode("utf-8", "replace")
         whole = self.ranks.get(data)
-        return np.array(self.tree(data) if whole is None else [whole], "<u4").tobytes()
+        return _packed(self.tree(data) if whole is None else [whole])
 
     def text(self, text: str) -> bytes:
         """Ids of a text, pieces put end to end: nothing is merged over the edge of a piece."""
-        memo, out = self.memo, []
-        for p in self.find(text):
-            got = memo.get(p)
-            if got is None:
-                got = self.piece(p)
-                if len(p) <= MEMO_BYTES:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[p] = got
-            out.append(got)
-        return b"".join(out)
+        return b"".join(map(self.memo.__getitem__, self.find(text)))
 
     def element(self, text: str) -> dict:
         """A segment as head, ids and tail; ids are null where it has no safe place, and all of it is head."""
@@ -219,21 +241,27 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return _udf(lambda x: None if x is None else coder(path, pattern).decode(x), pa.binary(), "binary")(ids)
 
 
+_BOTH = pa.struct([("ids", pa.binary()), ("bytes", pa.binary())])
+
+
 def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str, *, text_col: str = "text", out: str = "ids", segment: int = SEGMENT, leaf: int = LEAF) -> DataFrame:
-    """``docs`` with a binary column ``out`` of ids.
+    """``docs`` with a struct column ``out``: ids, and the bytes that these decode to.
 
     Texts of at most ``segment`` characters stay where they are. Longer ones are
     cut, equal ones once, and their segments dealt to tasks; the elements of a text
     meet in one aggregate of its own, which holds as much as its row does.
     """
+    docs = docs.drop(out)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     k1, k2, no, part = (fresh(docs, n) for n in ("k1", "k2", "seg_no", "part"))
-    short = docs.where(F.char_length(text) <= segment)
-    encode = _udf(lambda t: coder(path, pattern, leaf).text(t), pa.binary(), "binary")
+    own = lambda: coder(path, pattern, leaf)
+    both = lambda ids: {"ids": ids, "bytes": own().decode(ids)}
+    encode = _udf(lambda t: both(own().text(t)), _BOTH, "struct<ids:binary,bytes:binary>")
     cut = _udf(lambda t: [t[i : i + segment] for i in range(0, len(t), segment)], pa.list_(pa.string()), "array<string>")
-    element = _udf(lambda t: coder(path, pattern, leaf).element(t), _ELEMENT, _ELEMENT_SQL)
-    reduce = _udf(lambda es: coder(path, pattern, leaf).reduce(es), pa.binary(), "binary")
+    element = _udf(lambda t: own().element(t), _ELEMENT, _ELEMENT_SQL)
+    reduce = _udf(lambda es: both(own().reduce(es)), _BOTH, "struct<ids:binary,bytes:binary>")
 
+    short = docs.where(F.char_length(text) <= segment)
     long = docs.where(F.char_length(text) > segment).withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
     # the cut is made before the rows of equal texts are one, so that whole texts are not shuffled and held together
     parts = long.select(k1, k2, F.posexplode(cut(text)).alias(no, part)).groupBy(k1, k2, no).agg(F.first(part).alias(part))
@@ -246,5 +274,5 @@ def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: s
 def token_digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: the last from the ids, not from the text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    got = encode_documents(spark, rows, path, pattern, out="ids", **options).select("doc_id", "ids").withColumn("bytes", decoded(F.col("ids"), path, pattern))
+    got = encode_documents(spark, rows, path, pattern, out="got", **options).select("doc_id", "got.*")
     return got.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -64,7 +64,9 @@ def test_documents_of_any_length_repeated_rows_and_clashing_names(spark, segment
     docs = spark.createDataFrame([(i, t, "k", 5) for i, t in rows], "doc_id long, text string, k1 string, seg_no int")
     got = B.encode_documents(spark, docs, PATH, P.PATTERN, segment=segment, leaf=4)
     assert got.columns == ["doc_id", "text", "k1", "seg_no", "ids"]
-    found = sorted(((r["doc_id"], r["text"], ids(r["ids"])) for r in got.collect()), key=repr)
+    found = sorted(((r["doc_id"], r["text"], ids(r["ids"]["ids"])) for r in got.collect()), key=repr)
+    back = got.select(B.decoded(got["ids.ids"], PATH, P.PATTERN).alias("x"), "ids.bytes", "text").collect()
+    assert all(bytes(r["x"]) == bytes(r["bytes"]) == (r["text"] or "").encode() for r in back)
     assert found == sorted(((i, t, LIB.encode_ordinary(t or "")) for i, t in rows), key=repr)
     for r in B.token_digests(spark, docs, PATH, P.PATTERN, segment=segment).collect():
         if r["doc_id"] is not None:
