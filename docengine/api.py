@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from .functions.settings import llm_options
 from .operators.convert import Backend, convert_batch, convert_documents, converter, result_json
 from .operators.options import build_options
-from .sources.documents import from_base64, read_files, write_texts
+from .sources.documents import from_base64, read_files
+from .sources.sink import check_names, read_errors, write_files
 
 READY, FAILED = "The converter is ready.", "The converter could not be initialised."
 
@@ -62,20 +63,11 @@ def require_ready(spark: SparkSession, backend: Backend | None = None) -> None:
 
 
 def register(spark: SparkSession) -> None:
-    """SQL functions: convert_document(content, suffix, options) and plan_chunks as a table function."""
-    from pyspark.sql.functions import udtf
+    """SQL: the function convert_document(content, suffix, options), the table functions convert_blocks and plan_chunks."""
+    from .operators import tables
 
     spark.udf.register("convert_document", converter())
-
-    @udtf(returnType="chunk_no int, page_range string")
-    class PlanChunks:
-        def eval(self, total: int, size: int):
-            if total > 0 and size <= 0:
-                raise ValueError("max_pages_per_chunk must be greater than zero.")
-            for k, a in enumerate(range(0, total, size) if total > 0 else ()):
-                yield k, f"{a}-{min(a + size, total) - 1}"
-
-    spark.udtf.register("plan_chunks", PlanChunks)
+    tables.register(spark)
 
 
 def settings_options(env: Column) -> Column:
@@ -100,9 +92,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("docengine").getOrCreate()
-    got = convert_path(spark, a.source, a.pattern, output_format=a.output_format, page_range=a.page_range, max_pages_per_chunk=a.max_pages_per_chunk, force_ocr=a.force_ocr, paginate_output=a.paginate, use_llm=a.use_llm)
-    write_texts(got.where(F.col("error").isNull()), a.target)
-    for r in got.where(F.col("error").isNotNull()).select("filename", "error").toLocalIterator():
+    docs = read_files(spark, a.source, a.pattern)
+    check_names(docs)
+    got = convert_result(docs, output_format=a.output_format, page_range=a.page_range, max_pages_per_chunk=a.max_pages_per_chunk, force_ocr=a.force_ocr, paginate_output=a.paginate, use_llm=a.use_llm)
+    write_files(got, a.target, a.output_format)
+    for r in read_errors(spark, a.target).toLocalIterator():
         print(f"{r['filename']}: {r['error']}")
     return 0
 

@@ -22,6 +22,14 @@ SERVICE_KEY = "DOCENGINE_LLM_SERVICE"
 OPTION_PREFIXES = ("ollama_", "openai_", "claude_", "gemini_")
 
 
+def named(value: str, table: dict[str, str], what: str) -> str | None:
+    """What one name stands for, outside of a query; blank is none, unknown raises."""
+    name = value.strip().lower()
+    if name and name not in table:
+        raise ValueError(f"Unsupported {what}={value}. Expected one of: {', '.join(sorted(table))}.")
+    return table.get(name)
+
+
 def _one_of(value: Column, table: dict[str, str], what: str) -> Column:
     name = F.nullif(F.lower(F.trim(value)), F.lit(""))
     known = F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), name)

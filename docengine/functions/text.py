@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .ranges import let
+
 # Image formats by suffix, and the rule's default.
 IMAGE_FORMATS = {".bmp": "BMP", ".gif": "GIF", ".jpeg": "JPEG", ".jpg": "JPEG", ".png": "PNG", ".tif": "TIFF", ".tiff": "TIFF", ".webp": "WEBP"}
 DEFAULT_IMAGE_FORMAT = "PNG"
@@ -32,12 +34,30 @@ def encode64(content: Column) -> Column:
 
 
 def decode64(text: Column) -> Column:
-    """Binary of base64 text, or null if it is malformed.
+    """Binary of base64 text, or null if it is malformed, as a lenient decoder reads it.
 
-    Signs outside the alphabet are skipped; length and padding must be right.
+    Signs outside the alphabet are skipped. Padding counts once a group of four has two signs or more,
+    and starts anew after further signs; where a group is first padded to four, the text ends, and what follows is
+    left out. Without that, the number of signs must be a multiple of four. Text beyond ASCII is malformed.
     """
-    c = F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
-    return F.when((F.length(c) % 4 == 0) & c.rlike("^[A-Za-z0-9+/]*={0,2}$"), F.unbase64(c))
+    clean = F.split(F.regexp_replace(text, "[^A-Za-z0-9+/=]", ""), "=", -1)
+
+    def step(acc: Column, x: Column) -> Column:
+        """One piece of signs and the padding sign behind it."""
+        signs = acc["signs"] + F.length(x)
+        pads = F.when(F.length(x) > 0, 0).otherwise(acc["pads"]) + F.when(signs % 4 >= 2, 1).otherwise(0)
+        ended = (signs % 4 >= 2) & (signs % 4 + pads >= 4)
+        return F.when(acc["ended"], acc).otherwise(F.struct(signs.alias("signs"), pads.alias("pads"), (acc["taken"] + 1).alias("taken"), ended.alias("ended")))
+
+    start = F.struct(F.lit(0).alias("signs"), F.lit(0).alias("pads"), F.lit(0).alias("taken"), F.lit(False).alias("ended"))
+
+    def read(pieces: Column) -> Column:
+        end = F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step)
+        return let(end, lambda e: F.struct(F.array_join(F.slice(pieces, 1, F.when(e["ended"], e["taken"]).otherwise(F.size(pieces))), "").alias("signs"), e["ended"].alias("ended")))
+
+    padded = lambda s: F.concat(s, F.repeat(F.lit("="), F.pmod(-F.length(s), F.lit(4))))
+    got = let(let(clean, read), lambda r: F.when(r["ended"] | (F.length(r["signs"]) % 4 == 0), F.unbase64(padded(r["signs"]))))
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), got)
 
 
 def image_format(filename: Column, own: Column | None = None) -> Column:

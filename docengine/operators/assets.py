@@ -1,37 +1,18 @@
-"""Assets: routing of payloads, rows of assets, and a guarded writer."""
+"""Assets: rows of assets, and names that are safe to write."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import is_image, is_valid_asset, looks_like_assets
-from ..functions.text import encode64, media_type
-
-
-def figure_asset(filename: Column, content: Column) -> Column:
-    """An image as an asset struct: bytes as they are, in base64, with its media type."""
-    return F.struct(filename.alias("filename"), F.lit(None).cast("string").alias("path"), encode64(content).alias("content_base64"), media_type(filename).alias("media_type"))
-
-
-def split_payload(payload: Column) -> Column:
-    """struct<images, rest> of a map<string,binary>: images by magic bytes, in key order, and all else."""
-    images = F.map_filter(payload, lambda k, v: is_image(v))
-    made = F.transform(F.array_sort(F.map_keys(images)), lambda k: figure_asset(k, F.element_at(images, k)))
-    return F.struct(made.alias("images"), F.map_filter(payload, lambda k, v: ~is_image(v)).alias("rest"))
-
-
-def route_extra(payload: Column) -> Column:
-    """Where a JSON extra of a conversion goes: nowhere, to assets or to metadata; plain text is dropped."""
-    is_object = F.coalesce(payload.rlike(r"^\s*\{"), F.lit(False))
-    empty = payload.isNull() | payload.rlike(r"^\s*(\{\s*\}|\[\s*\]|null)?\s*$")
-    return F.when(empty, F.lit(None).cast("string")).when(is_object & looks_like_assets(payload), "assets").when(is_object, "metadata")
+from ..functions.predicates import is_valid_asset
+from .merge import ASSET
 
 
 def asset_rows(results: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, asset_group, pos, filename, content_base64, media_type) of the valid assets."""
+    """(key, asset_group, pos, filename, content_base64, media_type) of the valid assets; groups that are no lists hold none."""
     groups = results.select(key, F.explode("assets").alias("asset_group", "items"))
-    rows = groups.select(key, "asset_group", F.posexplode("items").alias("pos", "item"))
+    rows = groups.select(key, "asset_group", F.posexplode(F.try_variant_get("items", "$", f"array<{ASSET}>")).alias("pos", "item"))
     return rows.where(is_valid_asset(F.col("item.filename"), F.col("item.content_base64"))).select(key, "asset_group", "pos", "item.filename", "item.content_base64", "item.media_type")
 
 

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import join_texts
 
+#: Asset groups by name: lists of assets (of the fields of ASSET), objects or plain values.
+GROUPS = "map<string,variant>"
 ASSET = "struct<filename:string,path:string,content_base64:string,media_type:string>"
 #: Schema of chunk rows.
-CHUNK = f"doc_id long, chunk_no int, text string, page_count long, metadata map<string,string>, warnings array<string>, assets map<string,array<{ASSET}>>"
+CHUNK = f"doc_id long, chunk_no int, text string, page_count long, metadata map<string,string>, warnings array<string>, assets {GROUPS}"
 
 
 def last_wins(maps: Column) -> Column:
@@ -17,52 +19,56 @@ def last_wins(maps: Column) -> Column:
     return F.aggregate(maps, F.create_map().cast("map<string,string>"), lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.when(F.map_contains_key(m, k), y).otherwise(x)))
 
 
-def extend_all(maps: Column) -> Column:
-    """One map of an array of maps of arrays; arrays of a key are put end to end."""
-    none = F.array().cast(f"array<{ASSET}>")
-    return F.aggregate(maps, F.create_map().cast(f"map<string,array<{ASSET}>>"), lambda a, m: F.map_zip_with(a, m, lambda k, x, y: F.concat(F.coalesce(x, none), F.coalesce(y, none))))
+def groups_of(json_text: Column) -> Column:
+    """Assets, a JSON object of groups, as map<string,variant>; null is no group."""
+    return F.variant_get(F.parse_json(F.coalesce(json_text, F.lit("{}"))), "$", GROUPS)
 
 
-def extend_json(payloads: Column) -> Column:
-    """One JSON object of an array of JSON objects of assets, in order.
+def fold_assets(groups: Column) -> Column:
+    """One map of an array of maps of asset groups, in order.
 
-    Of a key, lists are put end to end, objects are updated, and a value of another kind replaces what was there.
+    Of a group, lists are put end to end, objects are updated (a later value of a key wins), and a value of
+    another kind replaces what was there.
     """
-    import json
-
-    import pyarrow as pa
-
-    def fold(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows.to_pylist():
-            got: dict = {}
-            for text in row or ():
-                for k, v in (json.loads(text) if text else {}).items():
-                    if isinstance(got.get(k), list) and isinstance(v, list):
-                        got[k] = got[k] + v
-                    elif isinstance(got.get(k), dict) and isinstance(v, dict):
-                        got[k] = got[k] | v
-                    else:
-                        got[k] = v
-            out.append(json.dumps(got))
-        return pa.array(out, pa.string())
-
-    fold.__annotations__ = {"rows": pa.Array, "return": pa.Array}
-    return F.arrow_udf(fold, "string")(payloads)
-
-
-def merge_chunks(chunks: DataFrame, key: str = "doc_id", order: str = "chunk_no", more: dict[str, Column] | None = None) -> DataFrame:
+    a_list = lambda v: F.schema_of_variant(v).startswith("ARRAY")
+    an_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+
+    def together(x: Column, y: Column) -> Column:
+        lists = F.to_variant_object(F.concat(x.cast("array<variant>"), y.cast("array<variant>")))
+        objects = F.to_variant_object(F.map_zip_with(x.cast(GROUPS), y.cast(GROUPS), lambda k, old, new: F.coalesce(new, old)))
+        return F.when(a_list(x) & a_list(y), lists).when(an_object(x) & an_object(y), objects).otherwise(y)
+
+    both = lambda x, y: F.when(y.isNull(), x).when(x.isNull(), y).otherwise(together(x, y))
+    return F.aggregate(groups, groups_of(F.lit("{}")), lambda acc, m: F.map_zip_with(acc, m, lambda k, x, y: both(x, y)))
+
+
+def merged_rows(rows: Column) -> dict[str, Column]:
+    """What an array of chunk structs, in order, makes together: text, page_count, metadata, warnings and assets by name.
+
+    Page counts add up and are null if no chunk has one.
+    """
+    each = lambda c, d: F.transform(rows, lambda r: F.coalesce(r[c], d))
+    pages = F.aggregate(rows, F.lit(None).cast("long"), lambda n, r: F.when(n.isNull(), r["page_count"]).otherwise(n + F.coalesce(r["page_count"], F.lit(0))))
+    return {
+        "text": join_texts(each("text", F.lit(""))),
+        "page_count": pages,
+        "metadata": last_wins(each("metadata", F.create_map().cast("map<string,string>"))),
+        "warnings": F.flatten(each("warnings", F.array().cast("array<string>"))),
+        "assets": fold_assets(each("assets", groups_of(F.lit(None)))),
+    }
+
+
+def merge_chunks(chunks: DataFrame, key: str | list[str] = "doc_id", order: str = "chunk_no", more: dict[str, Column] | None = None) -> DataFrame:
     """One row per document: text, page_count, metadata, warnings and assets of its chunks in order.
 
-    ``more`` are further aggregates by name, made in the same pass. Page counts add up and are null if no chunk has one. Chunks of a document
+    ``more`` are further aggregates by name, made in the same pass. Chunks of a document
     are few; documents are spread by key, and one document's rows meet once.
     """
-    row = F.struct(F.col(order), *(F.coalesce(F.col(c), d).alias(c) for c, d in (("text", F.lit("")), ("metadata", F.create_map().cast("map<string,string>")), ("warnings", F.array().cast("array<string>")), ("assets", F.create_map().cast(f"map<string,array<{ASSET}>>")))))
+    keys = [key] if isinstance(key, str) else key
     # maps have no order: the sort looks at the chunk number alone
-    rows = F.array_sort(F.collect_list(row), lambda a, b: a[order] - b[order])
-    got = chunks.groupBy(key).agg(rows.alias("rows"), F.sum("page_count").alias("page_count"), *(c.alias(k) for k, c in (more or {}).items()))
-    each = lambda c: F.transform("rows", lambda r: r[c])
-    return got.select(key, join_texts(each("text")).alias("text"), "page_count", last_wins(each("metadata")).alias("metadata"), F.flatten(each("warnings")).alias("warnings"), extend_all(each("assets")).alias("assets"), *(more or {}))
+    rows = F.array_sort(F.collect_list(F.struct(order, "text", "page_count", "metadata", "warnings", "assets")), lambda a, b: a[order] - b[order])
+    got = chunks.groupBy(*keys).agg(rows.alias("rows"), *(c.alias(k) for k, c in (more or {}).items()))
+    return got.select(*keys, *(c.alias(n) for n, c in merged_rows(F.col("rows")).items()), *(more or {}))
 
 
 def batch_summary(results: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ stand for its pages where pages are needed.
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 import zlib
 from collections.abc import Callable
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from .. import api
 from ..functions import predicates, ranges, settings, text
 from ..operators import assets, convert, merge, options
-from . import markup
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -40,14 +40,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- conversion of pages -------------------------------------------------------
 
 
-@_query(f"SELECT page_id, {markup.MARKDOWN_SQL} AS markdown FROM pages")
+def _blocks_sql() -> str:
+    """The shown blocks of a page as a list in page order, of what DuckDB's regular expressions can do.
+
+    Parts that are not shown go; block tags part blocks, headings keep their sign in front; line breaks stay, other white space is one space.
+    """
+    text = "html"
+    for part in ("<!--.*?-->", *(f"<{t}\\b.*?</{t}\\s*>" for t in ("title", "script", "style", "nav", "footer"))):
+        text = f"regexp_replace({text}, '(?is){part}', '', 'g')"
+    for tag, to in (("<h1[^>]*>", "chr(1) || '# '"), ("</?(?:p|h1|li|ul|div|article|body)\\b[^>]*>", "chr(1)"), ("<br\\b[^>]*>", "chr(11)"), ("</?(?:b|strong)\\b[^>]*>", "'**'"), ("<[a-z/!][^>]*>", "''")):
+        text = f"regexp_replace({text}, '(?is){tag}', {to}, 'g')"
+    for name, sign in (("copy", "©"), ("middot", "·"), ("nbsp", " "), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{sign}')"
+    line = r"trim(regexp_replace(y, '[ \t\r\n]+', ' ', 'g'))"
+    block = f"trim(array_to_string(list_transform(string_split(x, chr(11)), lambda y: {line}), chr(10)), ' ' || chr(10))"
+    return f"list_filter(list_transform(string_split({text}, chr(1)), lambda x: {block}), lambda x: x <> '' AND x <> '#')"
+
+
+_BLOCKS = _blocks_sql()
+_MARKDOWN = f"array_to_string({_BLOCKS}, chr(10) || chr(10))"
+
+
+@_query(f"SELECT page_id, {_MARKDOWN} AS markdown FROM pages")
 def html_to_markdown(spark, sf):
-    return _table(spark, sf, "pages").select("page_id", markup.to_markdown(F.col("html")).alias("markdown"))
+    return api.convert(_html_docs(spark, sf)).select(F.col("doc_id").alias("page_id"), F.col("text").alias("markdown"))
 
 
-@_query(f"SELECT page_id, {markup.TEXT_SQL} AS text FROM pages")
+@_query(f"SELECT page_id, array_to_string(list_transform({_BLOCKS}, lambda x: regexp_replace(replace(x, '**', ''), '^# ', '')), chr(10)) AS text FROM pages")
 def html_to_text(spark, sf):
-    return _table(spark, sf, "pages").select("page_id", markup.to_text(F.col("html")).alias("text"))
+    got = convert.convert_documents(_html_docs(spark, sf), options.build_options("json"))
+    blocks = F.flatten(F.transform(F.from_json("text", "children array<struct<children array<struct<block_type string, text string>>>>")["children"], lambda p: p["children"]))
+    shown = F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
+    return got.select(F.col("doc_id").alias("page_id"), F.replace(shown, F.lit("**"), F.lit("")).alias("text"))
+
+
+@_query(f"SELECT page_id, (generate_subscripts(l, 1) - 1)::INT AS pos, CASE WHEN starts_with(x, '# ') THEN 'heading' ELSE 'paragraph' END AS block_type, regexp_replace(x, '^# ', '') AS text FROM (SELECT page_id, l, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT page_id, {_BLOCKS} AS l FROM pages))".replace("(generate_subscripts(l, 1) - 1)::INT", "(i - 1)::INT"))
+def html_blocks(spark, sf):
+    """Blocks by the table function, a row of SQL each."""
+    api.register(spark)
+    return spark.sql("SELECT p.page_id, b.pos, b.block_type, b.text FROM {pages} p, LATERAL convert_blocks(encode(p.html, 'UTF-8'), 'p.html', 'chunks') b", pages=_table(spark, sf, "pages"))
+
+
+@_query("SELECT doc_id, unnest(range((n + 6) // 7))::INT AS chunk_no, unnest(list_transform(range((n + 6) // 7), lambda i: (7 * i) || '-' || least(7 * i + 6, n - 1))) AS page_range FROM (SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n FROM documents)")
+def chunk_plan_table(spark, sf):
+    api.register(spark)
+    return spark.sql("SELECT d.doc_id, c.chunk_no, c.page_range FROM {docs} d, LATERAL plan_chunks(size(split(d.text, '\n')), 7) c", docs=_table(spark, sf, "documents"))
 
 
 @_query("SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS heading, len(regexp_extract_all(html, '(?i)<p\\b'))::BIGINT AS n_paragraphs FROM pages")
@@ -100,9 +137,9 @@ def _batch(spark, sf):
     return _table(spark, sf, "pages").select(F.col("page_id").alias("doc_pos"), F.concat(F.lit("page-"), "page_id", F.lit(".html")).alias("filename"), bad.alias("content_base64"))
 
 
-@_query(f"SELECT page_id AS doc_pos, 'page-' || page_id || '.html' AS filename, page_id % 7 <> 3 AS success, CASE WHEN page_id % 7 <> 3 THEN {_SHOWN} END AS letters FROM pages")
+@_query(f"SELECT page_id AS doc_pos, 'page-' || page_id || '.html' AS filename, page_id % 7 <> 3 AS success, CASE WHEN page_id % 7 <> 3 THEN {_MARKDOWN} END AS content FROM pages")
 def batch_results(spark, sf):
-    return convert.convert_batch(_batch(spark, sf))[0].select("doc_pos", "filename", "success", _letters("content").alias("letters"))
+    return convert.convert_batch(_batch(spark, sf))[0].select("doc_pos", "filename", "success", "content")
 
 
 @_query("SELECT count(*) AS total, count_if(page_id % 7 <> 3)::BIGINT AS successful, count_if(page_id % 7 = 3)::BIGINT AS failed FROM pages")
@@ -183,7 +220,7 @@ def _chunks(spark, sf):
     rows = _table(spark, sf, "conversations")
     meta = F.create_map("role", F.col("turn").cast("string"), F.lit("last"), F.col("role"))
     asset = F.struct(F.concat(F.col("role"), F.lit("-"), F.col("turn").cast("string"), F.lit(".png")).alias("filename"), F.lit(None).cast("string").alias("path"), F.lit("AA==").alias("content_base64"), F.lit("image/png").alias("media_type"))
-    return rows.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("chunk_no"), "text", F.when(F.col("turn") % 2 == 0, F.length("text")).cast("long").alias("page_count"), meta.alias("metadata"), F.array(F.concat(F.col("role"), F.lit(":"), F.col("turn").cast("string"))).alias("warnings"), F.create_map(F.lit("images"), F.array(asset)).alias("assets"))
+    return rows.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("chunk_no"), "text", F.when(F.col("turn") % 2 == 0, F.length("text")).cast("long").alias("page_count"), meta.alias("metadata"), F.array(F.concat(F.col("role"), F.lit(":"), F.col("turn").cast("string"))).alias("warnings"), merge.groups_of(F.to_json(F.create_map(F.lit("images"), F.array(asset)))).alias("assets"))
 
 
 @_query("SELECT conv_id AS doc_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text FROM conversations GROUP BY conv_id")
@@ -229,11 +266,25 @@ def result_json(spark, sf):
     return made.select("doc_id", got.alias("r")).select("doc_id", "r.text", "r.page_count")
 
 
-@_query("SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'ValueError: page_range end must be greater than or equal to start.' WHEN 2 THEN 'ValueError: page_range must hold page numbers and spans of them.' END AS error FROM documents")
+@_query(r"""SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'ValueError: page_range end must be greater than or equal to start.' WHEN 2 THEN 'ValueError: page_range must hold page numbers and spans of them.' END AS error,
+  CASE WHEN doc_id % 4 IN (0, 3) THEN array_to_string(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')), chr(10)) END AS text FROM documents""")
 def range_errors(spark, sf):
     d = F.col("doc_id") % 4
-    docs = _table(spark, sf, "documents").select("doc_id", F.lit("d.txt.html").alias("filename"), F.encode(F.lit("<p>x"), "UTF-8").alias("content"), F.when(d == 0, "0").when(d == 1, "5-3").when(d == 2, "1-x").alias("asked"))
-    return convert.convert_documents(docs, options.build_options(page_range=F.col("asked"))).select("doc_id", "error")
+    docs = _table(spark, sf, "documents").select("doc_id", F.lit("d.txt").alias("filename"), F.encode(F.replace("text", F.lit("\n"), F.lit("\n\n")), "UTF-8").alias("content"), F.when(d == 0, "0-999999999").when(d == 1, "5-3").when(d == 2, "1-x").alias("asked"))
+    got = convert.convert_documents(docs, options.build_options(page_range=F.col("asked")))
+    return got.select("doc_id", "error", F.replace("text", F.lit("\n\n"), F.lit("\n")).alias("text"))
+
+
+@_query("""WITH p AS (SELECT doc_id, unnest(l) AS page, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT doc_id, list_concat(range(doc_id % 7, len(string_split(text, chr(10)))::BIGINT), [0]) AS l FROM documents)),
+  b AS (SELECT *, pos // 5 AS chunk_no, CASE WHEN page = lag(page) OVER w + 1 THEN 0 ELSE 1 END AS brk FROM p WINDOW w AS (PARTITION BY doc_id, pos // 5 ORDER BY pos)),
+  s AS (SELECT *, sum(brk) OVER (PARTITION BY doc_id, chunk_no ORDER BY pos) AS seg FROM b),
+  r AS (SELECT doc_id, chunk_no, seg, min(pos) AS pos, CASE WHEN min(page) = max(page) THEN min(page)::VARCHAR ELSE min(page) || '-' || max(page) END AS t FROM s GROUP BY ALL)
+  SELECT doc_id, chunk_no::INT AS chunk_no, string_agg(t, ',' ORDER BY pos) AS page_range FROM r GROUP BY ALL""")
+def range_clip(spark, sf):
+    """A span of a thousand million pages and a page, clipped to each document and cut to chunks of five."""
+    rows = _table(spark, sf, "documents").select("doc_id", F.size(F.split("text", "\n")).alias("n"), F.concat(F.col("doc_id") % 7, F.lit("-999999999, 0")).alias("asked"))
+    cut = ranges.chunk_spans(ranges.clip_spans(ranges.parse_spans(F.col("asked")), F.col("n")), F.lit(5))
+    return rows.select("doc_id", F.posexplode(cut).alias("chunk_no", "page_range"))
 
 
 # --- predicates and options ---------------------------------------------------------
@@ -246,11 +297,42 @@ def error_classification(spark, sf):
     return _table(spark, sf, "events").select("event_id", predicates.is_out_of_memory(message, F.lit("RuntimeError")).alias("out_of_memory"), predicates.is_llm_failure(message).alias("llm"))
 
 
-@_query("SELECT event_id, event_id % 4 IN (0, 1) AS is_assets, CASE event_id % 4 WHEN 0 THEN 'assets' WHEN 1 THEN 'assets' ELSE 'metadata' END AS goes_to FROM events")
+class Extras:
+    """A backend that gives back what it read as a payload beside the text."""
+
+    def convert(self, content, suffix, given, device):
+        return {"text": "t", "extras": [json.loads(content)]}
+
+
+@_query("""SELECT event_id AS doc_id, event_id % 4 IN (0, 1) AS is_assets, CASE WHEN event_id % 4 > 1 THEN (props::JSON->>'k')::BIGINT END AS k FROM events""")
 def asset_classification(spark, sf):
     e = F.col("event_id") % 4
-    payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"Path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.lit('{"x": "a path"}')).otherwise(F.col("props"))
-    return _table(spark, sf, "events").select("event_id", predicates.looks_like_assets(payload).alias("is_assets"), assets.route_extra(payload).alias("goes_to"))
+    payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"Path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.concat(F.lit('{"x": "a path", "p": '), "props", F.lit("}"))).otherwise(F.concat(F.lit('{"p": '), "props", F.lit("}")))
+    docs = _table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.lit("e.json").alias("filename"), F.encode(payload, "UTF-8").alias("content"))
+    got = convert.convert_documents(docs, options.build_options(), backend=Extras(), merged=False)
+    return got.select("doc_id", (F.cardinality("assets") > 0).alias("is_assets"), F.get_json_object(F.try_element_at("metadata", F.lit("p")), "$.k").cast("long").alias("k"))
+
+
+@_query("""WITH c AS (SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN 'list' WHEN turn % 4 = 1 THEN 'object' ELSE 'plain' END AS kind FROM conversations),
+  l AS (SELECT conv_id, string_agg(turn::VARCHAR, ',' ORDER BY turn) AS turns FROM conversations GROUP BY conv_id),
+  o AS (SELECT conv_id, string_agg(role || ':' || t, ',' ORDER BY role) AS roles FROM (SELECT conv_id, role, max(turn) AS t FROM conversations GROUP BY ALL) GROUP BY conv_id),
+  last AS (SELECT conv_id, arg_max(kind, turn) AS kind, max(turn) AS turn, max(CASE WHEN kind <> 'list' THEN turn END) AS other, max(CASE WHEN kind = 'object' THEN turn END) AS object, max(CASE WHEN kind <> 'object' THEN turn END) AS unlike FROM c GROUP BY conv_id)
+  SELECT conv_id AS doc_id, l.turns AS lists, o.roles AS objects,
+    CASE kind WHEN 'list' THEN (SELECT '[' || string_agg(c.turn::VARCHAR, ',' ORDER BY c.turn) || ']' FROM c WHERE c.conv_id = last.conv_id AND c.turn > coalesce(other, -1))
+      WHEN 'object' THEN (SELECT '{' || string_agg('"' || r || '":' || t, ',' ORDER BY r) || '}' FROM (SELECT c.role AS r, max(c.turn) AS t FROM c WHERE c.conv_id = last.conv_id AND c.turn > coalesce(unlike, -1) GROUP BY c.role))
+      ELSE turn::VARCHAR END AS mixed
+  FROM last JOIN l USING (conv_id) JOIN o USING (conv_id)""")
+def asset_fold(spark, sf):
+    """Lists are put end to end, objects updated, and values of another kind replace what was there."""
+    turn, role = F.col("turn").cast("string"), F.col("role")
+    a_list, an_object = F.concat(F.lit("["), turn, F.lit("]")), F.concat(F.lit('{"'), role, F.lit('":'), turn, F.lit("}"))
+    mixed = F.when(F.col("turn") % 2 == 0, a_list).when(F.col("turn") % 4 == 1, an_object).otherwise(turn)
+    payload = F.concat(F.lit('{"l":'), a_list, F.lit(',"o":'), an_object, F.lit(',"m":'), mixed, F.lit("}"))
+    rows = _chunks(spark, sf).drop("assets").join(_table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("chunk_no"), merge.groups_of(payload).alias("assets")), ["doc_id", "chunk_no"])
+    got = merge.merge_chunks(rows).select("doc_id", *(F.element_at("assets", F.lit(k)).alias(k) for k in "lom"))
+    roles = F.map_entries(F.col("o").cast("map<string,bigint>"))
+    pairs = F.array_join(F.array_sort(F.transform(roles, lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))), ",")
+    return got.select("doc_id", F.array_join(F.col("l").cast("array<string>"), ",").alias("lists"), pairs.alias("objects"), F.to_json("m").alias("mixed"))
 
 
 @_query("SELECT doc_id, 'markdown' AS output_format, CASE WHEN doc_id % 2 = 0 THEN '0-3' END AS page_range, CASE WHEN doc_id % 3 = 0 THEN '0' END AS max_pages_per_chunk, CASE WHEN doc_id % 5 = 0 THEN true END AS force_ocr, NULL::BOOLEAN AS paginate_output, CASE WHEN doc_id % 7 = 0 THEN true END AS use_llm, CASE WHEN doc_id % 7 = 0 THEN 'ollama' END AS llm_service FROM documents")
@@ -312,10 +394,10 @@ def convert_json_blocks(spark, sf):
     return got.select("doc_id", _letters(shown).alias("letters"), F.exists(blocks, lambda b: b["block_type"] == "heading").alias("has_heading"), "page_count", "error")
 
 
-@_query(f"SELECT page_id AS doc_id, {_SHOWN} AS letters, 1::BIGINT AS page_count, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' AS has_title, NULL::VARCHAR AS error FROM pages")
+@_query(f"SELECT page_id AS doc_id, {_MARKDOWN} AS text, 1::BIGINT AS page_count, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' AS has_title, NULL::VARCHAR AS error FROM pages")
 def convert_markdown_result(spark, sf):
     got = convert.convert_documents(_html_docs(spark, sf), options.build_options(max_pages_per_chunk=2))
-    return got.select("doc_id", _letters("text").alias("letters"), "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
+    return got.select("doc_id", "text", "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
 
 
 def pdf_of(pages: list[str], packed: bool = False) -> bytes:
@@ -392,6 +474,13 @@ def fallback_ladder(spark, sf):
     return got.select("doc_id", "text", "error", F.array_join("warnings", "|").alias("warnings"))
 
 
+@_query(_SQL["fallback_ladder"])
+def ladder_in_passes(spark, sf):
+    """The same rows as the ladder's, where documents out of memory go on in a second pass."""
+    got = convert.convert_in_passes(_html_docs(spark, sf), options.build_options(use_llm=True), backend=Flaky())
+    return got.select("doc_id", "text", "error", F.array_join("warnings", "|").alias("warnings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

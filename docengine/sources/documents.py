@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import decode64, suffix_or_default
-from ..operators.assets import asset_rows, is_safe_name
+from .sink import write_files
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -42,36 +42,18 @@ def read_settings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_texts(results: DataFrame, folder: str, *, name: str = "filename", text: str = "text", assets: bool = True) -> int:
-    """One file per document, and its assets, under a folder that all executors share.
+    """One file per document, and its assets, under a folder that all executors share (``sink.write_files``).
 
     A text keeps its document's path with the suffix of its format; assets lie in a
     folder of the document's own. Names that are empty, lead out of the folder or
-    are those of two files are refused before anything is written. Returns the number of files.
+    are those of two files are refused, and then nothing is written. Returns the number of files.
     """
-    stem = F.regexp_replace(F.col(name), r"\.[^./]+$", "")
-    rows = results.select(stem.alias("n"), F.col(text).alias("t"), *(["assets"] if assets else []))
-    files = rows.select(F.concat("n", F.lit(".md")).alias("name"), F.encode("t", "UTF-8").alias("content"))
-    if assets:
-        # the asset's own name must be safe, not only the path that it is part of
-        made = asset_rows(rows, "n").select(F.when(is_safe_name(F.col("filename")), F.concat("n", F.lit("/"), "filename")).otherwise(F.col("filename")).alias("name"), F.unbase64("content_base64").alias("content"))
-        files = files.unionByName(made)
-    bad = files.where(~is_safe_name(F.col("name"))).select("name").head(1)
-    if bad:
-        raise ValueError(f"asset filename leads out of the output folder or is empty: {bad[0][0]!r}")
-    twice = files.groupBy("name").count().where("count > 1").head(1)
-    if twice:
-        raise ValueError(f"two files would have one name: {twice[0][0]!r}")
-
-    def write(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for n, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                to = os.path.join(folder, n)
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                with open(to + ".part", "wb") as f:
-                    f.write(c or b"")
-                os.replace(to + ".part", to)  # a task that runs again writes the same file
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
-
-    return files.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+    kept = ["assets"] if assets and "assets" in results.columns else []
+    before = set(_files(folder))
+    write_files(results.select(F.col(name).alias("filename"), F.col(text).alias("text"), *kept, *(["error"] if "error" in results.columns else [])), folder)
+    return len(set(_files(folder)) - before)
+
+
+def _files(folder: str) -> list[str]:
+    """Files below a folder but those that begin with an underscore."""
+    return [os.path.join(d, n) for d, _, names in os.walk(folder) if not os.path.relpath(d, folder).startswith("_") for n in names]

@@ -13,12 +13,15 @@ import re
 import zipfile
 import zlib
 from html.parser import HTMLParser
+from typing import NamedTuple
 from xml.etree import ElementTree
 
 Block = tuple[str, int, str]
 
 SKIPPED = {"script", "style", "nav", "footer", "head", "noscript", "template"}
 IMAGE_SUFFIXES = {".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp"}
+ENCRYPTED = "the document is encrypted; its text could not be read."
+UNREAD = "some pages have a filter that is not read; their text is left out."
 
 
 class UnsupportedDocument(ValueError):
@@ -194,7 +197,16 @@ def _literal(t: bytes) -> str:
     return s.decode("latin-1")
 
 
-def _pdf_objects(content: bytes) -> dict[int, tuple[bytes, bytes | None]]:
+class PdfObject(NamedTuple):
+    """A dictionary, the stream behind it, and the place in the file of the object it is (or is packed) in."""
+
+    head: bytes
+    data: bytes | None
+    at: int
+    end: int
+
+
+def _pdf_objects(content: bytes) -> dict[int, PdfObject]:
     out = {}
     for m in _OBJECT.finditer(content):
         s = _STREAM.match(m[2])
@@ -204,52 +216,89 @@ def _pdf_objects(content: bytes) -> dict[int, tuple[bytes, bytes | None]]:
                 data = zlib.decompressobj().decompress(data)
             except zlib.error:
                 data = b""
-        out[int(m[1])] = (head, data)
-    for head, data in list(out.values()):  # objects inside object streams
-        if data and b"/ObjStm" in head:
-            n, first = (int(re.search(rb"/" + k + rb"\s+(\d+)", head)[1]) for k in (b"N", b"First"))
-            at = list(map(int, data[:first].split()[: 2 * n]))
-            places = at[1::2] + [len(data) - first]
+        out[int(m[1])] = PdfObject(head, data, m.start(), m.end())
+    for o in list(out.values()):  # objects inside object streams
+        if o.data and b"/ObjStm" in o.head:
+            n, first = (int(re.search(rb"/" + k + rb"\s+(\d+)", o.head)[1]) for k in (b"N", b"First"))
+            at = list(map(int, o.data[:first].split()[: 2 * n]))
+            places = at[1::2] + [len(o.data) - first]
             for k, number in enumerate(at[::2]):
-                out.setdefault(number, (data[first + places[k] : first + places[k + 1]], None))
+                out.setdefault(number, PdfObject(o.data[first + places[k] : first + places[k + 1]], None, o.at, o.end))
     return out
 
 
-def pdf_page_objects(content: bytes) -> tuple[dict, list[int]]:
-    """All objects, and the numbers of the page objects in reading order (by the page tree)."""
+_REFERENCE = re.compile(rb"(\d+)\s+\d+\s+R\b")
+_PAGE, _PARENT, _KIDS = re.compile(rb"/Type\s*/Page\b"), re.compile(rb"/Parent\s+(\d+)\s+\d+\s+R\b"), re.compile(rb"/Kids\s*\[(.*?)\]", re.S)
+
+
+def pdf_page_objects(content: bytes) -> tuple[dict[int, PdfObject], list[int]]:
+    """All objects, and the numbers of the page objects in reading order (by the page tree). A page may be there more than once."""
     if not content.lstrip()[:5] == b"%PDF-":
         raise UnsupportedDocument("not a PDF document")
     objects = _pdf_objects(content)
     pages: list[int] = []
-    seen: set[int] = set()
-
-    def walk(n: int) -> None:
-        if n in seen or n not in objects:
-            return
-        seen.add(n)
-        head = objects[n][0]
-        if re.search(rb"/Type\s*/Page\b", head):
-            pages.append(n)
-        elif m := re.search(rb"/Kids\s*\[(.*?)\]", head, re.S):
-            for k in re.findall(rb"(\d+)\s+\d+\s+R", m[1]):
-                walk(int(k))
-
-    for head, _ in list(objects.values()):
-        if re.search(rb"/Type\s*/Catalog\b", head) and (m := re.search(rb"/Pages\s+(\d+)\s+\d+\s+R", head)):
-            walk(int(m[1]))
-    return objects, pages or sorted(n for n, (h, _) in objects.items() if re.search(rb"/Type\s*/Page\b", h))
+    for o in list(objects.values()):
+        if re.search(rb"/Type\s*/Catalog\b", o.head) and (m := re.search(rb"/Pages\s+(\d+)\s+\d+\s+R", o.head)):
+            todo, seen = [int(m[1])], set()
+            while todo:
+                n = todo.pop()
+                head = objects[n].head if n in objects else b""
+                if _PAGE.search(head):
+                    pages.append(n)
+                elif n not in seen and (k := _KIDS.search(head)):
+                    seen.add(n)
+                    todo += [int(x) for x in reversed(_REFERENCE.findall(k[1]))]
+    return objects, pages or sorted(n for n, o in objects.items() if _PAGE.search(o.head))
 
 
 def pdf_page_count(content: bytes) -> int:
     return len(pdf_page_objects(content)[1])
 
 
-def parse_pdf(content: bytes) -> list[list[Block]]:
+def pdf_outline(content: bytes) -> dict:
+    """What each page needs of the file, so that pages can be cut out without a parser.
+
+    ``objects`` are the places (at, size) of objects, ``pages`` the number of each page's object and the
+    objects it reaches: all that it refers to and the nodes above it (for what it inherits), but no other pages.
+    """
+    objects, pages = pdf_page_objects(content)
+    places: dict[tuple[int, int], int] = {}
+    below: dict[int, tuple[set[int], int | None]] = {}
+
+    def refers(n: int) -> tuple[set[int], int | None]:
+        """Objects that one refers to, and the node above it."""
+        if n not in below:
+            head = _KIDS.sub(b"", objects[n].head)
+            parent = _PARENT.search(head)
+            below[n] = {int(k) for k in _REFERENCE.findall(_PARENT.sub(b"", head))} & objects.keys(), int(parent[1]) if parent and int(parent[1]) in objects else None
+        return below[n]
+
+    found = []
+    for page in pages:
+        seen, todo = {page}, [page]
+        while todo:
+            more, parent = refers(todo.pop())
+            new = {k for k in more | ({parent} if parent is not None else set()) if k not in seen and not _PAGE.search(objects[k].head)}
+            seen |= new
+            todo += new
+        needs = {(objects[k].at, objects[k].end - objects[k].at) for k in seen}
+        found.append({"no": page, "needs": sorted({places.setdefault(x, len(places)) for x in needs})})
+    return {"total": len(pages), "top": max(objects, default=0), "objects": [{"at": a, "size": n} for a, n in places], "pages": found}
+
+
+def parse_pdf(content: bytes, notes: list[str] | None = None) -> list[list[Block]]:
+    """Lines of text of each page; what could not be read is told in ``notes``."""
     objects, pages = pdf_page_objects(content)
+    notes = [] if notes is None else notes
+    if re.search(rb"/Encrypt\s+\d+\s+\d+\s+R", content):
+        notes.append(ENCRYPTED)
     out = []
     for n in pages:
-        m = re.search(rb"/Contents\s*(\[.*?\]|\d+\s+\d+\s+R)", objects[n][0], re.S)
-        data = b"\n".join(objects.get(int(k), (b"", b""))[1] or b"" for k in re.findall(rb"(\d+)\s+\d+\s+R", m[1])) if m else b""
+        m = re.search(rb"/Contents\s*(\[.*?\]|\d+\s+\d+\s+R)", objects[n].head, re.S)
+        streams = [objects[int(k)] for k in _REFERENCE.findall(m[1]) if int(k) in objects] if m else []
+        if UNREAD not in notes and any(b"/Filter" in o.head and set(re.findall(rb"/(\w+Decode)\b", o.head)) != {b"FlateDecode"} for o in streams):
+            notes.append(UNREAD)
+        data = b"\n".join(o.data or b"" for o in streams)
         lines, line, args = [], [], []
         for t in _TOKEN.findall(data):
             if t[:1] in b"(<":
@@ -275,8 +324,8 @@ def parse_pdf(content: bytes) -> list[list[Block]]:
     return out
 
 
-def parse(content: bytes, suffix: str) -> tuple[list[list[Block]], dict[str, str]]:
-    """Pages and metadata of a document, by its suffix."""
+def parse(content: bytes, suffix: str, notes: list[str] | None = None) -> tuple[list[list[Block]], dict[str, str]]:
+    """Pages and metadata of a document, by its suffix. ``notes`` gets what could not be read."""
     suffix = suffix.lower()
     if suffix in IMAGE_SUFFIXES:
         raise UnsupportedDocument(f"{suffix} needs an optical backend, and none is configured")
@@ -293,7 +342,7 @@ def parse(content: bytes, suffix: str) -> tuple[list[list[Block]], dict[str, str
             return parse_epub(z)
         return {".docx": parse_docx, ".pptx": parse_pptx, ".xlsx": parse_xlsx}[suffix](z), _core(z)
     if suffix == ".pdf":
-        return parse_pdf(content), {}
+        return parse_pdf(content, notes), {}
     raise UnsupportedDocument(f"unknown document type {suffix!r}")
 
 
