@@ -304,19 +304,19 @@ class Extras:
         return {"text": "t", "extras": [json.loads(content)]}
 
 
-@_query("""SELECT event_id AS doc_id, event_id % 4 IN (0, 1) AS is_assets, CASE WHEN event_id % 4 > 1 THEN (props::JSON->>'k')::BIGINT END AS k FROM events""")
+@_query("""SELECT event_id AS doc_id, event_id % 4 IN (0, 1) AS is_assets, CASE WHEN event_id % 4 > 1 THEN props::JSON->>'k' END AS k FROM events""")
 def asset_classification(spark, sf):
     e = F.col("event_id") % 4
     payload = F.when(e == 0, F.concat(F.lit('{"images": {}, "p": '), "props", F.lit("}"))).when(e == 1, F.concat(F.lit('{"x": [{"Path": "a"}], "p": '), "props", F.lit("}"))).when(e == 2, F.concat(F.lit('{"x": "a path", "p": '), "props", F.lit("}"))).otherwise(F.concat(F.lit('{"p": '), "props", F.lit("}")))
     docs = _table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.lit("e.json").alias("filename"), F.encode(payload, "UTF-8").alias("content"))
     got = convert.convert_documents(docs, options.build_options(), backend=Extras(), merged=False)
-    return got.select("doc_id", (F.cardinality("assets") > 0).alias("is_assets"), F.get_json_object(F.try_element_at("metadata", F.lit("p")), "$.k").cast("long").alias("k"))
+    return got.select("doc_id", (F.cardinality("assets") > 0).alias("is_assets"), F.get_json_object(F.try_element_at("metadata", F.lit("p")), "$.k").alias("k"))
 
 
 @_query("""WITH c AS (SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN 'list' WHEN turn % 4 = 1 THEN 'object' ELSE 'plain' END AS kind FROM conversations),
   l AS (SELECT conv_id, string_agg(turn::VARCHAR, ',' ORDER BY turn) AS turns FROM conversations GROUP BY conv_id),
   o AS (SELECT conv_id, string_agg(role || ':' || t, ',' ORDER BY role) AS roles FROM (SELECT conv_id, role, max(turn) AS t FROM conversations GROUP BY ALL) GROUP BY conv_id),
-  last AS (SELECT conv_id, arg_max(kind, turn) AS kind, max(turn) AS turn, max(CASE WHEN kind <> 'list' THEN turn END) AS other, max(CASE WHEN kind = 'object' THEN turn END) AS object, max(CASE WHEN kind <> 'object' THEN turn END) AS unlike FROM c GROUP BY conv_id)
+  last AS (SELECT conv_id, arg_max(kind, turn) AS kind, max(turn) AS turn, max(CASE WHEN kind <> 'list' THEN turn END) AS other, max(CASE WHEN kind <> 'object' THEN turn END) AS unlike FROM c GROUP BY conv_id)
   SELECT conv_id AS doc_id, l.turns AS lists, o.roles AS objects,
     CASE kind WHEN 'list' THEN (SELECT '[' || string_agg(c.turn::VARCHAR, ',' ORDER BY c.turn) || ']' FROM c WHERE c.conv_id = last.conv_id AND c.turn > coalesce(other, -1))
       WHEN 'object' THEN (SELECT '{' || string_agg('"' || r || '":' || t, ',' ORDER BY r) || '}' FROM (SELECT c.role AS r, max(c.turn) AS t FROM c WHERE c.conv_id = last.conv_id AND c.turn > coalesce(unlike, -1) GROUP BY c.role))
