@@ -140,6 +140,18 @@ def bisect(doc: np.ndarray, term: np.ndarray, n: int, passes: int = PASSES) -> t
     return side, np.bincount(term, minlength=terms) - dr, dr
 
 
+def _threshold(score: np.ndarray, side: np.ndarray) -> float:
+    """The score from which on documents go left, so that most of them stay on the side they were put on."""
+    order = np.argsort(-score, kind="stable")
+    s, right = score[order], side[order]
+    same = np.cumsum(right == 0) + right.sum() - np.cumsum(right)
+    ends = np.flatnonzero(np.diff(s) < 0)  # a cut is between two different scores
+    if not len(ends):
+        return -np.inf
+    at = ends[np.argmax(same[ends])]
+    return (s[at] + s[at + 1]) / 2
+
+
 class Order:
     """The tree of cuts: what each term weighs at each cut, and the weight from which a document goes left."""
 
@@ -153,7 +165,7 @@ class Order:
             below: dict[int, np.ndarray] = {}
             for node, members in nodes.items():
                 if level == levels or len(members) < 2:
-                    self.share[(node << (levels - level)) - (1 << levels)] += len(members) / n
+                    self.share[(node << (levels - level)) - (1 << levels)] += len(members) / max(1, n)
                     continue
                 place = np.full(n, -1)
                 place[members] = np.arange(len(members))
@@ -166,7 +178,7 @@ class Order:
                 kept = np.zeros(len(known))
                 kept[top] = w[top]
                 score = np.bincount(d, weights=kept[t], minlength=len(members))
-                self.least[node] = (np.median(score[side == 0]) + np.median(score[side == 1])) / 2
+                self.least[node] = _threshold(score, side)
                 left = score >= self.least[node]
                 keys.append(_at_node(known[top], node))
                 weights.append(w[top])
