@@ -117,6 +117,31 @@ def test_long_tokens_and_runs_are_restored(docs, labelled):
     assert toxicity.restored_text(m, " ".join("idiot" * 12)) == "idiot" * 12
 
 
+@pytest.mark.parametrize("letters", [11, 15, 30, 44, 46, 48, 49, 50, 60, 500])
+def test_words_in_runs_are_found_at_every_length(docs, labelled, letters):
+    """A spelled-out run that ends in a word, and one joined by signs: no length is another case."""
+    own, _ = split(labelled)
+    m = toxicity.fit(pa.array([docs[i][0] for i in own]), [labelled[i][1] for i in own])
+    base = toxicity.predict(m, pa.array(["the of and"]))[0]
+    run = ("theofandin" * 60)[: letters - 5] + "idiot"
+    assert toxicity.predict(m, pa.array([" ".join(run)]))[0] > 3 * base
+    assert toxicity.predict(m, pa.array(["-".join(run)]))[0] > 3 * base
+
+
+@pytest.mark.parametrize("length", [300, 60_000])
+def test_long_labelled_texts_are_learned_from(spark, length):
+    """Labelled rows of long texts alone give scores on both sides of a half; with a small budget the shortest are taken."""
+    from docengine.llm.labelled import labelled_sample
+
+    pad = "plain words of no kind " * (length // 23)
+    docs = spark.createDataFrame([(i, f"{pad} {'stupid idiot' if i % 2 else 'kind friend'}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_report(spark, docs, labels).collect()
+    assert all((r["score"] >= 0.5) == bool(r["doc_id"] % 2) for r in got)
+    texts, y = labelled_sample(spark, docs, labels, "toxic", 4000, most=1600)
+    assert len(texts) == 16 and sum(y) == 8
+
+
 def test_word_marginals_agree_with_enumeration(field):
     """What predicts, over a batch of texts of several lengths, against all paths of each text alone."""
     import itertools
