@@ -32,6 +32,8 @@ PART_BYTES = 24 << 20
 #: Words of a window that the automaton knows; automata and found windows that a worker keeps.
 BEGINNING, KEPT, MEMO = 3, 2, 100_000
 _NO_WORD = "\0"
+#: Words that have a code point each.
+CODES = 1_000_000
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
@@ -45,6 +47,10 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_NORMAL).split()
 
 
+def _sign(k: int) -> str:
+    return chr(k if k < 0xD800 else k + 0x800)  # code points without surrogates
+
+
 class Windows:
     """All windows of the items, as strings of one sign a word.
 
@@ -55,15 +61,22 @@ class Windows:
     def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         import ahocorasick
 
-        self.signs: dict[bytes, str] = {}
         self.names = [item for item, _ in items]
+        number: dict[bytes, int] = {}
+        for _, text in items:
+            for w in normal_words(text):
+                number.setdefault(w, len(number) + 1)
+        # a word is one code point, or two where there are more words than code points
+        self.wide = wide = 1 if len(number) <= CODES else 2
+        self.signs: dict[bytes, str] = {w: _sign(k) if wide == 1 else _sign(1 + k // CODES) + _sign(1 + k % CODES) for w, k in number.items()}
+        self.no_word = _NO_WORD * wide
         parts, at, size, who, total = [], [], [], [], 0
         for k, (_, text) in enumerate(items):
-            line = "".join([self.signs.get(w) or self._sign(w) for w in normal_words(text)])
-            n = min(window, len(line))
+            line = "".join([self.signs[w] for w in normal_words(text)])
+            n = min(window * wide, len(line))
             if n:
-                here = len(line) - n + 1
-                at.append(np.arange(total, total + here))
+                here = (len(line) - n) // wide + 1
+                at.append(np.arange(total, total + here * wide, wide))
                 size.append(np.full(here, n))
                 who.append(np.full(here, k))
                 parts.append(line)
@@ -72,10 +85,10 @@ class Windows:
         at, size, who = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (at, size, who))
         key = np.fromiter((hash(self.text[a : a + n]) for a, n in zip(at.tolist(), size.tolist(), strict=True)), np.int64, len(at))
         order = np.argsort(key, kind="stable")
-        self.key, self.at, self.size, self.who = key[order], at[order], size[order].astype(np.int16 if window < 1 << 15 else np.int64), who[order].astype(np.int32)
+        self.key, self.at, self.size, self.who = key[order], at[order], size[order].astype(np.int16 if window * wide < 1 << 15 else np.int64), who[order].astype(np.int32)
         begins: dict[str, set[int]] = {}
         for a, n in zip(at.tolist(), size.tolist(), strict=True):
-            begins.setdefault(self.text[a : a + min(n, BEGINNING)], set()).add(n)
+            begins.setdefault(self.text[a : a + min(n, BEGINNING * wide)], set()).add(n)
         self.automaton = ahocorasick.Automaton()
         shared: dict[tuple, tuple] = {}
         for b, sizes in begins.items():
@@ -84,11 +97,6 @@ class Windows:
         self.automaton.make_automaton()
         self.memo: dict[str, tuple[str, ...] | None] = {}
 
-    def _sign(self, word: bytes) -> str:
-        k = len(self.signs) + 1
-        self.signs[word] = sign = chr(k if k < 0xD800 else k + 0x800)  # code points without surrogates
-        return sign
-
     def items(self, window: str) -> tuple[str, ...] | None:
         """The items that hold a window, or None if none does."""
         if window not in self.memo:
@@ -106,10 +114,13 @@ class Windows:
         if not w or not len(self.automaton):
             return len(w), None, set()
         sign = self.signs.get
-        line = "".join([sign(x, _NO_WORD) for x in w])
+        wide = self.wide
+        line = "".join([sign(x, self.no_word) for x in w])
         edge, items = None, set()
         for end, (n, sizes) in self.automaton.iter(line):
             start = end - n + 1
+            if start % wide:
+                continue  # it begins inside a word
             for size in sizes:
                 window = line[start : start + size]
                 if len(window) < size or _NO_WORD in window:
@@ -118,8 +129,8 @@ class Windows:
                 if who is not None:
                     if edge is None:
                         edge = np.zeros(len(w) + 1, np.int64)
-                    edge[start] += 1
-                    edge[start + size] -= 1
+                    edge[start // wide] += 1
+                    edge[(start + size) // wide] -= 1
                     items.update(who)
         return len(w), None if edge is None else np.cumsum(edge)[:-1] > 0, items
 

@@ -59,3 +59,30 @@ def test_empty_benchmark_and_null_item_id(spark):
     nameless = spark.createDataFrame([(None, "short item here")], "item_id long, text string")
     r = D.contamination_report(docs, nameless).first()
     assert (r["n_hit"], r["n_items"], r["contaminated"]) == (3, 0, True)
+
+
+@pytest.mark.parametrize("codes", [1, 3, 7])
+def test_more_words_than_code_points(spark, monkeypatch, codes):
+    """Words of two code points each: the same answers, and no match begins inside a word."""
+    import random
+
+    monkeypatch.setattr(D, "CODES", codes)
+    r = random.Random(codes)
+    vocabulary = [f"w{i}" for i in range(9)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.randint(1, 16)))) for i in range(12)]
+    if codes > 1:
+        items = [(i, " ".join(r.choices(vocabulary[:6], k=2))) for i in range(6)]
+    texts = [" ".join(r.choices([*vocabulary, "other"], k=r.randint(0, 60))) for _ in range(60)]
+    a = D.Windows(items)
+    assert a.wide == (2 if len(a.signs) > codes else 1)
+    for t in texts:
+        n, hit, who = a.scan(t)
+        assert (n, 0 if hit is None else int(hit.sum()), sorted(map(str, who))) == brute(t, items)[:3]
+
+
+def test_empty_documents_and_a_very_long_text(spark):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert D.contamination_report(spark.createDataFrame([], "doc_id long, text string"), bench).collect() == []
+    docs = spark.createDataFrame([(1, "pad " * 400_000 + LONG)], "doc_id long, text string")
+    r = D.contamination_report(docs, bench).first()
+    assert (r["n_words"], r["n_hit"], r["contaminated"]) == (400_040, 40, False)
