@@ -32,6 +32,8 @@ from .textkit import U64, span_hashes
 END_ID = 0
 #: Documents whose id arrays train the dictionary, and its size.
 DICT_SAMPLE, DICT_BYTES, DICT_LONGEST = 2000, 64 << 10, 20_000
+#: Documents that train it at least, however long, and bytes of the pieces that few are cut to.
+DICT_FEW, DICT_PIECE = 16, 4096
 BLOCK_BYTES = 192 << 10
 SLICE_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers.
@@ -225,16 +227,24 @@ def encode_documents(column: pa.Array | pa.ChunkedArray, path: str, end_id: int
 def train_dictionary(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", sample: int = DICT_SAMPLE, size: int = DICT_BYTES, added: bool = False) -> bytes:
     """A zstandard dictionary from the id arrays of about ``sample`` documents.
 
-    Which documents: those of the smallest hashes of their ids, by a threshold. With too little
-    text to train on, the dictionary is empty. Texts of more than ``DICT_LONGEST``
-    characters are left to others, and the arrays' order does not depend on the rows'.
+    Which documents: those of the smallest hashes of their ids, by a threshold. Texts of more than ``DICT_LONGEST``
+    characters are left to others; where fewer than ``DICT_FEW`` are left, the shortest of the longer ones are taken, whole.
+    Few arrays are cut to pieces for the training, which wants many. With too little
+    text to train on, the dictionary is empty. The arrays' order does not depend on the rows'.
     """
     import zstandard
 
     u = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.xxhash64(F.col(id_col)).alias("h")).where(F.char_length("t") <= DICT_LONGEST).orderBy("h", "t").limit(2 * sample).select("t").toArrow().sort_by("t")
-    arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(picked.column("t").chunks, picked.column("t").type), path, added=added)]
-    del picked
+    picked = docs.where(u < sample / max(1, docs.count())).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.xxhash64(F.col(id_col)).alias("h"))
+    short = F.char_length("t") <= DICT_LONGEST
+    chosen = picked.where(short).orderBy("h", "t").limit(2 * sample).select("t").toArrow().sort_by("t")
+    if chosen.num_rows < DICT_FEW:
+        longer = picked.where(~short).orderBy(F.char_length("t"), "h", "t").limit(DICT_FEW - chosen.num_rows).select("t").toArrow().sort_by("t")
+        chosen = pa.concat_tables([chosen, longer])
+    arrays = [x.tobytes() for x in encode_documents(pa.chunked_array(chosen.column("t").chunks, chosen.column("t").type), path, added=added)]
+    if len(arrays) < 8 * DICT_FEW:
+        arrays = [x[i : i + DICT_PIECE] for x in arrays for i in range(0, len(x), DICT_PIECE)]
+    del picked, chosen
     try:
         return zstandard.train_dictionary(size, arrays).as_bytes()
     except zstandard.ZstdError:

@@ -96,3 +96,8 @@ def test_words_of_equal_letters_and_a_heavy_id(spark):
     got = sorted(T.read_token_files(spark, target).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == sorted(i for i, _ in rows)
     assert spark.read.parquet(f"{target}/shards").where("array_contains(doc_ids, 7)").select("shard").distinct().count() > 2
+
+
+def test_long_documents_train_the_dictionary(spark):
+    docs = spark.createDataFrame([(i, f"number {i} " + "some words that come again and again " * 900) for i in range(20)], "doc_id long, text string")
+    assert T.train_dictionary(docs, PATH).startswith(b"7\xa40\xec")  # the magic number of a dictionary
