@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import io
 import json
+import tempfile
+import uuid
 import zipfile
 import zlib
 from collections.abc import Callable
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import predicates, ranges, settings, text
-from ..operators import assets, convert, merge, options
+from ..operators import assets, convert, merge, options, passes
+from ..sources import sink
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -259,11 +262,13 @@ def asset_extend(spark, sf):
     return assets.asset_rows(merge.merge_chunks(_chunks(spark, sf)))
 
 
-@_query("SELECT conv_id AS doc_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text, sum(CASE WHEN turn % 2 = 0 THEN length(text) END)::BIGINT AS page_count FROM conversations GROUP BY conv_id")
+@_query("""SELECT conv_id AS doc_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text, sum(CASE WHEN turn % 2 = 0 THEN length(text) END)::BIGINT AS page_count,
+  string_agg(role || ':' || turn, '|' ORDER BY turn) AS warnings, arg_max(role, turn) AS last_role, string_agg(role || '-' || turn || '.png', '|' ORDER BY turn) AS images FROM conversations GROUP BY conv_id""")
 def result_json(spark, sf):
     made = convert.result_json(merge.merge_chunks(_chunks(spark, sf)))
-    got = F.from_json("result", "text string, page_count long")
-    return made.select("doc_id", got.alias("r")).select("doc_id", "r.text", "r.page_count")
+    got = F.from_json("result", "text string, page_count long, metadata map<string,string>, warnings array<string>, assets struct<images:array<struct<filename:string>>>")
+    r = made.select("doc_id", got.alias("r"))
+    return r.select("doc_id", "r.text", "r.page_count", F.array_join("r.warnings", "|").alias("warnings"), F.element_at("r.metadata", F.lit("last")).alias("last_role"), F.array_join("r.assets.images.filename", "|").alias("images"))
 
 
 @_query(r"""SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'ValueError: page_range end must be greater than or equal to start.' WHEN 2 THEN 'ValueError: page_range must hold page numbers and spans of them.' END AS error,
@@ -400,6 +405,29 @@ def convert_markdown_result(spark, sf):
     return got.select("doc_id", "text", "page_count", F.coalesce(F.map_contains_key("metadata", F.lit("title")), F.lit(False)).alias("has_title"), "error")
 
 
+_TITLE = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
+for _name, _sign in (("copy", "©"), ("middot", "·"), ("nbsp", " "), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    _TITLE = f"replace({_TITLE}, '&{_name};', '{_sign}')"
+
+
+@_query(f"SELECT page_id AS doc_id, {_MARKDOWN} AS text, 1::BIGINT AS page_count, nullif(trim(regexp_replace({_TITLE}, '\\s+', ' ', 'g')), '') AS title, '{convert.NO_OCR}|{ranges.PAST_END}' AS warnings, NULL::VARCHAR AS error FROM pages")
+def result_fields(spark, sf):
+    """Text, metadata and warnings of a structured result."""
+    got = api.convert_result(_html_docs(spark, sf), page_range="0-4", force_ocr=True)
+    return got.select("doc_id", "text", "page_count", F.try_element_at("metadata", F.lit("title")).alias("title"), F.array_join("warnings", "|").alias("warnings"), "error")
+
+
+@_query(f"SELECT 'site/' || page_id % 5 || '/page-' || page_id || '.md' AS name, {_MARKDOWN} AS text FROM pages")
+def written_files(spark, sf):
+    """Texts that the sink has written to files below folders, read again."""
+    place = passes.shared_folder(spark)
+    folder = sink.local_path(f"{place.rstrip('/')}/files-{uuid.uuid4().hex}") if place else tempfile.mkdtemp(prefix="docengine-files-")
+    name = F.concat(F.lit("site/"), F.col("doc_id") % 5, F.lit("/page-"), "doc_id", F.lit(".html"))
+    sink.write_files(api.convert_result(_html_docs(spark, sf).withColumn("filename", name)), folder)
+    files = spark.read.text(f"file://{folder}/site", wholetext=True, recursiveFileLookup=True).withColumn("path", F.input_file_name())
+    return files.select(F.regexp_extract("path", "(site/.*)$", 1).alias("name"), F.col("value").alias("text"))
+
+
 def pdf_of(pages: list[str], packed: bool = False) -> bytes:
     """A small PDF with one line of text a page."""
     kids = " ".join(f"{3 + 2 * i} 0 R" for i in range(len(pages)))

@@ -13,13 +13,15 @@ from .sink import write_files
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def read_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """(doc_id, path, filename, suffix, content) of the files of a folder; file filters reach the listing.
+def read_files(spark: SparkSession, path: str, pattern: str | None = None, largest: int | None = None) -> DataFrame:
+    """(doc_id, path, filename, suffix, length, content) of the files of a folder.
 
-    A file's name is its path below the folder.
+    A file's name is its path below the folder. Names and sizes come from the listing: a ``pattern`` of names and the
+    ``largest`` size reach it, and a query that does not ask for contents opens no file.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     rows = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
+    rows = rows.where(F.col("length") <= largest) if largest is not None else rows
     base = F.element_at(F.split("path", "/"), -1)
     folder = F.lit("/" + path.split("://", 1)[-1].split(":/", 1)[-1].strip("/") + "/")
     at = F.instr(F.col("path"), folder)

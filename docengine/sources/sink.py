@@ -38,6 +38,14 @@ def safe_name(name: str | None) -> bool:
     return bool((name or "").strip()) and not name.startswith("/") and not re.match("[A-Za-z]:", name) and low >= 0 and depth > 0
 
 
+def local_path(path: str) -> str:
+    """The path of a folder that all machines have mounted; other stores are refused."""
+    path = re.sub("^file:/+", "/", path)
+    if re.match("[a-z][a-z0-9+.-]+:/", path):
+        raise ValueError(f"{NAME} writes to folders that all machines have mounted, not to {path}")
+    return path
+
+
 def text_name(filename: str, suffix: str) -> str:
     return re.sub(r"\.[^./]+$", "", filename) + suffix
 
@@ -68,7 +76,7 @@ class DocumentFiles(DataSource):
 
 class FilesWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
-        self.target = re.sub("^file:/+", "/", options["path"])
+        self.target = local_path(options["path"])
         self.suffix = options.get("suffix", SUFFIXES["markdown"])
         self.staging = os.path.join(self.target, f"_staging-{uuid.uuid4().hex}")
 
@@ -141,7 +149,7 @@ def write_files(results: DataFrame, folder: str, output_format: str = "markdown"
     spark.dataSource.register(DocumentFiles)
     given = [c for c in ("filename", "text", "error") if c in results.columns]
     assets = [F.to_json("assets").alias("assets")] if "assets" in results.columns else []
-    results.select(*given, *assets).write.format(NAME).option("suffix", SUFFIXES[output_format]).mode("append").save(os.path.abspath(folder))
+    results.select(*given, *assets).write.format(NAME).option("suffix", SUFFIXES[output_format]).mode("append").save(os.path.abspath(local_path(folder)))
 
 
 def read_errors(spark: SparkSession, folder: str) -> DataFrame:

@@ -477,3 +477,17 @@ def test_running_summary_counts_a_repeated_file_once(spark, tmp_path):
     query = stream_merge.running_summary(rows).writeStream.format("memory").queryName("sums").outputMode("complete").trigger(availableNow=True).start()
     assert query.awaitTermination(90)
     assert tuple(spark.sql("select * from sums").first()) == (4, 3, 1)
+
+
+def test_listing_opens_no_file_and_sizes_reach_it(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<p>one")
+    (tmp_path / "b.html").write_text("<p>" + "two" * 100)
+    (tmp_path / "c.bin").write_text("x")
+    listed = documents.read_files(spark, str(tmp_path), "*.html").select("filename", "length")
+    os.chmod(tmp_path / "a.html", 0)
+    assert sorted(map(tuple, listed.collect())) == [("a.html", 6), ("b.html", 303)]
+    assert "ReadSchema: struct<path:string,length:bigint>" in plan_of(listed)
+    small = documents.read_files(spark, str(tmp_path), "*.html", largest=100)
+    assert "LessThanOrEqual(length,100)" in plan_of(small) and [r.filename for r in small.select("filename").collect()] == ["a.html"]
+    with pytest.raises(ValueError, match="mounted"):
+        sink.local_path("s3a://somewhere/x")
