@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from .functions.settings import llm_options
 from .operators.convert import Backend, convert_batch, convert_documents, converter, result_json
-from .operators.options import build_options
-from .sources.documents import from_base64, read_files
+from .operators.options import build_options, example_options
+from .sources.documents import from_base64, read_files, read_settings
 from .sources.sink import check_names, read_errors, write_files
 
+#: Lines of a settings file that are read at most.
+MOST_SETTINGS = 1000
 READY, FAILED = "The converter is ready.", "The converter could not be initialised."
 
 
@@ -70,9 +72,12 @@ def register(spark: SparkSession) -> None:
     tables.register(spark)
 
 
-def settings_options(env: Column) -> Column:
-    """The options map that service settings give, for ``build_options(llm=...)``."""
-    return llm_options(env)
+def settings_options(spark: SparkSession, path: str | None) -> Column | None:
+    """The options map that a settings file gives, for ``build_options(llm=...)``: a few lines, read by the driver."""
+    if path is None:
+        return None
+    rows = read_settings(spark, path).limit(MOST_SETTINGS).collect()
+    return llm_options(F.create_map(*(F.lit(x) for r in {r["name"]: r["value"] for r in rows}.items() for x in r)).cast("map<string,string>"))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -85,6 +90,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-pages-per-chunk", type=int, default=4)
     p.add_argument("--force-ocr", action="store_true")
     p.add_argument("--use-llm", action="store_true")
+    p.add_argument("--settings", help="file of NAME=value lines for the language-model service")
     p.add_argument("--paginate", action=argparse.BooleanOptionalAction, default=True)
     return p
 
@@ -94,7 +100,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("docengine").getOrCreate()
     docs = read_files(spark, a.source, a.pattern)
     check_names(docs)
-    got = convert_result(docs, output_format=a.output_format, page_range=a.page_range, max_pages_per_chunk=a.max_pages_per_chunk, force_ocr=a.force_ocr, paginate_output=a.paginate, use_llm=a.use_llm)
+    options = example_options(a.page_range, a.force_ocr, a.use_llm, a.output_format, max_pages_per_chunk=a.max_pages_per_chunk, paginate_output=a.paginate, llm=settings_options(spark, a.settings))
+    got = convert_documents(docs, options)
     write_files(got, a.target, a.output_format)
     for r in read_errors(spark, a.target).toLocalIterator():
         print(f"{r['filename']}: {r['error']}")

@@ -319,7 +319,9 @@ def _in_parts(rows: DataFrame, convert) -> DataFrame:
     part = F.when(F.col("chunk").isNull(), F.when(~F.coalesce("none", F.lit(False)), F.col("content"))).otherwise(pdf_part(F.col("content"), F.col("outline"), F.col("chunk")))
     rows = rows.select(*key, "chunk_no", "suffix", "options", "bad", "past", "none", F.when(F.col("chunk").isNotNull(), span_text(F.col("chunk"))).alias("numbers"), F.when(F.col("bad").isNull(), part).alias("part"))
     others = ("suffix", "options", "bad", "past", "none", "numbers", "part")
-    dealt = rows.groupBy(*key, "chunk_no").agg(F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in others))
+    # by a number of its own: partitions of few bytes must not be put together, since it is the work that is dealt
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, *key, "chunk_no").groupBy(*key, "chunk_no").agg(F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in others))
 
     given = F.col("options").withField("page_range", F.when(F.col("numbers").isNull(), F.col("options.page_range"))).withField("max_pages_per_chunk", F.lit(None).cast("int")).withField("page_numbers", F.col("numbers"))
     done = dealt.withColumn("result", convert(F.col("part"), F.col("suffix"), given)).select(*key, "chunk_no", "copies", "bad", "past", "none", *_fields(), "result.error")

@@ -35,9 +35,9 @@ def build_options(output_format="markdown", page_range=None, force_ocr=False, pa
     )
 
 
-def example_options(page_range=None, force_ocr=False, use_llm=False, output_format="markdown") -> Column:
+def example_options(page_range=None, force_ocr=False, use_llm=False, output_format="markdown", *, max_pages_per_chunk=4, paginate_output=True, llm: Column | None = None) -> Column:
     """The profile for files from a command line: pages are told apart, four a chunk."""
-    return build_options(output_format, page_range, force_ocr, True, use_llm, 4)
+    return build_options(output_format, page_range, force_ocr, paginate_output, use_llm, max_pages_per_chunk, llm)
 
 
 def without_chunking(options: Column) -> Column:

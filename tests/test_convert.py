@@ -249,6 +249,22 @@ def test_parts_hold_only_their_own_pages(spark):
     assert [x.split("}")[0] for x in paged.text.split("{")[1:]] == ["7", "3", "4", "7"] and paged.page_count == 4
 
 
+class Where:
+    def convert(self, content, suffix, options, device):
+        from pyspark import TaskContext
+
+        return {"text": str(TaskContext.get().partitionId())}
+
+
+def test_parts_of_one_document_keep_many_tasks_busy(spark):
+    docs = spark.createDataFrame([(1, "a.pdf", pdf_of([f"p{i}" for i in range(400)]))], "doc_id long, filename string, content binary")
+    got = api.convert_result(docs, backend=Where(), max_pages_per_chunk=4)
+    assert len(set(got.first().text.split("\n\n"))) == 4
+    assert plan_of(got).count("Exchange hashpartitioning") == 2
+    whole = api.convert_result(docs, page_range="0-9,399").first().text
+    assert api.convert_result(docs, page_range="0-9,399", max_pages_per_chunk=3).first().text == whole
+
+
 def test_pages_past_the_end_are_told(spark):
     docs = spark.createDataFrame([(1, "a.pdf", pdf_of(["a", "b"])), (2, "b.html", b"<p>x")], "doc_id long, filename string, content binary")
     for size in (None, 1, 5):
@@ -415,9 +431,12 @@ def test_command_line_converts_once_and_lists_errors(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.html").write_text("<p>one")
     (tmp_path / "in/b.xyz").write_text("two")
-    got = api.convert_path(spark, str(tmp_path / "in"))
-    sink.write_files(got, str(tmp_path / "out"))
+    (tmp_path / "env").write_text("OLLAMA_MODEL=m\nOTHER=x\n")
+    assert api.main([str(tmp_path / "in"), str(tmp_path / "out"), "--no-paginate", "--settings", str(tmp_path / "env")]) == 0
+    assert "b.xyz: UnsupportedDocument" in capsys.readouterr().out
     assert (tmp_path / "out/a.md").read_text() == "one"
+    got = spark.range(1).select(api.settings_options(spark, str(tmp_path / "env")).alias("o")).first()["o"]
+    assert got == {"llm_service": "ollama", "ollama_model": "m"}
     assert [r.filename for r in sink.read_errors(spark, str(tmp_path / "out")).collect()] == ["b.xyz"]
     assert not [x for x in os.listdir(tmp_path / "out") if x.startswith("_staging")]
 
