@@ -16,7 +16,8 @@ separate tasks, as are large groups.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing; vectors of different lengths never link; equal
-vectors are compared once and counted as often as they occur; rows with a null
+vectors are compared once and counted as often as they occur, so that each row is a vector of its
+own and a link of the rows that repeat it; rows of one id with other vectors have each their own links and component; rows with a null
 id take part and get a null component when alone; an empty table gives no rows;
 other columns are ignored.
 """

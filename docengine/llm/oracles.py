@@ -13,13 +13,18 @@ _COMPONENTS = """reach AS (
     SELECT l.b, r.component FROM reach r JOIN links l ON l.a = r.id WHERE r.component < l.b),
   classes AS (SELECT id, min(component) AS component_id FROM reach GROUP BY id)"""
 
-NEAR_VECTORS = f"""WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings
+#: Every row is a vector of its own: rows that repeat link with each other, and rows of one id have the component of their vector.
+NEAR_VECTORS = """WITH RECURSIVE r AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id AS id, embedding FROM embeddings),
+  v AS MATERIALIZED (SELECT r, id, embedding::DOUBLE[] AS e FROM r
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-  vertices AS (SELECT DISTINCT vec_id AS id FROM embeddings),
-  links AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id <> y.id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.9),
-  {_COMPONENTS}
-  SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
-  FROM embeddings JOIN classes ON id = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id"""
+  links AS MATERIALIZED (SELECT x.r AS a, y.r AS b, y.id AS b_id FROM v x JOIN v y ON x.r <> y.r AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.9),
+  reach AS (
+    SELECT r, id AS component FROM r
+    UNION
+    SELECT l.b, reach.component FROM reach JOIN links l ON l.a = reach.r WHERE reach.component < l.b_id),
+  classes AS (SELECT r, min(component) AS component_id FROM reach GROUP BY r)
+  SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+  FROM r JOIN classes USING (r) LEFT JOIN (SELECT a AS r, count(*) AS n FROM links GROUP BY a) USING (r)"""
 
 JACCARD = rf"""WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id AS id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS l FROM documents),
   s AS MATERIALIZED (SELECT DISTINCT id, unnest(list_transform(range(greatest(len(l) - 4, 1)), lambda i: array_to_string(l[i + 1:i + 5], ' '))) AS g FROM w WHERE len(l) > 0),

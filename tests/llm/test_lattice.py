@@ -137,3 +137,16 @@ def test_keys_beyond_the_broadcast_bound_are_joined_by_parts(spark, monkeypatch)
     want = groups()
     monkeypatch.setattr(C, "FEW_KEYS", 0)
     assert groups() == want and len(want) > rows.count()
+
+
+def test_repeated_rows_and_ids_are_as_in_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from docengine.llm import oracles
+
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (3, [1.0, 0.01]), (4, [-1.0, 0.0])]
+    got = sorted(tuple(r) for r in L.near_duplicate_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>")).select("vec_id", "n_links", "component_id", "kept").collect())
+    embeddings = pd.DataFrame(rows, columns=["vec_id", "embedding"])  # noqa: F841  (read by name)
+    want = sorted(map(tuple, duckdb.sql(oracles.NEAR_VECTORS).fetchall()))
+    assert got == want and (1, 2, 1, True) in got
