@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 13
 SHARE = 20  # contaminated: SHARE * hit words >= words
-#: Text of items that one automaton may hold (some 30 bytes of memory for each); a larger benchmark is scanned in parts.
+#: Text of items that one automaton may hold (some 80 bytes of a worker's memory for each); a larger benchmark is scanned in parts.
 PART_BYTES = 24 << 20
 #: Words of a window that the automaton knows; automata and found windows that a worker keeps.
 BEGINNING, KEPT, MEMO = 3, 2, 100_000
