@@ -45,6 +45,10 @@ GENERIC = ["area", "articles", "bar", "block", "body", "bottom", "box", "button"
 CLOSES = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["tr", "td", "th"], "td": ["td", "th"], "th": ["td", "th"], "option": ["option"], "tbody": ["tr", "td", "th", "thead", "tbody"], "tfoot": ["tr", "td", "th", "thead", "tbody"]}
 LIST_EDGE = {"li": ["ul", "ol", "menu"], "dt": ["dl"], "dd": ["dl"], "tr": ["table"], "td": ["table"], "th": ["table"], "tbody": ["table"], "tfoot": ["table"]}
 
+#: Words for parts that never hold the article, however long they are.
+NEVER = ["comment", "comments", "discussion", "disqus", "footer", "nav", "navbar", "navigation", "related", "replies", "reply", "respond", "sidebar"]
+
+_NEVER = frozenset(NEVER)
 _RAW, _VOID, _BLOCK, _CELL, _CONTAINER, _DROPPED, _ROLES, _PARTS, _GENERIC = map(frozenset, (RAW, VOID, BLOCK, CELL, CONTAINER, DROPPED, ROLES, PARTS, GENERIC))
 #: Elements that a class or id may make a part of the page: not the article, its title or its paragraphs.
 _NAMED = (_BLOCK | _CELL | {"span"}) - {"article", "main", "body", "html", "p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"}
@@ -61,10 +65,12 @@ MAX_DEPTH = 400  # deeper elements count as part of their ancestor
 
 
 class Element:
-    __slots__ = ("parent", "tag", "step", "dropped", "depth", "good", "order")
+    __slots__ = ("parent", "tag", "step", "own", "wraps", "dropped", "depth", "good", "order")
 
-    def __init__(self, parent, tag, step, dropped, order):
-        self.parent, self.tag, self.step, self.dropped, self.order = parent, tag, step, dropped, order
+    def __init__(self, parent, tag, step, own, order, wraps=False):
+        self.parent, self.tag, self.step, self.order = parent, tag, step, order
+        self.own, self.wraps = own, wraps  # dropped for its own sake; and for a reason that a wrapper of the article may have too
+        self.dropped = own or (parent is not None and parent.dropped)
         self.depth = 0 if parent is None else parent.depth + 1
         self.good = 0
 
@@ -137,32 +143,50 @@ def _tags(text: str):
 
 
 def _element(parent: Element, tag: str, attributes: str, order: int) -> Element:
-    classes, dropped = "", parent.dropped
+    classes, dropped, firm = "", False, False
     kept_header = False
     if tag in _DROPPED:
         e = parent
         while tag == "header" and e is not None and not kept_header:  # a header of the article holds its title
             kept_header = e.tag in ("article", "main")
             e = e.parent
-        dropped = dropped or not kept_header
+        dropped = not kept_header
+        firm = dropped and tag != "form"
     if attributes and tag not in ("html", "body"):
         for m in _ATTR.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "class":
                 classes = value
-            if name == "hidden":
-                dropped = True
-            elif name in ("class", "id") and tag in _NAMED and not kept_header:
-                dropped = dropped or _names_part(value)
-            elif name == "role":
-                dropped = dropped or value.strip().lower() in _ROLES
-            elif name in ("aria-hidden",) and value.strip().lower() == "true" and tag in _BLOCK:
-                dropped = True
+            if name in ("class", "id") and tag in _NAMED and not kept_header:
+                if _names_part(value):
+                    dropped = True
+                    firm = firm or not _NEVER.isdisjoint(_WORD.findall(value.lower()))
+            elif name == "hidden" or (name == "role" and value.strip().lower() in _ROLES) or (name == "aria-hidden" and value.strip().lower() == "true" and tag in _BLOCK):
+                dropped = firm = True
     step = ""
     if tag in _CONTAINER:
         words = sorted({_DIGITS.sub("#", w.lower()) for w in classes.split()})
         step = ".".join([tag, *words])
-    return Element(parent, tag, step, dropped, order)
+    return Element(parent, tag, step, dropped, order, dropped and not firm)
+
+
+def _keep_wrappers(elements: list[Element], blocks: list) -> None:
+    """Forms and named boxes that hold the article are no parts of the page beside it.
+
+    Such an element is kept if more than half of the page's text outside links is in it, and an article, a main part or
+    a title (a form needs none). What is dropped inside of it stays dropped. Two passes, whatever the depth.
+    """
+    letters, holds = [0] * len(elements), [e.tag in ("article", "main", "h1") for e in elements]
+    for e, t, linked in blocks:
+        if 2 * linked < len(t):
+            letters[e.order] += len(t)
+    for e in reversed(elements[1:]):
+        letters[e.parent.order] += letters[e.order]
+        holds[e.parent.order] |= holds[e.order]
+    for e in elements[1:]:
+        if e.own and e.wraps and not e.parent.dropped and 2 * letters[e.order] > letters[0] and (e.tag == "form" or holds[e.order]):
+            e.own = False
+        e.dropped = e.own or e.parent.dropped
 
 
 def parse(text: str):
@@ -216,7 +240,7 @@ def parse(text: str):
                             break
                 if tag in CLOSES:
                     edge = LIST_EDGE[tag]
-                    for k in range(len(stack) - 1, 0, -1):
+                    for k in range(len(stack) - 1, 0, -1) if any(open_[t] > 0 for t in CLOSES[tag]) else ():
                         if tags[k] in edge:
                             break
                         if tags[k] in CLOSES[tag]:
@@ -245,6 +269,7 @@ def parse(text: str):
                 if not block and (tags[k] in _BLOCK or tags[k] in _CELL):
                     break
     flush()
+    _keep_wrappers(elements, blocks)
     return elements, blocks
 
 

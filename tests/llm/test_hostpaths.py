@@ -116,3 +116,37 @@ def test_plain_extractor_on_generated_pages(spark):
         want[i] = "\n\n".join(blocks)
     df = spark.createDataFrame(rows, "page_id long, url string, html string, _path string")
     assert {r.page_id: r.text for r in page_report(spark, df).collect()} == want
+
+
+ARTICLE = "<h1>Title of it</h1>" + "".join(f"<p>Paragraph {i} has a number of words of its own.</p>" for i in range(6))
+WANT = "\n\n".join(["Title of it", *(f"Paragraph {i} has a number of words of its own." for i in range(6))])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body><form id="aspnetForm"><div class="menu">Home</div>{}<div class="footer">foot words</div></form></body>',
+        '<body><form id="form1"><table><tr><td><nav>a b</nav></td><td>{}</td></tr></table></form></body>',
+        '<body><div class="social"><article>{}</article><div class="share">Share this now</div></div></body>',
+        '<body><div id="menu"><main>{}</main></div><form>Your name</form></body>',
+    ],
+)
+def test_wrappers_of_the_article_are_kept(page):
+    elements, blocks = H.parse(page.format(ARTICLE))
+    assert "\n\n".join(t for e, t, _ in blocks if not e.dropped) == WANT
+
+
+def test_long_comments_and_forms_beside_the_article_go():
+    long = "<p>" + "A reader says a great many words here. " * 60 + "</p>"
+    for part in (f'<div id="comments"><h1>Comments</h1>{long}</div>', f'<section class="replies">{long}</section>', f"<aside>{long}</aside>", "<form>Write to us, please.</form>", f'<div hidden><h1>x</h1>{long}</div>'):
+        elements, blocks = H.parse(f"<body><article>{ARTICLE}</article>{part}</body>")
+        assert "\n\n".join(t for e, t, _ in blocks if not e.dropped) == WANT, part
+
+
+@pytest.mark.parametrize("tag", ["li", "tr", "td", "dd"])
+def test_items_outside_of_lists_take_linear_time(tag):
+    import time
+
+    began = time.time()
+    _, blocks = H.parse("<i>" * 20_000 + f"<{tag}></{tag}>x" * 20_000)
+    assert time.time() - began < 10 and blocks
