@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.settings import llm_options
-from .operators.convert import Backend, convert_batch, convert_documents, converter, result_json
+from .operators.convert import Backend, TextBackend, convert_batch, convert_documents, converter, result_json
 from .operators.options import build_options, example_options
 from .sources.documents import from_base64, read_files, read_settings
 from .sources.sink import check_names, read_errors, write_files
@@ -46,16 +46,21 @@ def batch(files: DataFrame, *, backend: Backend | None = None) -> tuple[DataFram
     return convert_batch(files, backend=backend)
 
 
-def status(spark: SparkSession, backend: Backend | None = None) -> DataFrame:
-    """One row: initialized, status, message. Tries a tiny document."""
-    from .operators.convert import TextBackend
+def status(spark: SparkSession, backend: Backend | None = None, probe: DataFrame | None = None) -> DataFrame:
+    """One row: initialized, status, message. Tries a tiny document here, or those of ``probe`` (doc_id, filename, content) in the workers.
 
+    With ``probe`` it is ready if no document fails, and the row stays part of the query: nothing is collected.
+    """
+    row = lambda ok: [ok.alias("initialized"), F.when(ok, "ready").otherwise("failed").alias("status"), F.when(ok, READY).otherwise(FAILED).alias("message")]
+    if probe is not None:
+        tried = convert_documents(probe, build_options(), backend=backend, merged=False)
+        return tried.agg((F.count_if(F.col("error").isNotNull()) == 0).alias("ok")).select(*row(F.col("ok")))
     try:
         (backend or TextBackend()).convert(b"<p>x</p>", ".html", {}, None)
         ok = True
     except Exception:
         ok = False
-    return spark.createDataFrame([(ok, "ready" if ok else "failed", READY if ok else FAILED)], "initialized boolean, status string, message string")
+    return spark.range(1).select(*row(F.lit(ok)))
 
 
 def require_ready(spark: SparkSession, backend: Backend | None = None) -> None:

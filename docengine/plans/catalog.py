@@ -295,11 +295,13 @@ def range_clip(spark, sf):
 # --- predicates and options ---------------------------------------------------------
 
 
-@_query("""SELECT event_id, event_id % 3 = 0 AS out_of_memory, event_id % 4 = 1 OR (event_id % 3 <> 0 AND event_id % 4 = 2) AS llm FROM events""")
+@_query("""SELECT doc_id, regexp_matches(lower(m), 'cuda out of memory|hip out of memory') AS out_of_memory, regexp_matches(lower(m), 'llm|ollama|openai|anthropic|claude|gemini|google') AS llm
+  FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'HIP out of Memory. ' ELSE 'failed ' END || text || CASE WHEN doc_id % 4 = 1 THEN ' Gemini call' ELSE '' END AS m FROM documents)""")
 def error_classification(spark, sf):
-    e = F.col("event_id")
-    message = F.concat(F.when(e % 3 == 0, "HIP out of Memory. ").otherwise("failed "), F.when(e % 4 == 1, "Gemini call").when((e % 4 == 2) & (e % 3 != 0), "at googleapis").otherwise("for page"))
-    return _table(spark, sf, "events").select("event_id", predicates.is_out_of_memory(message, F.lit("RuntimeError")).alias("out_of_memory"), predicates.is_llm_failure(message).alias("llm"))
+    """Messages that hold a document's whole text."""
+    d = F.col("doc_id")
+    message = F.concat(F.when(d % 3 == 0, "HIP out of Memory. ").otherwise("failed "), "text", F.when(d % 4 == 1, " Gemini call").otherwise(""))
+    return _table(spark, sf, "documents").select("doc_id", predicates.is_out_of_memory(message, F.lit("RuntimeError")).alias("out_of_memory"), predicates.is_llm_failure(message).alias("llm"))
 
 
 class Extras:
@@ -373,15 +375,19 @@ def device_alias(spark, sf):
     return _table(spark, sf, "documents").select("doc_id", settings.device(pick(" CPU", "amd", "Nvidia", "auto ", " ")).alias("device"), settings.precision(pick("Float16", "")).alias("dtype"))
 
 
-@_query("SELECT page_id, page_id % 4 IN (0, 1) AS safe FROM pages")
+@_query(r"""SELECT page_id, CASE page_id % 4 WHEN 2 THEN false WHEN 3 THEN false ELSE len(list_filter(string_split(p, '/'), lambda x: x NOT IN ('', '.', '..'))) > CASE WHEN page_id % 4 = 1 THEN 1 ELSE 0 END END AS safe
+  FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS p FROM pages)""")
 def safe_asset_names(spark, sf):
-    names = F.array(*map(F.lit, ("a/b.png", "a/../b.png", "../b.png", "/etc/b")))
-    return _table(spark, sf, "pages").select("page_id", assets.is_safe_name(F.element_at(names, (F.col("page_id") % 4 + 1).cast("int"))).alias("safe"))
+    """Paths made of the pages' addresses: as they are, with a step up at the end, at the beginning, and from the root."""
+    path = F.regexp_replace("url", "^[a-z]+://", "")
+    names = F.array(path, F.concat(path, F.lit("/..")), F.concat(F.lit("../"), path), F.concat(F.lit("/"), path))
+    return _table(spark, sf, "pages").select("page_id", assets.is_safe_name(F.get(names, (F.col("page_id") % 4).cast("int"))).alias("safe"))
 
 
-@_query("SELECT true AS initialized, 'ready' AS status, 'The converter is ready.' AS message")
+@_query("SELECT n = 0 AS initialized, CASE WHEN n = 0 THEN 'ready' ELSE 'failed' END AS status, 'The converter ' || CASE WHEN n = 0 THEN 'is ready.' ELSE 'could not be initialised.' END AS message FROM (SELECT count_if(html IS NULL) AS n FROM pages)")
 def converter_status(spark, sf):
-    return api.status(spark)
+    """Every page tried by the workers."""
+    return api.status(spark, probe=_html_docs(spark, sf))
 
 
 # --- whole conversions, by their text -------------------------------------------------------
