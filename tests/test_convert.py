@@ -275,12 +275,11 @@ def test_pages_past_the_end_are_told(spark):
     assert (none.text, none.page_count, none.warnings, none.error) == ("", 0, [C.PAST_END], None)
 
 
-def test_pdf_outline_reaches_packed_and_inherited_objects():
+def packed_pdf():
+    """Two pages inside an object stream, resources above them, and an object that nothing refers to."""
     import zlib
 
-    inner = b"5 0 6 30 << /Type /Page /Parent 2 0 R >>  << /Type /Page /Parent 2 0 R /Contents 9 0 R >>"
-    first = inner.index(b"<<")
-    body = inner[first:]
+    body = b"<< /Type /Page /Parent 2 0 R >>  << /Type /Page /Parent 2 0 R /Contents 9 0 R >>"
     at = body.index(b"<<", 5)
     inner = f"5 0 6 {at} ".encode() + body
     first = inner.index(b"<<")
@@ -288,6 +287,18 @@ def test_pdf_outline_reaches_packed_and_inherited_objects():
     pdf = b"%PDF-1.5\n1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n2 0 obj\n<< /Type /Pages /Kids [5 0 R 6 0 R] /Resources 8 0 R >>\nendobj\n"
     pdf += f"4 0 obj\n<< /Type /ObjStm /N 2 /First {first} /Filter /FlateDecode /Length {len(packed)} >>\nstream\n".encode() + packed + b"\nendstream\nendobj\n"
     pdf += b"8 0 obj\n<< /Font 10 0 R >>\nendobj\n9 0 obj\n<< /Length 9 >>\nstream\n(hey) Tj \nendstream\nendobj\n10 0 obj\n<< /F1 1 >>\nendobj\n11 0 obj\n<< /Alone 1 >>\nendobj\n"
+    return pdf
+
+
+def test_parts_of_a_packed_pdf(spark):
+    docs = spark.createDataFrame([(1, "a.pdf", packed_pdf())], "doc_id long, filename string, content binary")
+    for size in (None, 1, 2):
+        got = api.convert_result(docs, max_pages_per_chunk=size, paginate_output=True).first()
+        assert (got.page_count, got.error) == (2, None) and got.text.replace("\n", "") == "{0}" + "-" * 48 + "{1}" + "-" * 48 + "hey", size
+
+
+def test_pdf_outline_reaches_packed_and_inherited_objects():
+    pdf = packed_pdf()
     got = formats.pdf_outline(pdf)
     assert got["total"] == 2 and got["top"] == 11
     texts = [b"".join(pdf[o["at"] : o["at"] + o["size"]] for o in (got["objects"][i] for i in p["needs"])) for p in got["pages"]]
