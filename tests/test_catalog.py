@@ -33,6 +33,16 @@ def test_query_equals_its_sql(spark, name):
     assert rows_of(got) == rows_of(want)
 
 
+@pytest.mark.parametrize("name", "batch_results convert_json_blocks convert_markdown_result html_blocks html_to_markdown html_to_text result_fields written_files".split())
+def test_references_cut_off_before_their_end(spark, tmp_path, name):
+    html = ["<h1>a &amp; b &amp</h1><p>&lt;c&gt &copy; d&copy e</p>", "<title>x &quot y</title><p>AT&T &am", "<p>a && b &; &#</p>"]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(catalog.oracle_sql()[name]).fetchdf()
+    assert rows_of(catalog.queries()[name](spark, str(tmp_path)).toPandas()) == rows_of(want)
+
+
 def test_only_the_entry_knows_the_llm_subpackage():
     for f in (ROOT / "docengine").rglob("*.py"):
         if f.relative_to(ROOT / "docengine").parts[0] != "llm":
