@@ -14,6 +14,10 @@ its sizes ask for. What remains is a graph of possible links, of which only a
 spanning forest leaves a task. Its components are compared again by trees over
 exact bitmaps of whole sets; links found there are real.
 
+A chance shingle or two under which long sets meet joins many of them to one group of possible links,
+since bitmaps of a fixed width say little of them. So the sets of a group that is too large for a task are
+compared once more by bitmaps of whole sets as wide as the sets ask for, which parts it before any text is moved.
+
 A class that links already join is not compared further inside. Large groups
 are cut to tiles by their shingles: first the members of each tile meet, and one
 member of the group; only tiles of groups that still hold several classes meet
@@ -46,6 +50,8 @@ WHOLE_MOST = 600
 LEAF, FAN = 16, 4
 #: Most rows under one shingle, and texts and shingles of one group, that meet in a task at once.
 TILE_ROWS, TILE_TEXTS, TILE_SHINGLES = 2000, 4096, 1 << 20
+#: Bits of a wide signature for each shingle at least, and bytes of wide signatures that meet in a task at once.
+WIDE_BITS, TILE_WIDE = 2, 16 << 20
 #: Bytes of the signatures of one group of texts.
 SIGNATURE_BYTES = 8 << 20
 #: Listed shingles that a task gathers before it sends them, and of one bucket.
@@ -499,6 +505,62 @@ def exact_links(values: list[np.ndarray], forest: Forest | None = None) -> np.nd
     return out
 
 
+def wide(n):
+    """Words of 64 bits of the wide signature of a set of size n, a power of two; sets that may link differ by one step at most."""
+    return 1 << np.ceil(np.log2(np.maximum(WIDE_BITS * np.asarray(n), 64) / 64)).astype(np.int64)
+
+
+def _wide_signatures(batches):
+    """Texts of large groups as wide signatures of their whole sets."""
+    for batch in batches:
+        values, off = text_sets(batch.column("text"), np.zeros(0, U64))
+        n, v = np.diff(off), batch.column("g_id").to_numpy()
+        own = np.flatnonzero((_sums(values, off) == v) & (n > 0))  # a doc_id may have rows of other texts
+        width = wide(n)
+        for w in np.unique(width[own]).tolist():
+            rows, step = own[width[own] == w], max(1, (1 << 24) // (64 * w))  # bounds the unpacked bits
+            for k in range(0, len(rows), step):
+                some = rows[k : k + step]
+                bits = _signatures(len(some), np.repeat(np.arange(len(some)), n[some]), np.concatenate([values[off[i] : off[i + 1]] for i in some]), w)
+                yield pa.RecordBatch.from_arrays([batch.column("g_key").take(pa.array(some)), batch.column("g_tiles").take(pa.array(some)), pa.array(v[some]), pa.array(n[some].astype(np.int32)), pa.array([b.tobytes() for b in bits], pa.binary())], ["g_key", "g_tiles", "g_id", "n", "signature"])
+
+
+def wide_classes(n: np.ndarray, signatures: list[bytes], forest: Forest) -> np.ndarray:
+    """Roots of the classes of sets (of sizes n) that may link by their wide signatures.
+
+    Sets of each width meet, together with those of the next width that are not too large for
+    them, whose signatures are folded to the narrower ones.
+    """
+    width = np.array([len(x) // 8 for x in signatures])
+    for w in np.unique(width).tolist():
+        most = n[width == w].max()
+        rows = np.flatnonzero((width == w) | ((width == 2 * w) & (PART * n <= WHOLE * most)))
+        if len(rows) < 2 or (forest.roots()[rows] == forest.roots()[rows[0]]).all():
+            continue
+        rows = rows[np.argsort(n[rows], kind="stable")]
+        bits = np.stack([np.bitwise_or.reduce(np.frombuffer(signatures[i], U64).reshape(-1, w), axis=0) for i in rows.tolist()])
+        size, zero = n[rows], np.zeros(len(rows), np.int64)
+        tree = Tree(bits, size, size - np.bitwise_count(bits).sum(1, dtype=np.int64), zero, zero, zero, size, zero == 0)
+        own = Forest(len(rows))
+        known_classes(np.arange(len(rows)), forest.roots()[rows], np.ones(len(rows), bool), own)
+        tree.join(own, tree.rows_may_link)
+        forest.union_pairs(rows, rows[own.roots()])
+    return forest.roots()
+
+
+def _possible_wide(batches):
+    """Pairs that make a spanning forest of the links that are possible by wide signatures."""
+    for table in group_runs(batches):
+        vertex = table.column("g_id").to_numpy()
+        first = np.unique(vertex, return_index=True)[1]
+        told = table.column("g_class").combine_chunks().take(pa.array(first))
+        forest = Forest(len(first))
+        known_classes(np.arange(len(first)), told.fill_null(0).to_numpy(zero_copy_only=False), told.is_valid().to_numpy(zero_copy_only=False), forest)
+        root = wide_classes(table.column("n").to_numpy().astype(np.int64)[first], table.column("signature").take(pa.array(first)).to_pylist(), forest)
+        own = np.flatnonzero(root != np.arange(len(root)))
+        yield pa.RecordBatch.from_arrays([pa.array(vertex[first][own]), pa.array(vertex[first][root[own]])], ["u", "v"])
+
+
 def _real(batches):
     for table in group_runs(batches):
         values, off = text_sets(table.column("text"), np.zeros(0, U64))
@@ -537,10 +599,22 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     # candidates are cut to tiles by their shingles, so that texts of any length fit
     wanted = one.select("vertex", "doc_id", "n").join(groups.withColumnRenamed("id", "vertex"), "vertex")
     size = F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count(F.lit(1)) / TILE_TEXTS)).cast("int")
+    cut = lambda df: materialize(spark, df.groupBy("component").agg(size.alias("g_tiles"), F.sum("n").alias("g_n"), F.count(F.lit(1)).alias("g_rows")), "tiles")
+    texts = lambda df: rows.where(in_slots(spark, df.select("doc_id"), F.col("doc_id"))).join(df, "doc_id").drop("doc_id")
     wanted = materialize(spark, wanted, "wanted")
-    tiles = materialize(spark, wanted.groupBy("component").agg(size.alias("g_tiles")), "tiles")
+    tiles = cut(wanted)
+    if not (many := tiles.where("g_tiles > 1")).isEmpty():
+        # a power of two is less than twice what is asked for
+        parts = F.greatest(F.ceil(F.col("g_n") * (2 * WIDE_BITS / 8 / TILE_WIDE)), F.ceil(F.col("g_rows") / TILE_TEXTS)).cast("int")
+        wide_of = wanted.join(many.select("component", parts.alias("g_tiles")), "component").select(F.col("component").alias("g_key"), "g_tiles", F.col("vertex").alias("g_id"), "doc_id")
+        wide_of = materialize(spark, texts(wide_of).mapInArrow(_wide_signatures, "g_key long, g_tiles int, g_id long, n int, signature binary"), "wide")
+        large = wide_of.where("g_tiles > 1")
+        finer = meet(spark, wide_of, None if large.isEmpty() else large, _possible_wide, tasks_for(spark, n, 2500), "n", "g_id")
+        of_finer = wanted.drop("component").join(finer.withColumnRenamed("id", "vertex"), "vertex")
+        wanted = wanted.join(many.select("component"), "component", "left_anti").unionByName(of_finer)
+        wanted = materialize(spark, wanted, "wanted")
+        tiles = cut(wanted)
     wanted = materialize(spark, wanted.join(tiles, "component").select(F.col("component").alias("g_key"), "g_tiles", F.col("vertex").alias("g_id"), "doc_id"), "tiled")
-    texts = lambda df: rows.where(in_slots(spark, df.select("doc_id"), F.col("doc_id"))).join(df, "doc_id").drop("doc_id")
     large = wanted.where("g_tiles > 1")
     large = None if large.isEmpty() else texts(large)
     classes = meet(spark, texts(wanted), large, _real, tasks_for(spark, n, 2500))

@@ -124,3 +124,24 @@ def test_two_texts_of_one_old_hash(spark):
     u = t.translate(str.maketrans("ab", "ba"))
     got = S.jaccard_components(spark, spark.createDataFrame([(1, t), (2, u), (3, t)], "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in got) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_long_texts_under_chance_shingles_part_before_they_are_moved(spark, monkeypatch):
+    rng = random.Random(5)
+    passages = [" ".join(f"p{k}_{i}" for i in range(140)) for k in range(3)]
+    rows = []
+    for k in range(20):
+        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(900 + 20 * k))
+        rows += [(2 * k, f"{own} {' '.join(passages)}"), (2 * k + 1, f"{own} {' '.join(passages)} end")]
+    cut, meet = [], S.meet
+
+    def seen(spark, rows, large, link, *args):
+        if link is S._real:
+            cut.append(large is not None)
+        return meet(spark, rows, large, link, *args)
+
+    monkeypatch.setattr(S, "meet", seen)
+    monkeypatch.setattr(S, "TILE_TEXTS", 8)
+    got = {r.doc_id: r.component_id for r in S.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(40)}
+    assert cut == [False]
