@@ -521,3 +521,23 @@ def test_listing_opens_no_file_and_sizes_reach_it(spark, tmp_path):
     assert "LessThanOrEqual(length,100)" in plan_of(small) and [r.filename for r in small.select("filename").collect()] == ["a.html"]
     with pytest.raises(ValueError, match="mounted"):
         sink.local_path("s3a://somewhere/x")
+
+
+def test_results_of_a_batch_are_few_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Long:
+        def convert(self, content, suffix, given, device):
+            return {"text": "x" * (1 << 20), "page_count": len(content)}
+
+    n = 64
+    contents = pa.array([None if k == 5 else bytes(1 << 20) for k in range(n)], pa.binary())
+    suffixes, options = pa.array([".html"] * n), pa.array([{"extra": None}] * n, pa.struct([("extra", pa.map_(pa.string(), pa.string()))]))
+    tracemalloc.start()
+    got = C._convert_all(Long(), contents, suffixes, options, False)
+    assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    tracemalloc.stop()
+    assert [r["page_count"].as_py() for r in got] == [None if k == 5 else 1 << 20 for k in range(n)]
+    assert got[5]["error"].as_py() == C.NO_CONTENT and len(C._convert_all(Long(), contents[:0], suffixes[:0], options[:0], False)) == 0
