@@ -541,3 +541,23 @@ def test_results_of_a_batch_are_few_python_objects():
     tracemalloc.stop()
     assert [r["page_count"].as_py() for r in got] == [None if k == 5 else 1 << 20 for k in range(n)]
     assert got[5]["error"].as_py() == C.NO_CONTENT and len(C._convert_all(Long(), contents[:0], suffixes[:0], options[:0], False)) == 0
+
+
+def test_outline_leaves_streams_packed(monkeypatch):
+    pdf = pdf_of([f"page {k}" for k in range(40)], packed=True)
+    made = []
+    real = formats.zlib.decompressobj
+    monkeypatch.setattr(formats.zlib, "decompressobj", lambda: made.append(1) or real())
+    assert formats.pdf_outline(pdf)["total"] == formats.pdf_page_count(pdf) == 40 and not made
+    assert [p[0][2] for p in formats.parse_pdf(pdf)] == [f"page {k}" for k in range(40)] and len(made) == 40
+
+
+def test_objects_and_streams_end_where_their_marks_are():
+    body = b"%PDF-1.4\n7 0 obj\n<< /K (xendobj) >>\nstream\r\nab\r\n\r\nendstream\nendobj\n8 0 obj\n<< /L 0 >>\nstream\nendstream\nendobj 9 0 obj 5 endobj\n10 0 obj\nstream\nno end\nendobj\n11 0 obj open"
+    got = formats._pdf_objects(body)
+    assert {n: (o.head, o.data, body[o.at : o.end][-6:]) for n, o in got.items()} == {
+        7: (b"\n<< /K (xendobj) >>\n", b"ab\r\n", b"endobj"),
+        8: (b"\n<< /L 0 >>\n", b"", b"endobj"),
+        9: (b" 5 ", None, b"endobj"),
+        10: (b"\nstream\nno end\n", None, b"endobj"),
+    }
