@@ -43,6 +43,14 @@ def test_references_cut_off_before_their_end(spark, tmp_path, name):
     assert rows_of(catalog.queries()[name](spark, str(tmp_path)).toPandas()) == rows_of(want)
 
 
+def test_markdown_sql_has_all_headings_and_items(spark, tmp_path):
+    html = ["".join(f"<h{n} class=a>head <b>{n}</b></h{n}>" for n in range(1, 7)) + "<ul><li>one<li> two<br>more</li><li></li><li><p>three</p></ul><h2></h2><p>#</p><p>- x</p>", "<ol><li>a</ol><section>b</section>c<hr>d<template>e</template>"]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = duckdb.sql(catalog.oracle_sql()["html_to_markdown"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchdf()
+    assert "###### head **6**\n\n- one\n\n- two\nmore" in want.markdown[want.page_id == 0].item()
+    assert rows_of(catalog.queries()["html_to_markdown"](spark, str(tmp_path)).toPandas()) == rows_of(want)
+
+
 def test_only_the_entry_knows_the_llm_subpackage():
     for f in (ROOT / "docengine").rglob("*.py"):
         if f.relative_to(ROOT / "docengine").parts[0] != "llm":
