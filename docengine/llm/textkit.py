@@ -90,6 +90,20 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(out ^ (size.astype(U64) * U64(0xA24BAED4963EE407)))
 
 
+def equal_spans(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the slices of bytes at ``at_a`` in ``a`` and at ``at_b`` in ``b``, both of ``size``, are equal; eight bytes at a time."""
+    out = np.ones(len(size), bool)
+    if not len(size):
+        return out
+    x, y = (np.ndarray(len(v) + 1, U64, np.append(v, np.zeros(8, np.uint8)), 0, (1,)) for v in (a, b))
+    for k in range(int(min(-(-size.max() // 8), _SHORT))):
+        long = np.flatnonzero(size > 8 * k) if k else slice(None)
+        out[long] &= (x[at_a[long] + 8 * k] ^ y[at_b[long] + 8 * k]) & _KEEP[np.minimum(size[long] - 8 * k, 8)] == 0
+    for i in np.flatnonzero(size > 8 * _SHORT):
+        out[i] = np.array_equal(a[at_a[i] : at_a[i] + size[i]], b[at_b[i] : at_b[i] + size[i]])
+    return out
+
+
 def words(raw, offsets: np.ndarray, space: np.ndarray = SPACE, lower: bool = True):
     """(starts, ends, docs, lowered bytes) of the words of a batch."""
     data = as_bytes(raw)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import materialize, shared_dir, string_buffers, tasks_for
-from .textkit import U64, span_hashes
+from .textkit import U64, equal_spans, span_hashes
 
 END_ID = 0
 #: Documents whose id arrays train the dictionary, and its size.
@@ -38,6 +38,8 @@ BLOCK_BYTES = 192 << 10
 SLICE_BYTES = 1 << 20
 #: Distinct pieces that a worker remembers.
 MEMO_PIECES = 500_000
+#: Bits of the table of slots that finds most of them at once.
+SLOT_BITS = 21
 
 _classes: list[np.ndarray] = []
 _coders: dict[str, _Coder] = {}
@@ -114,15 +116,22 @@ class _Coder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        vocabulary = self.tok.get_vocab()
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # one sign of a byte-level token is one byte
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)
         self.clear()
 
     def clear(self) -> None:
         self.known = np.zeros(0, U64)  # sorted hashes
         self.row = np.zeros(0, np.int64)  # of each, its place in begin
+        self.hash = np.zeros(0, U64)  # of each row
+        self.again = np.zeros(0, bool)  # whether it was met again after it was learned
+        self.slots = np.full(1 << SLOT_BITS, -1, np.int32)  # rows by the top bits of their hashes, first come
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint16)
-        self.edge = np.zeros(1, np.int64)  # code points of each row, to tell pieces of one hash apart
-        self.points = np.zeros(0, np.uint32)
+        self.edge = np.zeros(1, np.int64)  # bytes of each row, to tell pieces of one hash apart
+        self.data = np.zeros(0, np.uint8)
 
     def with_added(self, raw, offsets: np.ndarray) -> dict[int, np.ndarray]:
         """Ids of the documents that hold an added token, which pieces cannot see: whole texts by the library."""
@@ -141,53 +150,89 @@ class _Coder:
                     at = data.find(content, at + 1)
         return got
 
+    def learn(self, hashes: np.ndarray, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Add pieces by the library: all in one call, as words that are split already."""
+        size = ends - starts
+        data = b[_flat(starts, size)]
+        text = data.tobytes().decode("utf-8")
+        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[np.cumsum(size)].tolist()
+        split = [text[i:j] for i, j in zip([0, *at], at, strict=False)]
+        flat = np.array(self.tok.encode_batch_fast([split], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
+        told = np.cumsum(self.width[flat])  # bytes of the tokens tell which piece they are of
+        if len(told) and told[-1] == len(data):
+            count = np.searchsorted(told, np.cumsum(size), side="right")
+        else:  # a vocabulary without some bytes
+            count = np.cumsum(np.bincount(np.array(self.tok.encode(split, is_pretokenized=True, add_special_tokens=False).word_ids, np.int64), minlength=len(hashes)))
+        wide = np.uint16 if self.ids.dtype == np.uint16 and (not len(flat) or flat.max() < 65536) else np.uint32
+        rows = len(self.begin) - 1 + np.arange(len(hashes))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + count])
+        self.ids = np.concatenate([self.ids.astype(wide), flat.astype(wide)])
+        self.edge = np.concatenate([self.edge, self.edge[-1] + np.cumsum(size)])
+        self.data = np.concatenate([self.data, data])
+        self.hash = np.concatenate([self.hash, hashes])
+        self.again = np.concatenate([self.again, np.zeros(len(hashes), bool)])
+        to = np.searchsorted(self.known, hashes)  # both are sorted
+        self.known, self.row = np.insert(self.known, to, hashes), np.insert(self.row, to, rows)
+        slot = (hashes >> U64(64 - SLOT_BITS)).astype(np.int64)
+        free = self.slots[slot] < 0
+        self.slots[slot[free]] = rows[free]
+
+    def shrink(self) -> None:
+        """Forget the pieces that were met once, or all if too many others are left."""
+        keep = np.flatnonzero(self.again)
+        hashes, ids, data = self.hash[keep], self.ids, self.data
+        of_ids, of_data = ((x[keep], x[keep + 1] - x[keep]) for x in (self.begin, self.edge))
+        self.clear()
+        if 2 * len(keep) > MEMO_PIECES:
+            return
+        self.begin, self.edge = (np.concatenate([[0], np.cumsum(n)]) for _, n in (of_ids, of_data))
+        self.ids, self.data, self.hash, self.again = ids[_flat(*of_ids)], data[_flat(*of_data)], hashes, np.zeros(len(keep), bool)
+        self.row = np.argsort(hashes)
+        self.known = hashes[self.row]
+        self.slots[(hashes >> U64(64 - SLOT_BITS)).astype(np.int64)[::-1]] = np.arange(len(keep))[::-1]
+
+    def rows(self, h: np.ndarray, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The row of each piece; new ones are learned."""
+        if len(self.begin) > MEMO_PIECES:
+            self.shrink()
+        old = len(self.hash)
+        row = self.slots[(h >> U64(64 - SLOT_BITS)).astype(np.int64)].astype(np.int64)
+        miss = np.flatnonzero(row < 0) if not len(self.hash) else np.flatnonzero((row < 0) | (self.hash[row] != h))
+        if len(miss):
+            distinct, first, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
+            at = np.searchsorted(self.known, distinct)
+            new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != distinct) if len(self.known) else np.arange(len(distinct))
+            if len(new):
+                own = miss[first[new]]
+                self.learn(distinct[new], b, starts[own], ends[own])
+                at = np.searchsorted(self.known, distinct)
+            row[miss] = self.row[at][inverse]
+        self.again[row[row < old]] = True
+        return row
+
     def encode(self, raw, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents back to back, without end ids, and offsets."""
         data = bytes(raw)
         points = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
         b = np.frombuffer(data, np.uint8)
+        head = (b & 0xC0) != 0x80
         heads = np.zeros(len(b) + 1, np.int64)
-        np.cumsum((b & 0xC0) != 0x80, out=heads[1:])
-        off = heads[offsets]
-        starts, ends = pieces(points, off)
-        h = span_hashes(points.astype(U64), starts, ends)
-        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.begin) > MEMO_PIECES:
-            self.clear()
-        at = np.searchsorted(self.known, distinct)
-        have = (at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == distinct) if len(self.known) else np.zeros(len(distinct), bool)
-        if not have.all():
-            new = np.flatnonzero(~have)
-            text = [points[starts[i] : ends[i]].tobytes().decode("utf-32-le") for i in first[new]]
-            got = [x.ids for x in self.tok.encode_batch_fast(text, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.int64, int(size.sum()))
-            wide = np.uint16 if self.ids.dtype == np.uint16 and (not len(flat) or flat.max() < 65536) else np.uint32
-            rows = len(self.begin) - 1 + np.arange(len(new))
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(size)])
-            self.ids = np.concatenate([self.ids.astype(wide), flat.astype(wide)])
-            length = (ends - starts)[first[new]]
-            self.points = np.concatenate([self.points, points[_flat(starts[first[new]], length)]])
-            self.edge = np.concatenate([self.edge, self.edge[-1] + np.cumsum(length)])
-            order = np.argsort(np.concatenate([self.known, distinct[new]]), kind="stable")
-            self.known = np.concatenate([self.known, distinct[new]])[order]
-            self.row = np.concatenate([self.row, rows])[order]
-            at = np.searchsorted(self.known, distinct)
-        row = self.row[at][inverse]
+        np.cumsum(head, out=heads[1:])
+        starts, ends = pieces(points, heads[offsets])
+        place = np.append(np.flatnonzero(head), len(b))  # of each code point's first byte
+        starts, ends = place[starts], place[ends]
+        row = self.rows(span_hashes(b, starts, ends), b, starts, ends)
         size = self.begin[row + 1] - self.begin[row]
         total = np.concatenate([[0], np.cumsum(size)])
-        ids, edges = self.ids[_flat(self.begin[row], size)].astype("<u4"), total[np.searchsorted(starts, off)]
+        ids, edges = self.ids[_flat(self.begin[row], size)].astype("<u4"), total[np.searchsorted(starts, offsets)]
         # every piece is compared with the one that its hash stands for
-        length = ends - starts
-        same = self.edge[row + 1] - self.edge[row] == length
+        same = self.edge[row + 1] - self.edge[row] == ends - starts
         fit = np.flatnonzero(same)
-        if len(fit):
-            equal = points[_flat(starts[fit], length[fit])] == self.points[_flat(self.edge[row[fit]], length[fit])]
-            same[fit] = np.logical_and.reduceat(equal, np.cumsum(length[fit]) - length[fit])
+        same[fit] = equal_spans(b, starts[fit], self.data, self.edge[row[fit]], (ends - starts)[fit])
         if same.all():
             return ids, edges
-        wrong = set((np.searchsorted(off, starts[~same], side="right") - 1).tolist())
-        texts = [np.array(self.tok.encode(points[a:b].tobytes().decode("utf-32-le"), add_special_tokens=False).ids, "<u4") if k in wrong else ids[edges[k] : edges[k + 1]] for k, (a, b) in enumerate(zip(off[:-1], off[1:], strict=True))]
+        wrong = set((np.searchsorted(offsets, starts[~same], side="right") - 1).tolist())
+        texts = [np.array(self.tok.encode(data[i:j].decode("utf-8"), add_special_tokens=False).ids, "<u4") if k in wrong else ids[edges[k] : edges[k + 1]] for k, (i, j) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))]
         return np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
 
 

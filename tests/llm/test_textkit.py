@@ -32,3 +32,14 @@ def test_slices_of_columns_and_shingles():
     st, en, docs, data = T.words(raw, off)
     h, d = T.shingles(T.span_hashes(data, st, en), docs, 3)
     assert np.bincount(d, minlength=3).tolist() == [2, 1, 0]
+
+
+def test_equal_spans_of_all_lengths():
+    rng = np.random.default_rng(5)
+    a = rng.integers(97, 99, 4000).astype(np.uint8)
+    b = np.concatenate([a[50:], a[:50]])
+    at_b = rng.integers(0, 3000, 500)
+    size = np.concatenate([rng.integers(0, 30, 400), rng.integers(100, 300, 100)])
+    at_a = np.where(rng.random(500) < 0.5, at_b + 50, rng.integers(0, 3000, 500))
+    want = [bytes(a[i : i + n]) == bytes(b[j : j + n]) for i, j, n in zip(at_a, at_b, size, strict=True)]
+    assert T.equal_spans(a, at_a, b, at_b, size).tolist() == want and 0 < sum(want) < 500

@@ -101,3 +101,15 @@ def test_words_of_equal_letters_and_a_heavy_id(spark):
 def test_long_documents_train_the_dictionary(spark):
     docs = spark.createDataFrame([(i, f"number {i} " + "some words that come again and again " * 900) for i in range(20)], "doc_id long, text string")
     assert T.train_dictionary(docs, PATH).startswith(b"7\xa40\xec")  # the magic number of a dictionary
+
+
+def test_full_memo_keeps_the_pieces_met_again(monkeypatch):
+    monkeypatch.setattr(T, "MEMO_PIECES", 40)
+    monkeypatch.setattr(T, "SLICE_BYTES", 60)
+    T._coders.clear()
+    learned, learn = [], T._Coder.learn
+    monkeypatch.setattr(T._Coder, "learn", lambda self, h, b, starts, ends: (learned.extend(bytes(b[i:j]) for i, j in zip(starts, ends, strict=True)), learn(self, h, b, starts, ends))[1])
+    texts = [f"often é come some words {i}x{i * i} 東{i} once{i:b}" for i in range(300)]
+    assert [x.tolist() for x in T.encode_documents(pa.array(texts), PATH)] == [x.tolist() for x in direct(texts)]
+    assert learned.count(b" words") == 1 and learned.count(b"often") == 1
+    T._coders.clear()
