@@ -588,6 +588,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, *, id_col: str = "d
     # texts are read again here: that costs less than to write all lists and read them back
     lists = rows.where("doc_id IS NOT NULL").select("text").mapInArrow(_lister(frequent, buckets), "bucket int, codes binary, vertices binary")
     lists = lists.repartitionById(buckets, "bucket").mapInArrow(_shared_codes(frequent, buckets), "bucket int, vertices binary, codes binary, keys binary, tiles binary")
+    lists = materialize(spark, lists, "listed")  # the shuffle files of all lists, the largest there are, go before those of the shared ones are written
     shared = lists.repartitionById(buckets, "bucket").mapInArrow(_by_vertex, "vertex long, codes binary, keys binary, tiles binary, large boolean")
     one = members.where("doc_id IS NOT NULL AND n > 0").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "last", "whole")))
     one = materialize(spark, one, "vertices")

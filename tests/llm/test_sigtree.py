@@ -145,3 +145,13 @@ def test_long_texts_under_chance_shingles_part_before_they_are_moved(spark, monk
     got = {r.doc_id: r.component_id for r in S.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: i - i % 2 for i in range(40)}
     assert cut == [False]
+
+
+def test_lists_and_shared_codes_are_not_shuffled_by_one_query(spark, monkeypatch):
+    rows = corpus()
+    plans, write = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda session, df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), write(session, df, name))[1])
+    got = S.jaccard_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+    assert not [name for name, plan in plans if "MapInArrow make" in plan and "MapInArrow _by_vertex" in plan]
+    assert [name for name, plan in plans if "MapInArrow make" in plan] and [name for name, plan in plans if "MapInArrow _by_vertex" in plan]
