@@ -7,6 +7,8 @@ search under a character language model, with a bonus for words that are known,
 restores them. The restored text is then scored by a logistic model over word
 and word-beginning features. Plain tokens pass unchanged, so only suspicious
 ones cost a search, and each distinct one is searched once per worker.
+The language model counts the words of all labelled rows; the logistic model is
+fitted on a bounded sample of them.
 
 Defined cases: a null, empty or blank text has no features and gets the model's
 base rate; without labelled rows every score is 0.5; repeated rows get equal
@@ -30,11 +32,13 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .langid import held_out
-from .shared import give_back, string_buffers
+from .shared import crc_mod, give_back, materialize, string_buffers
 from .textkit import SPACE, U64, as_bytes, mix, sorted_sets, span_hashes, spans
 
 #: Bounds: labelled rows to learn from; signs of a token that paths of the search hold as text; k of the search.
 SAMPLE, LONGEST, BEST = 4000, 48, 6
+#: Least share of all words of a known one, and of a trigram for each word; words that a task counts before it sends them.
+KNOWN_SHARE, TRIGRAM_SHARE, HELD_WORDS = 6e-7, 2.5e-7, 300_000
 THRESHOLD = 0.5
 SLICE_BYTES = 2 << 20
 MEMO = 200_000
@@ -68,6 +72,7 @@ class ToxicModel:
 
 
 _REPEATS = re.compile(r"(([^\W\d_])\2{7})\2+")
+_WORD = re.compile(r"[^\W\d_]+")
 _RANK = itemgetter(0, 1)
 
 
@@ -259,7 +264,7 @@ def _language_model(texts: list[str], y: list[int]) -> ToxicModel:
     words: Counter[str] = Counter()
     per = [max(1, sum(1 for v in y if v == c)) for c in (0, 1)]
     for t, v in zip(texts, y, strict=True):
-        for w in re.findall(r"[^\W\d_]+", t):
+        for w in _WORD.findall(t):
             words[w] += 1 / per[v]
     tri: Counter[str] = Counter()
     bi: Counter[str] = Counter()
@@ -276,9 +281,68 @@ def _language_model(texts: list[str], y: list[int]) -> ToxicModel:
     return model
 
 
-def fit(texts: pa.Array, y: list[int]) -> ToxicModel:
+def _class_words(batches):
+    """Words with how often texts of each label hold them; the empty word stands for the texts themselves."""
+    held: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+
+    def flush():
+        every = list(held[0].keys() | held[1].keys())
+        out = pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *(pa.array([c[w] for w in every], pa.int64()) for c in held)], ["word", "n0", "n1"])
+        for c in held:
+            c.clear()
+        return out
+
+    for batch in batches:
+        for t, y in zip(pc.utf8_lower(batch.column("text")).to_pylist(), batch.column("y").to_pylist(), strict=True):
+            held[y][""] += 1
+            held[y].update(_WORD.findall(t))
+        if len(held[0]) + len(held[1]) > HELD_WORDS:
+            yield flush()
+    yield flush()
+
+
+def _word_trigrams(batches):
+    for batch in batches:
+        tri: dict[str, list[int]] = {}
+        for w, *n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            p = EDGE * 2 + w + EDGE
+            for i in range(len(p) - 2):
+                own = tri.setdefault(p[i : i + 3], [0, 0])
+                own[0] += n[0]
+                own[1] += n[1]
+        yield pa.RecordBatch.from_arrays([pa.array(list(tri), pa.string()), *(pa.array([v[k] for v in tri.values()], pa.int64()) for k in (0, 1))], ["tri", "n0", "n1"])
+
+
+def train_language_model(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> ToxicModel:
+    """``_language_model`` of all labelled rows outside the held-out fold; only words and trigrams above a share reach the driver."""
+    own = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 5) != 0))
+    own = own.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    words = texts.join(own, "id").select("text", "y").mapInArrow(_class_words, "word string, n0 long, n1 long")
+    words = materialize(spark, words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "words")
+    of = words.where("word = ''").first()
+    per = [max(1, of[k]) if of else 1 for k in ("n0", "n1")]
+    weight = lambda a, b: F.col(a) / float(per[0]) + F.col(b) / float(per[1])
+    words = words.where("word <> ''")
+    n0, n1, least = words.agg(F.sum("n0"), F.sum("n1"), F.min(weight("n0", "n1"))).first()
+    model = ToxicModel()
+    if least is None:
+        return model
+    total = n0 / per[0] + n1 / per[1]
+    known = words.where((weight("n0", "n1") > max(2.5 * least, KNOWN_SHARE * total)) & (F.char_length("word") > 2)).select("word", weight("n0", "n1")).toArrow()
+    model.known = {w: math.log(n / total) for w, n in sorted(zip(*(c.to_pylist() for c in known.columns), strict=True))}
+    model.longest = max(map(len, model.known), default=0)
+    tri = materialize(spark, words.mapInArrow(_word_trigrams, "tri string, n0 long, n1 long").groupBy("tri").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "trigrams")
+    bi = tri.groupBy(F.substring("tri", 1, 2).alias("bi")).agg(F.sum("n0").alias("b0"), F.sum("n1").alias("b1"))
+    tri = tri.where(weight("n0", "n1") > TRIGRAM_SHARE * total).withColumn("bi", F.substring("tri", 1, 2)).join(bi, "bi").select("tri", weight("n0", "n1"), weight("b0", "b1")).toArrow()
+    model.chars = {k: math.log((n + least) / (b + 30 * least)) for k, n, b in sorted(zip(*(c.to_pylist() for c in tri.columns), strict=True))}
+    return model
+
+
+def fit(texts: pa.Array, y: list[int], model: ToxicModel | None = None) -> ToxicModel:
+    """A model of labelled texts; its language model is that of ``model`` if given, else of the same texts."""
     low = pc.utf8_lower(texts)
-    model = _language_model(low.to_pylist(), y)
+    model = model or _language_model(low.to_pylist(), y)
     if not y:
         return model
     raw, off = string_buffers(low)
@@ -351,7 +415,7 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, model: ToxicModel, *, t
 
 
 def toxicity_report(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
-    model = fit(*labelled_sample(spark, docs, labels, "toxic", sample))
+    model = fit(*labelled_sample(spark, docs, labels, "toxic", sample), train_language_model(spark, docs, labels))
     give_back()
     got = score_toxicity(spark, docs.select("doc_id", "text"), model, out="score")
     return got.select("doc_id", held_out("doc_id", 5), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -250,3 +250,16 @@ def test_quality_equals_plain_pooling_and_forward_pass(docs, labelled):
         hidden = [max(0.0, float(sum(x * w[:, j]) + b[j])) for j in range(w.shape[1])]
         want.append(1 / (1 + math.exp(-(sum(h * q for h, q in zip(hidden, w2)) + float(b2)) / m.temperature)))
     assert np.allclose(quality.predict(m, pa.array(texts)), want, atol=1e-4)
+
+
+def test_toxic_language_model_counts_every_labelled_row(spark):
+    texts = ["plain words Again", "again plain", "rare bad word again plain", "", None, "held plain"] + ["some more words again"] * 30
+    ids = [i for i in range(200) if fold(i, 5) != 0][: len(texts) - 1]
+    ids.insert(5, next(i for i in range(200) if fold(i, 5) == 0))
+    y = [0, 0, 1, 0, 1, 1] + [i % 2 for i in range(30)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame(list(zip(ids, y, strict=True)), "doc_id long, toxic int")
+    got = toxicity.train_language_model(spark, docs, labels)
+    own = [k for k in range(len(texts)) if k != 5]
+    want = toxicity._language_model([(texts[k] or "").lower() for k in own], [y[k] for k in own])
+    assert got.known == pytest.approx(want.known) and got.chars == pytest.approx(want.chars) and got.longest == want.longest
