@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .langid import held_out
-from .shared import crc_mod, give_back, materialize, string_buffers
+from .shared import crc_mod, give_back, in_slots, materialize, string_buffers
 from .textkit import SPACE, U64, as_bytes, mix, sorted_sets, span_hashes, spans
 
 #: Bounds: labelled rows to learn from; signs of a token that paths of the search hold as text; k of the search.
@@ -313,12 +313,20 @@ def _word_trigrams(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(tri), pa.string()), *(pa.array([v[k] for v in tri.values()], pa.int64()) for k in (0, 1))], ["tri", "n0", "n1"])
 
 
-def train_language_model(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> ToxicModel:
-    """``_language_model`` of all labelled rows outside the held-out fold; only words and trigrams above a share reach the driver."""
+def labelled_texts(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> DataFrame:
+    """Text and ``y`` of every label (0 or 1) outside the held-out fold.
+
+    A shuffle moves the texts of labelled rows and few others, at every size: broadcast labels would grow with the table.
+    """
     own = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 5) != 0))
     own = own.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    words = texts.join(own, "id").select("text", "y").mapInArrow(_class_words, "word string, n0 long, n1 long")
+    return texts.where(in_slots(spark, own.select("id"), F.col("id"))).join(own.hint("shuffle_hash"), "id").select("text", "y")
+
+
+def train_language_model(spark: SparkSession, docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> ToxicModel:
+    """``_language_model`` of all labelled rows outside the held-out fold; only words and trigrams above a share reach the driver."""
+    words = labelled_texts(spark, docs, labels, label_col).mapInArrow(_class_words, "word string, n0 long, n1 long")
     words = materialize(spark, words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "words")
     of = words.where("word = ''").first()
     per = [max(1, of[k]) if of else 1 for k in ("n0", "n1")]

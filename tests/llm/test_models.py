@@ -263,3 +263,35 @@ def test_toxic_language_model_counts_every_labelled_row(spark):
     own = [k for k in range(len(texts)) if k != 5]
     want = toxicity._language_model([(texts[k] or "").lower() for k in own], [y[k] for k in own])
     assert got.known == pytest.approx(want.known) and got.chars == pytest.approx(want.chars) and got.longest == want.longest
+
+
+def test_only_labelled_texts_are_moved(spark):
+    """Bytes shuffled for the labelled texts: few of those of all texts, and as many whether Spark may broadcast or not."""
+    import random
+
+    rng = random.Random(1)
+    ids = [i for i in range(3000) if fold(i, 5) != 0]
+    texts = {i: "".join(chr(rng.randrange(0x4E00, 0x9E00)) for _ in range(400)) for i in range(3000)}
+    docs = spark.createDataFrame([*texts.items(), (ids[0], "again"), (None, "none")], "doc_id long, text string").repartition(4).localCheckpoint()
+    rows = [(i, n % 2) for n, i in enumerate(ids[::10])] + [(ids[0], 1), (ids[0], 1), (ids[5], None), (ids[6], 2), (None, 1), (5000, 1), (next(i for i in range(3000) if fold(i, 5) == 0), 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    want = sorted([(texts[i], n % 2) for n, i in enumerate(ids[::10])] + [(texts[ids[0]], 1), ("again", 0), ("again", 1)])
+    size = sum(len(t.encode()) for t in texts.values())
+
+    def written():
+        sc = spark.sparkContext._jsc.sc()
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorList(False).head().totalShuffleWrite()
+
+    moved = []
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for most in (usual, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            before = written()
+            got = toxicity.labelled_texts(spark, docs, labels).collect()
+            moved.append(written() - before)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+        assert sorted((r["text"], r["y"]) for r in got) == want
+    assert max(moved) < 0.3 * size and max(moved) < 1.2 * min(moved)
