@@ -51,6 +51,30 @@ def test_markdown_sql_has_all_headings_and_items(spark, tmp_path):
     assert rows_of(catalog.queries()["html_to_markdown"](spark, str(tmp_path)).toPandas()) == rows_of(want)
 
 
+def test_markdown_sql_and_query_show_all_parts(spark, tmp_path):
+    html = {
+        "<p>a</p><noscript><p>without scripts</p></noscript><template><h2>row</h2>": "a\n\nwithout scripts\n\n## row",
+        "<pre>\nif x:\n    <b>y</b><br>z\n</pre><pre></pre><p><b>q</b>": "```\nif x:\n    y\nz\n```\n\n**q**",
+        "<script>s = '<!--'</script><p>kept</p><!-- <nav> --><p>b</p><!-- </nav> -->": "kept\n\nb",
+        "<script src='a'/><p>kept</p><script>s()</script>": "kept",
+        "<p>a</p><!-- never <i>closed</i><p>b": "a\n\n<!-- never closed\n\nb",
+    }
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    sql = catalog.oracle_sql()["html_to_markdown"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert rows_of(duckdb.sql(sql).fetchdf()) == sorted(((t, i) for i, t in enumerate(html.values())), key=repr)
+    assert rows_of(catalog.queries()["html_to_markdown"](spark, str(tmp_path)).toPandas()) == rows_of(duckdb.sql(sql).fetchdf())
+
+
+@pytest.mark.parametrize("name", "batch_results convert_json_blocks convert_markdown_result html_blocks html_to_markdown html_to_text result_fields written_files".split())
+def test_parts_that_are_never_closed_are_shown(spark, tmp_path, name):
+    html = ["<title>t</title><p>a</p><nav>menu<p>rest</p>", "<p>a</p><nav><nav>x</nav>y<p>rest</p>", "<p>a</p><nav><footer>x</nav><p>mid</p></footer><p>rest</p>", "<p>a</p><footer>rest", "<p>a</p><script>s = '<p>'; rest", "<p>a</p><style>p {} <p>rest", "<p>a</p><noscript>shown</noscript><template>too</template>"]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(catalog.oracle_sql()[name]).fetchdf()
+    assert rows_of(catalog.queries()[name](spark, str(tmp_path)).toPandas()) == rows_of(want)
+
+
 def test_only_the_entry_knows_the_llm_subpackage():
     for f in (ROOT / "docengine").rglob("*.py"):
         if f.relative_to(ROOT / "docengine").parts[0] != "llm":
